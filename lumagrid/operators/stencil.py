@@ -8,12 +8,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lumagrid.functions.pixel import clamp8
+from lumagrid.operators.packing import pack, unpack
 from lumagrid.operators.raster import IMAGE, with_dimensions
 
 # The edge mask, row by row.
 SOBEL_MASK = ((-1, 0, 1), (-2, 0, 2), (-1, 0, 1))
 
-TILE = 256
+TILE = 512
+BORDERS = ("zero", "reflect101")
+
+# A pixel inside its tile: line and column from -1 to the tile's size, gray level,
+# and whether it is a pixel of the image that belongs to this tile.
+_CELL = np.dtype([("y", "<i2"), ("x", "<i2"), ("g", "<i4"), ("own", "?")])
 
 
 def sobel(
@@ -22,21 +28,21 @@ def sobel(
     """Edge strength 0..255 of every pixel of ``(image_id, y, x, g)``.
 
     border: outside the image lies ``zero``, or the mirrored image without its
-    edge line (``reflect101``). strategy: ``halo`` shuffles every pixel once, to
-    square tiles with a one-pixel rim; ``scatter`` adds each pixel to its
+    edge line (``reflect101``). strategy: ``halo`` shuffles packed pixels once,
+    to square tiles with a one-pixel rim; ``scatter`` adds each pixel to its
     neighbours with one aggregation and no Python, for few or scattered pixels.
     """
-    source = gray.select(IMAGE, "y", "x", "g")
-    if border == "zero":
-        source = source.withColumn("inside", F.lit(True))
-    elif border == "reflect101":
-        source = _mirrored(source)
-    else:
+    if border not in BORDERS:
         raise ValueError(f"unknown border: {border}")
+    source = gray.select(IMAGE, "y", "x", "g")
     if strategy == "halo":
-        return _halo(source, tile)
+        return _halo(source, border, tile)
     if strategy == "scatter":
-        return _scatter(source)
+        return _scatter(
+            _mirrored(source)
+            if border == "reflect101"
+            else source.withColumn("inside", F.lit(True))
+        )
     raise ValueError(f"unknown strategy: {strategy}")
 
 
@@ -105,44 +111,93 @@ def _scatter(source: DataFrame) -> DataFrame:
     )
 
 
-def _halo(source: DataFrame, tile: int) -> DataFrame:
-    def touched(at: str):
-        first = F.greatest(F.lit(0), F.floor((F.col(at) - 1) / tile)).cast("int")
-        return F.sequence(first, F.floor((F.col(at) + 1) / tile).cast("int"))
-
+def _halo(source: DataFrame, border: str, tile: int) -> DataFrame:
+    if not 2 <= tile < 1 << 15:
+        raise ValueError("a tile must have 2 to 32767 lines")
     image_type = source.schema[IMAGE].dataType.simpleString()
-    tiles = source.withColumn("ty", F.explode(touched("y"))).withColumn(
-        "tx", F.explode(touched("x"))
-    )
+    if border == "reflect101":
+        source = with_dimensions(source).select(IMAGE, "y", "x", "g", "height", "width")
+    tiles = pack(source, _locate(tile), f"{IMAGE} {image_type}, ty int, tx int")
     return tiles.groupBy(IMAGE, "ty", "tx").applyInArrow(
         _tile_edges(tile), f"{IMAGE} {image_type}, y int, x int, edge int"
     )
 
 
+def _locate(tile: int):
+    """Where pixels lie: in their own tile and, at its rim, in the tiles next to it."""
+
+    def locate(table: pa.Table):
+        y, x = (table[c].to_numpy().astype(np.int32) for c in "yx")
+        row = np.arange(len(y))
+        inside = np.ones(len(y), bool)
+        if "height" in table.column_names:
+            row, y, x, inside = _with_mirror_images(
+                row, y, x, inside, table["height"].to_numpy(), table["width"].to_numpy()
+            )
+        ty, tx = y // tile, x // tile
+        ly, lx = y - ty * tile, x - tx * tile
+        near_y = ((ly == tile - 1).astype(np.int32) - (ly == 0)).astype(np.int32)
+        near_x = ((lx == tile - 1).astype(np.int32) - (lx == 0)).astype(np.int32)
+        parts = [(np.flatnonzero(inside), 0, 0), (np.flatnonzero(~inside), 0, 0)]
+        rim = np.flatnonzero((near_y != 0) | (near_x != 0))
+        for dy in (-1, 0, 1):
+            for dx in (-1, 0, 1):
+                if dy or dx:
+                    touches = (dy == 0) | (near_y[rim] == dy)
+                    touches &= (dx == 0) | (near_x[rim] == dx)
+                    parts.append((rim[touches], dy, dx))
+        at = np.concatenate([p for p, _, _ in parts])
+        dy, dx = (
+            np.concatenate([np.full(len(part[0]), part[k], np.int32) for part in parts])
+            for k in (1, 2)
+        )
+        cells = np.empty(len(at), _CELL)
+        cells["y"] = ly[at] - dy * tile
+        cells["x"] = lx[at] - dx * tile
+        cells["g"] = table["g"].to_numpy()[row[at]]
+        cells["own"] = False
+        cells["own"][: len(parts[0][0])] = True
+        image = table[IMAGE].combine_chunks().dictionary_encode().take(pa.array(row[at]))
+        return {IMAGE: image, "ty": ty[at] + dy, "tx": tx[at] + dx}, cells
+
+    return locate
+
+
+def _with_mirror_images(row, y, x, inside, height, width):
+    """Pixels plus the copies that a mirrored border puts one step outside their image."""
+    for axis, sizes in ((0, height), (1, width)):
+        at, size = (y, x)[axis], sizes[row]
+        before = np.flatnonzero(at == np.minimum(1, size - 1))
+        after = np.flatnonzero(at == np.maximum(0, size - 2))
+        copied = np.concatenate([before, after])
+        moved = np.concatenate([np.full(len(before), -1), size[after]]).astype(np.int32)
+        row = np.append(row, row[copied])
+        y = np.append(y, y[copied] if axis else moved)
+        x = np.append(x, moved if axis else x[copied])
+        inside = np.append(inside, np.zeros(len(copied), bool))
+    return row, y, x, inside
+
+
 def _tile_edges(tile: int):
     mask = np.array(SOBEL_MASK, dtype=np.int32)
 
     def edges(table: pa.Table) -> pa.Table:
-        y = table["y"].to_numpy()
-        x = table["x"].to_numpy()
-        top = table["ty"][0].as_py() * tile
-        left = table["tx"][0].as_py() * tile
+        cells = unpack(table["cells"], _CELL)
         padded = np.zeros((tile + 2, tile + 2), dtype=np.int32)
-        padded[y - top + 1, x - left + 1] = table["g"].to_numpy()
+        padded[cells["y"] + 1, cells["x"] + 1] = cells["g"]
         total = np.zeros((tile, tile), dtype=np.int32)
         for dy in range(3):
             for dx in range(3):
                 if mask[dy, dx]:
                     total += mask[dy, dx] * padded[dy : dy + tile, dx : dx + tile]
-        own = table["inside"].to_numpy() & (y // tile == top // tile) & (x // tile == left // tile)
-        kept = table.filter(pa.array(own))
-        edge = np.clip(total[y[own] - top, x[own] - left], 0, 255).astype(np.int32)
+        own = cells[cells["own"]]
+        y, x = own["y"].astype(np.int32), own["x"].astype(np.int32)
         return pa.table(
             {
-                IMAGE: kept[IMAGE],
-                "y": kept["y"].cast(pa.int32()),
-                "x": kept["x"].cast(pa.int32()),
-                "edge": pa.array(edge),
+                IMAGE: pa.repeat(table[IMAGE][0], len(own)),
+                "y": pa.array(y + np.int32(table["ty"][0].as_py() * tile)),
+                "x": pa.array(x + np.int32(table["tx"][0].as_py() * tile)),
+                "edge": pa.array(np.clip(total[y, x], 0, 255)),
             }
         )
 
