@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -61,8 +63,6 @@ def adaptive_log_curve(
     """Logarithmic curve whose base grows with the pixel's share of the maximum."""
     if b <= 0:
         raise ValueError("the bias b must be positive")
-    import math
-
     bias = math.log(b) / math.log(0.5)
     lum, lum_max = _double(lum), _double(lum_max)
     scale = F.lit(float(ld_max)) / (F.log10(lum_max + 1.0) * 100.0)
@@ -77,14 +77,13 @@ def rescale(channel, lum, new_lum) -> Column:
 
 
 def clamp8(value: Column) -> Column:
-    return F.greatest(F.lit(0), F.least(F.lit(255), value))
+    return F.when(value < 0, F.lit(0)).when(value > 255, F.lit(255)).otherwise(value)
 
 
 def quantize8(value) -> Column:
     """0..1 to an 8-bit level: times 255, rounded half to even, saturated; NaN is 0."""
     scaled = F.rint(_double(value) * 255.0)
-    bounded = F.greatest(F.lit(0.0), F.least(F.lit(255.0), scaled))
-    return F.when(F.isnan(scaled), F.lit(0)).otherwise(bounded.cast("int"))
+    return F.when(F.isnan(scaled), F.lit(0)).otherwise(clamp8(scaled)).cast("int")
 
 
 def intensity_times(gray, factor: int = 2, saturate: bool = False) -> Column:

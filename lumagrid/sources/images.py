@@ -19,7 +19,11 @@ _BATCH_PIXELS = 1 << 20
 
 
 def list_images(spark: SparkSession, path: str) -> DataFrame:
-    """Every file directly in a folder: path, name, length. Contents are not read."""
+    """The files directly in a folder: path, name, length. Contents are not read.
+
+    As in every Spark file source, files without a byte and names that begin
+    with ``_`` or ``.`` are not listed.
+    """
     return spark.read.format("binaryFile").load(path).select(
         "path", F.element_at(F.split("path", "/"), -1).alias("name"), "length"
     )

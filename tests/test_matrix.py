@@ -1,0 +1,118 @@
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from lumagrid.operators import compare, matrix
+from lumagrid.sources import synthetic
+
+
+def entries(spark, array, keep=lambda v: True):
+    rows = [
+        (i, j, float(v)) for i, line in enumerate(array) for j, v in enumerate(line) if keep(v)
+    ]
+    return spark.createDataFrame(rows, "i bigint, j bigint, v double").repartition(3)
+
+
+def cells(df):
+    return {(r.i, r.j): r.v for r in df.collect()}
+
+
+def dense_cells(array):
+    return {(i, j): float(v) for i, line in enumerate(array) for j, v in enumerate(line)}
+
+
+@pytest.mark.parametrize("shape", [(1, 1, 1), (33, 33, 33), (5, 40, 7), (70, 3, 64)])
+@pytest.mark.parametrize("options", [{}, {"tile": 32, "slab": 32}, {"tile": 16, "slab": 7}])
+def test_products_agree(spark, shape, options):
+    n, k, m = shape
+    rng = np.random.default_rng(n + k + m)
+    a, b = rng.integers(0, 10, (n, k)), rng.integers(0, 10, (k, m))
+    want = dense_cells(a @ b)
+    ea, eb = entries(spark, a), entries(spark, b)
+    assert cells(matrix.matmul_tiled(ea, eb, **options)) == want
+    assert cells(matrix.matmul_join(ea, eb)) == want
+    rows = matrix.matmul_rows(matrix.rows_from_entries(ea), eb)
+    assert cells(matrix.entries_from_rows(rows)) == want
+
+
+def test_sparse_products_have_the_same_cells(spark):
+    rng = np.random.default_rng(7)
+    a = rng.integers(-2, 3, (50, 60)) * (rng.random((50, 60)) < 0.05)
+    b = rng.integers(-2, 3, (60, 40)) * (rng.random((60, 40)) < 0.05)
+    ea, eb = entries(spark, a, bool), entries(spark, b, bool)
+    joined = cells(matrix.matmul(ea, eb, "join"))
+    assert cells(matrix.matmul(ea, eb, "tiled", tile=16, slab=16)) == joined
+    assert cells(matrix.matmul(ea, eb)) == joined
+    assert all((a @ b)[at] == v for at, v in joined.items())
+    with pytest.raises(ValueError):
+        matrix.matmul(ea, eb, "strassen")
+
+
+def test_hot_shared_index_is_salted(spark):
+    # A third of A lies in column 0.
+    a = spark.range(3000).select(
+        F.col("id").alias("i"),
+        F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 50).cast("bigint").alias("j"),
+        F.lit(2.0).alias("v"),
+    )
+    b = spark.range(100).select(
+        (F.col("id") % 50).alias("i"), F.floor(F.col("id") / 50).alias("j"), F.lit(3.0).alias("v")
+    )
+    want = cells(matrix.matmul_join(a, b))
+    assert cells(matrix.matmul_join(a, b, rows_per_salt=50)) == want
+    assert cells(matrix.matmul_tiled(a, b, tile=64, slab=16)) == want
+
+
+def test_large_b_takes_the_block_product(spark):
+    rng = np.random.default_rng(3)
+    a, b = rng.integers(0, 10, (6, 8)), rng.integers(0, 10, (8, 5))
+    rows = matrix.rows_from_entries(entries(spark, a))
+    spark.conf.set("spark.lumagrid.broadcastBytes", "100")
+    try:
+        product = matrix.matmul_rows(rows, entries(spark, b))
+        assert cells(matrix.entries_from_rows(product)) == dense_cells(a @ b)
+    finally:
+        spark.conf.unset("spark.lumagrid.broadcastBytes")
+
+
+def test_tile_and_slab_fill_the_cluster_and_stay_bounded():
+    for n_i, n_j, n_k in [(2000, 2000, 2000), (64, 64, 10**9), (10**6, 10**6, 10**6), (1, 1, 1)]:
+        tile, slab = matrix._tile_and_slab(n_i, n_j, n_k, 4000)
+        assert min(tile, max(n_i, n_j)) * slab <= matrix.FACTOR_CELLS
+        assert tile >= matrix.SMALLEST
+
+
+def test_vector_add(spark):
+    a = spark.createDataFrame([(i, float(i)) for i in range(10)], "i bigint, v double")
+    b = spark.createDataFrame([(i, 10.0 * i) for i in range(10)], "i bigint, v double")
+    assert {r.i: r.v for r in matrix.vector_add(a, b).collect()} == {i: 11.0 * i for i in range(10)}
+    arrays = spark.createDataFrame([([1, 2], [10, 20])], "a array<int>, b array<int>")
+    assert arrays.select(matrix.add_arrays("a", "b")).first()[0] == [11, 22]
+
+
+def test_random_matrix_does_not_depend_on_partitions(spark):
+    first = synthetic.random_matrix(spark, 40, seed=3)
+    assert first.count() == 1600
+    assert first.repartition(13).exceptAll(synthetic.random_matrix(spark, 40, seed=3)).isEmpty()
+    digits = {r.v: r.n for r in first.groupBy("v").agg(F.count(F.lit(1)).alias("n")).collect()}
+    assert set(digits) == {float(d) for d in range(10)}
+    assert all(100 < n < 220 for n in digits.values())
+    assert not first.exceptAll(synthetic.random_matrix(spark, 40, seed=4)).isEmpty()
+    assert synthetic.random_matrix(spark, 3, 5).agg(F.max("i"), F.max("j")).first() == (2, 4)
+    assert synthetic.random_vector(spark, 7).count() == 7
+
+
+def test_results_diff(spark):
+    schema = "i int, v double"
+    a = spark.createDataFrame([(1, 1.0), (2, 2.0), (3, float("nan")), (4, 4.0)], schema)
+    same = compare.results_diff(a.where("i != 3"), a.where("i != 3"), ["i"]).first()
+    assert same.asDict() == {
+        "n_cells": 3, "n_different": 0, "n_left_only": 0, "n_right_only": 0,
+        "verdict": "Good calculation",
+    }
+    b = spark.createDataFrame([(1, 1.0), (2, 2.001), (3, float("nan")), (5, 5.0)], schema)
+    diff = compare.results_diff(a, b, ["i"]).first()
+    assert (diff.n_cells, diff.n_different, diff.n_left_only, diff.n_right_only) == (5, 4, 1, 1)
+    assert diff.verdict == "Bad calculation"
+    close = compare.diff_cells(a, b, ["i"], tolerance=0.01)
+    assert sorted(r.i for r in close.collect()) == [3, 4, 5]
