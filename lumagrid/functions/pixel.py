@@ -70,10 +70,15 @@ def adaptive_log_curve(
     return F.when(lum_max == 0, F.lit(0.0)).otherwise(scale * (F.log(lum + 1.0) / base))
 
 
-def rescale(channel, lum, new_lum) -> Column:
-    """Channel scaled by new over old luminance; a black pixel stays black."""
+def luminance_scale(lum, new_lum) -> Column:
+    """New over old luminance; 0 for a black pixel, which stays black."""
     lum = _double(lum)
-    return F.when(lum == 0, F.lit(0.0)).otherwise(_double(channel) * (_double(new_lum) / lum))
+    return F.when(lum == 0, F.lit(0.0)).otherwise(_double(new_lum) / lum)
+
+
+def rescale(channel, lum, new_lum) -> Column:
+    """A channel scaled by new over old luminance."""
+    return _double(channel) * luminance_scale(lum, new_lum)
 
 
 def clamp8(value: Column) -> Column:

@@ -21,9 +21,13 @@ def tone_map_kmeans(
     weighting: str = "squared",
     quantize: bool = True,
     local_levels: int = clusters.LOCAL_LEVELS,
+    hist: DataFrame | None = None,
 ) -> DataFrame:
-    """Every pixel takes the weighted mean level of its luminance cluster."""
-    hist = cut_lineage(luminance_histogram(pixels, bins_per_unit))
+    """Every pixel takes the weighted mean level of its luminance cluster.
+
+    ``hist`` is the pixels' own histogram, if there is a cheaper way to it.
+    """
+    hist = cut_lineage(luminance_histogram(pixels, bins_per_unit) if hist is None else hist)
     models = cut_lineage(
         clusters.kmeans_fit(hist, k, max_iter, seed, local_levels=local_levels)
     )

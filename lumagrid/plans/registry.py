@@ -160,24 +160,31 @@ def tonemap_gamma(spark, sf):
     return tone_map(derived.hdr_pixels(spark, sf), "gamma")
 
 
+def _maxima(spark, sf, source=derived.hdr_pixels):
+    return raster.max_luminance(source(spark, sf, placed=False))
+
+
 @query
 def tonemap_log(spark, sf):
-    return tone_map(derived.hdr_pixels(spark, sf), "log")
+    return tone_map(derived.hdr_pixels(spark, sf), "log", stats=_maxima(spark, sf))
 
 
 @query
 def tonemap_adaptive_log(spark, sf):
-    return tone_map(derived.hdr_pixels(spark, sf), "adap_log", b=0.85, ld_max=100.0)
+    return tone_map(
+        derived.hdr_pixels(spark, sf), "adap_log", stats=_maxima(spark, sf), b=0.85, ld_max=100.0
+    )
 
 
 @query
 def tonemap_all(spark, sf):
-    return tone_map_all(derived.hdr_pixels(spark, sf))
+    return tone_map_all(derived.hdr_pixels(spark, sf), stats=_maxima(spark, sf))
 
 
 @query
 def tonemap_log_big(spark, sf):
-    return tone_map(derived.big_pixels(spark, sf), "log")
+    stats = _maxima(spark, sf, derived.big_pixels)
+    return tone_map(derived.big_pixels(spark, sf), "log", stats=stats)
 
 
 # Edges
@@ -212,7 +219,7 @@ def edge_map(spark, sf):
 
 
 def _hist(spark, sf):
-    return raster.luminance_histogram(derived.hdr_pixels(spark, sf), BINS)
+    return raster.luminance_histogram(derived.hdr_pixels(spark, sf, placed=False), BINS)
 
 
 def _assigned(spark, sf):
@@ -221,7 +228,7 @@ def _assigned(spark, sf):
 
 @query
 def max_luminance(spark, sf):
-    return _rounded(raster.max_luminance(derived.hdr_pixels(spark, sf)), "lum_max")
+    return _rounded(_maxima(spark, sf), "lum_max")
 
 
 @query
@@ -231,7 +238,7 @@ def luminance_histogram(spark, sf):
 
 @query
 def luminance_histogram_big(spark, sf):
-    return _rounded(raster.luminance_histogram(derived.big_pixels(spark, sf), BINS), "lum")
+    return _rounded(raster.luminance_histogram(derived.big_pixels(spark, sf, placed=False), BINS), "lum")
 
 
 @query
@@ -288,7 +295,9 @@ def kmeans_luminance(spark, sf):
 
 @query
 def tonemap_kmeans(spark, sf):
-    return kmeans_tonemap.tone_map_kmeans(derived.hdr_pixels(spark, sf), bins_per_unit=BINS)
+    return kmeans_tonemap.tone_map_kmeans(
+        derived.hdr_pixels(spark, sf), bins_per_unit=BINS, hist=_hist(spark, sf)
+    )
 
 
 # Vectors and matrices

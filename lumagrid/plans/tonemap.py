@@ -44,13 +44,16 @@ def with_max_luminance(pixels: DataFrame, stats: DataFrame | None = None) -> Dat
 
 def apply_luminance(mapped: DataFrame, quantize: bool = True, keep=()) -> DataFrame:
     """Channels rescaled from ``lum`` to ``new_lum``, as 8-bit levels unless told otherwise."""
-    finish = pixel.quantize8 if quantize else (lambda c: c)
-    return mapped.select(
+    scaled = mapped.withColumn("scale", pixel.luminance_scale("lum", "new_lum"))
+    channels = [F.col(c) * F.col("scale") for c in _CHANNELS]
+    return scaled.select(
         IMAGE,
         "y",
         "x",
         *keep,
-        *[finish(pixel.rescale(c, "lum", "new_lum")).alias(c) for c in _CHANNELS],
+        *[
+            (pixel.quantize8(v) if quantize else v).alias(c) for c, v in zip(_CHANNELS, channels)
+        ],
     )
 
 
@@ -73,7 +76,12 @@ def tone_map(
     return apply_luminance(source.withColumn("new_lum", curve), quantize)
 
 
-def tone_map_all(pixels: DataFrame, quantize: bool = True, params: dict | None = None) -> DataFrame:
+def tone_map_all(
+    pixels: DataFrame,
+    quantize: bool = True,
+    params: dict | None = None,
+    stats: DataFrame | None = None,
+) -> DataFrame:
     """All operators over one reading of the pixels, told apart by column ``op``."""
     params = params or {}
     curves = F.array(
@@ -82,7 +90,7 @@ def tone_map_all(pixels: DataFrame, quantize: bool = True, params: dict | None =
             for op in CURVES
         ]
     )
-    source = with_max_luminance(pixels.select(IMAGE, "y", "x", *_CHANNELS))
+    source = with_max_luminance(pixels.select(IMAGE, "y", "x", *_CHANNELS), stats)
     return apply_luminance(source.select("*", F.inline(curves)), quantize, keep=("op",))
 
 

@@ -18,23 +18,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def hdr_pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Float pixels: an image per label, a line per vector, 21 pixels per line."""
-    vectors = table(spark, sf_dir, "embeddings").select(
+def hdr_pixels(spark: SparkSession, sf_dir: str, placed: bool = True) -> DataFrame:
+    """Float pixels: an image per label, a line per vector, 21 pixels per line.
+
+    Without ``placed`` the lines are not numbered (no ``y``), which statistics
+    over an image do not need.
+    """
+    lines = table(spark, sf_dir, "embeddings").select(
         F.col("label").alias("image_id"), "vec_id", "embedding"
     )
-    lines = position_in_group(
-        vectors, "image_id", F.floor(F.col("vec_id") / _VECTOR_BLOCK), ["vec_id"], "y"
-    )
-    cells = lines.select(
-        "image_id",
-        F.col("y").cast("int").alias("y"),
-        "embedding",
-        F.explode(F.sequence(F.lit(0), F.lit(20))).alias("x"),
-    )
+    if placed:
+        lines = position_in_group(
+            lines, "image_id", F.floor(F.col("vec_id") / _VECTOR_BLOCK), ["vec_id"], "y"
+        ).withColumn("y", F.col("y").cast("int"))
+    cells = lines.drop("vec_id").withColumn("x", F.explode(F.sequence(F.lit(0), F.lit(20))))
     return cells.select(
         "image_id",
-        "y",
+        *(["y"] if placed else []),
         "x",
         *[
             (F.abs(F.get("embedding", F.col("x") * 3 + k).cast("double")) * 10).alias(c)
@@ -43,8 +43,11 @@ def hdr_pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def big_pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Float pixels: an image per supplier, a pixel per line item, 25 pixels per line."""
+def big_pixels(spark: SparkSession, sf_dir: str, placed: bool = True) -> DataFrame:
+    """Float pixels: an image per supplier, a pixel per line item, 25 pixels per line.
+
+    Without ``placed`` the pixels have no ``y`` and ``x``.
+    """
     items = table(spark, sf_dir, "lineitem").select(
         F.col("l_suppkey").cast("int").alias("image_id"),
         "l_orderkey",
@@ -54,14 +57,13 @@ def big_pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("l_extendedprice") / 10000).alias("g"),
         (F.col("l_tax") * 100).alias("r"),
     )
-    placed = position_in_group(
-        items,
-        "image_id",
-        F.floor(F.col("l_orderkey") / _ORDER_BLOCK),
-        ["l_orderkey", "l_linenumber", "l_partkey"],
-        "i",
+    if not placed:
+        return items.select("image_id", "b", "g", "r")
+    order = ["l_orderkey", "l_linenumber", "l_partkey"]
+    placed_items = position_in_group(
+        items, "image_id", F.floor(F.col("l_orderkey") / _ORDER_BLOCK), order, "i"
     )
-    return placed.select(
+    return placed_items.select(
         "image_id",
         F.floor(F.col("i") / 25).cast("int").alias("y"),
         F.pmod("i", F.lit(25)).cast("int").alias("x"),

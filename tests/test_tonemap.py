@@ -3,7 +3,7 @@ import math
 import pytest
 
 from lumagrid.operators import raster
-from lumagrid.plans import tonemap
+from lumagrid.plans import tonemap, views
 
 SCHEMA = "image_id int, y int, x int, b double, g double, r double"
 
@@ -138,3 +138,16 @@ def test_crop_and_shift(spark):
     assert raster.crop(gray, 2, 3).count() == 6
     moved = {(r.y, r.x): r.g for r in raster.shift(gray, 1, -2).collect()}
     assert moved == {(y + 1, x - 2): 10 * y + x for y in range(3) for x in range(2, 5)}
+
+
+def test_views_answer_sql(spark, pixels):
+    names = views.register_float_views(pixels, "demo_")
+    assert "demo_tonemap_log" in names
+    top = spark.sql("select max(g) as top from demo_tonemap_log where image_id = 3").first().top
+    assert top == 255
+    colour = tonemap.tone_map(pixels, "gamma")
+    views.register_colour_views(colour, "demo_")
+    joined = spark.sql(
+        "select count(*) as n from demo_gray join demo_edges using (image_id, y, x) where edge >= 0"
+    )
+    assert joined.first().n == pixels.count()
