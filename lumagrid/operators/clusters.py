@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from lumagrid.operators.lookup import attach, interval_index
 from lumagrid.operators.raster import IMAGE
-from lumagrid.settings import cut_lineage
+from lumagrid.settings import cut_lineage, store
 
 # The number of clusters and iterations of the k-means curve.
 K = 256
@@ -52,10 +52,15 @@ def nearest_center(df: DataFrame, value: Column, centers: list[float], out: str
     return interval_index(df, value, bounds, len(middles), out)
 
 
-def assign_clusters(hist: DataFrame, models: DataFrame, k: int = K, stored: bool = False) -> DataFrame:
-    """Histogram rows ``(image_id, lum, n_pixels)`` with the index of their cluster, ``cid``."""
+def assign_clusters(
+    hist: DataFrame, models: DataFrame, k: int = K, n_models: int | None = None
+) -> DataFrame:
+    """Histogram rows ``(image_id, lum, n_pixels)`` with the index of their cluster, ``cid``.
+
+    ``n_models`` is the number of models if they are a stored table.
+    """
     bounds = models.select(IMAGE, cluster_bounds("centers").alias("_bounds"))
-    with_bounds = attach(hist, bounds, [IMAGE], row_bytes=model_bytes(k), stored=stored)
+    with_bounds = attach(hist, bounds, [IMAGE], row_bytes=model_bytes(k), n_rows=n_models)
     return interval_index(with_bounds, F.col("lum"), F.col("_bounds"), k - 1, "cid").drop("_bounds")
 
 
@@ -67,7 +72,7 @@ def cluster_sizes(assigned: DataFrame) -> DataFrame:
 
 
 def cluster_means(assigned: DataFrame, weighting: str = "squared") -> DataFrame:
-    """Weighted mean level per cluster.
+    """Weighted mean level and number of pixels per cluster.
 
     ``squared`` weighs every pixel by the count of its level, so a level counts
     with its squared pixel number; ``count`` is the plain mean over pixels.
@@ -77,7 +82,8 @@ def cluster_means(assigned: DataFrame, weighting: str = "squared") -> DataFrame:
         raise ValueError(f"unknown weighting: {weighting}")
     weight = n * n if weighting == "squared" else n
     return assigned.groupBy(IMAGE, "cid").agg(
-        (F.sum(weight * F.col("lum")) / F.sum(weight)).alias("mean")
+        (F.sum(weight * F.col("lum")) / F.sum(weight)).alias("mean"),
+        F.sum("n_pixels").alias("n_pixels"),
     )
 
 
@@ -88,26 +94,30 @@ def kmeans_fit(
     seed: int = 0,
     tolerance: float = TOLERANCE,
     local_levels: int = LOCAL_LEVELS,
+    n_levels: int | None = None,
 ) -> DataFrame:
     """Fit one model per image to ``(image_id, lum, n_pixels)``, one row per level.
 
     Starts from up to k levels drawn by hash, so a fit does not depend on how
     the rows are spread over partitions. Images with few levels are clustered
     in one task each; the others by one Spark job per iteration that moves the
-    centres of all of them.
+    centres of all of them. ``n_levels`` is the number of rows of all images, if
+    it is known.
     """
     hist = hist.select(
         IMAGE, F.col("lum").cast("double").alias("lum"), F.col("n_pixels").cast("double").alias("w")
     ).withColumn("draw", F.xxhash64("lum", F.lit(seed)))
-    large = cut_lineage(
+    image_type = hist.schema[IMAGE].dataType.simpleString()
+    if n_levels is not None and n_levels <= local_levels:
+        return _fit_small(hist, image_type, k, max_iter, tolerance)
+    large, n_large = store(
         hist.groupBy(IMAGE)
         .agg(F.count(F.lit(1)).alias("n_levels"))
         .where(F.col("n_levels") > local_levels)
     )
-    image_type = hist.schema[IMAGE].dataType.simpleString()
-    if large.isEmpty():
+    if n_large == 0:
         return _fit_small(hist, image_type, k, max_iter, tolerance)
-    marked = attach(hist, large, [IMAGE], weight="n_levels", how="left", stored=True)
+    marked = attach(hist, large, [IMAGE], weight="n_levels", how="left", n_rows=n_large)
     small_fit = _fit_small(
         marked.where(F.col("n_levels").isNull()).drop("n_levels"), image_type, k, max_iter, tolerance
     )
@@ -152,20 +162,18 @@ def _fit_large(hist, k, max_iter, tolerance) -> DataFrame:
         .withColumn("_rank", F.row_number().over(Window.partitionBy(IMAGE).orderBy("draw", "lum")))
         .where(F.col("_rank") <= k)
     )
-    active = cut_lineage(
+    active, n_active = store(
         drawn.groupBy(IMAGE).agg(F.sort_array(F.collect_list("lum")).alias("centers"))
     )
     levels = hist.select(IMAGE, "lum", F.col("w").alias("n_pixels"))
-    settled = None
+    settled = active.limit(0)
     for _ in range(max_iter):
-        sums = (
-            assign_clusters(levels, active, k, stored=True)
-            .groupBy(IMAGE, "cid")
-            .agg((F.sum(F.col("n_pixels") * F.col("lum")) / F.sum("n_pixels")).alias("mean"))
+        means = (
+            cluster_means(assign_clusters(levels, active, k, n_active), "count")
             .groupBy(IMAGE)
             .agg(F.map_from_entries(F.collect_list(F.struct("cid", "mean"))).alias("_means"))
         )
-        moved = active.join(sums, IMAGE).select(
+        moved = active.join(means, IMAGE).select(
             IMAGE,
             F.col("centers").alias("_before"),
             F.transform(
@@ -173,12 +181,10 @@ def _fit_large(hist, k, max_iter, tolerance) -> DataFrame:
             ).alias("centers"),
         )
         step = F.array_max(F.zip_with("_before", "centers", lambda a, b: F.abs(a - b)))
-        moved = cut_lineage(
-            moved.select(IMAGE, "centers", (step <= tolerance).alias("_done"))
-        )
-        done = moved.where("_done").drop("_done")
-        settled = done if settled is None else settled.unionByName(done)
-        active = moved.where(~F.col("_done")).drop("_done")
-        if active.isEmpty():
-            return settled
+        moved = cut_lineage(moved.select(IMAGE, "centers", (step > tolerance).alias("_moving")))
+        settled = settled.unionByName(moved.where(~F.col("_moving")).drop("_moving"))
+        active = moved.where("_moving").drop("_moving")
+        n_active = active.count()
+        if n_active == 0:
+            break
     return settled.unionByName(active)

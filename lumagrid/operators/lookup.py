@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lumagrid.settings import HOT_SHARES, SALT_ROWS, broadcast_bytes, cut_lineage
+from lumagrid.settings import HOT_SHARES, SALT_ROWS, broadcast_bytes, store
 
 
 def attach(
@@ -15,11 +15,12 @@ def attach(
     weight: str | None = None,
     row_bytes: int = 64,
     how: str = "inner",
-    stored: bool = False,
+    n_rows: int | None = None,
 ) -> DataFrame:
     """Add the columns of ``small`` (one row per key) to every row of ``big``.
 
-    ``small`` is stored first, so its size is known before the join is chosen:
+    ``small`` is stored first (unless it is stored and ``n_rows`` gives its
+    size), so its size is known before the join is chosen:
 
     * up to the broadcast bound it is broadcast and ``big`` is not shuffled;
     * beyond it, keys holding at least a HOT_SHARES-th of the rows (by the
@@ -28,16 +29,15 @@ def attach(
     """
     if how not in ("inner", "left"):
         raise ValueError(f"unsupported lookup: {how}")
-    if not stored:
-        small = cut_lineage(small)
+    if n_rows is None:
+        small, n_rows = store(small)
     limit = broadcast_bytes(big.sparkSession)
-    if small.count() * row_bytes <= limit:
+    if n_rows * row_bytes <= limit:
         return big.join(F.broadcast(small), keys, how)
     if weight is None:
         weight = "_weight"
         rows = big.groupBy(*keys).agg(F.count(F.lit(1)).alias(weight))
-        small = cut_lineage(small.join(rows, keys))
-        return attach(big, small, keys, weight, row_bytes, how, stored=True).drop(weight)
+        return attach(big, small.join(rows, keys), keys, weight, row_bytes, how).drop(weight)
 
     shares = max(1, min(HOT_SHARES, limit // row_bytes))
     total = small.agg(F.sum(F.col(weight).cast("double"))).first()[0] or 0.0
@@ -61,7 +61,7 @@ def salted_join(
     of all of them, so there are at most HOT_SHARES such keys) get one salt per
     that many rows, and their right rows are copied once per salt.
     """
-    counts = cut_lineage(left.groupBy(key).agg(F.count(F.lit(1)).alias("_n")))
+    counts, _ = store(left.groupBy(key).agg(F.count(F.lit(1)).alias("_n")))
     total = counts.agg(F.sum("_n")).first()[0] or 0
     share = max(float(rows_per_salt), total / HOT_SHARES)
     hot = counts.where(F.col("_n") > share).select(

@@ -9,7 +9,7 @@ from lumagrid.operators import clusters
 from lumagrid.operators.lookup import attach, interval_index
 from lumagrid.operators.raster import IMAGE, luminance_histogram, luminance_level
 from lumagrid.plans.tonemap import apply_luminance
-from lumagrid.settings import cut_lineage
+from lumagrid.settings import store
 
 
 def tone_map_kmeans(
@@ -27,9 +27,9 @@ def tone_map_kmeans(
 
     ``hist`` is the pixels' own histogram, if there is a cheaper way to it.
     """
-    hist = cut_lineage(luminance_histogram(pixels, bins_per_unit) if hist is None else hist)
-    models = cut_lineage(
-        clusters.kmeans_fit(hist, k, max_iter, seed, local_levels=local_levels)
+    hist, n_levels = store(luminance_histogram(pixels, bins_per_unit) if hist is None else hist)
+    models = clusters.kmeans_fit(
+        hist, k, max_iter, seed, local_levels=local_levels, n_levels=n_levels
     )
     return map_by_clusters(pixels, hist, models, k, bins_per_unit, weighting, quantize)
 
@@ -47,30 +47,31 @@ def map_by_clusters(
 
     Pixels meet the model of their image (at most k numbers), never the histogram.
     """
-    assigned = clusters.assign_clusters(hist, models, k)
-    means = clusters.cluster_means(assigned, weighting)
+    models, n_models = store(models)
+    means = clusters.cluster_means(clusters.assign_clusters(hist, models, k, n_models), weighting)
     # NULL where no pixel falls into a cluster; no pixel looks such an entry up.
+    levels = F.transform(
+        F.sequence(F.lit(0), F.size("centers") - 1), lambda cid: F.try_element_at("_means", cid)
+    )
     curves = (
         means.groupBy(IMAGE)
-        .agg(F.map_from_entries(F.collect_list(F.struct("cid", "mean"))).alias("_means"))
+        .agg(
+            F.map_from_entries(F.collect_list(F.struct("cid", "mean"))).alias("_means"),
+            F.sum("n_pixels").alias("_n_pixels"),
+        )
         .join(models, IMAGE)
         .select(
             IMAGE,
+            "_n_pixels",
             clusters.cluster_bounds("centers").alias("_bounds"),
-            F.transform(
-                F.sequence(F.lit(0), F.size("centers") - 1),
-                lambda cid: F.try_element_at("_means", cid),
-            ).alias("_levels"),
+            levels.alias("_levels"),
         )
     )
-    weighted = curves.join(
-        hist.groupBy(IMAGE).agg(F.sum("n_pixels").alias("_n_pixels")), IMAGE
-    )
     source = pixels.select(IMAGE, "y", "x", "b", "g", "r").withColumn(
         "lum", luminance_level(bins_per_unit)
     )
     joined = attach(
-        source, weighted, [IMAGE], weight="_n_pixels", row_bytes=clusters.model_bytes(k)
+        source, curves, [IMAGE], weight="_n_pixels", row_bytes=clusters.model_bytes(k)
     )
     located = interval_index(joined, F.col("lum"), F.col("_bounds"), k - 1, "cid")
     mapped = located.withColumn("new_lum", F.get("_levels", F.col("cid")))

@@ -262,15 +262,15 @@ def cluster_sizes(spark, sf):
 
 @query
 def cluster_weighted_mean(spark, sf):
-    return _rounded(clusters.cluster_means(_assigned(spark, sf)), "mean", digits=9)
+    means = clusters.cluster_means(_assigned(spark, sf))
+    return _rounded(means.select("image_id", "cid", "mean"), "mean", digits=9)
 
 
 @query
 def cluster_mean_lookup(spark, sf):
     pixels = derived.hdr_pixels(spark, sf).withColumn("lum", raster.luminance_level(BINS))
     near = clusters.nearest_center(pixels, F.col("lum"), CENTERS)
-    sizes = clusters.cluster_sizes(_assigned(spark, sf)).select("image_id", "cid", "n_pixels")
-    means = clusters.cluster_means(_assigned(spark, sf)).join(sizes, ["image_id", "cid"])
+    means = clusters.cluster_means(_assigned(spark, sf))
     found = attach(near, means, ["image_id", "cid"], weight="n_pixels", how="left")
     return _rounded(found.select(*_AT, "cid", "mean"), "mean", digits=9)
 

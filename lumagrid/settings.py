@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 # A table is broadcast only when its row count times its row width stays below this.
 BROADCAST_BYTES = 64 << 20
@@ -21,23 +23,34 @@ def broadcast_bytes(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.lumagrid.broadcastBytes", str(BROADCAST_BYTES)))
 
 
-def use_checkpoint_dir(spark: SparkSession) -> None:
-    """Point the context at the shared checkpoint folder the session names.
+def checkpoint_dir(spark: SparkSession) -> str:
+    """The shared checkpoint folder that the session names.
 
     Only a local session without such a setting gets a folder of its own.
     """
     context = spark.sparkContext
-    if context.getCheckpointDir() is not None:
-        return
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared is None:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        shared = tempfile.mkdtemp(prefix="run-checkpoint-")
-    context.setCheckpointDir(shared)
+    if context.getCheckpointDir() is None:
+        shared = spark.conf.get("spark.checkpoint.dir", None)
+        if shared is None:
+            if not context.master.startswith("local"):
+                raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+            shared = tempfile.mkdtemp(prefix="run-checkpoint-")
+        context.setCheckpointDir(shared)
+    return context.getCheckpointDir()
+
+
+def store(df: DataFrame) -> tuple[DataFrame, int]:
+    """``df`` as a table in the checkpoint folder, and its number of rows.
+
+    It is computed once; what reads it later neither recomputes it nor depends
+    on executors that may be lost, and its size is known.
+    """
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark)}/{uuid.uuid4().hex}"
+    rows = Observation()
+    df.observe(rows, F.count(F.lit(1)).alias("n")).write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path), rows.get["n"]
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Store ``df`` in the checkpoint folder, so that lost executors cost no recomputation."""
-    use_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    return store(df)[0]
