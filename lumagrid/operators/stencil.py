@@ -6,9 +6,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from lumagrid.functions.pixel import clamp8
-from lumagrid.operators.packing import pack, unpack
+from lumagrid.operators.packing import for_each_key, pack
 from lumagrid.operators.raster import IMAGE, with_dimensions
 
 # The edge mask, row by row.
@@ -118,8 +119,12 @@ def _halo(source: DataFrame, border: str, tile: int) -> DataFrame:
     if border == "reflect101":
         source = with_dimensions(source).select(IMAGE, "y", "x", "g", "height", "width")
     tiles = pack(source, _locate(tile), f"{IMAGE} {image_type}, ty int, tx int")
-    return tiles.groupBy(IMAGE, "ty", "tx").applyInArrow(
-        _tile_edges(tile), f"{IMAGE} {image_type}, y int, x int, edge int"
+    return for_each_key(
+        tiles,
+        [IMAGE, "ty", "tx"],
+        _CELL,
+        _tile_edges(tile, to_arrow_schema(source.select(IMAGE).schema).field(0).type),
+        f"{IMAGE} {image_type}, y int, x int, edge int",
     )
 
 
@@ -178,25 +183,27 @@ def _with_mirror_images(row, y, x, inside, height, width):
     return row, y, x, inside
 
 
-def _tile_edges(tile: int):
+def _tile_edges(tile: int, image_type: pa.DataType):
     mask = np.array(SOBEL_MASK, dtype=np.int32)
 
-    def edges(table: pa.Table) -> pa.Table:
-        cells = unpack(table["cells"], _CELL)
-        padded = np.zeros((tile + 2, tile + 2), dtype=np.int32)
+    def edges(key: tuple, cells: np.ndarray) -> pa.RecordBatch:
+        image, ty, tx = key
+        own = cells[cells["own"]]
+        y, x = own["y"].astype(np.int32), own["x"].astype(np.int32)
+        # A small image fills only a corner of its tile.
+        height, width = (int(cells[c].max(initial=-1)) + 1 for c in "yx")
+        padded = np.zeros((height + 2, width + 2), dtype=np.int32)
         padded[cells["y"] + 1, cells["x"] + 1] = cells["g"]
-        total = np.zeros((tile, tile), dtype=np.int32)
+        total = np.zeros((height, width), dtype=np.int32)
         for dy in range(3):
             for dx in range(3):
                 if mask[dy, dx]:
-                    total += mask[dy, dx] * padded[dy : dy + tile, dx : dx + tile]
-        own = cells[cells["own"]]
-        y, x = own["y"].astype(np.int32), own["x"].astype(np.int32)
-        return pa.table(
+                    total += mask[dy, dx] * padded[dy : dy + height, dx : dx + width]
+        return pa.record_batch(
             {
-                IMAGE: pa.repeat(table[IMAGE][0], len(own)),
-                "y": pa.array(y + np.int32(table["ty"][0].as_py() * tile)),
-                "x": pa.array(x + np.int32(table["tx"][0].as_py() * tile)),
+                IMAGE: pa.repeat(pa.scalar(image, image_type), len(own)),
+                "y": pa.array(y + np.int32(ty * tile)),
+                "x": pa.array(x + np.int32(tx * tile)),
                 "edge": pa.array(np.clip(total[y, x], 0, 255)),
             }
         )

@@ -276,11 +276,11 @@ mapped as (
                     round(serial / nullif(variant, 0), 6) as ratio from runs""",
         "run_bandwidth": _with(_RUNS)
         + """select section, iteration,
-                    round(((iteration + 1) * 3000000.0::double + (iteration + 1) * 1000000.0::double)
-                          / nullif(serial, 0) / 1e9, 6) as gb_per_s from runs""",
+                    ((iteration + 1) * 3000000.0::double + (iteration + 1) * 1000000.0::double)
+                      / nullif(serial, 0) / 1e9 as gb_per_s from runs""",
         "run_throughput": _with(_RUNS)
         + """select section, iteration,
-                    round(18 * ((iteration + 1) * 1000000.0::double) / nullif(serial, 0) / 1e9, 6)
+                    18 * ((iteration + 1) * 1000000.0::double) / nullif(serial, 0) / 1e9
                       as gflop_per_s from runs""",
         "run_summary": _with(_RUNS)
         + "select section, count(*) as n_runs, "

@@ -374,29 +374,15 @@ def run_speedup(spark, sf):
 @query
 def run_bandwidth(spark, sf):
     pixels = F.col("iteration") + 1
-    return _rounded(
-        derived.runs(spark, sf).select(
-            "section",
-            "iteration",
-            timing.effective_bandwidth(pixels * 3000000.0, pixels * 1000000.0, F.col("serial")).alias(
-                "gb_per_s"
-            ),
-        ),
-        "gb_per_s",
-    )
+    rate = timing.effective_bandwidth(pixels * 3000000.0, pixels * 1000000.0, F.col("serial"))
+    return derived.runs(spark, sf).select("section", "iteration", rate.alias("gb_per_s"))
 
 
 @query
 def run_throughput(spark, sf):
     pixels = (F.col("iteration") + 1) * 1000000.0
-    return _rounded(
-        derived.runs(spark, sf).select(
-            "section",
-            "iteration",
-            timing.throughput(F.lit(18), pixels, F.col("serial")).alias("gflop_per_s"),
-        ),
-        "gflop_per_s",
-    )
+    rate = timing.throughput(F.lit(18), pixels, F.col("serial"))
+    return derived.runs(spark, sf).select("section", "iteration", rate.alias("gflop_per_s"))
 
 
 @query
