@@ -54,7 +54,7 @@ def pixels(spark: SparkSession, images: int, width: int) -> DataFrame:
     )
     order = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
     placed = position_in_group(
-        items, "image_id", F.floor(F.col("l_orderkey") / (1 << 14)), order, "i"
+        items, "image_id", F.shiftright("l_orderkey", 14), order, "i"
     )
     at = F.col("i") * PER_ITEM + F.col("k")
     fade = F.lit(1.0) + F.col("k") / 10

@@ -115,16 +115,17 @@ def _scatter(source: DataFrame) -> DataFrame:
 def _halo(source: DataFrame, border: str, tile: int) -> DataFrame:
     if not 2 <= tile < 1 << 15:
         raise ValueError("a tile must have 2 to 32767 lines")
-    image_type = source.schema[IMAGE].dataType.simpleString()
+    kinds = dict(source.dtypes)
+    types = {f.name: f.type for f in to_arrow_schema(source.schema)}
     if border == "reflect101":
         source = with_dimensions(source).select(IMAGE, "y", "x", "g", "height", "width")
-    tiles = pack(source, _locate(tile), f"{IMAGE} {image_type}, ty int, tx int")
+    tiles = pack(source, _locate(tile), f"{IMAGE} {kinds[IMAGE]}, ty bigint, tx bigint")
     return for_each_key(
         tiles,
         [IMAGE, "ty", "tx"],
         _CELL,
-        _tile_edges(tile, to_arrow_schema(source.select(IMAGE).schema).field(0).type),
-        f"{IMAGE} {image_type}, y int, x int, edge int",
+        _tile_edges(tile, types),
+        f"{IMAGE} {kinds[IMAGE]}, y {kinds['y']}, x {kinds['x']}, edge int",
     )
 
 
@@ -132,7 +133,7 @@ def _locate(tile: int):
     """Where pixels lie: in their own tile and, at its rim, in the tiles next to it."""
 
     def locate(table: pa.Table):
-        y, x = (table[c].to_numpy().astype(np.int32) for c in "yx")
+        y, x = (table[c].to_numpy() for c in "yx")
         row = np.arange(len(y))
         inside = np.ones(len(y), bool)
         if "height" in table.column_names:
@@ -141,8 +142,8 @@ def _locate(tile: int):
             )
         ty, tx = y // tile, x // tile
         ly, lx = y - ty * tile, x - tx * tile
-        near_y = ((ly == tile - 1).astype(np.int32) - (ly == 0)).astype(np.int32)
-        near_x = ((lx == tile - 1).astype(np.int32) - (lx == 0)).astype(np.int32)
+        near_y = (ly == tile - 1).astype(np.int8) - (ly == 0)
+        near_x = (lx == tile - 1).astype(np.int8) - (lx == 0)
         parts = [(np.flatnonzero(inside), 0, 0), (np.flatnonzero(~inside), 0, 0)]
         rim = np.flatnonzero((near_y != 0) | (near_x != 0))
         for dy in (-1, 0, 1):
@@ -163,7 +164,8 @@ def _locate(tile: int):
         cells["own"] = False
         cells["own"][: len(parts[0][0])] = True
         image = table[IMAGE].combine_chunks().dictionary_encode().take(pa.array(row[at]))
-        return {IMAGE: image, "ty": ty[at] + dy, "tx": tx[at] + dx}, cells
+        where = ((ty[at] + dy).astype(np.int64), (tx[at] + dx).astype(np.int64))
+        return {IMAGE: image, "ty": where[0], "tx": where[1]}, cells
 
     return locate
 
@@ -175,7 +177,7 @@ def _with_mirror_images(row, y, x, inside, height, width):
         before = np.flatnonzero(at == np.minimum(1, size - 1))
         after = np.flatnonzero(at == np.maximum(0, size - 2))
         copied = np.concatenate([before, after])
-        moved = np.concatenate([np.full(len(before), -1), size[after]]).astype(np.int32)
+        moved = np.concatenate([np.full(len(before), -1), size[after]]).astype(at.dtype)
         row = np.append(row, row[copied])
         y = np.append(y, y[copied] if axis else moved)
         x = np.append(x, moved if axis else x[copied])
@@ -183,13 +185,13 @@ def _with_mirror_images(row, y, x, inside, height, width):
     return row, y, x, inside
 
 
-def _tile_edges(tile: int, image_type: pa.DataType):
+def _tile_edges(tile: int, types: dict[str, pa.DataType]):
     mask = np.array(SOBEL_MASK, dtype=np.int32)
 
     def edges(key: tuple, cells: np.ndarray) -> pa.RecordBatch:
         image, ty, tx = key
         own = cells[cells["own"]]
-        y, x = own["y"].astype(np.int32), own["x"].astype(np.int32)
+        y, x = own["y"].astype(np.int64), own["x"].astype(np.int64)
         # A small image fills only a corner of its tile.
         height, width = (int(cells[c].max(initial=-1)) + 1 for c in "yx")
         padded = np.zeros((height + 2, width + 2), dtype=np.int32)
@@ -201,9 +203,9 @@ def _tile_edges(tile: int, image_type: pa.DataType):
                     total += mask[dy, dx] * padded[dy : dy + height, dx : dx + width]
         return pa.record_batch(
             {
-                IMAGE: pa.repeat(pa.scalar(image, image_type), len(own)),
-                "y": pa.array(y + np.int32(ty * tile)),
-                "x": pa.array(x + np.int32(tx * tile)),
+                IMAGE: pa.repeat(pa.scalar(image, types[IMAGE]), len(own)),
+                "y": pa.array(y + ty * tile).cast(types["y"]),
+                "x": pa.array(x + tx * tile).cast(types["x"]),
                 "edge": pa.array(np.clip(total[y, x], 0, 255)),
             }
         )

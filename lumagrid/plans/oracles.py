@@ -7,7 +7,7 @@ from lumagrid.plans.registry import BINS, CENTERS
 _HDR = """
 lines as (
   select label as image_id, embedding,
-         cast(row_number() over (partition by label order by vec_id) - 1 as integer) as y
+         row_number() over (partition by label order by vec_id) - 1 as y
   from embeddings),
 hdr as (
   select image_id, y, cast(t.x as integer) as x,
@@ -24,7 +24,7 @@ items as (
          l_quantity / 10 as b, l_extendedprice / 10000 as g, l_tax * 100 as r
   from lineitem),
 hdr as (
-  select image_id, cast(i // 25 as integer) as y, cast(i % 25 as integer) as x, b, g, r
+  select image_id, i // 25 as y, cast(i % 25 as integer) as x, b, g, r
   from items)"""
 
 _LUM = "(b * 0.0722::double + g * 0.7152::double + r * 0.2126::double)"

@@ -9,9 +9,9 @@ from lumagrid.functions.pixel import bgr_to_gray, clamp8
 from lumagrid.functions.timing import speedup
 from lumagrid.operators.ordering import position_in_group
 
-# Key range of one ranking block; keys are whole numbers, a vector id occurs once.
-_VECTOR_BLOCK = 1 << 16
-_ORDER_BLOCK = 1 << 14
+# Low bits of a key that a ranking block spans; a vector id occurs once.
+_VECTOR_BITS = 16
+_ORDER_BITS = 14
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,8 +29,8 @@ def hdr_pixels(spark: SparkSession, sf_dir: str, placed: bool = True) -> DataFra
     )
     if placed:
         lines = position_in_group(
-            lines, "image_id", F.floor(F.col("vec_id") / _VECTOR_BLOCK), ["vec_id"], "y"
-        ).withColumn("y", F.col("y").cast("int"))
+            lines, "image_id", F.shiftright("vec_id", _VECTOR_BITS), ["vec_id"], "y"
+        )
     cells = lines.drop("vec_id").withColumn("x", F.explode(F.sequence(F.lit(0), F.lit(20))))
     return cells.select(
         "image_id",
@@ -61,11 +61,11 @@ def big_pixels(spark: SparkSession, sf_dir: str, placed: bool = True) -> DataFra
         return items.select("image_id", "b", "g", "r")
     order = ["l_orderkey", "l_linenumber", "l_partkey"]
     placed_items = position_in_group(
-        items, "image_id", F.floor(F.col("l_orderkey") / _ORDER_BLOCK), order, "i"
+        items, "image_id", F.shiftright("l_orderkey", _ORDER_BITS), order, "i"
     )
     return placed_items.select(
         "image_id",
-        F.floor(F.col("i") / 25).cast("int").alias("y"),
+        F.floor(F.col("i") / 25).alias("y"),
         F.pmod("i", F.lit(25)).cast("int").alias("x"),
         "b",
         "g",

@@ -8,6 +8,9 @@ from pyspark.sql import types as T
 
 from lumagrid.functions.pixel import change_extension
 
+# What of one image is kept together when it is written: at most 8 million pixels.
+BLOCK_LINES, BLOCK_COLUMNS = 2048, 4096
+
 HDR_SCHEMA = T.StructType(
     [
         T.StructField("image_id", T.IntegerType()),
@@ -28,10 +31,7 @@ def load_hdr_pixels(
 
 
 def write_pixels(pixels: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Pixels in image order; row group statistics let readers skip other images.
-
-    A large image is spread over several files instead of one task.
-    """
+    """Pixels in image order; row group statistics let readers skip other images."""
     _in_order(pixels, "image_id").write.mode(mode).parquet(path)
 
 
@@ -45,8 +45,7 @@ def write_ldr(
     """8-bit results with one folder per image, named after the image's new file name.
 
     ``name`` is the column with the source file's name; without it folders are
-    named by ``image_id``. A task holds a range of (image, line, column), so an
-    image has no more files than tasks and no task has to hold a whole image.
+    named by ``image_id``.
     """
     if name is None:
         _in_order(pixels, "image_id").write.mode(mode).partitionBy("image_id").parquet(path)
@@ -58,4 +57,6 @@ def write_ldr(
 
 
 def _in_order(pixels: DataFrame, image: str) -> DataFrame:
-    return pixels.repartitionByRange(image, "y", "x").sortWithinPartitions(image, "y", "x")
+    """Images sorted, an ordinary one in one place, a large one spread over blocks."""
+    block = [F.floor(F.col("y") / BLOCK_LINES), F.floor(F.col("x") / BLOCK_COLUMNS)]
+    return pixels.repartition(image, *block).sortWithinPartitions(image, "y", "x")

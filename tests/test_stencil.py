@@ -79,6 +79,16 @@ def test_missing_pixels_count_as_zero(spark):
     assert len(halo) == 3
 
 
+def test_positions_beyond_32_bits(spark):
+    far = 5_000_000_000
+    rows = [("a", far + y, far + x, 10 * y + 3 * x) for y in range(3) for x in range(4)]
+    gray = spark.createDataFrame(rows, "image_id string, y bigint, x bigint, g int")
+    halo = sobel(gray, tile=64)
+    assert halo.dtypes == [("image_id", "string"), ("y", "bigint"), ("x", "bigint"), ("edge", "int")]
+    scatter = sobel(gray, strategy="scatter")
+    assert halo.exceptAll(scatter).isEmpty() and halo.count() == 12
+
+
 def test_edge_map_takes_the_gray_mode(spark):
     rows = [(1, y, x, 50 * x, 13 * y, 7) for y in range(4) for x in range(5)]
     colour = spark.createDataFrame(rows, "image_id int, y int, x int, b int, g int, r int")
