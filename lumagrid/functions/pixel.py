@@ -49,12 +49,16 @@ def gamma_curve(value, gamma: float = GAMMA, f_stop: float = F_STOP) -> Column:
     return F.pow(_double(value) * F.lit(2.0**f_stop), F.lit(1.0 / gamma))
 
 
+def _logarithm(log, value: Column) -> Column:
+    """NaN, not NULL, where there is no logarithm, as for a pixel far below zero."""
+    return F.coalesce(log(value), F.lit(float("nan")))
+
+
 def log_curve(lum, lum_max, k: float = LOG_K, q: float = LOG_Q) -> Column:
     """Logarithmic curve; an all-black image has no range to map and stays 0."""
-    span = F.log10(_double(lum_max) * F.lit(float(k)) + 1.0)
-    return F.when(span == 0, F.lit(0.0)).otherwise(
-        F.log10(_double(lum) * F.lit(float(q)) + 1.0) / span
-    )
+    span = _logarithm(F.log10, _double(lum_max) * F.lit(float(k)) + 1.0)
+    value = _logarithm(F.log10, _double(lum) * F.lit(float(q)) + 1.0)
+    return F.when(span == 0, F.lit(0.0)).otherwise(value / span)
 
 
 def adaptive_log_curve(
@@ -65,9 +69,10 @@ def adaptive_log_curve(
         raise ValueError("the bias b must be positive")
     bias = math.log(b) / math.log(0.5)
     lum, lum_max = _double(lum), _double(lum_max)
-    scale = F.lit(float(ld_max)) / (F.log10(lum_max + 1.0) * 100.0)
-    base = F.log(F.pow(lum / lum_max, F.lit(bias)) * 8.0 + 2.0)
-    return F.when(lum_max == 0, F.lit(0.0)).otherwise(scale * (F.log(lum + 1.0) / base))
+    scale = F.lit(float(ld_max)) / (_logarithm(F.log10, lum_max + 1.0) * 100.0)
+    base = _logarithm(F.log, F.pow(lum / lum_max, F.lit(bias)) * 8.0 + 2.0)
+    value = _logarithm(F.log, lum + 1.0)
+    return F.when(lum_max == 0, F.lit(0.0)).otherwise(scale * (value / base))
 
 
 def luminance_scale(lum, new_lum) -> Column:

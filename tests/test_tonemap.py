@@ -101,6 +101,16 @@ def test_maximum_ignores_nan(spark):
     assert top.lum_max == pytest.approx(1.0) and top.n_pixels == 2
 
 
+@pytest.mark.parametrize("op", list(tonemap.CURVES))
+def test_pixels_without_a_luminance_become_black(spark, op):
+    nan = float("nan")
+    rows = image(1, [(nan, nan, nan), (-5.0, -5.0, -5.0), (2.0, 2.0, 2.0)])
+    rows += image(2, [(nan, nan, nan)])
+    got = by_image(tonemap.tone_map(spark.createDataFrame(rows, SCHEMA), op))
+    assert got[1][:2] == [[0, 0, 0], [0, 0, 0]] and got[1][2][0] > 0
+    assert got[2] == [[0, 0, 0]]
+
+
 def test_gamma_image_maps_each_channel(pixels):
     got = by_image(tonemap.gamma_image(pixels))
     curve = lambda v: max(0, min(255, round((v * 2**0.4) ** (1 / 1.2) * 255)))
