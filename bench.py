@@ -3,7 +3,7 @@
 Pixels are made from the line items of ``BENCH_SF_DIR`` and stored first
 (``ingest``), so the queries start from decoded pixels in Parquet: seven pixels
 per line item, about 4.2 million at sf0.1, as 20 images and as one image of
-2560 columns. Every result is computed in full and written to a sink that
+2560 columns (also stored as tiles). Every result is computed in full and written to a sink that
 drops it. A time is the median of ``BENCH_RUNS`` runs after one run to warm up.
 """
 
@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from lumagrid.functions.pixel import bgr_to_gray
 from lumagrid.operators import matrix, raster
 from lumagrid.operators.ordering import position_in_group
+from lumagrid.operators.tiles import edge_map_tiles, tiles_from_pixels
 from lumagrid.plans.edges import edge_map
 from lumagrid.plans.kmeans_tonemap import tone_map_kmeans
 from lumagrid.plans.registry import BINS, queries
@@ -92,6 +93,8 @@ def main() -> None:
     one = derived.ldr_pixels(spark.read.parquet(f"{folder}/one"))
     one.write.parquet(f"{folder}/one8")
     one = spark.read.parquet(f"{folder}/one8")
+    tiles_from_pixels(one).write.parquet(f"{folder}/tiles")
+    tiles = spark.read.parquet(f"{folder}/tiles")
     factors = {}
     for n in (1000, 2000):
         for name, seed in (("a", 1), ("b", 2)):
@@ -113,6 +116,7 @@ def main() -> None:
         "tonemap_kmeans": lambda: tone_map_kmeans(many, bins_per_unit=BINS),
         "luminance_histogram": lambda: raster.luminance_histogram(many, BINS),
         "gray": lambda: one.select("image_id", "y", "x", bgr_to_gray().alias("g")),
+        "edge_map_tiles": lambda: edge_map_tiles(tiles),
         "edge_map_halo": lambda: edge_map(one),
         "edge_map_scatter": lambda: edge_map(one, strategy="scatter"),
         "edge_map_reflect101": lambda: edge_map(one, border="reflect101"),

@@ -212,6 +212,8 @@ def oracle_sql() -> dict[str, str]:
         "sobel_zero": _with(_HDR, _LDR, _GRAYS) + _EDGES,
         "sobel_halo": _with(_HDR, _LDR, _GRAYS) + _EDGES,
         "edge_map": _with(_HDR, _LDR, _GRAYS) + _EDGES,
+        "edge_map_tiles": _with(_HDR, _LDR, _GRAYS)
+        + f"select image_id, y, cast(x as bigint) as x, edge from ({_EDGES})",
         "edge_map_big": _with(_BIG, _LDR, _GRAYS) + _EDGES,
         "sobel_reflect101": _with(_HDR, _LDR, _GRAYS) + _EDGES_MIRRORED,
         "max_luminance": _with(_HDR, _LIT)

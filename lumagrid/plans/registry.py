@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lumagrid.functions import pixel, timing
-from lumagrid.operators import clusters, compare, matrix, raster, runs
+from lumagrid.operators import clusters, compare, matrix, raster, runs, tiles
 from lumagrid.operators.lookup import attach
 from lumagrid.operators.stencil import sobel
 from lumagrid.plans import edges, kmeans_tonemap
@@ -215,6 +215,13 @@ def edge_map(spark, sf):
     return edges.edge_map(derived.ldr_pixels(derived.hdr_pixels(spark, sf)))
 
 
+@query
+def edge_map_tiles(spark, sf):
+    """The same over tiles of bytes instead of rows of pixels."""
+    packed = tiles.tiles_from_pixels(derived.ldr_pixels(derived.hdr_pixels(spark, sf)), tile=16)
+    return tiles.pixels_from_tiles(tiles.edge_map_tiles(packed), ("edge",), tile=16)
+
+
 # Histograms and clusters
 
 

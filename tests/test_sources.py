@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lumagrid.operators.runs import with_speedup
+from lumagrid.operators.tiles import pixels_from_tiles
 from lumagrid.plans.report import run_report
 from lumagrid.sources import images, pixels, reports
 
@@ -62,6 +63,17 @@ def test_load_pixels(spark, folder):
         images.load_image_pixels(spark, folder, "cmyk")
 
 
+def test_load_tiles(spark, folder):
+    colour = images.load_image_pixels(spark, folder)
+    cut = images.load_image_tiles(spark, folder, tile=2)
+    assert {(r.image_id, r.ty, r.tx, r.height, r.width) for r in cut.collect()} == {
+        ("a.b.png", 0, 0, 2, 2), ("a.b.png", 0, 1, 2, 1),
+        ("gray one.png", 0, 0, 2, 2), ("alpha.png", 0, 0, 1, 1),
+    }
+    back = pixels_from_tiles(cut, tile=2)
+    assert back.exceptAll(colour).isEmpty() and back.count() == colour.count()
+
+
 def test_headers_and_unreadable(spark, folder):
     heads = {r["name"]: r for r in images.load_headers(spark, folder).collect()}
     assert set(heads) == {"a.b.png", "gray one.png", "alpha.png"}
