@@ -181,10 +181,11 @@ def _fit_large(hist, k, max_iter, tolerance) -> DataFrame:
             ).alias("centers"),
         )
         step = F.array_max(F.zip_with("_before", "centers", lambda a, b: F.abs(a - b)))
-        moved = cut_lineage(moved.select(IMAGE, "centers", (step > tolerance).alias("_moving")))
-        settled = settled.unionByName(moved.where(~F.col("_moving")).drop("_moving"))
+        moved, n_moved = store(moved.select(IMAGE, "centers", (step > tolerance).alias("_moving")))
         active = moved.where("_moving").drop("_moving")
         n_active = active.count()
+        if n_active < n_moved:
+            settled = settled.unionByName(moved.where(~F.col("_moving")).drop("_moving"))
         if n_active == 0:
             break
     return settled.unionByName(active)
