@@ -49,6 +49,28 @@ def _url_filter() -> str:
     """
 
 
+_LINE_DEDUP = """
+    with split as (
+      select doc_id, string_split(coalesce(text, ''), chr(10)) lines from documents),
+    lines as (
+      select doc_id, unnest(lines) line, generate_subscripts(lines, 1) i from split),
+    keyed as (
+      select *, translate(
+        trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') k
+      from lines),
+    firsts as (
+      select k, min(doc_id) first from keyed where len(k) >= 10
+      group by k having min(doc_id) < max(doc_id)),
+    judged as (
+      select keyed.*, first is not null and first <> doc_id gone
+      from keyed left join firsts using (k))
+    select doc_id, count(*) n_lines, count(*) filter (where gone) n_dropped,
+      sha256(coalesce(string_agg(line, chr(10) order by i) filter (where not gone), '')) kept_sha256
+    from judged group by doc_id
+    """
+
+
 def _rendezvous() -> str:
     draw = "(('0x' || substr(md5(doc_id || '#' || i), 1, 13))::bigint + 0.5::double) / (1::bigint << 52)"
     # DuckDB has no crc32: the table of the polynomial, then a byte at a time.
@@ -80,5 +102,6 @@ def _rendezvous() -> str:
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_url_filter": _url_filter(),
+        "op3_line_dedup": _LINE_DEDUP,
         "op9_rendezvous": _rendezvous(),
     }

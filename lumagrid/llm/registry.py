@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumagrid.llm import sharding, url_filter
+from lumagrid.llm import line_dedup, sharding, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,6 +28,13 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = line_dedup.dedup_lines(_table(spark, sf_dir, "documents"))
+    return kept.select(
+        "doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256")
+    )
+
+
 def op9_rendezvous(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.assign_shards(_table(spark, sf_dir, "documents"))
     return placed.select(
@@ -38,5 +45,6 @@ def op9_rendezvous(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_url_filter": op1_url_filter,
+        "op3_line_dedup": op3_line_dedup,
         "op9_rendezvous": op9_rendezvous,
     }
