@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -25,13 +28,9 @@ class WordHashes(dict):
         return value
 
 
-def utf8(text: str | None) -> bytes:
-    return b"" if text is None else text.encode("utf-8", "surrogatepass")
-
-
-def words_of(text: str | None) -> list[bytes]:
-    """The words ``[^\\x20\\x09-\\x0D]+`` with A-Z lower-cased; none for a null text."""
-    return utf8(text).translate(LOWER_BYTES).split()
+def words_of(text: bytes | None) -> list[bytes]:
+    """The words ``[^\\x20\\x09-\\x0D]+`` of UTF-8 with A-Z lower-cased; none for a null text."""
+    return (text or b"").translate(LOWER_BYTES).split()
 
 
 def word_hashes(words: list[bytes], cache: WordHashes) -> np.ndarray:
@@ -57,8 +56,29 @@ def shingle_hashes(hashes: np.ndarray, k: int) -> np.ndarray:
     return out
 
 
-def batches_to_pylists(batch, *columns):
-    return [batch.column(c).to_pylist() for c in columns]
+def groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """The runs of rows with equal keys, from batches that are sorted by them."""
+    waiting: list[pa.RecordBatch] = []
+
+    def whole() -> pa.Table:
+        return pa.Table.from_batches(waiting)
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        values = list(zip(*(batch.column(k).to_pylist() for k in keys), strict=True))
+        if waiting and tuple(waiting[-1].column(k)[-1].as_py() for k in keys) != values[0]:
+            yield whole()
+            waiting = []
+        start = 0
+        for i in range(1, len(values)):
+            if values[i] != values[i - 1]:
+                waiting.append(batch.slice(start, i - start))
+                yield whole()
+                waiting, start = [], i
+        waiting.append(batch.slice(start))
+    if waiting:
+        yield whole()
 
 
 def free_name(df: DataFrame, stem: str) -> str:

@@ -1,11 +1,9 @@
 """Line dedup with a filter of hashes seen once and one of those seen twice.
 
-Every task sets the bits of its line hashes in two Bloom filters of fixed size, one for
-hashes seen once, one for those seen again; the filters of all tasks are merged block by
-block (a bit set in two of them is set twice). A line of two documents has all its bits in
-the second filter, so only lines it holds are shuffled, as digests, to confirm a repeat
-and to choose the first document. The filters never change the result: with more lines
-than they have room for, more lines are shuffled.
+A line of two documents has all its bits in the second Bloom filter (see ``bloom``), so only
+lines that it holds are shuffled, as digests, to confirm a repeat and to choose the first
+document. The filters never change the result: with more lines than they have room for,
+more lines are shuffled.
 """
 
 from __future__ import annotations
@@ -20,16 +18,11 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lumagrid.llm.bloom import FILTER_BITS, held, seen_twice
 from lumagrid.llm.common import LOWER_BYTES, free_name
 from lumagrid.operators.lookup import attach
 from lumagrid.settings import store
 
-FILTER_BITS = 1 << 28  # 32 MB a filter, room for some 40 million different lines
-_HASHES = 3
-_BLOCK_BITS = 1 << 16
-_FLUSH = 200_000  # hashes that are set in the filters at once
-
-
 def line_keys(text: bytes | None, min_chars: int) -> list[bytes | None]:
     """The key of each line; None where it is shorter than ``min_chars`` code points."""
     keys = []
@@ -41,125 +34,10 @@ def line_keys(text: bytes | None, min_chars: int) -> list[bytes | None]:
     return keys
 
 
-def _bits(hashes: list[int], n_bits: int) -> np.ndarray:
-    """A row of bit positions for each hash."""
-    h = np.array(hashes, np.uint64)
-    step = (h >> np.uint64(32)) | np.uint64(1)
-    steps = np.arange(_HASHES, dtype=np.uint64)
-    return (h[:, None] + step[:, None] * steps) % np.uint64(n_bits)
-
-
-class TwoFilters:
-    """The bits set once or more and those set twice or more."""
-
-    def __init__(self, n_bits: int):
-        self.n_bits = n_bits
-        self.once = np.zeros(n_bits // 8, np.uint8)
-        self.twice = np.zeros(n_bits // 8, np.uint8)
-
-    def add(self, hashes: list[int]) -> None:
-        """Set the bits of hashes, each of which stands for one line of one document."""
-        rows = np.sort(_bits(hashes, self.n_bits), axis=1)
-        repeated = np.zeros(rows.shape, bool)
-        repeated[:, 1:] = rows[:, 1:] == rows[:, :-1]  # bits that a hash has twice count once
-        at, n = np.unique(rows[~repeated], return_counts=True)
-        byte, bit = (at >> np.uint64(3)).astype(np.int64), np.uint8(1) << (at & np.uint64(7)).astype(np.uint8)
-        again = (n > 1) | ((self.once[byte] & bit) != 0)
-        np.bitwise_or.at(self.twice, byte[again], bit[again])
-        np.bitwise_or.at(self.once, byte, bit)
-
-    def blocks(self) -> Iterator[tuple[int, bytes, bytes]]:
-        size = _BLOCK_BITS // 8
-        for block in np.flatnonzero(self.once.reshape(-1, size).any(axis=1)):
-            part = slice(block * size, (block + 1) * size)
-            yield int(block), _pack(self.once[part]), _pack(self.twice[part])
-
-    def merge(self, block: int, once: bytes, twice: bytes) -> None:
-        size = _BLOCK_BITS // 8
-        part = slice(block * size, (block + 1) * size)
-        bits = _unpack(once)
-        self.twice[part] |= _unpack(twice) | (self.once[part] & bits)
-        self.once[part] |= bits
-
-
-def _pack(bits: np.ndarray) -> bytes:
-    """Positions of 2 bytes while they take less room than the bits themselves."""
-    at = np.flatnonzero(np.unpackbits(bits, bitorder="little"))
-    return at.astype("<u2").tobytes() if len(at) * 2 < len(bits) else bits.tobytes()
-
-
-def _unpack(packed: bytes) -> np.ndarray:
-    size = _BLOCK_BITS // 8
-    if len(packed) == size:
-        return np.frombuffer(packed, np.uint8)
-    bits = np.zeros(_BLOCK_BITS, np.uint8)
-    bits[np.frombuffer(packed, "<u2")] = 1
-    return np.packbits(bits, bitorder="little")
-
-
-def contains_all(filter_bits: np.ndarray, hashes: list[int], n_bits: int) -> np.ndarray:
-    at = _bits(hashes, n_bits)
-    return (
-        (filter_bits[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1
-    ).all(axis=1)
-
-
-_BLOCK_SCHEMA = "block int, once binary, twice binary"
-_ARROW_BLOCKS = pa.schema([("block", pa.int32()), ("once", pa.binary()), ("twice", pa.binary())])
-
-
-def seen_twice(docs: DataFrame, text: str, n_bits: int, min_chars: int) -> bytes:
-    """The filter of line hashes that at least two documents hold (and a few others)."""
-    spark = docs.sparkSession
-
-    def set_bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        filters, waiting = TwoFilters(n_bits), []
-        for batch in batches:
-            for value in batch.column(0):
-                waiting += map(
-                    xxhash.xxh3_64_intdigest, {k for k in line_keys(value.as_py(), min_chars) if k is not None}
-                )
-                if len(waiting) > _FLUSH:
-                    filters.add(waiting)
-                    waiting = []
-        if waiting:
-            filters.add(waiting)
-        yield from _in_batches(filters.blocks())
-
-    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        merged: dict[int, TwoFilters] = {}
-        for batch in batches:
-            for row in batch.to_pylist():
-                one = merged.setdefault(row["block"], TwoFilters(_BLOCK_BITS))
-                one.merge(0, row["once"], row["twice"])
-        yield from _in_batches(
-            (block, b"", _pack(one.twice)) for block, one in merged.items() if one.twice.any()
-        )
-
-    blocks = docs.select(F.col(text).cast("binary")).mapInArrow(set_bits, _BLOCK_SCHEMA)
-    parts = min(int(spark.conf.get("spark.sql.shuffle.partitions")), n_bits // _BLOCK_BITS)
-    whole = TwoFilters(n_bits)
-    for row in blocks.repartition(parts, "block").mapInArrow(merge, _BLOCK_SCHEMA).toLocalIterator():
-        whole.twice[row.block * _BLOCK_BITS // 8 : (row.block + 1) * _BLOCK_BITS // 8] = _unpack(
-            bytes(row.twice)
-        )
-    return whole.twice.tobytes()
-
-
-def _in_batches(rows: Iterator[tuple], per_batch: int = 256) -> Iterator[pa.RecordBatch]:
-    found: list[tuple] = []
-    for row in rows:
-        found.append(row)
-        if len(found) == per_batch:
-            yield _batch(found)
-            found = []
-    if found:
-        yield _batch(found)
-
-
-def _batch(rows: list[tuple]) -> pa.RecordBatch:
-    columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), _ARROW_BLOCKS.types, strict=True)]
-    return pa.RecordBatch.from_arrays(columns, schema=_ARROW_BLOCKS)
+def key_hashes(text: bytes | None, min_chars: int) -> np.ndarray:
+    """A 64-bit hash for each different key of a document."""
+    keys = {k for k in line_keys(text, min_chars) if k is not None}
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, keys), np.uint64, len(keys))
 
 
 def repeated_lines(
@@ -167,8 +45,12 @@ def repeated_lines(
 ) -> DataFrame:
     """``(id, digest)``: what documents lose, a line's key by its SHA-256 digest."""
     spark = docs.sparkSession
-    named = docs.where(F.col(key).isNotNull()).select(F.col(key).alias("id"), F.col(text).cast("binary").alias("text"))
-    twice = spark.sparkContext.broadcast(seen_twice(named, "text", n_bits, min_chars))
+    named = docs.where(F.col(key).isNotNull()).select(
+        F.col(key).alias("id"), F.col(text).cast("binary").alias("text")
+    )
+    twice = spark.sparkContext.broadcast(
+        seen_twice(named.select("text"), lambda value: key_hashes(value, min_chars), n_bits)
+    )
 
     id_type = named.schema["id"].dataType
 
@@ -179,8 +61,12 @@ def repeated_lines(
             for row, value in enumerate(batch.column(1)):
                 keys = sorted({k for k in line_keys(value.as_py(), min_chars) if k is not None})
                 if keys:
-                    held = contains_all(bits, [xxhash.xxh3_64_intdigest(k) for k in keys], n_bits)
-                    found = [hashlib.sha256(k).digest() for k, h in zip(keys, held, strict=True) if h]
+                    hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, keys), np.uint64, len(keys))
+                    found = [
+                        hashlib.sha256(k).digest()
+                        for k, h in zip(keys, held(bits, hashes), strict=True)
+                        if h
+                    ]
                     rows += [row] * len(found)
                     digests += found
             yield pa.RecordBatch.from_arrays(
@@ -195,8 +81,8 @@ def repeated_lines(
         .where(F.col("first") < F.col("last"))
         .drop("last")
     )
-    held = attach(found, firsts, ["digest"], weight="n", row_bytes=96)
-    return held.where(F.col("id") != F.col("first")).select("id", "digest")
+    judged = attach(found, firsts, ["digest"], weight="n", row_bytes=96)
+    return judged.where(F.col("id") != F.col("first")).select("id", "digest")
 
 
 def dedup_lines(
@@ -249,5 +135,9 @@ def dedup_lines(
     rows = with_id.drop(lost + "id").unionByName(without)
     done = rows.withColumn(lost, rebuild(F.col(text).cast("binary"), F.col(lost)))
     return done.select(
-        key, F.col(lost)["kept"].cast("string").alias(text), *others, F.col(lost)["n_lines"].alias("n_lines"), F.col(lost)["n_dropped"].alias("n_dropped")
+        key,
+        F.col(lost)["kept"].cast("string").alias(text),
+        *others,
+        F.col(lost)["n_lines"].alias("n_lines"),
+        F.col(lost)["n_dropped"].alias("n_dropped"),
     )

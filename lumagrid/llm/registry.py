@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumagrid.llm import line_dedup, sharding, url_filter
+from lumagrid.llm import jaccard_join, line_dedup, sharding, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,6 +35,10 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_components(_table(spark, sf_dir, "documents"))
+
+
 def op9_rendezvous(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.assign_shards(_table(spark, sf_dir, "documents"))
     return placed.select(
@@ -46,5 +50,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_url_filter": op1_url_filter,
         "op3_line_dedup": op3_line_dedup,
+        "op6_ngram_jaccard": op6_ngram_jaccard,
         "op9_rendezvous": op9_rendezvous,
     }
