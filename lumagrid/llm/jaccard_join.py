@@ -29,12 +29,12 @@ from pyspark.sql import functions as F
 from lumagrid.llm.bloom import held, seen_twice
 from lumagrid.llm.common import WordHashes, groups, mix, shingle_hashes, word_hashes, words_of
 from lumagrid.llm.components import components
+from lumagrid.llm.counters import count_places
 from lumagrid.operators.lookup import attach
 from lumagrid.settings import store
 
 # Counters of the frequency table; its size is fixed, so it is gathered and broadcast.
 _COUNTERS = 1 << 20
-_COUNTER_BLOCK = 1 << 12
 # Documents that make a token frequent, if the counters can tell.
 FREQUENT = 256
 # Sets above this size index frequent tokens one by one within their size class.
@@ -63,55 +63,20 @@ def class_table(docs: DataFrame, k: int) -> np.ndarray:
     class is the power of two of that excess.
     """
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, cache, waiting, n = np.zeros(_COUNTERS, np.int64), WordHashes(), [], 0
-        for batch in batches:
-            for value in batch.column(0):
-                waiting.append(token_set(value.as_py(), k, cache))
-                n += len(waiting[-1])
-                if n > _COUNTERS:
-                    counts += _counted(waiting)
-                    waiting, n = [], 0
-        counts += _counted(waiting)
-        for block, part in enumerate(counts.reshape(-1, _COUNTER_BLOCK)):
-            at = np.flatnonzero(part)
-            if len(at):
-                row = [[block], [at.astype("<u2").tobytes()], [part[at].astype("<u8").tobytes()]]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(row[0], pa.int32()), pa.array(row[1], pa.binary()), pa.array(row[2], pa.binary())],
-                    names=["block", "places", "counts"],
-                )
-
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for row in batch.to_pylist():
-                total = sums.setdefault(row["block"], np.zeros(_COUNTER_BLOCK, np.int64))
-                total[np.frombuffer(row["places"], "<u2")] += np.frombuffer(row["counts"], "<u8").astype(np.int64)
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(list(sums), pa.int32()),
-                pa.array([b""] * len(sums), pa.binary()),
-                pa.array([t.tobytes() for t in sums.values()], pa.binary()),
-            ],
-            names=["block", "places", "counts"],
-        )
-
-    schema = "block int, places binary, counts binary"
-    counted = docs.select("text").mapInArrow(count, schema)
-    parts = min(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), _COUNTERS // _COUNTER_BLOCK)
-    loads = np.zeros((_COUNTERS // _COUNTER_BLOCK, _COUNTER_BLOCK), np.int64)
-    for row in counted.repartition(parts, "block").mapInArrow(add, schema).toLocalIterator():
-        loads[row.block] = np.frombuffer(bytes(row.counts), np.int64)
-    loads = loads.ravel()
+    cache = WordHashes()
+
+    def places(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
+        for value in batch.column(0):
+            yield _counter_of(token_set(value.as_py(), k, cache))
+
+    loads = count_places(docs.select("text"), places, _COUNTERS)
     usual = float(np.median(loads))
     excess = (loads - usual - 8 * math.sqrt(usual)) / FREQUENT
     return np.where(excess >= 1, 1 + np.floor(np.log2(np.maximum(excess, 1))), 0).astype(np.uint8)
 
 
-def _counted(sets: list[np.ndarray]) -> np.ndarray:
-    tokens = np.concatenate(sets) if sets else np.empty(0, np.uint64)
-    return np.bincount((tokens & np.uint64(_COUNTERS - 1)).astype(np.int64), minlength=_COUNTERS)
+def _counter_of(tokens: np.ndarray) -> np.ndarray:
+    return (tokens & np.uint64(_COUNTERS - 1)).astype(np.int64)
 
 
 # --- the index --------------------------------------------------------------------------
@@ -122,7 +87,7 @@ def index_keys(tokens: np.ndarray, classes: np.ndarray, num: int, den: int) -> n
     n = len(tokens)
     if n < 2:
         return np.empty(0, np.uint64)  # linked with nothing but an equal set
-    kinds = classes[(tokens & np.uint64(_COUNTERS - 1)).astype(np.int64)]
+    kinds = classes[_counter_of(tokens)]
     shared = -(-num * n // den)  # tokens that it shares with a linked set, at least
     prefix = np.lexsort((tokens, kinds))[: min(n, n - shared + 2)]
     rare, often = tokens[prefix][kinds[prefix] == 0], np.sort(tokens[prefix][kinds[prefix] > 0])

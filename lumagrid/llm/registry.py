@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumagrid.llm import jaccard_join, line_dedup, sharding, url_filter
+from lumagrid.llm import jaccard_join, line_dedup, packing, sharding, url_filter
+
+VOCABULARY = "word_bpe_49k.json"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,6 +38,11 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_bm25_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack_documents(_table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
+    return packing.digest_pieces(pieces.withColumnRenamed("id", "doc_id"))
+
+
 def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_components(_table(spark, sf_dir, "documents"))
 
@@ -50,6 +58,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_url_filter": op1_url_filter,
         "op3_line_dedup": op3_line_dedup,
+        "op5_bm25_packing": op5_bm25_packing,
         "op6_ngram_jaccard": op6_ngram_jaccard,
         "op9_rendezvous": op9_rendezvous,
     }
