@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lumagrid.llm.bloom import held, seen_twice
-from lumagrid.llm.common import WordHashes, groups, mix, shingle_hashes, word_hashes, words_of
+from lumagrid.llm.common import WordHashes, free_name, groups, mix, shingle_hashes, word_hashes, words_of
 from lumagrid.llm.components import components
 from lumagrid.llm.counters import count_places
 from lumagrid.operators.lookup import attach
@@ -359,3 +359,21 @@ def jaccard_components(
         F.col("n").alias("n_shingles"),
         F.when(alone, F.col("id")).otherwise(F.col("component")).alias("component_id"),
     )
+
+
+def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """The rows of ``docs``, with their columns, but of each component only that of the smallest id.
+
+    Rows without an id and rows with an empty set stay. Of rows that have one id and equal
+    texts one stays.
+    """
+    found, _ = store(jaccard_components(docs, key, text, **options))
+    mark, own = free_name(docs, "gone"), free_name(docs, "own")
+    ids = found.where(F.col(key).isNotNull()).groupBy(F.col(key).alias(own))
+    marks = ids.agg((F.min("component_id") < F.first(key)).alias(mark), F.count(F.lit(1)).alias("_n"))
+    marks = marks.where(F.col(mark) | (F.col("_n") > 1)).drop("_n")
+    named = docs.withColumn(own, F.col(key))
+    marked, _ = store(attach(named, marks, [own], how="left", row_bytes=24))
+    single = marked.where(F.col(mark).isNull())
+    repeated = marked.where(F.col(mark) == F.lit(False)).dropDuplicates([key, text])
+    return single.unionByName(repeated).select(*docs.columns)

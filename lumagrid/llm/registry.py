@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumagrid.llm import jaccard_join, line_dedup, packing, sharding, url_filter
+from lumagrid.llm import decontaminate, jaccard_join, line_dedup, packing, quality_rules, sharding, url_filter
 
 VOCABULARY = "word_bpe_49k.json"
 
@@ -31,6 +31,17 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = quality_rules.train_quality(docs, _table(spark, sf_dir, "labels"))
+    return quality_rules.score_quality(docs, model).select(
+        "doc_id",
+        quality_rules.held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= quality_rules.REJECT_BELOW).cast("int").alias("predicted"),
+    )
+
+
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = line_dedup.dedup_lines(_table(spark, sf_dir, "documents"))
     return kept.select(
@@ -47,6 +58,11 @@ def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_components(_table(spark, sf_dir, "documents"))
 
 
+def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, bench = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
+    return decontaminate.leaks_of_documents(docs, bench).withColumnRenamed("item", "item_id")
+
+
 def op9_rendezvous(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.assign_shards(_table(spark, sf_dir, "documents"))
     return placed.select(
@@ -57,8 +73,10 @@ def op9_rendezvous(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_url_filter": op1_url_filter,
+        "op2_quality_rules": op2_quality_rules,
         "op3_line_dedup": op3_line_dedup,
         "op5_bm25_packing": op5_bm25_packing,
         "op6_ngram_jaccard": op6_ngram_jaccard,
+        "op8_decontaminate": op8_decontaminate,
         "op9_rendezvous": op9_rendezvous,
     }
