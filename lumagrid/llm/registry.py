@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumagrid.llm import decontaminate, jaccard_join, line_dedup, packing, quality_rules, sharding, url_filter
+from lumagrid.llm import decontaminate, jaccard_join, line_dedup, packing, quality_rules, sharding, toxicity, url_filter
 
 VOCABULARY = "word_bpe_49k.json"
 
@@ -58,6 +58,17 @@ def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_components(_table(spark, sf_dir, "documents"))
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = toxicity.train_toxicity(docs, _table(spark, sf_dir, "labels"))
+    return toxicity.score_toxicity(docs, model).select(
+        "doc_id",
+        quality_rules.held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, bench = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
     return decontaminate.leaks_of_documents(docs, bench).withColumnRenamed("item", "item_id")
@@ -77,6 +88,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_line_dedup": op3_line_dedup,
         "op5_bm25_packing": op5_bm25_packing,
         "op6_ngram_jaccard": op6_ngram_jaccard,
+        "op7_toxicity": op7_toxicity,
         "op8_decontaminate": op8_decontaminate,
         "op9_rendezvous": op9_rendezvous,
     }
