@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumagrid.llm import decontaminate, jaccard_join, line_dedup, packing, quality_rules, sharding, toxicity, url_filter
+from lumagrid.llm import decontaminate, jaccard_join, line_dedup, nn_descent, packing, quality_rules, sharding, toxicity, url_filter
 
 VOCABULARY = "word_bpe_49k.json"
 
@@ -49,6 +49,10 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nn_descent.nearest_neighbours(_table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0)
+
+
 def op5_bm25_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack_documents(_table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
     return packing.digest_pieces(pieces.withColumnRenamed("id", "doc_id"))
@@ -86,6 +90,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_url_filter": op1_url_filter,
         "op2_quality_rules": op2_quality_rules,
         "op3_line_dedup": op3_line_dedup,
+        "op4_nn_descent": op4_nn_descent,
         "op5_bm25_packing": op5_bm25_packing,
         "op6_ngram_jaccard": op6_ngram_jaccard,
         "op7_toxicity": op7_toxicity,
