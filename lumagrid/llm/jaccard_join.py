@@ -40,6 +40,7 @@ FREQUENT = 256
 # Sets above this size index frequent tokens one by one within their size class.
 COMBINED_SIZE = 192
 _GRID = 2048  # sets in one part of a bucket
+_LOW_KEYS = 4
 _SALT = np.uint64(0x5851F42D4C957F2D)
 
 
@@ -107,11 +108,16 @@ def index_keys(tokens: np.ndarray, classes: np.ndarray, num: int, den: int) -> n
 
 def sketch_of(tokens: np.ndarray) -> bytes:
     """A bit for each residue of the tokens' hashes: whether an odd number of them has it."""
-    bits = max(64, 1 << (len(tokens) - 1).bit_length()) if len(tokens) else 64
+    bits = max(64, 2 << (len(tokens) - 1).bit_length()) if len(tokens) else 64
     at = (mix(tokens ^ _SALT) & np.uint64(bits - 1)).astype(np.int64)
     return np.packbits((np.bincount(at, minlength=bits) & 1).astype(np.uint8), bitorder="little").tobytes()
 
 
+def half_sketch(sketch: bytes) -> bytes:
+    words = np.frombuffer(sketch, np.uint64)
+    return fold(words, max(1, len(words) // 2)).tobytes()
+
+
 def fold(sketch: np.ndarray, words: int) -> np.ndarray:
     """Rows of 64-bit words as the sketches of ``words`` words that the same sets have."""
     while sketch.shape[-1] > words:
@@ -150,7 +156,7 @@ def _build_index(docs: DataFrame, k: int, num: int, den: int, classes) -> DataFr
 
 
 def _passing(pairs: DataFrame, num: int, den: int) -> DataFrame:
-    """Pairs ``(a, b)`` with sizes and sketches, without those that the sketches rule out."""
+    """Of pairs with sizes and sketches ``(a, b, share)``, without those that the sketches rule out."""
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -160,63 +166,100 @@ def _passing(pairs: DataFrame, num: int, den: int) -> DataFrame:
                 words = min(len(sa), len(sb))
                 apart = int(np.bitwise_count(fold(sa, words) ^ fold(sb, words)).sum())
                 kept.append(may_link(max(apart, abs(na - nb)), na + nb, num, den))
-            yield batch.select(["a", "b"]).filter(pa.array(kept, pa.bool_()))
+            yield batch.select(["a", "b", "share"]).filter(pa.array(kept, pa.bool_()))
 
-    return pairs.mapInArrow(keep, "a binary, b binary")
+    return pairs.mapInArrow(keep, "a binary, b binary, share float")
 
 
-def _verified(pairs: DataFrame, n_pairs: int, docs: DataFrame, reps: DataFrame, n_reps: int, k: int, num: int, den: int) -> DataFrame:
-    """The stored pairs that are linked, by the sets themselves."""
-    one, zero = F.lit(1), F.lit(0)
-    ends = pairs.select(F.col("a").alias("digest"), one.alias("wa"), zero.alias("wb")).unionByName(
-        pairs.select(F.col("b").alias("digest"), zero.alias("wa"), one.alias("wb"))
-    )
-    needed, n_needed = store(
-        ends.groupBy("digest").agg(F.sum("wa").alias("wa"), F.sum("wb").alias("wb")).join(reps, "digest")
-    )
+def _verified(
+    pairs: DataFrame, docs: DataFrame, reps: DataFrame, n_reps: int, k: int, num: int, den: int
+) -> DataFrame:
+    """The pairs ``(a, b)`` that are linked by the sets themselves, stored.
+
+    The sets are built where the texts lie. Those of ``a`` move to those of ``b``, so ``b`` had better
+    be the end that many pairs have in common.
+    """
+    ids = reps.select("digest", "id", "same")
+    mine = pairs.groupBy(F.col("a").alias("digest")).agg(F.collect_list("b").alias("ends"))
+    mine, n_mine = store(attach(mine, ids, ["digest"], n_rows=n_reps))
+    ends = pairs.select(F.col("b").alias("digest")).distinct()
+    ends, n_ends = store(attach(ends, ids, ["digest"], n_rows=n_reps))
 
-    def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = WordHashes()
         for batch in batches:
-            sets = [token_set(v.as_py(), k, cache) for v in batch.column(0)]
-            right = [set_digest(s) == d.as_py() for s, d in zip(sets, batch.column(1), strict=True)]
+            rows, found = [], []
+            for row, (text, digest, others) in enumerate(
+                zip(*(batch.column(c).to_pylist() for c in ("text", "digest", "ends")), strict=True)
+            ):
+                tokens = token_set(text, k, cache)
+                if set_digest(tokens) == digest:  # not another text of the same id
+                    rows += [row] * len(others)
+                    found += [(other, tokens.tobytes()) for other in others]
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column(1).filter(pa.array(right, pa.bool_())),
-                    pa.array([s.tobytes() for s, r in zip(sets, right, strict=True) if r], pa.binary()),
+                    batch.column("digest").take(pa.array(rows, pa.int64())),
+                    pa.array([f[0] for f in found], pa.binary()),
+                    pa.array([f[1] for f in found], pa.binary()),
                 ],
-                names=["digest", "tokens"],
+                names=["a", "b", "tokens"],
             )
 
-    texts = attach(docs, needed.select("id", "digest"), ["id"], n_rows=n_needed).select("text", "digest")
-    sets = texts.mapInArrow(tokens, "digest binary, tokens binary").dropDuplicates(["digest"])
-    sets, n_sets = store(sets.join(needed.select("digest", "wa", "wb"), "digest"))
+    schema = "a binary, b binary, tokens binary"
+    left = attach(docs, mine.select("id", "digest", "ends"), ["id"], n_rows=n_mine, row_bytes=128)
+    left = left.select("text", "digest", "ends").mapInArrow(sets, schema).withColumnRenamed("tokens", "ta")
+    right = attach(docs, ends.select("id", "digest", "same"), ["id"], n_rows=n_ends)
+    own = F.array("digest").alias("ends")
+    one = right.where(F.col("same") == 1).select("text", "digest", own).mapInArrow(sets, schema)
+    # Rows with one id and text give one set.
+    several = right.where(F.col("same") > 1).select("text", "digest").dropDuplicates(["digest"])
+    several = several.select("text", "digest", own).mapInArrow(sets, schema)
+    right = one.unionByName(several).select("b", F.col("tokens").alias("tb"))
 
     def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             kept = []
             for x, y in zip(batch.column("ta").to_pylist(), batch.column("tb").to_pylist(), strict=True):
                 x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                both = len(np.intersect1d(x, y, assume_unique=True))
+                at = np.searchsorted(y, x)
+                both = int((y[np.minimum(at, len(y) - 1)] == x).sum())
                 kept.append(den * both >= num * (len(x) + len(y) - both))
             yield batch.select(["a", "b"]).filter(pa.array(kept, pa.bool_()))
 
-    left = sets.select(F.col("digest").alias("a"), F.col("tokens").alias("ta"), "wa")
-    right = sets.select(F.col("digest").alias("b"), F.col("tokens").alias("tb"), "wb")
-    with_sets = attach(pairs, left, ["a"], weight="wa", row_bytes=8192, n_rows=n_sets).drop("wa")
-    with_sets = attach(with_sets, right, ["b"], weight="wb", row_bytes=8192, n_rows=n_sets)
-    return store(with_sets.select("a", "b", "ta", "tb").mapInArrow(linked, "a binary, b binary"))[0]
+    met = left.join(right, "b").select("a", "b", "ta", "tb")
+    return store(met.mapInArrow(linked, "a binary, b binary"))[0]
 
 
-def _with_sketches(pairs: DataFrame, sketches: DataFrame, n_reps: int) -> DataFrame:
+def _with_sketches(pairs: DataFrame, nodes: DataFrame, n_nodes: int) -> DataFrame:
+    side = nodes.select("digest", "n", "brief")
+    row_bytes = _mean_bytes(side, "brief")
     for end in "ab":
-        side = sketches.select(F.col("digest").alias(end), F.col("n").alias(f"n{end}"), F.col("sketch").alias(f"s{end}"))
-        pairs = attach(pairs, side, [end], row_bytes=256, n_rows=n_reps)
+        named = side.toDF(end, f"n{end}", f"s{end}")
+        pairs = attach(pairs, named, [end], row_bytes=row_bytes, n_rows=n_nodes)
     return pairs
 
 
+def _mean_bytes(rows: DataFrame, *columns: str) -> int:
+    """Bytes of a row of a digest, a number and some binary columns."""
+    size = sum((F.octet_length(c) for c in columns), F.lit(40))
+    return int(rows.agg(F.avg(size)).first()[0] or 0) + 1
+
+
+def _apart(pairs: DataFrame, roots: DataFrame, n_roots: int) -> DataFrame:
+    """Pairs ``(a, b)`` of different components; a set without a root is one by itself."""
+    for end in "ab":
+        side = roots.select(F.col("digest").alias(end), F.col("root").alias(f"root_{end}"))
+        pairs = attach(pairs, side, [end], how="left", n_rows=n_roots)
+    alike = F.coalesce("root_a", "a") == F.coalesce("root_b", "b")
+    return pairs.where(~alike).select("a", "b")
+
+
 def _across(rows: DataFrame, num: int, den: int) -> DataFrame:
-    """Pairs from one part of the grid of a bucket, of different components, that may be linked."""
+    """Pairs from one part of the grid of a bucket, of different components, that may be linked.
+
+    Each set names its first few buckets; two that have one of these in common, before
+    the bucket at hand, are compared there.
+    """
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in groups(batches, ["key", "i", "j"]):
@@ -229,6 +272,12 @@ def _across(rows: DataFrame, num: int, den: int) -> DataFrame:
             root = np.array([roots[r] for r in part.column("root").to_pylist()])
             sketches = [np.frombuffer(s, np.uint64) for s in part.column("sketch").to_pylist()]
             words = np.array([len(s) for s in sketches])
+            key = part.column("key")[0].as_py()
+            low = np.zeros((len(part), _LOW_KEYS), np.int64) + np.iinfo(np.int64).max
+            for row, keys in enumerate(part.column("low").to_pylist()):
+                keys = np.frombuffer(keys, np.int64)
+                low[row, : len(keys)] = keys
+            low[low >= key] = np.iinfo(np.int64).max  # only buckets that come before this one
             found_a, found_b = [], []
             # Sets ascend in size, so partners of x lie between x and the last that is not too large.
             last = np.searchsorted(n, n * den // num, side="right")
@@ -244,6 +293,8 @@ def _across(rows: DataFrame, num: int, den: int) -> DataFrame:
                     if len(y):
                         apart = np.bitwise_count(folded[y - xs[0]] ^ folded[x - xs[0]]).sum(axis=1)
                         y = y[may_link(apart.astype(np.int64), n[x] + n[y], num, den)]
+                        before = low[x][low[x] != np.iinfo(np.int64).max]
+                        y = y[~np.isin(low[y], before).any(axis=1)]
                         found_a += [x] * len(y)
                         found_b += y.tolist()
             digests = part.column("digest").combine_chunks()
@@ -277,49 +328,60 @@ def jaccard_components(
     classes = spark.sparkContext.broadcast(class_table(docs, k).tobytes())
     index, _ = store(_build_index(docs, k, num, den, classes))
 
-    # One set for all documents that have it.
+    # One set for all documents that have it; ``same`` rows have its smallest id.
     members = index.where((F.col("n") > 0) & F.col("id").isNotNull())
-    firsts = members.groupBy("digest").agg(F.min(F.struct("id", "row")).alias("m"), F.count(F.lit(1)).alias("copies"))
-    reps, n_reps = store(firsts.select("digest", "m.id", "m.row", "copies"))
+    by_id = members.groupBy("digest", "id").agg(F.min("row").alias("row"), F.count(F.lit(1)).alias("same"))
+    firsts = by_id.groupBy("digest").agg(F.min(F.struct("id", "row", "same")).alias("m"), F.sum("same").alias("copies"))
+    reps, n_reps = store(firsts.select("digest", "m.id", "m.row", "m.same", "copies"))
     sets = attach(index.drop("id", "digest"), reps.select("row", "digest"), ["row"], n_rows=n_reps)
-    sketches = sets.select("digest", "n", "sketch")
 
     twice = spark.sparkContext.broadcast(seen_twice(sets.select("keys"), lambda b: np.frombuffer(b, np.uint64)))
 
     def shared_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.frombuffer(twice.value, np.uint8)
         for batch in batches:
-            rows, keys, shares = [], [], []
-            for row, value in enumerate(batch.column(1)):
+            keys, shares = [], []
+            for value in batch.column("keys"):
                 own = np.frombuffer(value.as_py(), np.uint64)
-                found = own[held(bits, own)]
-                rows.append(np.full(len(found), row))
-                keys.append(found.view(np.int64))
-                shares.append(np.full(len(found), len(found) / max(1, len(own)), np.float32))
-            at = np.concatenate(rows) if rows else np.empty(0, np.int64)
+                found = np.sort(own[held(bits, own)].view(np.int64))
+                keys.append(found)
+                shares.append(len(found) / max(1, len(own)))
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(np.concatenate(keys) if keys else np.empty(0, np.int64)),
-                    batch.column(0).take(pa.array(at)),
-                    pa.array(np.concatenate(shares) if shares else np.empty(0, np.float32)),
+                    batch.column("digest"),
+                    batch.column("n"),
+                    batch.column("sketch"),
+                    pa.array([half_sketch(v) for v in batch.column("sketch").to_pylist()], pa.binary()),
+                    pa.array(keys, pa.list_(pa.int64())),
+                    pa.array([k[:_LOW_KEYS].tobytes() for k in keys], pa.binary()),
+                    pa.array(shares, pa.float32()),
                 ],
-                names=["key", "digest", "share"],
+                names=["digest", "n", "sketch", "brief", "keys", "low", "share"],
             )
 
-    entries, _ = store(
-        sets.select("digest", "keys").mapInArrow(shared_keys, "key long, digest binary, share float")
-    )
+    schema = "digest binary, n long, sketch binary, brief binary, keys array<long>, low binary, share float"
+    nodes, _ = store(sets.select("digest", "n", "sketch", "keys").mapInArrow(shared_keys, schema))
+    entries = nodes.select("digest", "share", F.explode("keys").alias("key"))
     # The hub of a bucket is the set that shares most of its own keys.
     hubs, n_hubs = store(
         entries.groupBy("key")
         .agg(F.max(F.struct("share", "digest")).alias("hub"), F.count(F.lit(1)).alias("members"))
         .where(F.col("members") > 1)
-        .select("key", F.col("hub.digest").alias("hub"), "members")
+        .select("key", F.col("hub.digest").alias("hub"), F.col("hub.share").alias("hub_share"), "members")
     )
-    rays = attach(entries, hubs, ["key"], weight="members", n_rows=n_hubs).where(F.col("digest") != F.col("hub"))
-    rays = rays.select(F.least("digest", "hub").alias("a"), F.greatest("digest", "hub").alias("b")).distinct()
-    tried, n_tried = store(_passing(_with_sketches(rays, sketches, n_reps), num, den))
-    links = _verified(tried, n_tried, docs, reps, n_reps, k, num, den)
+    rays = attach(entries.drop("share"), hubs, ["key"], weight="members", n_rows=n_hubs)
+    rays = rays.where(F.col("digest") != F.col("hub"))
+    rays = rays.groupBy(F.col("digest").alias("a"), F.col("hub").alias("b")).agg(F.max("hub_share").alias("share"))
+    tried, _ = store(_passing(_with_sketches(rays, nodes, n_reps), num, den))
+    verified = {"docs": docs, "reps": reps, "n_reps": n_reps, "k": k, "num": num, "den": den}
+
+    # First the best hub of each set, then the other hubs that it is not connected with.
+    best, _ = store(tried.groupBy("a").agg(F.max(F.struct("share", "b")).alias("best")).select("a", "best.b"))
+    links = _verified(best, **verified)
+    roots, n_roots = store(components(links).select(F.col("node").alias("digest"), "root"))
+    others = tried.select("a", "b").join(best, ["a", "b"], "left_anti")
+    others, _ = store(_apart(others, roots, n_roots))
+    links = links.unionByName(_verified(others, **verified))
     roots, n_roots = store(components(links).select(F.col("node").alias("digest"), "root"))
 
     # Buckets of three sets or more that still hold several components.
@@ -334,18 +396,19 @@ def jaccard_components(
         .select("key", "size")
     )
     rows = attach(placed.drop("members"), open_keys, ["key"], weight="size", n_rows=n_open)
-    rows = attach(rows, sketches, ["digest"], row_bytes=256, n_rows=n_reps)
+    shapes = nodes.select("digest", "n", "sketch", "low")
+    rows = attach(rows, shapes, ["digest"], row_bytes=_mean_bytes(shapes, "sketch", "low"), n_rows=n_reps)
     parts = F.ceil(F.col("size") / _GRID).cast("int")
     rows = rows.withColumn("own", F.pmod(F.xxhash64("digest"), parts).cast("int")).withColumn(
         "other", F.explode(F.sequence(F.lit(0), parts - 1))
     )
     rows = rows.withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other"))
-    dealt = rows.select("key", "i", "j", "own", "digest", "root", "n", "sketch").repartition("key", "i", "j")
+    dealt = rows.select("key", "i", "j", "own", "digest", "root", "n", "sketch", "low").repartition("key", "i", "j")
     found = _across(dealt.sortWithinPartitions("key", "i", "j"), num, den)
-    rest, n_rest = store(found.join(tried, ["a", "b"], "left_anti"))
-    more = _verified(rest, n_rest, docs, reps, n_reps, k, num, den)
-    joined = links.unionByName(more)
-    roots, n_roots = store(components(joined).select(F.col("node").alias("digest"), "root"))
+    known = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    rest, _ = store(found.join(known, ["a", "b"], "left_anti"))
+    links = links.unionByName(_verified(rest, **verified))
+    roots, n_roots = store(components(links).select(F.col("node").alias("digest"), "root"))
 
     # The smallest id of a component, back to all its documents.
     named = attach(reps.select("digest", "id", "copies"), roots, ["digest"], how="left", n_rows=n_roots)
