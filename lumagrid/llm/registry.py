@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumagrid.llm import decontaminate, jaccard_join, line_dedup, nn_descent, packing, quality_rules, sharding, toxicity, url_filter
+from lumagrid.llm import decontaminate, jaccard_join, line_dedup, nn_descent, packing, quality_rules, sharding, substring_dedup, toxicity, url_filter
 
 VOCABULARY = "word_bpe_49k.json"
 
@@ -85,6 +85,10 @@ def op9_rendezvous(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.repeated_passages(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_url_filter": op1_url_filter,
@@ -96,4 +100,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op7_toxicity": op7_toxicity,
         "op8_decontaminate": op8_decontaminate,
         "op9_rendezvous": op9_rendezvous,
+        "op10_substring_dedup": op10_substring_dedup,
     }
