@@ -11,7 +11,6 @@ seeds the next window with its rest.
 from __future__ import annotations
 
 import os
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,6 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lumagrid.llm.common import LOWER_BYTES
 from lumagrid.llm.counters import count_places
 from lumagrid.settings import store
 
@@ -29,12 +29,18 @@ SHARD_DOCS = 512
 SHARD_TOKENS = 1 << 20
 END_ID = 1
 K1, B = 1.2, 0.75
-_CACHED_WORDS = 300_000
+_CACHED_WORDS = 400_000
+# What a word may end in besides its letters; an apostrophe would bind to them.
+_ENDINGS = b".,!?;:|#$%&*()-"
 
 
 class WordIds(dict):
     """The ids of words as bytes. Tokenizers that split at white space, and drop it, give a text
     the ids of its words one after another, so every word is looked up only once.
+
+    A word is its letters and what it ends in: these are apart for a tokenizer that lower-cases and
+    splits letters from other characters, and fewer are new. The words that come first, so
+    the frequent ones too, are kept; others are forgotten after the texts they are in.
     """
 
     def __init__(self, vocabulary: str, width: str):
@@ -42,15 +48,53 @@ class WordIds(dict):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = tokenizers.Tokenizer.from_file(vocabulary)
         self.width = width
-
-    def learn(self, texts: list[list[bytes]]) -> None:
-        new = set().union(*texts) - self.keys()
-        if len(self) + len(new) > _CACHED_WORDS:
-            self.clear()
-            new = set().union(*texts)
-        new = list(new)
-        found = self.tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)
-        self.update((w, np.array(e.ids, self.width).tobytes()) for w, e in zip(new, found, strict=True))
+        self.parts: dict[bytes, bytes] = {b"": b""}
+        self.plain = self._splits_endings()
+
+    def _ids(self, words: list[bytes]) -> list[bytes]:
+        if not words:
+            return []
+        found = self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)
+        return [np.array(e.ids, self.width).tobytes() for e in found]
+
+    def _splits_endings(self) -> bool:
+        """Whether endings and case make no difference to the ids of the letters before."""
+        words = [b"Word", b"word", b"wOrdly1", b"\xc3\x89a"]
+        ends = [b"", b".", b"!!", b",.", b"###", b"%%%", b"&&&", b"$$$", b"***", b"|", b"?)", b";:", b"--("]
+        whole = self._ids([w + e for w in words for e in ends])
+        letters, last = self._ids([w.translate(LOWER_BYTES) for w in words]), self._ids(ends)
+        return whole == [a + b for a in letters for b in last]
+
+    def encoded(self, texts: list[list[bytes]]) -> list[bytes]:
+        """The ids of each text, given as its words."""
+        words_here = set().union(*texts)
+        new = [word for word in words_here if word not in self]
+        cut: dict[bytes, tuple[bytes, bytes]] = {}
+        for word in new:
+            letters = word.rstrip(_ENDINGS)
+            # The letters have to end in a letter or digit themselves.
+            if self.plain and letters[-1:].isalnum() and b"<|" not in word:
+                cut[word] = letters.translate(LOWER_BYTES), word[len(letters) :]
+            elif self.plain and letters and letters[-1] >= 128 and b"<|" not in word and letters.decode()[-1].isalnum():
+                cut[word] = letters.translate(LOWER_BYTES), word[len(letters) :]
+            else:
+                cut[word] = word, b""
+        known = self.parts
+        wanted = [p for p in set().union(*cut.values()) if p not in known]
+        parts = dict(zip(wanted, self._ids(wanted), strict=True))
+        if len(known) < _CACHED_WORDS:
+            known.update(parts)
+        for pair in cut.values():
+            for part in pair:
+                if part not in parts:
+                    parts[part] = known[part]
+        fresh = {word: parts[a] + parts[b] for word, (a, b) in cut.items()}
+        if len(self) < _CACHED_WORDS:
+            self.update(fresh)
+            return [b"".join(map(self.__getitem__, words)) for words in texts]
+        look = {word: self.get(word) for word in words_here}
+        look.update(fresh)
+        return [b"".join(map(look.__getitem__, words)) for words in texts]
 
 
 def _words_cache(vocabulary: str, width: str) -> WordIds:
@@ -71,8 +115,7 @@ def token_ids(docs: DataFrame, key: str, text: str, vocabulary: str, width: str,
             for start in range(0, batch.num_rows, 256):
                 part = batch.slice(start, 256)
                 texts = [(v or b"").split() for v in part.column(1).to_pylist()]
-                cache.learn(texts)
-                ids = [b"".join(map(cache.__getitem__, words)) + end for words in texts]
+                ids = [body + end for body in cache.encoded(texts)]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.binary())], names=["id", "ids"])
 
     named = docs.select(F.col(key).alias("id"), F.col(text).cast("binary").alias("text"))
@@ -139,7 +182,8 @@ def pack_documents(
 ) -> DataFrame:
     """``(id, start, doc_tokens, sequence_id, offset, ids)``: the pieces of all documents.
 
-    ``ids`` holds a piece's token ids (array of int), which lie at ``offset`` in the sequence.
+    ``ids`` holds a piece's token ids as bytes (little-endian, unsigned, 32 bits each), which lie at
+    ``offset`` in the sequence.
     Every id of a document, and ``end_id`` after them, lies in exactly one piece. Sequences
     hold ``window`` tokens; what is left at the end of a task is cut at powers of two, so
     nothing is padded. ``vocabulary`` is the path of a tokenizers file on every machine, of a
@@ -194,15 +238,17 @@ def pack_documents(
     kind = encoded.schema["id"].dataType.simpleString()
     return encoded.mapInArrow(
         pack,
-        f"id {kind}, start long, doc_tokens long, sequence_id long, offset long, ids array<int>",
+        f"id {kind}, start long, doc_tokens long, sequence_id long, offset long, ids binary",
     )
 
 
 class _Windows:
     """Cuts documents into pieces as they fill windows; the open window waits for its end."""
 
+    _ROWS = 256  # pieces that are handed on together
+
     def __init__(self, window: int, part: int):
-        self.window, self.filled, self.open = window, 0, []
+        self.window, self.filled, self.open, self.rows = window, 0, [], []
         self.sequence = part << 32
 
     def add(self, key, ids: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -213,55 +259,48 @@ class _Windows:
             start += length
             self.filled += length
             if self.filled == self.window:
-                yield from self._written([self.window])
+                self._cut([self.window])
+                if len(self.rows) >= self._ROWS:
+                    yield self._batch()
 
     def close(self) -> Iterator[pa.RecordBatch]:
         if self.filled:
-            yield from self._written([1 << b for b in range(self.filled.bit_length())[::-1] if self.filled >> b & 1])
+            self._cut([1 << b for b in range(self.filled.bit_length())[::-1] if self.filled >> b & 1])
+        if self.rows:
+            yield self._batch()
 
-    def _written(self, sizes: list[int]) -> Iterator[pa.RecordBatch]:
-        """The open pieces in sequences of the given sizes."""
-        rows, offset, sizes = [], 0, list(sizes)
+    def _cut(self, sizes: list[int]) -> None:
+        """The open pieces become sequences of the given sizes."""
+        offset = 0
         for key, start, total, ids in self.open:
             while len(ids):
                 length = min(len(ids), sizes[0] - offset)
-                rows.append((key, start, total, self.sequence, offset, ids[:length].astype(np.int32)))
+                body = ids[:length].astype("<u4").tobytes()
+                self.rows.append((key, start, total, self.sequence, offset, body))
                 ids, start, offset = ids[length:], start + length, offset + length
                 if offset == sizes[0]:
                     self.sequence += 1
                     offset = 0
                     sizes.pop(0)
         self.open, self.filled = [], 0
-        keys, starts, totals, sequences, offsets, ids = zip(*rows, strict=True)
-        yield pa.RecordBatch.from_arrays(
+
+    def _batch(self) -> pa.RecordBatch:
+        keys, *numbers, ids = zip(*self.rows, strict=True)
+        self.rows = []
+        return pa.RecordBatch.from_arrays(
             [
                 pa.array([k.as_py() for k in keys], keys[0].type),
-                pa.array(starts, pa.int64()),
-                pa.array(totals, pa.int64()),
-                pa.array(sequences, pa.int64()),
-                pa.array(offsets, pa.int64()),
-                pa.array(list(ids), pa.list_(pa.int32())),
+                *(pa.array(n, pa.int64()) for n in numbers),
+                pa.array(ids, pa.binary()),
             ],
             names=["id", "start", "doc_tokens", "sequence_id", "offset", "ids"],
         )
 
 
 def digest_pieces(pieces: DataFrame) -> DataFrame:
-    """``pieces`` with ``length`` and ``ids_crc32`` (of little-endian unsigned 32-bit ids) for the ids."""
-
-    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids = batch.column(batch.num_columns - 1)
-            flat, ends = ids.flatten().to_numpy(zero_copy_only=False).astype("<u4"), np.cumsum(ids.value_lengths().to_numpy())
-            parts = np.split(flat, ends[:-1]) if len(ends) else []
-            yield pa.RecordBatch.from_arrays(
-                [
-                    *batch.columns[:-1],
-                    pa.array([len(p) for p in parts], pa.int64()),
-                    pa.array([zlib.crc32(p.tobytes()) for p in parts], pa.int64()),
-                ],
-                names=[*batch.schema.names[:-1], "length", "ids_crc32"],
-            )
-
-    kept = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in pieces.schema.fields[:-1])
-    return pieces.mapInArrow(digest, f"{kept}, length long, ids_crc32 long")
+    """``pieces`` with ``length`` and ``ids_crc32`` in place of the ids."""
+    return pieces.select(
+        *[c for c in pieces.columns if c != "ids"],
+        F.expr("octet_length(ids) div 4").alias("length"),
+        F.crc32("ids").alias("ids_crc32"),
+    )
