@@ -27,6 +27,7 @@ TOLERANCE = 1e-4
 LOCAL_LEVELS = 1_000_000
 
 _SEED_SALTS = 64
+_PRIME = 2147483647
 
 
 def model_bytes(k: int) -> int:
@@ -52,13 +53,23 @@ def nearest_center(df: DataFrame, value: Column, centers: list[float], out: str
     return interval_index(df, value, bounds, len(middles), out)
 
 
+def most_centers(models: DataFrame) -> int:
+    """The number of centres of the largest model."""
+    return models.agg(F.max(F.size("centers"))).first()[0] or 1
+
+
 def assign_clusters(
-    hist: DataFrame, models: DataFrame, k: int = K, n_models: int | None = None
+    hist: DataFrame, models: DataFrame, k: int | None = None, n_models: int | None = None
 ) -> DataFrame:
     """Histogram rows ``(image_id, lum, n_pixels)`` with the index of their cluster, ``cid``.
 
-    ``n_models`` is the number of models if they are a stored table.
+    ``k`` is the number of centres of the largest model, and ``n_models`` that of models if
+    they are a stored table; both are looked up if they are not given.
     """
+    if k is None:
+        if n_models is None:
+            models, n_models = store(models)
+        k = most_centers(models)
     bounds = models.select(IMAGE, cluster_bounds("centers").alias("_bounds"))
     with_bounds = attach(hist, bounds, [IMAGE], row_bytes=model_bytes(k), n_rows=n_models)
     return interval_index(with_bounds, F.col("lum"), F.col("_bounds"), k - 1, "cid").drop("_bounds")
@@ -98,7 +109,7 @@ def kmeans_fit(
 ) -> DataFrame:
     """Fit one model per image to ``(image_id, lum, n_pixels)``, one row per level.
 
-    Starts from up to k levels drawn by hash, so a fit does not depend on how
+    Starts from up to k levels drawn by arithmetic on their values, so a fit does not depend on how
     the rows are spread over partitions. Images with few levels are clustered
     in one task each; the others by one Spark job per iteration that moves the
     centres of all of them. ``n_levels`` is the number of rows of all images, if
@@ -106,7 +117,7 @@ def kmeans_fit(
     """
     hist = hist.select(
         IMAGE, F.col("lum").cast("double").alias("lum"), F.col("n_pixels").cast("double").alias("w")
-    ).withColumn("draw", F.xxhash64("lum", F.lit(seed)))
+    ).withColumn("draw", _draw(F.col("lum"), seed))
     image_type = hist.schema[IMAGE].dataType.simpleString()
     if n_levels is not None and n_levels <= local_levels:
         return _fit_small(hist, image_type, k, max_iter, tolerance)
@@ -127,6 +138,13 @@ def kmeans_fit(
     return small_fit.unionByName(large_fit)
 
 
+def _draw(level: Column, seed: int) -> Column:
+    """A number that depends on a level and the seed only, by plain arithmetic."""
+    start = F.pmod(F.floor(level * (1 << 20)).cast("bigint"), F.lit(_PRIME))
+    mixed = F.pmod(start * 48271 + (seed * 7919 + 1) % _PRIME, F.lit(_PRIME))
+    return F.pmod(mixed * mixed + mixed, F.lit(_PRIME))
+
+
 def _fit_small(hist, image_type, k, max_iter, tolerance) -> DataFrame:
     def fit(table: pa.Table) -> pa.Table:
         lum = table["lum"].to_numpy()

@@ -79,15 +79,16 @@ def explode_raster(
     """Row-major, channel-interleaved arrays to one row per pixel.
 
     Other columns are kept; ``y0`` and ``x0``, if present, are where the array
-    begins in its image (as ``pack_raster`` writes them).
+    begins in its image (as ``pack_raster`` writes them). Channels that the last pixel of
+    an array lacks are NULL; an empty or NULL array has no pixel.
     """
     n = len(channels)
     width = F.lit(width) if isinstance(width, int) else width
     keep = [c for c in rasters.columns if c not in (data, "y0", "x0")]
     y0 = F.col("y0") if "y0" in rasters.columns else F.lit(0)
     x0 = F.col("x0") if "x0" in rasters.columns else F.lit(0)
-    last = F.floor(F.size(data) / n).cast("int") - 1
-    cells = rasters.where(F.size(data) >= n).withColumn("_i", F.explode(F.sequence(F.lit(0), last)))
+    last = F.ceil(F.size(data) / n).cast("int") - 1
+    cells = rasters.where(F.size(data) > 0).withColumn("_i", F.explode(F.sequence(F.lit(0), last)))
     row = F.floor(F.col("_i") / width).cast("int")
     return cells.select(
         *keep,

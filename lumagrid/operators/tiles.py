@@ -1,8 +1,9 @@
 """8-bit images as tiles: one row holds a square of pixels as bytes.
 
-A tile table is ``(image_id, ty, tx, height, width, data BINARY)``, ``data``
-being row-major with interleaved channels. It serves images that are handled
-whole: a row costs as much as in a pixel table, but holds up to 262,144 pixels.
+A tile table is ``(image_id, ty, tx, height, width, data BINARY, present BINARY)``,
+``data`` being row-major with interleaved channels. ``present`` has a byte per pixel that
+tells whether the image has it; it is NULL where it has all. It serves images that are
+handled whole: a row costs as much as in a pixel table, but holds up to 262,144 pixels.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from lumagrid.operators.packing import for_each_key, pack
 from lumagrid.operators.raster import IMAGE
 from lumagrid.operators.stencil import BORDERS, SOBEL_MASK, TILE
 
-TILE_COLUMNS = "ty bigint, tx bigint, height int, width int, data binary"
+TILE_COLUMNS = "ty bigint, tx bigint, height int, width int, data binary, present binary"
 # Where a part lies relative to its tile, and its size.
 _PART = np.dtype([("dy", "<i4"), ("dx", "<i4"), ("height", "<i4"), ("width", "<i4")])
 _SIDES = [(dy, dx) for dy in (-1, 0, 1) for dx in (-1, 0, 1) if dy or dx]
@@ -29,7 +30,7 @@ _SIDES = [(dy, dx) for dy in (-1, 0, 1) for dx in (-1, 0, 1) if dy or dx]
 def tiles_from_pixels(
     pixels: DataFrame, channels: tuple[str, ...] = ("b", "g", "r"), tile: int = TILE
 ) -> DataFrame:
-    """Pixel rows to tiles; pixels that a tile's rectangle lacks are 0."""
+    """Pixel rows to tiles; channel values beyond a byte are saturated."""
     n = len(channels)
     cell = np.dtype([("y", "<i2"), ("x", "<i2"), ("v", "u1", (n,))])
     source = pixels.select(IMAGE, "y", "x", *channels)
@@ -41,14 +42,16 @@ def tiles_from_pixels(
         cells = np.empty(len(y), cell)
         cells["y"], cells["x"] = y - ty * tile, x - tx * tile
         for at, c in enumerate(channels):
-            cells["v"][:, at] = table[c].to_numpy()
+            cells["v"][:, at] = np.clip(table[c].to_numpy(), 0, 255)
         image = table[IMAGE].combine_chunks().dictionary_encode()
         return {IMAGE: image, "ty": ty.astype(np.int64), "tx": tx.astype(np.int64)}, cells
 
     def assemble(key: tuple, cells: np.ndarray) -> pa.RecordBatch:
         data = np.zeros((int(cells["y"].max()) + 1, int(cells["x"].max()) + 1, n), np.uint8)
         data[cells["y"], cells["x"]] = cells["v"]
-        return tile_row(key, data, image_type)
+        present = np.zeros(data.shape[:2], np.uint8)
+        present[cells["y"], cells["x"]] = 1
+        return tile_row(key, data, image_type, None if present.all() else present)
 
     packed = pack(source, locate, f"{IMAGE} {kind}, ty bigint, tx bigint")
     return for_each_key(packed, [IMAGE, "ty", "tx"], cell, assemble, f"{IMAGE} {kind}, {TILE_COLUMNS}")
@@ -63,16 +66,16 @@ def pixels_from_tiles(
     def unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(batch.num_rows):
-                ty, tx, data = _read_tile(batch, row)
-                height, width, _ = data.shape
-                at = np.arange(height * width, dtype=np.int64)
+                ty, tx, data, present = _read_tile(batch, row)
+                width = data.shape[1]
+                at = np.flatnonzero(present)
                 yield pa.record_batch(
                     {
                         IMAGE: pa.repeat(batch.column(IMAGE)[row], len(at)),
                         "y": pa.array(at // width + ty * tile),
                         "x": pa.array(at % width + tx * tile),
                         **{
-                            c: pa.array(data[:, :, k].ravel().astype(np.int32))
+                            c: pa.array(data[:, :, k].ravel()[at].astype(np.int32))
                             for k, c in enumerate(channels)
                         },
                     }
@@ -83,12 +86,13 @@ def pixels_from_tiles(
 
 
 def edge_map_tiles(
-    tiles: DataFrame, mode: str = "trunc", border: str = "zero"
+    tiles: DataFrame, mode: str = "trunc", border: str = "zero", tile: int = TILE
 ) -> DataFrame:
-    """Edge strengths of colour or gray tiles, as tiles of one channel.
+    """Edge strengths of colour or gray tiles of ``tile`` lines and columns, as tiles of one channel.
 
     Tiles travel as gray bytes, and to each neighbour only the line they share.
-    An image ends where no neighbouring tile is.
+    An image ends where no neighbouring tile is; pixels it lacks before count as 0. With
+    a mirrored border it has to be a rectangle.
     """
     if border not in BORDERS:
         raise ValueError(f"unknown border: {border}")
@@ -99,10 +103,14 @@ def edge_map_tiles(
     def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(batch.num_rows):
-                ty, tx, data = _read_tile(batch, row)
-                gray = _gray(data, mode)
-                made = [(ty, tx, _part(0, 0, gray))]
+                ty, tx, data, present = _read_tile(batch, row)
+                gray = _gray(data, mode) * present
+                # The tile's own part has its pixels, then which of them it has.
+                made = [(ty, tx, _part(0, 0, np.vstack([gray, present])))]
                 for dy, dx in _SIDES:
+                    # A tile that ends early does not reach the next one.
+                    if (dy > 0 and gray.shape[0] < tile) or (dx > 0 and gray.shape[1] < tile):
+                        continue
                     # The neighbour on a side sees this tile on its other side.
                     line = gray[_facing(dy), _facing(dx)]
                     made.append((ty + dy, tx + dx, _part(-dy, -dx, line)))
@@ -119,10 +127,16 @@ def edge_map_tiles(
         found = dict(_read_parts(cells))
         if (0, 0) not in found:
             return tile_row(key, None, image_type)
-        height, width = found[0, 0].shape
+        own, present = np.vsplit(found.pop((0, 0)), 2)
+        found[0, 0] = own
+        # Where a tile follows, this one counts in full.
+        height = tile if any(dy > 0 for dy, _ in found) else own.shape[0]
+        width = tile if any(dx > 0 for _, dx in found) else own.shape[1]
         padded = np.zeros((height + 2, width + 2), np.int32)
         for (dy, dx), part in found.items():
             top, left = ({-1: 0, 0: 1, 1: n + 1}[d] for d, n in ((dy, height), (dx, width)))
+            # Lines of a longer neighbour are cut to those that meet this tile, and one more.
+            part = part[: height + 2 - top, : width + 2 - left]
             padded[top : top + part.shape[0], left : left + part.shape[1]] = part
         if border == "reflect101":
             for image, n, before, after in (
@@ -140,7 +154,8 @@ def edge_map_tiles(
             for dx in range(3):
                 if SOBEL_MASK[dy][dx]:
                     total += SOBEL_MASK[dy][dx] * padded[dy : dy + height, dx : dx + width]
-        return tile_row(key, np.clip(total, 0, 255).astype(np.uint8), image_type)
+        edge = np.clip(total, 0, 255).astype(np.uint8)[: own.shape[0], : own.shape[1]]
+        return tile_row(key, edge, image_type, None if present.all() else present)
 
     packed = _columns(tiles).mapInArrow(
         parts, f"{IMAGE} {kind}, ty bigint, tx bigint, cells binary"
@@ -156,6 +171,7 @@ def _columns(tiles: DataFrame) -> DataFrame:
         *[F.col(c).cast("bigint").alias(c) for c in ("ty", "tx")],
         *[F.col(c).cast("int").alias(c) for c in ("height", "width")],
         "data",
+        "present",
     )
 
 
@@ -164,18 +180,23 @@ def _image_types(df: DataFrame) -> tuple[str, pa.DataType]:
     return dict(one.dtypes)[IMAGE], to_arrow_schema(one.schema).field(0).type
 
 
-def _read_tile(batch: pa.RecordBatch, row: int) -> tuple[int, int, np.ndarray]:
+def _read_tile(batch: pa.RecordBatch, row: int) -> tuple[int, int, np.ndarray, np.ndarray]:
     ty, tx, height, width = (
         batch.column(c)[row].as_py() for c in ("ty", "tx", "height", "width")
     )
     data = np.frombuffer(batch.column("data")[row].as_buffer(), np.uint8)
-    return ty, tx, data.reshape(height, width, -1)
-
-
-def tile_row(key: tuple, data: np.ndarray | None, image_type: pa.DataType) -> pa.RecordBatch:
-    rows = [] if data is None else [(*key, *data.shape[:2], data.tobytes())]
-    types = [image_type, pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
-    names = [IMAGE, "ty", "tx", "height", "width", "data"]
+    present = batch.column("present")[row].as_buffer()
+    present = np.ones((height, width), np.uint8) if present is None else np.frombuffer(present, np.uint8)
+    return ty, tx, data.reshape(height, width, -1), present.reshape(height, width)
+
+
+def tile_row(
+    key: tuple, data: np.ndarray | None, image_type: pa.DataType, present: np.ndarray | None = None
+) -> pa.RecordBatch:
+    mask = None if present is None else present.tobytes()
+    rows = [] if data is None else [(*key, *data.shape[:2], data.tobytes(), mask)]
+    types = [image_type, pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary()]
+    names = [IMAGE, "ty", "tx", "height", "width", "data", "present"]
     return pa.record_batch(
         [pa.array([r[k] for r in rows], t) for k, t in enumerate(types)], names=names
     )

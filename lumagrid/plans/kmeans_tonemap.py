@@ -31,23 +31,23 @@ def tone_map_kmeans(
     models = clusters.kmeans_fit(
         hist, k, max_iter, seed, local_levels=local_levels, n_levels=n_levels
     )
-    return map_by_clusters(pixels, hist, models, k, bins_per_unit, weighting, quantize)
+    return map_by_clusters(pixels, hist, models, bins_per_unit, weighting, quantize)
 
 
 def map_by_clusters(
     pixels: DataFrame,
     hist: DataFrame,
     models: DataFrame,
-    k: int,
     bins_per_unit: int | None = None,
     weighting: str = "squared",
     quantize: bool = True,
 ) -> DataFrame:
     """The same with given models ``(image_id, centers)`` and the pixels' own histogram.
 
-    Pixels meet the model of their image (at most k numbers), never the histogram.
+    Pixels meet the model of their image, never the histogram.
     """
     models, n_models = store(models)
+    k = clusters.most_centers(models)
     means = clusters.cluster_means(clusters.assign_clusters(hist, models, k, n_models), weighting)
     # NULL where no pixel falls into a cluster; no pixel looks such an entry up.
     levels = F.transform(

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from lumagrid.plans.registry import BINS, CENTERS
+from lumagrid.operators.clusters import TOLERANCE
+from lumagrid.plans.registry import BINS, CENTERS, FITTED
 
 _HDR = """
 lines as (
@@ -11,10 +12,10 @@ lines as (
   from embeddings),
 hdr as (
   select image_id, y, cast(t.x as integer) as x,
-         abs(cast(embedding[3 * t.x + 1] as double)) * 10 as b,
-         abs(cast(embedding[3 * t.x + 2] as double)) * 10 as g,
-         abs(cast(embedding[3 * t.x + 3] as double)) * 10 as r
-  from lines, range(21) t(x))"""
+         coalesce(abs(cast(embedding[3 * t.x + 1] as double)) * 10, 0) as b,
+         coalesce(abs(cast(embedding[3 * t.x + 2] as double)) * 10, 0) as g,
+         coalesce(abs(cast(embedding[3 * t.x + 3] as double)) * 10, 0) as r
+  from lines, lateral (select unnest(range((len(embedding) + 2) // 3)) as x) t)"""
 
 _BIG = """
 items as (
@@ -108,6 +109,45 @@ means as (
            / sum(cast(n_pixels as double) * n_pixels) as mean
   from assigned group by 1, 2)"""
 
+
+
+def _fitted_centers() -> str:
+    """Lloyd rounds over the histogram, one after another; an image that has settled stays."""
+    prime = 2147483647
+    rounds = [f"""
+drawn as (
+  select image_id, lum, (m * m + m) % {prime} as draw
+  from (select image_id, lum,
+               (cast(floor(lum * 1048576) as bigint) % {prime} * 48271 + 1) % {prime} as m from hist)),
+round0 as (
+  select image_id, row_number() over (partition by image_id order by lum) - 1 as cid, lum as c,
+         false as done
+  from (select *, row_number() over (partition by image_id order by draw, lum) as pos from drawn)
+  where pos <= {FITTED["k"]})"""]
+    for n in range(1, FITTED["max_iter"] + 1):
+        before = f"round{n - 1}"
+        rounds.append(f"""
+taken{n} as materialized ({_nearest(before)}),
+round{n} as materialized (
+  select image_id, cid, case when done then c else moved end as c,
+         done or max(abs(moved - c)) over (partition by image_id) <= {TOLERANCE} as done
+  from (select b.*, coalesce(mean, c) as moved
+        from {before} b
+        left join (select image_id, cid, sum(n_pixels::double * lum) / sum(n_pixels::double) as mean
+                   from taken{n} group by 1, 2) using (image_id, cid)))""")
+    return ",".join(rounds)
+
+
+def _nearest(centers: str) -> str:
+    """Levels with the number of midpoints below them."""
+    return f"""
+  select h.image_id, h.lum, any_value(h.n_pixels) as n_pixels, count(mid) as cid
+  from hist h left join (
+    select image_id, (c + lead(c) over (partition by image_id order by cid)) / 2 as mid
+    from {centers}) b on b.image_id = h.image_id and b.mid < h.lum
+  group by 1, 2"""
+
+
 _RUNS = """
 runs as (
   select event_type as section, event_id as iteration, value as serial,
@@ -143,6 +183,8 @@ _PRIME = 2147483647
 def oracle_sql() -> dict[str, str]:
     hdr_levels = (_HDR, _LEVELS)
     clustered = (*hdr_levels, _CENTERS, _ASSIGNED)
+    fitted = f"""select image_id, cast(cid as integer) as cid, round(c, 6) as center
+                 from round{FITTED["max_iter"]}"""
     sql = {
         "hdr_scan": _with(_HDR)
         + "select image_id, y, x, round(b, 6) as b, round(g, 6) as g, round(r, 6) as r from hdr",
@@ -214,6 +256,8 @@ def oracle_sql() -> dict[str, str]:
         "edge_map": _with(_HDR, _LDR, _GRAYS) + _EDGES,
         "edge_map_tiles": _with(_HDR, _LDR, _GRAYS)
         + f"select image_id, y, cast(x as bigint) as x, edge from ({_EDGES})",
+        "edge_map_tiles_big": _with(_BIG, _LDR, _GRAYS)
+        + f"select image_id, y, cast(x as bigint) as x, edge from ({_EDGES})",
         "edge_map_big": _with(_BIG, _LDR, _GRAYS) + _EDGES,
         "sobel_reflect101": _with(_HDR, _LDR, _GRAYS) + _EDGES_MIRRORED,
         "max_luminance": _with(_HDR, _LIT)
@@ -242,6 +286,24 @@ def oracle_sql() -> dict[str, str]:
         "tonemap_kmeans_fixed_centers": _with(
             *clustered,
             """
+mapped as (
+  select l.*, m.mean from levels l
+  join assigned a on a.image_id = l.image_id and a.lum = l.lum
+  join means m on m.image_id = a.image_id and m.cid = a.cid)""",
+        )
+        + _rescaled("mapped", "mean"),
+        "kmeans_luminance": _with(*hdr_levels, _fitted_centers()) + fitted,
+        "kmeans_luminance_large": _with(*hdr_levels, _fitted_centers()) + fitted,
+        "tonemap_kmeans": _with(
+            *hdr_levels,
+            _fitted_centers(),
+            f"""
+assigned as ({_nearest(f"round{FITTED['max_iter']}")}),
+means as (
+  select image_id, cid,
+         sum(cast(n_pixels as double) * n_pixels * lum)
+           / sum(cast(n_pixels as double) * n_pixels) as mean
+  from assigned group by 1, 2),
 mapped as (
   select l.*, m.mean from levels l
   join assigned a on a.image_id = l.image_id and a.lum = l.lum

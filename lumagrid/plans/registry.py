@@ -219,7 +219,14 @@ def edge_map(spark, sf):
 def edge_map_tiles(spark, sf):
     """The same over tiles of bytes instead of rows of pixels."""
     packed = tiles.tiles_from_pixels(derived.ldr_pixels(derived.hdr_pixels(spark, sf)), tile=16)
-    return tiles.pixels_from_tiles(tiles.edge_map_tiles(packed), ("edge",), tile=16)
+    return tiles.pixels_from_tiles(tiles.edge_map_tiles(packed, tile=16), ("edge",), tile=16)
+
+
+@query
+def edge_map_tiles_big(spark, sf):
+    """Images that end in the middle of a line, in tiles that divide nothing."""
+    packed = tiles.tiles_from_pixels(derived.ldr_pixels(derived.big_pixels(spark, sf)), tile=7)
+    return tiles.pixels_from_tiles(tiles.edge_map_tiles(packed, tile=7), ("edge",), tile=7)
 
 
 # Histograms and clusters
@@ -289,21 +296,33 @@ def tonemap_kmeans_fixed_centers(spark, sf):
     models = hist.select("image_id").distinct().withColumn(
         "centers", F.array(*[F.lit(c) for c in CENTERS])
     )
-    return kmeans_tonemap.map_by_clusters(pixels, hist, models, len(CENTERS), BINS)
+    return kmeans_tonemap.map_by_clusters(pixels, hist, models, BINS)
 
 
-@query
-def kmeans_luminance(spark, sf):
-    models = clusters.kmeans_fit(_hist(spark, sf))
+# Fewer centres than an image has levels, and rounds that SQL can repeat.
+FITTED = {"k": 16, "max_iter": 12}
+
+
+def _centers(models):
     return _rounded(
         models.select("image_id", F.posexplode("centers").alias("cid", "center")), "center"
     )
 
 
+@query
+def kmeans_luminance(spark, sf):
+    return _centers(clusters.kmeans_fit(_hist(spark, sf), **FITTED))
+
+
+@query
+def kmeans_luminance_large(spark, sf):
+    return _centers(clusters.kmeans_fit(_hist(spark, sf), local_levels=0, **FITTED))
+
+
 @query
 def tonemap_kmeans(spark, sf):
     return kmeans_tonemap.tone_map_kmeans(
-        derived.hdr_pixels(spark, sf), bins_per_unit=BINS, hist=_hist(spark, sf)
+        derived.hdr_pixels(spark, sf), bins_per_unit=BINS, hist=_hist(spark, sf), **FITTED
     )
 
 

@@ -19,7 +19,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def hdr_pixels(spark: SparkSession, sf_dir: str, placed: bool = True) -> DataFrame:
-    """Float pixels: an image per label, a line per vector, 21 pixels per line.
+    """Float pixels: an image per label, a line per vector, a pixel per three elements.
+
+    Channels that the last pixel of a line lacks are 0.
 
     Without ``placed`` the lines are not numbered (no ``y``), which statistics
     over an image do not need.
@@ -31,13 +33,15 @@ def hdr_pixels(spark: SparkSession, sf_dir: str, placed: bool = True) -> DataFra
         lines = position_in_group(
             lines, "image_id", F.shiftright("vec_id", _VECTOR_BITS), ["vec_id"], "y"
         )
-    cells = lines.drop("vec_id").withColumn("x", F.explode(F.sequence(F.lit(0), F.lit(20))))
+    last = F.ceil(F.size("embedding") / 3).cast("int") - 1
+    cells = lines.drop("vec_id").where(F.size("embedding") > 0)
+    cells = cells.withColumn("x", F.explode(F.sequence(F.lit(0), last)))
     return cells.select(
         "image_id",
         *(["y"] if placed else []),
         "x",
         *[
-            (F.abs(F.get("embedding", F.col("x") * 3 + k).cast("double")) * 10).alias(c)
+            F.coalesce(F.abs(F.get("embedding", F.col("x") * 3 + k).cast("double")) * 10, F.lit(0.0)).alias(c)
             for k, c in enumerate("bgr")
         ],
     )

@@ -72,18 +72,15 @@ def section_value(section="section"):
 def log_runs(log: DataFrame, columns: dict[str, str]) -> DataFrame:
     """The ``run`` rows with named cells as columns: ``{"serial": "secuencial", ...}``.
 
-    A column the table does not have, or a ``-``, is NULL. Timings become
-    numbers; ``iteration`` a whole number; other texts stay as they are.
+    A column the table does not have, a cell that a short row lacks, a row below no
+    titles, or a ``-``, is NULL. Of equal titles the first counts. Timings become numbers;
+    ``iteration`` a whole number; other texts stay as they are.
     """
-    cells = F.map_from_arrays(
-        F.col("header"), F.slice(F.col("cells"), F.lit(1), F.size("header"))
-    )
-    rows = log.where(
-        (F.col("kind") == "run") & (F.size("cells") >= F.size("header"))
-    ).withColumn("_cell", cells)
+    rows = log.where(F.col("kind") == "run")
 
     def cell(name: str):
-        text = F.try_element_at("_cell", F.lit(name))
+        place = F.array_position("header", name)
+        text = F.when(place > 0, F.get("cells", (place - 1).cast("int")))
         return F.when(text != MISSING, text)
 
     return rows.select(

@@ -120,7 +120,7 @@ def test_as_many_clusters_as_levels_change_nothing(pixels):
     bins = 4
     hist = luminance_histogram(pixels, bins)
     fit = hist.groupBy("image_id").agg(F.sort_array(F.collect_list("lum")).alias("centers"))
-    same = map_by_clusters(pixels, hist, fit, 64, bins, quantize=False)
+    same = map_by_clusters(pixels, hist, fit, bins, quantize=False)
     off = (
         pixels.withColumn("lum", luminance_level(bins))
         .join(same.withColumnsRenamed({c: f"new_{c}" for c in "bgr"}), ["image_id", "y", "x"])

@@ -37,7 +37,7 @@ def test_edges_of_tiles_are_edges_of_pixels(colour, tile, border):
     packed = tiles.tiles_from_pixels(colour, tile=tile)
     mode = "round" if tile == 8 else "trunc"
     got = tiles.pixels_from_tiles(
-        tiles.edge_map_tiles(packed, mode, border), ("edge",), tile=tile
+        tiles.edge_map_tiles(packed, mode, border, tile), ("edge",), tile=tile
     )
     want = edge_map(colour, mode, border, strategy="scatter")
     assert got.count() == colour.count()
@@ -50,3 +50,24 @@ def test_unknown_options_are_refused(colour):
         tiles.edge_map_tiles(packed, border="wrap")
     with pytest.raises(ValueError):
         tiles.edge_map_tiles(packed, mode="ceil")
+
+
+@pytest.mark.parametrize("tile", [3, 4, 7, 512])
+def test_edges_of_images_that_lack_pixels(spark, tile):
+    rng = random.Random(tile)
+    rows = [("ragged", y, x, *[rng.randrange(256)] * 3) for y in range(6) for x in range(3 if y == 5 else 10)]
+    rows += [("holes", y, x, *[rng.randrange(256)] * 3) for y in range(9) for x in range(9) if rng.random() < 0.6]
+    rows += [("gap", y, x, 200, 10, 30) for y in range(5) for x in range(12) if x != tile - 1]
+    pixels = spark.createDataFrame(rows, "image_id string, y bigint, x bigint, b int, g int, r int")
+    packed = tiles.tiles_from_pixels(pixels, tile=tile)
+    assert tiles.pixels_from_tiles(packed, tile=tile).exceptAll(pixels).isEmpty()
+    got = tiles.pixels_from_tiles(tiles.edge_map_tiles(packed, tile=tile), ("edge",), tile=tile)
+    want = edge_map(pixels, strategy="scatter")
+    assert got.count() == len(rows)
+    assert got.exceptAll(want.select(got.columns)).isEmpty()
+
+
+def test_values_beyond_a_byte_are_saturated(spark):
+    pixels = spark.createDataFrame([("a", 0, 0, 256, -1, 300)], "image_id string, y int, x int, b int, g int, r int")
+    back = tiles.pixels_from_tiles(tiles.tiles_from_pixels(pixels)).first()
+    assert (back.b, back.g, back.r) == (255, 0, 255)
