@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -39,6 +41,30 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+_open_scopes: list[list[str]] = []
+
+
+@contextlib.contextmanager
+def stored_scope(spark: SparkSession) -> Iterator[None]:
+    """Removes the tables that ``store`` writes inside it when it ends.
+
+    For steps that are done by then: what they return must not read these tables.
+    """
+    paths: list[str] = []
+    _open_scopes.append(paths)
+    try:
+        yield
+    finally:
+        _open_scopes.remove(paths)
+        remove_stored(spark, paths)
+
+
+def remove_stored(spark: SparkSession, paths: list[str]) -> None:
+    for path in paths:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def store(df: DataFrame) -> tuple[DataFrame, int]:
     """``df`` as a table in the checkpoint folder, and its number of rows.
 
@@ -47,6 +73,8 @@ def store(df: DataFrame) -> tuple[DataFrame, int]:
     """
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark)}/{uuid.uuid4().hex}"
+    if _open_scopes:
+        _open_scopes[-1].append(path)
     rows = Observation()
     df.observe(rows, F.count(F.lit(1)).alias("n")).write.parquet(path)
     return spark.read.schema(df.schema).parquet(path), rows.get["n"]

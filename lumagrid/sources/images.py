@@ -21,22 +21,36 @@ _BATCH_PIXELS = 1 << 20
 
 
 def list_images(spark: SparkSession, path: str) -> DataFrame:
-    """The files directly in a folder: path, name, length. Contents are not read.
+    """All files of a folder: path, name, length. Contents are not read.
 
-    As in every Spark file source, files without a byte and names that begin
-    with ``_`` or ``.`` are not listed.
+    Spark's file sources leave out files without a byte and names that begin with ``_``
+    or ``.``; those directly in the folder are added from its listing.
     """
-    return spark.read.format("binaryFile").load(path).select(
-        "path", F.element_at(F.split("path", "/"), -1).alias("name"), "length"
-    )
+    listed = spark.read.format("binaryFile").load(path).select(_path().alias("path"), "length")
+    listed = listed.unionByName(_unlisted(spark, path))
+    return listed.select("path", _name(F.col("path")).alias("name"), "length").dropDuplicates(["path"])
+
+
+def _unlisted(spark: SparkSession, path: str) -> DataFrame:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    rows = []
+    if system.exists(folder):
+        statuses = system.listStatusIterator(folder)
+        while statuses.hasNext():
+            status = statuses.next()
+            at = status.getPath()
+            if status.isFile() and (status.getLen() == 0 or at.getName()[0] in "_."):
+                rows.append((at.toUri().getPath(), status.getLen()))
+    return spark.createDataFrame(rows, "path string, length long")
 
 
 def load_headers(spark: SparkSession, path: str) -> DataFrame:
     """Readable images: origin, name, width, height, channels and type code."""
     image = _images(spark, path)
     return image.select(
-        F.col("image.origin").alias("path"),
-        _name(F.col("image.origin")).alias("name"),
+        "path",
+        _name(F.col("path")).alias("name"),
         F.col("image.width").alias("width"),
         F.col("image.height").alias("height"),
         F.col("image.nChannels").alias("n_channels"),
@@ -45,8 +59,9 @@ def load_headers(spark: SparkSession, path: str) -> DataFrame:
 
 
 def load_image_pixels(spark: SparkSession, path: str, mode: str = "colour") -> DataFrame:
-    """8-bit images of a folder as pixel rows, ``image_id`` being the file name.
+    """8-bit images of a folder as pixel rows.
 
+    ``image_id`` is the file's path below the folder, so its name if it lies directly in it.
     ``colour`` gives b, g, r; ``gray`` gives g, rounded. Gray files have three
     equal channels in colour mode; an alpha channel is left out.
     """
@@ -85,14 +100,14 @@ def unreadable_images(spark: SparkSession, path: str) -> DataFrame:
     readable = load_headers(spark, path).where(
         F.col("mode").isin(GRAY_MODE, BGR_MODE, BGRA_MODE)
     )
-    return list_images(spark, path).join(readable.select("name"), "name", "left_anti")
+    return list_images(spark, path).join(readable.select("path"), "path", "left_anti")
 
 
 def _decoded(spark: SparkSession, path: str) -> DataFrame:
     return (
         _images(spark, path)
         .select(
-            _name(F.col("image.origin")).alias("image_id"),
+            _below(spark, path).alias("image_id"),
             F.col("image.width").alias("width"),
             F.col("image.nChannels").alias("n"),
             F.col("image.mode").alias("mode"),
@@ -107,12 +122,28 @@ def _images(spark: SparkSession, path: str) -> DataFrame:
         spark.read.format("image")
         .option("dropInvalid", True)
         .load(path)
+        .select("image", _path().alias("path"))
         .where((F.col("image.width") > 0) & (F.col("image.height") > 0))
     )
 
 
-def _name(origin):
-    return F.url_decode(F.element_at(F.split(origin, "/"), -1))
+def _path():
+    """The path of a row's file: without the scheme, only percent signs decoded."""
+    encoded = F.regexp_replace(F.col("_metadata.file_path"), "^[A-Za-z0-9+.-]+:/+", "/")
+    return F.url_decode(F.replace(encoded, F.lit("+"), F.lit("%2B")))
+
+
+def _name(path):
+    return F.element_at(F.split(path, "/"), -1)
+
+
+def _below(spark: SparkSession, folder: str):
+    """The path of a file relative to the folder it was loaded from; whole for a pattern."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    root = root.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(root).toUri().getPath()
+    root = root.rstrip("/") + "/"
+    at = F.col("path")
+    return F.when(at.startswith(root), F.substr(at, F.lit(len(root) + 1))).otherwise(at)
 
 
 def _pixels(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

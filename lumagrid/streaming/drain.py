@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import time
+
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from lumagrid.operators.raster import IMAGE
 from lumagrid.plans.tonemap import tone_map
+from lumagrid.settings import stored_scope
 from lumagrid.sources.pixels import HDR_SCHEMA
 
 
@@ -25,8 +30,10 @@ def drain_folder(
     """Tone map every new Parquet file of ``source``, then stop.
 
     Results and one report row per file are written to a folder per batch, which
-    a repeated batch overwrites, so each file is handled exactly once. A file
-    must hold whole images, because a batch sees only its own files.
+    a repeated batch overwrites, so each file is handled exactly once. An image is
+    what one file holds of it, so the batches in which files come make no difference. Files
+    without a pixel appear in ``folder_report``. Tables that a batch stores are removed
+    with it.
     """
     reader = spark.readStream.schema(schema)
     if files_per_batch is not None:
@@ -34,11 +41,19 @@ def drain_folder(
     pixels = reader.parquet(source).select("*", F.col("_metadata.file_path").alias("file"))
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        folder = f"batch={batch_id}"
-        tone_map(batch.drop("file"), op, **params).write.mode("overwrite").parquet(
-            f"{target}/{folder}"
-        )
-        file_report(batch).write.mode("overwrite").parquet(f"{report}/{folder}")
+        folder, start = f"batch={batch_id}", time.perf_counter()
+        batch = batch.persist(StorageLevel.DISK_ONLY)
+        try:
+            with stored_scope(spark):
+                apart = batch.withColumn(IMAGE, F.struct("file", IMAGE))
+                mapped = tone_map(apart, op, **params)
+                mapped = mapped.withColumn(IMAGE, F.col(IMAGE).getField(IMAGE))
+                mapped.write.mode("overwrite").parquet(f"{target}/{folder}")
+                seconds = time.perf_counter() - start
+                timed = file_report(batch, op, seconds)
+                timed.write.mode("overwrite").parquet(f"{report}/{folder}")
+        finally:
+            batch.unpersist()
 
     return (
         pixels.writeStream.foreachBatch(handle)
@@ -48,9 +63,33 @@ def drain_folder(
     )
 
 
-def file_report(pixels: DataFrame) -> DataFrame:
-    """One row per input file: its images and pixels."""
-    per_image = pixels.groupBy("file", "image_id").agg(F.count(F.lit(1)).alias("_n"))
-    return per_image.groupBy("file").agg(
+def file_report(pixels: DataFrame, op: str, seconds: float) -> DataFrame:
+    """One row per input file: its images, its pixels, and its share by pixels of the time taken."""
+    per_image = pixels.groupBy("file", IMAGE).agg(F.count(F.lit(1)).alias("_n"))
+    per_file = per_image.groupBy("file").agg(
         F.count(F.lit(1)).alias("n_images"), F.sum("_n").alias("n_pixels")
     )
+    total = per_file.agg(F.sum("n_pixels").alias("_total"))
+    return per_file.join(F.broadcast(total)).select(
+        "file",
+        "n_images",
+        "n_pixels",
+        F.lit(op).alias("operator"),
+        (F.col("n_pixels") / F.col("_total") * seconds).alias("seconds"),
+    )
+
+
+def folder_report(spark: SparkSession, source: str, report: str) -> DataFrame:
+    """The reports of all batches, and a row for every file of ``source`` that held no pixel."""
+    done = spark.read.parquet(report).drop("batch")
+    files = spark.read.format("binaryFile").load(source).select(
+        F.col("_metadata.file_path").alias("file")
+    )
+    empty = files.join(done.select("file"), "file", "left_anti").select(
+        "file",
+        F.lit(0).cast("bigint").alias("n_images"),
+        F.lit(0).cast("bigint").alias("n_pixels"),
+        F.lit(None).cast("string").alias("operator"),
+        F.lit(0.0).alias("seconds"),
+    )
+    return done.unionByName(empty)

@@ -43,7 +43,7 @@ def folder(tmp_path):
 def test_list_images(spark, folder):
     listed = images.list_images(spark, folder)
     assert {r["name"]: r["length"] > 0 for r in listed.collect()} == {
-        "a.b.png": True, "gray one.png": True, "alpha.png": True, "junk.exr": True,
+        "a.b.png": True, "gray one.png": True, "alpha.png": True, "junk.exr": True, "empty.png": False,
     }
     assert "content" not in listed._jdf.queryExecution().executedPlan().toString()
 
@@ -79,7 +79,39 @@ def test_headers_and_unreadable(spark, folder):
     assert set(heads) == {"a.b.png", "gray one.png", "alpha.png"}
     assert (heads["a.b.png"].width, heads["a.b.png"].height, heads["a.b.png"].mode) == (3, 2, 16)
     bad = images.unreadable_images(spark, folder)
-    assert {r["name"] for r in bad.collect()} == {"junk.exr"}
+    assert {r["name"] for r in bad.collect()} == {"junk.exr", "empty.png"}
+
+
+def test_names_of_all_kinds(spark, tmp_path):
+    flat, days = tmp_path / "flat", tmp_path / "days"
+    flat.mkdir()
+    one = png(1, 1, 0, [9])
+    for name in ("a+b.png", "50%.png", "a%20b.png", "_under.png", ".hidden.png"):
+        (flat / name).write_bytes(one)
+    (flat / "_none").write_bytes(b"")
+    for day, width in ((1, 1), (2, 3)):
+        (days / f"day={day}").mkdir(parents=True)
+        (days / f"day={day}" / "same.png").write_bytes(png(width, 1, 0, [day] * width))
+    names = [r["name"] for r in images.list_images(spark, str(flat)).collect()]
+    assert {"a+b.png", "50%.png", "a%20b.png", "_under.png", ".hidden.png", "_none"} <= set(names)
+    ids = images.load_image_pixels(spark, str(flat)).select("image_id")
+    assert {r.image_id for r in ids.collect()} == {"a+b.png", "50%.png", "a%20b.png"}
+    days = images.load_image_pixels(spark, str(days)).groupBy("image_id").count()
+    assert {tuple(r) for r in days.collect()} == {("day=1/same.png", 1), ("day=2/same.png", 3)}
+    bad = {r["name"] for r in images.unreadable_images(spark, str(flat)).collect()}
+    assert bad == {"_under.png", ".hidden.png", "_none"}
+
+
+def test_short_rows_and_equal_titles(spark, tmp_path):
+    lines = ["Image: a", "iteration,serial,serial,verdict", "1,2.0,9.0,Good", "2,3.0", "3,-,1.0,Bad,more"]
+    (tmp_path / "log.csv").write_text("\n".join(lines) + "\n")
+    (tmp_path / "bare.csv").write_text("1,2.0\n")
+    log = reports.scan_run_log(spark, str(tmp_path))
+    rows = reports.log_runs(log, {"serial": "serial", "verdict": "verdict"}).collect()
+    got = sorted((r.iteration, str(r.serial), str(r.verdict)) for r in rows)
+    assert got == [
+        (1, "2.0", "Good"), (1, "None", "None"), (2, "3.0", "None"), (3, "None", "Bad"),
+    ]
 
 
 def test_hdr_scan_reads_only_what_is_asked(spark, tmp_path):

@@ -1,8 +1,11 @@
+import os
+
 from pyspark.sql import functions as F
 
 from lumagrid.plans.tonemap import tone_map
+from lumagrid.settings import checkpoint_dir
 from lumagrid.sources.pixels import HDR_SCHEMA
-from lumagrid.streaming.drain import drain_folder
+from lumagrid.streaming.drain import drain_folder, folder_report
 
 
 def frame(spark, images):
@@ -35,3 +38,39 @@ def test_each_file_is_mapped_and_reported_once(spark, tmp_path):
     report = spark.read.parquet(f"{tmp_path}/report")
     assert report.count() == 3
     assert report.agg(F.sum("n_images"), F.sum("n_pixels")).first() == (4, 48)
+
+
+def test_files_and_batches_do_not_mix_images(spark, tmp_path):
+    """Two files with one image each of the same id, and one without a row."""
+    source = f"{tmp_path}/in"
+    one = spark.createDataFrame([(1, 0, 0, 0.9, 0.9, 0.9), (1, 0, 1, 0.1, 0.1, 0.1)], HDR_SCHEMA)
+    two = spark.createDataFrame([(1, 0, 0, 9.0, 9.0, 9.0), (1, 0, 1, 1.0, 1.0, 1.0)], HDR_SCHEMA)
+    for part in (one, two, one.limit(0)):
+        part.coalesce(1).write.mode("append").parquet(source)
+    results = []
+    for n in (1, 2, None):
+        out = f"{tmp_path}/{n}"
+        drain_folder(
+            spark, source, f"{out}/out", f"{out}/report", f"{out}/state", files_per_batch=n
+        ).awaitTermination()
+        rows = spark.read.parquet(f"{out}/out").select("image_id", "y", "x", "b", "g", "r")
+        results.append(sorted(map(tuple, rows.collect())))
+        report = folder_report(spark, source, f"{out}/report").collect()
+        assert sorted(r.n_pixels for r in report) == [0, 2, 2]
+        assert {r.operator for r in report} == {"log", None}
+        assert all(r.seconds > 0 for r in report if r.n_pixels)
+    assert results[0] == results[1] == results[2]
+    assert max(r[3] for r in results[0]) == 255
+
+
+def test_batches_leave_no_stored_tables(spark, tmp_path):
+    """Ten drains, and as many tables in the checkpoint folder as before."""
+    source = f"{tmp_path}/in"
+    folder = checkpoint_dir(spark).removeprefix("file:")
+    before = set(os.listdir(folder))
+    for i in range(10):
+        frame(spark, [i]).write.mode("append").parquet(source)
+        drain_folder(
+            spark, source, f"{tmp_path}/out", f"{tmp_path}/report", f"{tmp_path}/state"
+        ).awaitTermination()
+    assert set(os.listdir(folder)) == before
