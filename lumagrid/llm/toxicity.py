@@ -55,22 +55,20 @@ class Trie:
 
     def __init__(self, terms: list[tuple[str, float]]):
         self.root: dict = {}
-        self.longest_errors = max((allowed_errors(len(t)) for t, _ in terms), default=0)
         for term, weight in terms:
             node = self.root
             for letter in term:
                 node = node.setdefault(letter, {})
             node[""] = (term, weight)
 
-    def search(self, word: str) -> tuple[str, float, int] | None:
-        """The term nearest to ``word`` within its allowed errors, with weight and distance.
+    def search(self, word: str, errors: int) -> tuple[int, float, str] | None:
+        """The term nearest to ``word`` within ``errors`` edits: distance, weight below 0, term.
 
         States of the automaton of ``word`` are bits: bit i of row e says that the letters so far
         match the first i letters of the word with e errors. Of equally near terms the
         heavier one is found, then the first by name.
         """
         n = len(word)
-        errors = min(self.longest_errors, 0 if n < 4 else 1 if n < 9 else 2)
         masks: dict[str, int] = {}
         for i, letter in enumerate(word):
             masks[letter] = masks.get(letter, 0) | 1 << i
@@ -83,10 +81,8 @@ class Trie:
                 if not letter:
                     for distance, row in enumerate(rows):
                         if row & end:
-                            term, weight = child
-                            if distance <= allowed_errors(len(term)):
-                                rank = (distance, -weight, term)
-                                best = rank if best is None else min(best, rank)
+                            rank = (distance, -child[1], child[0])
+                            best = rank if best is None else min(best, rank)
                             break
                     continue
                 mask = masks.get(letter, 0)
@@ -97,6 +93,30 @@ class Trie:
                     below = row
                 if any(new):
                     stack.append((child, tuple(new)))
+        return best
+
+
+class Tries:
+    """The terms that words of a length can be: a trie for each number of allowed errors."""
+
+    def __init__(self, terms: list[tuple[str, float]]):
+        self.terms = terms
+        self.by_length: dict[int, list[tuple[int, Trie]]] = {}
+
+    def search(self, word: str) -> tuple[str, float, int] | None:
+        """The term nearest to ``word`` within its allowed errors, with weight and distance."""
+        n, best = len(word), None
+        if n not in self.by_length:
+            near: dict[int, list[tuple[str, float]]] = {}
+            for term, weight in self.terms:
+                errors = allowed_errors(len(term))
+                if abs(len(term) - n) <= errors:
+                    near.setdefault(errors, []).append((term, weight))
+            self.by_length[n] = [(errors, Trie(some)) for errors, some in near.items()]
+        for errors, trie in self.by_length[n]:
+            found = trie.search(word, errors)
+            if found is not None:
+                best = found if best is None else min(best, found)
         return None if best is None else (best[2], -best[1], best[0])
 
 
@@ -110,7 +130,7 @@ class Matcher:
     """Looks words up in a lexicon and remembers what it found."""
 
     def __init__(self, lexicon: Lexicon):
-        self.trie = Trie(list(lexicon.words))
+        self.tries = Tries(list(lexicon.words))
         self.prefixes = dict(lexicon.prefixes)
         self.known: dict[str, tuple[float, bool] | None] = {}
 
@@ -118,14 +138,14 @@ class Matcher:
         """The weight of the word and whether it is misspelled; None for an ordinary word."""
         if word in self.known:
             return self.known[word]
-        if len(self.known) >= _CACHED_WORDS:
-            self.known.clear()
-        near = self.trie.search(word)
+        near = self.tries.search(word)
         found = None if near is None else (near[1], near[2] > 0)
         starts = [self.prefixes[p] for k in _PREFIXES if k <= len(word) and (p := word[:k]) in self.prefixes]
         if starts and (found is None or found[1] or max(starts) > found[0]):
             found = (max(starts), False)
-        self.known[word] = found
+        # The words that come first, so the frequent ones too, are remembered.
+        if len(self.known) < _CACHED_WORDS:
+            self.known[word] = found
         return found
 
     def features(self, text: str | None) -> list[float]:
