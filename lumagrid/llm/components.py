@@ -14,30 +14,21 @@ _MAX_ROUNDS = 64
 def components(links: DataFrame) -> DataFrame:
     """``(node, root)`` for every end of the links ``(a, b)``: ``root`` is the smallest node reachable.
 
-    Rounds of star contraction: each node points at its smallest neighbour, pointers are
-    followed once more, and links then join the pointed-at nodes. A round at least halves
-    the nodes that still have links, and is written to the checkpoint folder. Links with
-    a null end are left out; an empty table gives an empty result.
+    In a round each node with links points at the smaller of itself and its smallest
+    neighbour, pointers are followed to their ends, each time twice as far, and links then
+    join these ends. Every step is written to the checkpoint folder. Links with a null
+    end are left out; an empty table gives an empty result.
     """
     links = links.select("a", "b").where(F.col("a").isNotNull() & F.col("b").isNotNull())
     both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     edges, left = store(both.where(F.col("a") != F.col("b")).distinct())
-    nodes, _ = store(links.select(F.explode(F.array("a", "b")).alias("node")).distinct())
-    roots = nodes.withColumn("root", F.col("node"))
+    roots, _ = store(
+        links.select(F.explode(F.array("a", "b")).alias("node")).distinct().withColumn("root", F.col("node"))
+    )
     for _ in range(_MAX_ROUNDS):
         if not left:
             return roots
-        # Every node with links points at the smaller of itself and its smallest neighbour.
-        point, n_point = store(
-            edges.groupBy("a").agg(F.least("a", F.min("b")).alias("up"), F.count(F.lit(1)).alias("n"))
-        )
-        # The target may point further down.
-        further = point.select(F.col("a").alias("up"), F.col("up").alias("top"), "n")
-        point, n_point = store(
-            attach(point.drop("n"), further, ["up"], weight="n", n_rows=n_point).select(
-                "a", F.col("top").alias("root")
-            )
-        )
+        point, n_point = _pointed(edges)
         roots, _ = store(
             attach(
                 roots.withColumnRenamed("root", "a"), point, ["a"], how="left", n_rows=n_point
@@ -47,3 +38,18 @@ def components(links: DataFrame) -> DataFrame:
         moved = attach(moved, point, ["a"], n_rows=n_point).select(F.col("x").alias("a"), F.col("root").alias("b"))
         edges, left = store(moved.where(F.col("a") != F.col("b")).distinct())
     raise RuntimeError("the components did not settle")
+
+
+def _pointed(edges: DataFrame) -> tuple[DataFrame, int]:
+    """``(a, root)`` for every node of ``edges``: where following smallest neighbours ends."""
+    point, n_point = store(edges.groupBy("a").agg(F.least("a", F.min("b")).alias("root")))
+    for _ in range(_MAX_ROUNDS):
+        further = point.select(F.col("a").alias("root"), F.col("root").alias("top"))
+        ahead = attach(point, further, ["root"], n_rows=n_point)
+        ahead, _ = store(
+            ahead.select("a", F.col("top").alias("root"), (F.col("top") != F.col("root")).alias("moved"))
+        )
+        point = ahead.drop("moved")
+        if ahead.where("moved").isEmpty():
+            break
+    return point, n_point
