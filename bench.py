@@ -117,7 +117,8 @@ def main() -> None:
         "luminance_histogram": lambda: raster.luminance_histogram(many, BINS),
         "gray": lambda: one.select("image_id", "y", "x", bgr_to_gray().alias("g")),
         "edge_map_tiles": lambda: edge_map_tiles(tiles),
-        "edge_map_halo": lambda: edge_map(one),
+        "edge_map": lambda: edge_map(one),
+        "edge_map_halo": lambda: edge_map(one, strategy="halo"),
         "edge_map_scatter": lambda: edge_map(one, strategy="scatter"),
         "edge_map_reflect101": lambda: edge_map(one, border="reflect101"),
         "matmul_tiled_1000": lambda: matrix.matmul_tiled(factors["a", 1000], factors["b", 1000]),

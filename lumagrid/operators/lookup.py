@@ -55,28 +55,48 @@ def salted_join(
     spread_by: list[str],
     rows_per_salt: int = SALT_ROWS,
 ) -> DataFrame:
-    """Inner n:m join on ``key`` with the left rows of large keys spread over salts.
+    """Inner n:m join on ``key`` with the rows of large keys spread over a grid of salts.
 
-    Keys of more than ``rows_per_salt`` left rows (and more than a HOT_SHARES-th
-    of all of them, so there are at most HOT_SHARES such keys) get one salt per
-    that many rows, and their right rows are copied once per salt.
+    Keys of more than ``rows_per_salt`` rows of one side (and more than a HOT_SHARES-th of
+    that side's rows, so there are at most twice HOT_SHARES such keys) get one salt for
+    that many rows of each side. Every row of one side meets all salts of the other, so
+    a task makes at most the products of two such shares. ``spread_by`` names columns of the
+    left side; right rows are spread by all of theirs.
     """
-    counts, _ = store(left.groupBy(key).agg(F.count(F.lit(1)).alias("_n")))
-    total = counts.agg(F.sum("_n")).first()[0] or 0
-    share = max(float(rows_per_salt), total / HOT_SHARES)
-    hot = counts.where(F.col("_n") > share).select(
-        key, F.ceil(F.col("_n") / F.lit(share)).cast("int").alias("_salts")
+    sides = []
+    for rows, name in ((left, "_left"), (right, "_right")):
+        counts, _ = store(rows.groupBy(key).agg(F.count(F.lit(1)).alias(name)))
+        total = counts.agg(F.sum(name)).first()[0] or 0
+        sides.append((counts, max(float(rows_per_salt), total / HOT_SHARES)))
+    (lefts, left_share), (rights, right_share) = sides
+    large = lefts.where(F.col("_left") > left_share).select(key).unionByName(
+        rights.where(F.col("_right") > right_share).select(key)
     )
-    if hot.isEmpty():
+    hot = F.broadcast(large.distinct()).join(lefts, key).join(rights, key).select(
+        key,
+        F.ceil(F.col("_left") / F.lit(left_share)).cast("int").alias("_lefts"),
+        F.ceil(F.col("_right") / F.lit(right_share)).cast("int").alias("_rights"),
+    )
+    hot, n_hot = store(hot)
+    if not n_hot:
         return left.join(right, key)
-    salts = F.coalesce(F.col("_salts"), F.lit(1))
-    spread = left.join(F.broadcast(hot), key, "left").withColumn(
-        "_salt", F.pmod(F.xxhash64(*spread_by), salts).cast("int")
+
+    def placed(rows: DataFrame, own: str, other: str, by: list[str]) -> DataFrame:
+        with_salts = rows.join(F.broadcast(hot), key, "left")
+        salts = {n: F.coalesce(F.col(n), F.lit(1)) for n in ("_lefts", "_rights")}
+        return (
+            with_salts.withColumn("_own", F.pmod(F.xxhash64(*by), salts[own]).cast("int"))
+            .withColumn("_other", F.explode(F.sequence(F.lit(0), salts[other] - 1)))
+            .drop("_lefts", "_rights")
+        )
+
+    spread = placed(left, "_lefts", "_rights", spread_by).withColumnsRenamed(
+        {"_own": "_salt", "_other": "_salt_right"}
     )
-    copies = right.join(F.broadcast(hot), key, "left").withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0), salts - 1))
+    copies = placed(right, "_rights", "_lefts", right.columns).withColumnsRenamed(
+        {"_own": "_salt_right", "_other": "_salt"}
     )
-    return spread.drop("_salts").join(copies.drop("_salts"), [key, "_salt"]).drop("_salt")
+    return spread.join(copies, [key, "_salt", "_salt_right"]).drop("_salt", "_salt_right")
 
 
 def interval_index(df: DataFrame, value: Column, bounds, n_bounds: int, out: str) -> DataFrame:

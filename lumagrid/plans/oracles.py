@@ -370,5 +370,31 @@ mapped as (
                     count(*) filter (serial != variant * factor) as n_bad,
                     bool_and(serial = variant * factor) as all_good
              from runs group by 1""",
+        "log_runs_round_trip": _with(_RUNS)
+        + """select section, iteration, round(serial, 6) as serial, round(variant, 6) as variant,
+                    case when serial = variant * factor then 'Good calculation'
+                    else 'Bad calculation' end as verdict from runs""",
+        "run_report_from_log": _with(_RUNS)
+        + "select section, count(*) as n_runs, "
+        + ", ".join(
+            f"round({f}({v}), 9) as {name}_{label}"
+            for v, label in (
+                ("serial", "base"),
+                ("variant", "variant"),
+                ("serial / nullif(variant, 0)", "ratio"),
+            )
+            for f, name in (("avg", "mean"), ("min", "min"), ("max", "max"))
+        )
+        + """, round(median(serial / nullif(variant, 0)), 9) as median_ratio,
+               count(*) filter (serial = variant * factor) as n_good,
+               count(*) filter (serial != variant * factor) as n_bad,
+               bool_and(serial = variant * factor) as all_good
+             from runs group by 1""",
+        "write_report_round_trip": """
+            select 'test' || event_id || '.exr' as file, round(value, 6) as seconds,
+                   cast(user_id % 3 as integer) as worker
+            from events""",
     }
+    sql["drain_tonemap"] = sql["tonemap_log"]
+    sql["write_ldr_round_trip"] = sql["tonemap_gamma"]
     return sql

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,7 +14,12 @@ from lumagrid.operators.lookup import attach
 from lumagrid.operators.stencil import sobel
 from lumagrid.plans import edges, kmeans_tonemap
 from lumagrid.plans.tonemap import gamma_image, tone_map, tone_map_all
+from lumagrid.plans.report import run_report
+from lumagrid.settings import checkpoint_dir
 from lumagrid.sources import derived, synthetic
+from lumagrid.sources.pixels import load_hdr_pixels, write_ldr
+from lumagrid.sources.reports import log_runs, scan_run_log, write_report
+from lumagrid.streaming.drain import drain_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -441,3 +447,90 @@ def run_verdicts(spark, sf):
     wrong = compare.differs(F.col("serial"), F.col("variant") * F.col("factor"))
     judged = timed.withColumn("verdict", F.when(wrong, compare.BAD).otherwise(compare.GOOD))
     return runs.run_verdicts(judged)
+
+
+# Files: written to the checkpoint folder and read back
+
+
+def _folder(spark):
+    return f"{checkpoint_dir(spark)}/files-{uuid.uuid4().hex}"
+
+
+@query
+def drain_tonemap(spark, sf):
+    """The images as files of a folder, tone mapped as a stream."""
+    folder = _folder(spark)
+    pixels = derived.hdr_pixels(spark, sf)
+    pixels.repartition("image_id").write.parquet(f"{folder}/in")
+    drain_folder(
+        spark,
+        f"{folder}/in",
+        f"{folder}/out",
+        f"{folder}/report",
+        f"{folder}/state",
+        schema=pixels.schema,
+        files_per_batch=4,
+    ).awaitTermination()
+    return spark.read.parquet(f"{folder}/out").select(*_AT, "b", "g", "r")
+
+
+@query
+def write_ldr_round_trip(spark, sf):
+    path = f"{_folder(spark)}/ldr"
+    write_ldr(tone_map(derived.hdr_pixels(spark, sf), "gamma"), path)
+    return load_hdr_pixels(spark, path, "image_id int, y bigint, x int, b int, g int, r int")
+
+
+def _run_log(spark, sf):
+    """The run table as text: a section line and titles per event type, then its runs."""
+    path = f"{_folder(spark)}/log"
+    runs_of = derived.runs(spark, sf)
+    lines = runs_of.select(
+        "section",
+        F.lit(2).alias("part"),
+        "iteration",
+        F.concat_ws(
+            ",",
+            "iteration",
+            "serial",
+            "variant",
+            F.when(F.col("serial") == F.col("variant") * F.col("factor"), "Good calculation").otherwise(
+                "Bad calculation"
+            ),
+        ).alias("value"),
+    )
+    heads = runs_of.select("section").distinct()
+    titles = F.array(
+        F.struct(F.lit(0).alias("part"), F.concat(F.lit("Image: "), "section").alias("value")),
+        F.struct(F.lit(1).alias("part"), F.lit("iteration,host,device,verdict").alias("value")),
+    )
+    heads = heads.select("section", F.inline(titles)).withColumn("iteration", F.lit(0).cast("bigint"))
+    ordered = lines.unionByName(heads).repartition("section").sortWithinPartitions(
+        "section", "part", "iteration"
+    )
+    ordered.select("value").write.text(path)
+    return path
+
+
+@query
+def log_runs_round_trip(spark, sf):
+    log = scan_run_log(spark, _run_log(spark, sf))
+    cells = log_runs(log, {"serial": "host", "variant": "device", "verdict": "verdict"})
+    return _rounded(
+        cells.select("section", "iteration", "serial", "variant", "verdict"), "serial", "variant"
+    )
+
+
+@query
+def run_report_from_log(spark, sf):
+    report = run_report(spark, _run_log(spark, sf), ",", "host", "device", "verdict")
+    numbers = [c for c in report.columns if c.startswith(("mean", "min", "max", "median"))]
+    return _rounded(report, *numbers, digits=9)
+
+
+@query
+def write_report_round_trip(spark, sf):
+    path = f"{_folder(spark)}/report"
+    write_report(derived.dispatch(spark, sf).select("file", "seconds", "worker"), path)
+    back = spark.read.option("sep", "|").schema("file string, seconds double, worker int").csv(path)
+    return _rounded(back, "seconds")

@@ -58,6 +58,15 @@ def test_salted_join_matches_plain_join(spark):
     assert "_salt" not in plan(lookup.salted_join(rows, right, "k", ["id"]))
 
 
+def test_salts_of_a_key_that_is_hot_on_the_right_only(spark):
+    left = spark.createDataFrame([(k, i) for i, k in enumerate([0, 0, 1, 2])], "k int, id int")
+    right = spark.createDataFrame([(0 if i % 3 else i, i) for i in range(900)], "k int, v int")
+    want = left.join(right, "k")
+    got = lookup.salted_join(left, right, "k", ["id"], rows_per_salt=50).select(want.columns)
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+    assert "_salt_right" in plan(got)
+
+
 @pytest.mark.parametrize("n", [0, 1, 2, 3, 7, 8, 100, 255])
 def test_interval_index(spark, n):
     rng = random.Random(n)
