@@ -26,6 +26,7 @@ from lumagrid.settings import store
 
 # Labelled documents a model is fitted on, at most; they are drawn by a hash of the id.
 MAX_LABELLED = 20_000
+FOLDS = 3
 LEXICON_SIZE = 400
 LEAST_DOCS, LEAST_ODDS, LEAST_Z = 3, 1.5, 3.0
 _PREFIXES = range(4, 9)
@@ -40,6 +41,7 @@ REPORTING = frozenset(
 )
 ADDRESSING = frozenset("you your youre u ur du dich dein ihr tu toi ton vous te ti tus usted".split())
 
+_COUNTS = [f"{kind}{fold}" for kind in ("toxic", "clean") for fold in range(FOLDS)]
 FEATURES = [
     "direct", "quoted", "strongest", "density", "misspelled", "addressed", "terms", "words",
 ]
@@ -206,37 +208,41 @@ class ToxicityModel:
         return F.lit(1.0) / (F.lit(1.0) + F.exp(-total))
 
 
-def learn_lexicon(samples: DataFrame, size: int = LEXICON_SIZE) -> Lexicon:
-    """Up to ``size`` terms from rows ``(text, label)``: those whose share among documents of
-    label 1 stands out most clearly from that among the others. A word that begins with a
-    chosen beginning of no smaller weight is left to that.
+def count_terms(samples: DataFrame) -> DataFrame:
+    """``(term, toxic, clean)`` of rows ``(text, label, fold)``: documents of each label, by fold.
+
+    ``=`` before a term marks a word, ``^`` the beginning of one.
     """
 
     def terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: dict[str, list[int]] = {}
         for batch in batches:
-            for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for text, label, fold in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 words = set(_WORD.findall((text or "").lower()))
                 found = {"=" + w for w in words} | {"^" + w[:k] for w in words for k in _PREFIXES if k < len(w)}
                 for term in found:
-                    counts.setdefault(term, [0, 0])[label] += 1
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(list(counts), pa.string()),
-                pa.array([c[1] for c in counts.values()], pa.int64()),
-                pa.array([c[0] for c in counts.values()], pa.int64()),
-            ],
-            names=["term", "toxic", "clean"],
-        )
+                    counts.setdefault(term, [0] * (2 * FOLDS))[FOLDS * (1 - label) + fold] += 1
+        columns = [pa.array([c[i] for c in counts.values()], pa.int64()) for i in range(2 * FOLDS)]
+        yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), *columns], names=["term", *_COUNTS])
+
+    schema = "term string, " + ", ".join(f"{c} long" for c in _COUNTS)
+    counted = samples.select("text", "label", "fold").mapInArrow(terms, schema)
+    return counted.groupBy("term").agg(*[F.sum(c).alias(c) for c in _COUNTS])
+
 
-    totals = samples.agg(F.sum("label").alias("toxic"), F.sum(1 - F.col("label")).alias("clean")).first()
-    if not totals.toxic or not totals.clean:
+def learn_lexicon(counted: DataFrame, totals: dict, left_out: int | None, size: int = LEXICON_SIZE) -> Lexicon:
+    """Up to ``size`` terms whose share among documents of label 1 stands out most clearly from
+    that among the others, without the fold ``left_out``. A word that begins with a chosen
+    beginning of no smaller weight is left to that.
+    """
+    folds = [f for f in range(FOLDS) if f != left_out]
+    n_toxic, n_clean = (sum(totals[f"{kind}{f}"] or 0 for f in folds) for kind in ("toxic", "clean"))
+    if not n_toxic or not n_clean:
         return Lexicon((), ())
-    counted = samples.select("text", "label").mapInArrow(terms, "term string, toxic long, clean long")
-    counted = counted.groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
-    a, c = F.col("toxic") + 0.5, F.col("clean") + 0.5
-    odds = F.log(a / (F.lit(totals.toxic) - a + 1)) - F.log(c / (F.lit(totals.clean) - c + 1))
-    judged = counted.where(F.col("toxic") >= LEAST_DOCS).select(
+    toxic, clean = (sum((F.col(f"{kind}{f}") for f in folds), F.lit(0)) for kind in ("toxic", "clean"))
+    a, c = toxic + 0.5, clean + 0.5
+    odds = F.log(a / (F.lit(n_toxic) - a + 1)) - F.log(c / (F.lit(n_clean) - c + 1))
+    judged = counted.where(toxic >= LEAST_DOCS).select(
         "term", odds.alias("odds"), (odds / F.sqrt(1 / a + 1 / c)).alias("z")
     )
     chosen = judged.where((F.col("odds") >= LEAST_ODDS) & (F.col("z") >= LEAST_Z))
@@ -260,8 +266,9 @@ def train_toxicity(
 ) -> ToxicityModel:
     """A model from at most ``max_labelled`` of the labelled documents whose crc32(id) mod 5 is not 0.
 
-    Two of three of these give the lexicon, the others the weights, so that terms which
-    stood out by chance weigh little. Rows with a null id or label are left out. With labels of
+    They lie in FOLDS folds. The weights are fitted on features that a fold has by the lexicon of
+    the others, so that terms which stood out by chance weigh little; the model's own
+    lexicon is that of all. Rows with a null id or label are left out. With labels of
     one kind only every text scores 0.99 or 0.01, without labels 0.01.
     """
     known = labels.select(F.col(key).alias("id"), F.col(label).cast("int").alias("label")).where(
@@ -269,19 +276,27 @@ def train_toxicity(
     )
     drawn = known.orderBy(F.xxhash64("id"), "id", "label").limit(max_labelled)
     texts = docs.select(F.col(key).alias("id"), F.col(text).alias("text"))
-    samples, _ = store(attach(texts, drawn, ["id"]))
-    fold = F.pmod(F.xxhash64("id", F.lit("fold")), F.lit(3))
-    lexicon = learn_lexicon(samples.where(fold > 0))
-    rest = samples.where(fold == 0)
-    share = rest.agg(F.avg("label").alias("p")).first().p
-    if share in (None, 0.0, 1.0):
-        share = samples.agg(F.avg("label").alias("p")).first().p
-        sure = 4.6 if share is not None and share >= 0.5 else -4.6
-        return ToxicityModel(lexicon, (0.0,) * len(FEATURES), sure)
-    plain = ToxicityModel(lexicon, (), 0.0)
-    measured, _ = store(
-        rest.select(plain.features(F.col("text")).alias("values"), F.col("label").cast("double").alias("label"))
-    )
+    fold = F.pmod(F.xxhash64("id", F.lit("fold")), F.lit(FOLDS)).cast("int")
+    samples, _ = store(attach(texts, drawn, ["id"]).withColumn("fold", fold))
+    sums = [
+        F.count_if((F.col("label") == label) & (F.col("fold") == f)).alias(f"{kind}{f}")
+        for kind, label in (("toxic", 1), ("clean", 0))
+        for f in range(FOLDS)
+    ]
+    totals = samples.agg(*sums).first().asDict()
+    counted, _ = store(count_terms(samples))
+    lexicon = learn_lexicon(counted, totals, None)
+    n_toxic, n_clean = (sum(totals[f"{kind}{f}"] for f in range(FOLDS)) for kind in ("toxic", "clean"))
+    if not n_toxic or not n_clean:
+        return ToxicityModel(lexicon, (0.0,) * len(FEATURES), 4.6 if n_toxic else -4.6)
+    measured = None
+    for f in range(FOLDS):
+        plain = ToxicityModel(learn_lexicon(counted, totals, f), (), 0.0)
+        part = samples.where(F.col("fold") == f).select(
+            plain.features(F.col("text")).alias("values"), F.col("label").cast("double").alias("label")
+        )
+        measured = part if measured is None else measured.unionByName(part)
+    measured, _ = store(measured)
     fitted = LogisticRegression(regParam=0.001, maxIter=60).fit(
         measured.select(array_to_vector("values").alias("features"), "label")
     )
