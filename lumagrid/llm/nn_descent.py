@@ -24,8 +24,8 @@ DIRECTIONS = 4
 _BLOCK = 256  # nodes that are compared with each other along a direction
 ROUNDS = 6
 SETTLED = 0.01  # share of new edges below which the graph is done
-BEAM = 64
-_ASKED = 16  # nodes of a beam that are asked in one step
+BEAM = 256
+_ASKED = 48  # nodes of a beam that are asked in one step
 _STEPS = 24
 ENTRIES = 32
 
@@ -152,12 +152,13 @@ def _local_join(members: DataFrame) -> DataFrame:
     return dealt.mapInArrow(introduce, "u long, v long, d double").withColumn("new", F.lit(True))
 
 
-def build_graph(nodes: DataFrame, n_nodes: int, k: int = NEIGHBOURS, rounds: int = ROUNDS) -> DataFrame:
+def build_graph(nodes: DataFrame, k: int = NEIGHBOURS, rounds: int = ROUNDS) -> DataFrame:
     """``(u, v, d, new)``: for each node edges to about its ``k`` nearest, ``d`` the squared distance."""
     edges = _block_edges(nodes, 0, k)
     for direction in range(1, DIRECTIONS):
         edges = edges.unionByName(_block_edges(nodes, direction, k))
     graph, n_edges = store(nearest_edges(edges, k))
+    row_bytes = _row_bytes(nodes)
     for turn in range(rounds):
         fresh = graph.where("new").count()
         if fresh <= SETTLED * n_edges:
@@ -172,13 +173,19 @@ def build_graph(nodes: DataFrame, n_nodes: int, k: int = NEIGHBOURS, rounds: int
         worst = graph.groupBy("u").agg(
             F.when(F.count(F.lit(1)) < k, float("inf")).otherwise(F.max("d")).alias("worst")
         )
-        known, _ = store(nodes.select("node", "vec").join(worst, F.col("node") == F.col("u")).drop("u"))
-        members = around.join(known.withColumnRenamed("node", "v"), "v")
+        known, n_known = store(
+            nodes.select(F.col("node").alias("v"), "vec").join(worst.withColumnRenamed("u", "v"), "v")
+        )
+        members = attach(around, known, ["v"], row_bytes=row_bytes, n_rows=n_known)
         old = graph.withColumn("new", F.lit(False))
         graph, n_edges = store(nearest_edges(old.unionByName(_local_join(members)), k))
     return graph
 
 
+def _row_bytes(nodes: DataFrame) -> int:
+    return (nodes.agg(F.max(F.octet_length("vec"))).first()[0] or 0) + 64
+
+
 def _distances(pairs: DataFrame) -> DataFrame:
     """``pairs`` with the Euclidean distance ``d`` of ``qvec`` and ``vec`` instead of ``vec``."""
 
@@ -199,7 +206,8 @@ def search_graph(queries: DataFrame, nodes: DataFrame, graph: DataFrame, beam: i
 
     ``start`` is a node to begin at, or null; every query also begins at a few fixed nodes.
     """
-    queries, _ = store(queries)
+    queries, n_queries = store(queries)
+    row_bytes = _row_bytes(nodes)
     entries = nodes.orderBy(F.xxhash64("node"), "node").limit(ENTRIES).select("node")
     begun = queries.select("query", F.explode(F.lit(None).cast("array<long>")).alias("node"))
     entry_list = [r.node for r in entries.collect()]
@@ -213,7 +221,12 @@ def search_graph(queries: DataFrame, nodes: DataFrame, graph: DataFrame, beam: i
     by_query = Window.partitionBy("query").orderBy("d", "node")
 
     def measured(pairs: DataFrame) -> DataFrame:
-        return _distances(pairs.join(vectors, "node").join(queries.select("query", "qvec"), "query"))
+        # Pairs come to the vectors of nodes, which stay where they are while the pairs are few.
+        pairs, n_pairs = store(pairs)
+        both = attach(vectors, pairs, ["node"], row_bytes=32, n_rows=n_pairs)
+        return _distances(
+            attach(both, queries.select("query", "qvec"), ["query"], row_bytes=row_bytes, n_rows=n_queries)
+        )
 
     seen = measured(begun).withColumn("asked", F.lit(False))
     for _ in range(_STEPS):
@@ -222,10 +235,11 @@ def search_graph(queries: DataFrame, nodes: DataFrame, graph: DataFrame, beam: i
         held = held.withColumn("turn", F.row_number().over(waiting))
         held = held.withColumn("ask", ~F.col("asked") & (F.col("turn") <= _ASKED))
         held, _ = store(held.select("query", "node", "d", "asked", "ask"))
-        asking = held.where("ask")
-        if asking.isEmpty():
+        asking, n_asking = store(held.where("ask").select("query", "node"))
+        if not n_asking:
             break
-        told = asking.select("query", "node").join(around, "node").select("query", F.col("next").alias("node"))
+        told = attach(around, asking, ["node"], row_bytes=32, n_rows=n_asking)
+        told = told.select("query", F.col("next").alias("node"))
         # A node that left the beam may come back, but is not better than before.
         fresh = told.distinct().join(held.select("query", "node"), ["query", "node"], "left_anti")
         seen = held.select("query", "node", "d", (F.col("asked") | F.col("ask")).alias("asked")).unionByName(
@@ -255,8 +269,8 @@ def nearest_neighbours(
     fewer than ``k`` others all of them are returned; an empty table gives an empty result.
     """
     found = usable(vectors, key, vector)
-    nodes, n_nodes = distinct_nodes(found, k + 1)
-    graph = build_graph(nodes, n_nodes, neighbours)
+    nodes, _ = distinct_nodes(found, k + 1)
+    graph = build_graph(nodes, neighbours)
     # A query row is in the graph itself: its walk begins there.
     asked, _ = store(found.where(queries).select("id", "vec", F.md5("vec").alias("digest")).distinct())
     places = nodes.select(F.md5("vec").alias("digest"), "node")
@@ -264,9 +278,6 @@ def nearest_neighbours(
     starts = asked.groupBy("node").agg(F.first("vec").alias("qvec"))
     walks = starts.select(F.col("node").alias("query"), "qvec", F.col("node").alias("start"))
     ends = search_graph(walks, nodes, graph, beam)
-    # Of a beam only the k + 1 nearest nodes can give results; each stands for rows of its own.
-    nearest = Window.partitionBy("query").orderBy("d", "node")
-    ends = ends.withColumn("place", F.row_number().over(nearest)).where(F.col("place") <= beam).drop("place")
     rows = ends.join(nodes.select("node", "ids"), "node").select("query", "d", F.explode("ids").alias(key))
     pairs = asked.select(F.col("id").alias("query_id"), F.col("node").alias("query")).join(rows, "query")
     pairs = pairs.where(F.col("query_id") != F.col(key))
