@@ -8,7 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumagrid.llm import decontaminate, jaccard_join, line_dedup, nn_descent, packing, quality_rules, sharding, substring_dedup, toxicity, url_filter
+from lumagrid.llm import (
+    decontaminate,
+    jaccard_join,
+    line_dedup,
+    nn_descent,
+    packing,
+    quality_rules,
+    sharding,
+    substring_dedup,
+    toxicity,
+    url_filter,
+)
 
 VOCABULARY = "word_bpe_49k.json"
 
