@@ -71,6 +71,84 @@ _LINE_DEDUP = """
     """
 
 
+_SPACE = r"[\x20\x09-\x0D]+"
+
+_JACCARD = rf"""
+    with recursive split as (
+      select doc_id, list_filter(string_split_regex(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '{_SPACE}'), lambda w: w <> '') w
+      from documents),
+    sets as (
+      select distinct doc_id, array_to_string(w[i + 1:i + 5], ' ') s
+      from (select *, unnest(range(greatest(1, len(w) - 4))) i from split where len(w) > 0)),
+    sizes as (select doc_id, count(*) n from sets group by doc_id),
+    pairs as (
+      select a.doc_id x, b.doc_id y, count(*) common
+      from sets a join sets b on a.s = b.s and a.doc_id <> b.doc_id group by 1, 2),
+    links as (
+      select x, y from pairs join sizes a on a.doc_id = x join sizes b on b.doc_id = y
+      where 100 * common >= 80 * (a.n + b.n - common)),
+    reached as (
+      select doc_id, doc_id origin from documents
+      union
+      select y, origin from reached join links on x = reached.doc_id)
+    select doc_id, coalesce(any_value(n), 0) n_shingles, min(origin) component_id
+    from reached left join sizes using (doc_id) group by doc_id
+    """
+
+# Every window of every item's size that shares a shingle with the item, by exact similarity.
+_LEAKS = rf"""
+    with split_docs as (
+      select doc_id, list_filter(string_split_regex(lower(coalesce(text, '')), '{_SPACE}'),
+        lambda w: w <> '') w
+      from documents),
+    split_items as (
+      select min(item_id) item_id, count(*) n_items, w, len(w) length, least(5, len(w)) size
+      from (select item_id, list_filter(string_split_regex(lower(coalesce(text, '')), '{_SPACE}'),
+              lambda w: w <> '') w
+            from benchmark)
+      where len(w) > 0 group by w),
+    entries as (
+      select distinct item_id, size, length, array_to_string(w[i + 1:i + size], ' ') s
+      from (select *, unnest(range(length - size + 1)) i from split_items)),
+    weights as (
+      select item_id, sum(len(replace(s, ' ', ''))) weight from entries group by item_id),
+    runs as (
+      select doc_id, size, i, array_to_string(w[i + 1:i + size], ' ') s, len(w) n
+      from (select doc_id, w, size, unnest(range(len(w) - size + 1)) i
+            from split_docs, (select distinct size from split_items) where len(w) >= size)),
+    near as (
+      select doc_id, item_id, any_value(n) n
+      from (select distinct doc_id, item_id, n, s from runs join entries using (size, s))
+      join weights using (item_id)
+      group by doc_id, item_id
+      having sum(len(replace(s, ' ', ''))) >= 0.8 * any_value(weight) - 0.001),
+    starts as (
+      select doc_id, item_id, size, length, least(length, n) n_words,
+        unnest(range(greatest(1, n - length + 1))) start
+      from near join split_items using (item_id)),
+    window_sets as (
+      select distinct t.doc_id, t.item_id, start, n_words, r.s
+      from starts t join runs r on r.doc_id = t.doc_id and r.size = t.size
+        and r.i between start and start + n_words - t.size),
+    judged as (
+      select x.doc_id, x.item_id, x.start, x.n_words,
+        coalesce(sum(len(replace(x.s, ' ', ''))) filter (where e.s is not null), 0)::bigint common,
+        sum(len(replace(x.s, ' ', '')))::bigint own
+      from window_sets x left join entries e on e.item_id = x.item_id and e.s = x.s
+      group by all),
+    alike as (
+      select doc_id, item_id, start, n_words, common::double / (weight::bigint + own - common)::double similarity
+      from judged join weights using (item_id))
+    select doc_id, item_id, n_items, start, n_words, similarity
+    from (select *, row_number() over (partition by doc_id, item_id order by similarity desc, start) pos
+          from alike where similarity >= 0.8)
+    join (select item_id, n_items from split_items) using (item_id)
+    where pos = 1
+    """
+
+
 def _rendezvous() -> str:
     draw = "(('0x' || substr(md5(doc_id || '#' || i), 1, 13))::bigint + 0.5::double) / (1::bigint << 52)"
     # DuckDB has no crc32: the table of the polynomial, then a byte at a time.
@@ -103,5 +181,7 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op1_url_filter": _url_filter(),
         "op3_line_dedup": _LINE_DEDUP,
+        "op6_ngram_jaccard": _JACCARD,
+        "op8_decontaminate": _LEAKS,
         "op9_rendezvous": _rendezvous(),
     }
