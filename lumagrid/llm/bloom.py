@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-FILTER_BITS = 1 << 28  # 32 MB a filter, room for some 40 million different hashes
+FILTER_BITS = 1 << 27  # 16 MB a filter, room for some 20 million different hashes
 _HASHES = 3
 _BLOCK_BITS = 1 << 16
 _FLUSH = 200_000  # hashes that are set in the filters at once
