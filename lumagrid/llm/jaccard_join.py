@@ -230,13 +230,18 @@ def _verified(
     return store(met.mapInArrow(linked, "a binary, b binary"))[0]
 
 
-def _with_sketches(pairs: DataFrame, nodes: DataFrame, n_nodes: int) -> DataFrame:
+def _with_sketches(rays: DataFrame, nodes: DataFrame, hubs: DataFrame) -> DataFrame:
+    """Different pairs ``(a, b, share)`` of a set and a hub, with sizes and sketches of both.
+
+    The hubs of a set are gathered before it gets its sketch; hubs are far fewer than sets.
+    """
     side = nodes.select("digest", "n", "brief")
-    row_bytes = _mean_bytes(side, "brief")
-    for end in "ab":
-        named = side.toDF(end, f"n{end}", f"s{end}")
-        pairs = attach(pairs, named, [end], row_bytes=row_bytes, n_rows=n_nodes)
-    return pairs
+    near = rays.groupBy("a").agg(F.collect_set(F.struct("b", "share")).alias("hubs"))
+    own = near.join(side.toDF("a", "na", "sa"), "a").select("a", "na", "sa", F.inline("hubs"))
+    chosen, n_chosen = store(side.join(hubs.select(F.col("hub").alias("digest")).distinct(), "digest"))
+    return attach(
+        own, chosen.toDF("b", "nb", "sb"), ["b"], row_bytes=_mean_bytes(chosen, "brief"), n_rows=n_chosen
+    )
 
 
 def _mean_bytes(rows: DataFrame, *columns: str) -> int:
@@ -307,6 +312,42 @@ def _across(rows: DataFrame, num: int, den: int) -> DataFrame:
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
+def _with_shared_keys(sets: DataFrame) -> DataFrame:
+    """Stored sets with those of their keys that other sets may have, and their sketches.
+
+    The filter that tells these keys is released as soon as they are stored.
+    """
+    found = seen_twice(sets.select("keys"), lambda b: np.frombuffer(b, np.uint64))
+    twice = sets.sparkSession.sparkContext.broadcast(found)
+
+    def shared_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.frombuffer(twice.value, np.uint8)
+        for batch in batches:
+            keys, shares = [], []
+            for value in batch.column("keys"):
+                own = np.frombuffer(value.as_py(), np.uint64)
+                found = np.sort(own[held(bits, own)].view(np.int64))
+                keys.append(found)
+                shares.append(len(found) / max(1, len(own)))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("digest"),
+                    batch.column("n"),
+                    batch.column("sketch"),
+                    pa.array([half_sketch(v) for v in batch.column("sketch").to_pylist()], pa.binary()),
+                    pa.array(keys, pa.list_(pa.int64())),
+                    pa.array([k[:_LOW_KEYS].tobytes() for k in keys], pa.binary()),
+                    pa.array(shares, pa.float32()),
+                ],
+                names=["digest", "n", "sketch", "brief", "keys", "low", "share"],
+            )
+
+    schema = "digest binary, n long, sketch binary, brief binary, keys array<long>, low binary, share float"
+    nodes, _ = store(sets.select("digest", "n", "sketch", "keys").mapInArrow(shared_keys, schema))
+    twice.destroy()
+    return nodes
+
+
 def jaccard_components(
     docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = 5, num: int = 80, den: int = 100
 ) -> DataFrame:
@@ -335,32 +376,7 @@ def jaccard_components(
     reps, n_reps = store(firsts.select("digest", "m.id", "m.row", "m.same", "copies"))
     sets = attach(index.drop("id", "digest"), reps.select("row", "digest"), ["row"], n_rows=n_reps)
 
-    twice = spark.sparkContext.broadcast(seen_twice(sets.select("keys"), lambda b: np.frombuffer(b, np.uint64)))
-
-    def shared_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.frombuffer(twice.value, np.uint8)
-        for batch in batches:
-            keys, shares = [], []
-            for value in batch.column("keys"):
-                own = np.frombuffer(value.as_py(), np.uint64)
-                found = np.sort(own[held(bits, own)].view(np.int64))
-                keys.append(found)
-                shares.append(len(found) / max(1, len(own)))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("digest"),
-                    batch.column("n"),
-                    batch.column("sketch"),
-                    pa.array([half_sketch(v) for v in batch.column("sketch").to_pylist()], pa.binary()),
-                    pa.array(keys, pa.list_(pa.int64())),
-                    pa.array([k[:_LOW_KEYS].tobytes() for k in keys], pa.binary()),
-                    pa.array(shares, pa.float32()),
-                ],
-                names=["digest", "n", "sketch", "brief", "keys", "low", "share"],
-            )
-
-    schema = "digest binary, n long, sketch binary, brief binary, keys array<long>, low binary, share float"
-    nodes, _ = store(sets.select("digest", "n", "sketch", "keys").mapInArrow(shared_keys, schema))
+    nodes = _with_shared_keys(sets)
     entries = nodes.select("digest", "share", F.explode("keys").alias("key"))
     # The hub of a bucket is the set that shares most of its own keys.
     hubs, n_hubs = store(
@@ -370,9 +386,10 @@ def jaccard_components(
         .select("key", F.col("hub.digest").alias("hub"), F.col("hub.share").alias("hub_share"), "members")
     )
     rays = attach(entries.drop("share"), hubs, ["key"], weight="members", n_rows=n_hubs)
-    rays = rays.where(F.col("digest") != F.col("hub"))
-    rays = rays.groupBy(F.col("digest").alias("a"), F.col("hub").alias("b")).agg(F.max("hub_share").alias("share"))
-    tried, _ = store(_passing(_with_sketches(rays, nodes, n_reps), num, den))
+    rays = rays.where(F.col("digest") != F.col("hub")).select(
+        F.col("digest").alias("a"), F.col("hub").alias("b"), F.col("hub_share").alias("share")
+    )
+    tried, _ = store(_passing(_with_sketches(rays, nodes, hubs), num, den))
     verified = {"docs": docs, "reps": reps, "n_reps": n_reps, "k": k, "num": num, "den": den}
 
     # First the best hub of each set, then the other hubs that it is not connected with.
