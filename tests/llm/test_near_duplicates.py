@@ -248,3 +248,59 @@ def test_chains_are_the_best(spark):
         gaps = (chain[1:, 0] - chain[:-1, 1]).sum() + (chain[1:, 2] - chain[:-1, 3]).sum()
         score = (chain[:, 1] - chain[:, 0]).sum() - substring_dedup.GAP_COST * gaps
         assert score == pytest.approx(best_chain_plainly(rows))
+
+
+def hashed(*parts):
+    """Word hashes of texts, given as lists of words, in one."""
+    return np.array([abs(hash(w)) % (1 << 31) for w in sum(parts, [])], np.uint32)
+
+
+def passages_plainly(a, b):
+    """What the seeds of two texts lead to."""
+    seeds = lambda w: {tuple(w[i : i + substring_dedup.K]): i for i in range(len(w) - substring_dedup.K + 1)}
+    first, second = seeds(a.tolist()), seeds(b.tolist())
+    both = np.array(sorted((p, second[s]) for s, p in first.items() if s in second))
+    found = substring_dedup.chains(substring_dedup.segments(both[:, 0], both[:, 1]))
+    return [p for c in found for p in substring_dedup.passages_of(a, b, c, 50, 0.8)]
+
+
+@pytest.mark.parametrize("gap", range(0, 71, 5))
+def test_passages_with_a_gap_or_a_stray_seed(gap):
+    words = lambda name, n: [f"{name}{i}" for i in range(n)]
+    for one, two in ((60, 60), (60, 8), (8, 60), (60, 20)):
+        p, q = words("p", one), words("q", two)
+        a = hashed(words("a", 40), p, words("b", gap), q, words("c", 40))
+        b = hashed(words("d", 25), p, words("e", gap), q, words("f", 40))
+        found = passages_plainly(a, b)
+        for start, n in ((40, one), (40 + one + gap, two)):
+            if n >= 50:
+                assert any(f[0] <= start and start + n <= f[1] for f in found), (gap, one, two)
+        assert all(f[1] - f[0] >= 50 and f[4] >= 0.8 for f in found)
+
+
+def own_words(name, n):
+    return [f"{name}{i}" for i in range(n)]
+
+
+def passages_of_pairs(spark, pairs):
+    """The passages of pairs of lists of words, each pair by itself: ``{pair: [(start, end), ...]}``."""
+    rows = [(2 * i + j, " ".join(w)) for i, pair in enumerate(pairs) for j, w in enumerate(pair)]
+    found = defaultdict(list)
+    for r in substring_dedup.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        assert r.doc_id == r.other_id + 1 and r.end - r.start >= 50 and r.identity >= 0.8
+        found[r.other_id // 2].append((r.start, r.end))
+    return found
+
+
+def test_passages_apart_are_both_found(spark):
+    pairs, wanted = [], []
+    for gap in (0, 20, 31, 40, 55):
+        for second in (60, 8):
+            t = f"g{gap}s{second}"
+            p, q = own_words(t + "p", 60), own_words(t + "q", second)
+            pairs.append(tuple(own_words(t + e, 30) + p + own_words(t + e + "m", gap) + q for e in "ab"))
+            wanted.append([(30, 90)] + [(90 + gap, 90 + gap + second)] * (second >= 50))
+    found = passages_of_pairs(spark, pairs)
+    for i, passages in enumerate(wanted):
+        for start, end in passages:
+            assert any(a <= start and end <= b for a, b in found[i]), (i, start)
