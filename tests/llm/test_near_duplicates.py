@@ -304,3 +304,40 @@ def test_passages_apart_are_both_found(spark):
     for i, passages in enumerate(wanted):
         for start, end in passages:
             assert any(a <= start and end <= b for a, b in found[i]), (i, start)
+
+
+def test_passages_of_few_seeds_are_found(spark):
+    pairs, wanted = [], []
+    for at in [(14, 46), (13, 45), (10, 50), (19, 39), (17, 34, 52)]:
+        for copy in range(4):
+            t = f"e{at[0]}c{copy}"
+            p = own_words(t + "p", 60)
+            q = [f"{t}z{i}" if i in at else w for i, w in enumerate(p)]
+            pairs.append((own_words(t + "a", 40) + p + own_words(t + "b", 400), own_words(t + "c", 300) + q))
+            wanted.append([(300, 360)])
+    # Passages farther apart than a gap may be, after a long one.
+    for gap in (63, 64, 70, 200):
+        for edit in (25, 30):
+            t = f"g{gap}e{edit}"
+            p, q = own_words(t + "p", 300), own_words(t + "q", 60)
+            r = q[:edit] + [t + "z"] + q[edit + 1 :]
+            mids = own_words(t + "m", gap), own_words(t + "n", gap)
+            pairs.append((p + mids[0] + q, p + mids[1] + r))
+            wanted.append([(0, 300), (300 + gap, 360 + gap)])
+    found = passages_of_pairs(spark, pairs)
+    for i, passages in enumerate(wanted):
+        for start, end in passages:
+            assert any(a <= start and end <= b for a, b in found[i]), (i, start, found[i])
+
+
+def test_chains_look_no_farther_than_a_gap():
+    rng = np.random.default_rng(7)
+    for _ in range(60):
+        x, y = rng.integers(0, 400, 16), rng.integers(0, 400, 16)
+        rows = np.stack([x, x + 8, y, y + 8], axis=1)
+        rows[0, 1] += 60
+        rows[0, 3] += 60
+        chain = substring_dedup.chains(rows)[0]
+        gaps = (chain[1:, 0] - chain[:-1, 1]).sum() + (chain[1:, 2] - chain[:-1, 3]).sum()
+        score = (chain[:, 1] - chain[:, 0]).sum() - substring_dedup.GAP_COST * gaps
+        assert score == pytest.approx(best_chain_plainly(rows))
