@@ -82,8 +82,12 @@ def nearest_edges(edges: DataFrame, k: int) -> DataFrame:
     return once.withColumn("place", F.row_number().over(by_node)).where(F.col("place") <= k).drop("place")
 
 
-def _block_edges(nodes: DataFrame, direction: int, k: int) -> DataFrame:
-    """Edges between nodes that lie close to each other along one random direction."""
+def _block_edges(nodes: DataFrame, direction: int, k: int, n_nodes: int) -> DataFrame:
+    """Edges between nodes that lie close to each other along one random direction.
+
+    What is left of a partition after its blocks belongs to the last of them, and there are no more
+    partitions than blocks, so no node is alone.
+    """
 
     def project(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -93,17 +97,27 @@ def _block_edges(nodes: DataFrame, direction: int, k: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(along)], names=["node", "vec", "along"])
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest: list[pa.RecordBatch] = []
         for batch in batches:
-            ids, rows = batch.column(0).to_numpy(), batch.column(1)
-            for start in range(0, len(ids), _BLOCK):
-                own, at = _matrix(rows.slice(start, _BLOCK)), ids[start : start + _BLOCK]
-                square = (own * own).sum(axis=1)
-                apart = np.maximum(square[:, None] + square - 2 * own @ own.T, 0)
-                np.fill_diagonal(apart, np.inf)
-                near = np.argsort(apart, axis=1, kind="stable")[:, : min(k, len(at) - 1)]
-                yield _edges(np.repeat(at, near.shape[1]), at[near.ravel()], np.take_along_axis(apart, near, 1).ravel())
+            table = pa.Table.from_batches([*rest, batch]).combine_chunks()
+            start = 0
+            while len(table) - start >= 2 * _BLOCK:
+                yield near_each_other(table.slice(start, _BLOCK))
+                start += _BLOCK
+            rest = table.slice(start).to_batches()
+        if any(len(r) for r in rest):
+            yield near_each_other(pa.Table.from_batches(rest))
+
+    def near_each_other(block: pa.Table) -> pa.RecordBatch:
+        at, own = block.column(0).to_numpy(), _matrix(block.column(1))
+        square = (own * own).sum(axis=1)
+        apart = np.maximum(square[:, None] + square - 2 * own @ own.T, 0)
+        np.fill_diagonal(apart, np.inf)
+        near = np.argsort(apart, axis=1, kind="stable")[:, : min(k, len(at) - 1)]
+        return _edges(np.repeat(at, near.shape[1]), at[near.ravel()], np.take_along_axis(apart, near, 1).ravel())
 
     parts = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(1, min(parts, n_nodes // _BLOCK))
     along = nodes.select("node", "vec").mapInArrow(project, "node long, vec binary, along double")
     laid = along.repartitionByRange(parts, "along", "node").sortWithinPartitions("along", "node")
     return laid.mapInArrow(compare, "u long, v long, d double").withColumn("new", F.lit(True))
@@ -154,9 +168,10 @@ def _local_join(members: DataFrame) -> DataFrame:
 
 def build_graph(nodes: DataFrame, k: int = NEIGHBOURS, rounds: int = ROUNDS) -> DataFrame:
     """``(u, v, d, new)``: for each node edges to about its ``k`` nearest, ``d`` the squared distance."""
-    edges = _block_edges(nodes, 0, k)
+    n_nodes = nodes.count()
+    edges = _block_edges(nodes, 0, k, n_nodes)
     for direction in range(1, DIRECTIONS):
-        edges = edges.unionByName(_block_edges(nodes, direction, k))
+        edges = edges.unionByName(_block_edges(nodes, direction, k, n_nodes))
     graph, n_edges = store(nearest_edges(edges, k))
     row_bytes = _row_bytes(nodes)
     for turn in range(rounds):

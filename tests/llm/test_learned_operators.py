@@ -186,3 +186,26 @@ def test_pipeline(spark):
     assert {r.doc_id for r in last.select("doc_id").distinct().collect()} == ids
     whole = last.groupBy("doc_id").agg(F.sum(F.octet_length("ids") / 4).alias("n"), F.max("doc_tokens").alias("t"))
     assert whole.where("n != t").isEmpty()
+
+
+@pytest.mark.parametrize("n", [2, 40, 300, 700])
+def test_start_graph_has_all_nodes_at_many_partitions(spark, n):
+    points = np.random.default_rng(n).standard_normal((n, 8))
+    rows = [(i, p.tobytes()) for i, p in enumerate(points)]
+    nodes = spark.createDataFrame(rows, "node long, vec binary").cache()
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "200")
+    try:
+        edges = nn_descent.build_graph(nodes, rounds=0).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    around = {}
+    for e in edges:
+        around.setdefault(e.u, set()).add(e.v)
+    least = min(n - 1, nn_descent.NEIGHBOURS)
+    assert set(around) == set(range(n)) and all(len(v) == least for v in around.values())
+    if n < 2 * nn_descent._BLOCK:
+        apart = ((points[:, None] - points) ** 2).sum(axis=2)
+        np.fill_diagonal(apart, np.inf)
+        for u, v in around.items():
+            assert v == set(np.argsort(apart[u])[:least].tolist())
