@@ -211,9 +211,9 @@ def _verified(
     right = attach(docs, ends.select("id", "digest", "same"), ["id"], n_rows=n_ends)
     own = F.array("digest").alias("ends")
     one = right.where(F.col("same") == 1).select("text", "digest", own).mapInArrow(sets, schema)
-    # Rows with one id and text give one set.
-    several = right.where(F.col("same") > 1).select("text", "digest").dropDuplicates(["digest"])
-    several = several.select("text", "digest", own).mapInArrow(sets, schema)
+    # Rows with one id and text give one set; other texts of the id give none.
+    several = right.where(F.col("same") > 1).select("text", "digest", own).mapInArrow(sets, schema)
+    several = several.dropDuplicates(["b"])
     right = one.unionByName(several).select("b", F.col("tokens").alias("tb"))
 
     def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

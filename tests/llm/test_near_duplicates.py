@@ -84,6 +84,19 @@ def test_jaccard_components(spark, monkeypatch, frequent):
     assert got == jaccard_plainly(rows)
 
 
+def test_another_text_of_a_repeated_id_does_not_hide_its_set(spark):
+    base = cases.prose(77, 60)
+    near = [(10 + i, base + f" tail{i}") for i in range(4)]
+    rows = []
+    for i, text in [(1, base), *near]:
+        rows += [(i, cases.prose(200 + i, 45)), (i, text), (i, text)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    got = defaultdict(set)
+    for r in jaccard_join.jaccard_components(docs).collect():
+        got[r.component_id].add(r.doc_id)
+    assert any({1, 10, 11, 12, 13} <= ids for ids in got.values())
+
+
 def test_one_of_a_group_stays(spark):
     docs = cases.messy(spark, [(20, cases.prose(1, 60) + " x"), (0, "alone here is a text of its own")])
     kept = jaccard_join.keep_one(docs)
