@@ -16,6 +16,8 @@ from lumagrid.llm import (
     packing,
     quality_rules,
     sharding,
+    simhash_gray,
+    spelling,
     substring_dedup,
     toxicity,
     url_filter,
@@ -100,6 +102,14 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.repeated_passages(_table(spark, sf_dir, "documents"))
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(_table(spark, sf_dir, "documents"))
+
+
+def op13_simhash_gray(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_gray.simhash_components(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_url_filter": op1_url_filter,
@@ -112,4 +122,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_decontaminate": op8_decontaminate,
         "op9_rendezvous": op9_rendezvous,
         "op10_substring_dedup": op10_substring_dedup,
+        "op12_spelling_variants": op12_spelling_variants,
+        "op13_simhash_gray": op13_simhash_gray,
     }
