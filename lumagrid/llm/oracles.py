@@ -149,15 +149,86 @@ _LEAKS = rf"""
     """
 
 
-def _rendezvous() -> str:
-    draw = "(('0x' || substr(md5(doc_id || '#' || i), 1, 13))::bigint + 0.5::double) / (1::bigint << 52)"
-    # DuckDB has no crc32: the table of the polynomial, then a byte at a time.
-    return f"""
-    with steps as (
+# DuckDB has no crc32: the table of the polynomial, then a byte at a time.
+_CRC_TABLE = """steps as (
       select i, list_reduce(list_prepend(i::bigint, range(8)), lambda c, k:
         case when c % 2 = 1 then xor(c >> 1, 3988292384) else c >> 1 end) c
       from range(256) s(i)),
-    lookup as (select list(c order by i) t from steps),
+    lookup as (select list(c order by i) t from steps)"""
+
+
+def _crc32(text: str) -> str:
+    """CRC-32 of an expression where the table ``lookup`` is joined."""
+    octets = f"list_transform(regexp_extract_all(hex(encode({text})), '..'), lambda b: ('0x' || b)::bigint)"
+    return f"""xor(list_reduce(list_prepend(4294967295::bigint, {octets}),
+        lambda c, x: xor(t[xor(c, x) % 256 + 1], c >> 8)), 4294967295)"""
+
+
+_TRIE = f"""
+    with {_CRC_TABLE},
+    own as (
+      select conv_id, list(struct_pack(r := coalesce(role, ''), x := coalesce(text, ''))
+        order by turn nulls first, sha256(
+          strlen(coalesce(role, '')) || ':' || coalesce(role, '') || strlen(coalesce(text, '')) || ':' || coalesce(text, ''))) w
+      from conversations where conv_id is not null group by conv_id),
+    plan as (select conv_id, w, {_crc32("conv_id::varchar")} % 9 h from own, lookup),
+    whole as (
+      select p.conv_id, list_concat(coalesce(b.w[:h], []), p.w[h + 1:]) w
+      from plan p left join own b on b.conv_id = p.conv_id - p.conv_id % 5),
+    prefixes as (
+      select conv_id, len(w) length, d, w[:d] p
+      from (select *, unnest(range(len(w) + 1)) d from whole)),
+    nodes as (
+      select p, d, min(conv_id) conv_id, count(*) n_convs,
+        sha256(coalesce(string_agg(conv_id::varchar, ',' order by conv_id) filter (where length = d), '')) ends_sha256,
+        case when d = 0 then 0 else strlen(p[d].x) end * (count(*) - 1) saved
+      from prefixes group by p, d),
+    kids as (select p[:d - 1] p, count(*) n_children from nodes where d > 0 group by 1),
+    shaped as (select nodes.*, coalesce(n_children, 0) n_children from nodes left join kids using (p)),
+    sums as (
+      select p[:a] p, count(*) filter (where n_children = 0) n_leaves, sum(saved)::bigint saved_tokens
+      from (select *, unnest(range(d + 1)) a from shaped) group by 1)
+    select c.conv_id, c.d depth, up.conv_id parent_conv_id, c.n_convs, c.n_children, n_leaves, saved_tokens,
+      c.ends_sha256
+    from shaped c join sums using (p) left join nodes up on c.d > 0 and up.p = c.p[:c.d - 1]
+    """
+
+# Words are near if they leave the same letters without one at the same place, or if one is the other without a letter.
+_SPELLING = f"""
+    with recursive {_CRC_TABLE},
+    runs as (
+      select doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') run, count(*) n
+      from (select doc_id, unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\u00C0-\u00FF]+')) run from documents)
+      where len(run) >= 7 group by 1, 2),
+    hashed as (select run, n, {_crc32("coalesce(doc_id::varchar, '') || ':' || run")} h from runs, lookup),
+    spelled as (
+      select case when h % 31 = 0 then run[:h % len(run)] || run[h % len(run) + 2:] else run end word, n from hashed),
+    words as (select word, sum(n)::bigint n from spelled where len(word) >= 7 group by word having sum(n) >= 2),
+    gaps as (
+      select word, n, i, word[:i] || word[i + 2:] rest from (select *, unnest(range(len(word))) i from words)),
+    near as (
+      select a.word, b.word other, b.n from gaps a join gaps b using (i, rest) where a.word <> b.word
+      union select g.word, w.word, w.n from gaps g join words w on w.word = rest
+      union select w.word, g.word, g.n from gaps g join words w on w.word = rest),
+    best as (
+      select word, count(*) n_near, max(n) best_n, arg_max(other, struct_pack(n := n, k := -place)) best
+      from (select *, row_number() over (partition by word order by other) place from near) group by word),
+    marked as (
+      select words.*, coalesce(n_near, 0) n_near,
+        case when best_n >= 10 * words.n then best end form, case when best_n >= 10 * words.n then best_n end form_n
+      from words left join best using (word)),
+    followed as (
+      select word, word top from words
+      union all select f.word, form from followed f join marked m on m.word = f.top where form is not null)
+    select m.word, m.form, f.top root, m.n, m.n_near, m.form_n
+    from marked m join followed f on f.word = m.word join marked e on e.word = f.top and e.form is null
+    """
+
+
+def _rendezvous() -> str:
+    draw = "(('0x' || substr(md5(doc_id || '#' || i), 1, 13))::bigint + 0.5::double) / (1::bigint << 52)"
+    return f"""
+    with {_CRC_TABLE},
     bytes as (
       select doc_id, list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'),
         lambda b: ('0x' || b)::bigint) b
@@ -184,4 +255,6 @@ def oracle_sql() -> dict[str, str]:
         "op6_ngram_jaccard": _JACCARD,
         "op8_decontaminate": _LEAKS,
         "op9_rendezvous": _rendezvous(),
+        "op11_prefix_trie": _TRIE,
+        "op12_spelling_variants": _SPELLING,
     }

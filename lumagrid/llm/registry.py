@@ -14,6 +14,7 @@ from lumagrid.llm import (
     line_dedup,
     nn_descent,
     packing,
+    prefix_trie,
     quality_rules,
     sharding,
     simhash_gray,
@@ -102,6 +103,10 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.repeated_passages(_table(spark, sf_dir, "documents"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(_table(spark, sf_dir, "conversations"))
+
+
 def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.spelling_variants(_table(spark, sf_dir, "documents"))
 
@@ -122,6 +127,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_decontaminate": op8_decontaminate,
         "op9_rendezvous": op9_rendezvous,
         "op10_substring_dedup": op10_substring_dedup,
+        "op11_prefix_trie": op11_prefix_trie,
         "op12_spelling_variants": op12_spelling_variants,
         "op13_simhash_gray": op13_simhash_gray,
     }
