@@ -32,6 +32,11 @@ def _places(at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return (at >> np.uint64(3)).astype(np.int64), np.uint8(1) << (at & np.uint64(7)).astype(np.uint8)
 
 
+def bits_for(n_hashes: int, most: int = FILTER_BITS) -> int:
+    """Bits of a filter with room for so many different hashes, but at most ``most``."""
+    return min(most, max(_BLOCK_BITS, 1 << (8 * n_hashes).bit_length()))
+
+
 class TwoFilters:
     def __init__(self, n_bits: int):
         self.n_bits = n_bits
@@ -88,6 +93,15 @@ def seen_twice(
 
     Its size is fixed by ``n_bits`` (a multiple of 65,536), also on the driver.
     """
+    return _filter_of(df, hashes_of, n_bits, "twice")
+
+
+def seen(df: DataFrame, hashes_of: Callable[[bytes | None], np.ndarray], n_bits: int = FILTER_BITS) -> bytes:
+    """The filter of all hashes, else like ``seen_twice``."""
+    return _filter_of(df, hashes_of, n_bits, "once")
+
+
+def _filter_of(df: DataFrame, hashes_of: Callable, n_bits: int, which: str) -> bytes:
     spark = df.sparkSession
 
     def set_bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -110,7 +124,8 @@ def seen_twice(
                 if row["block"] not in merged:
                     merged[row["block"]] = TwoFilters(_BLOCK_BITS)
                 merged[row["block"]].merge(row["once"], row["twice"])
-        yield from _in_batches((b, b"", _pack(m.twice)) for b, m in merged.items() if m.twice.any())
+        kept = ((b, getattr(m, which)) for b, m in merged.items())
+        yield from _in_batches((b, b"", _pack(bits)) for b, bits in kept if bits.any())
 
     blocks = df.mapInArrow(set_bits, _SPARK_SCHEMA)
     parts = min(int(spark.conf.get("spark.sql.shuffle.partitions")), n_bits // _BLOCK_BITS)

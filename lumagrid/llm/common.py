@@ -15,7 +15,7 @@ LOWER = UPPER.lower()
 # Lower-cases A-Z in UTF-8 and leaves every other byte as it is.
 LOWER_BYTES = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 # What bytes.split() and bytes.strip() take as white space: [\x20\x09-\x0D].
-CACHED_WORDS = 400_000
+CACHED_WORDS = 1 << 17
 
 
 class WordHashes(dict):
@@ -81,6 +81,47 @@ def groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Ta
         yield whole()
 
 
+def whole_parts(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """Tables of whole runs of rows with equal keys, of any number of runs, from batches sorted by them."""
+    rest = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        rows = pa.Table.from_batches([batch])
+        rows = (pa.concat_tables([rest, rows]) if rest is not None else rows).combine_chunks()
+        # The last run may go on in the next batch.
+        last = np.ones(rows.num_rows, bool)
+        for key in keys:
+            values = rows.column(key).to_numpy()
+            last &= values == values[-1]
+        cut = rows.num_rows - int(last.sum())
+        if cut:
+            yield rows.slice(0, cut)
+        rest = rows.slice(cut)
+    if rest is not None:
+        yield rest
+
+
+def run_starts(columns: list[np.ndarray]) -> np.ndarray:
+    """Where runs of rows with equal values begin."""
+    return np.flatnonzero(np.concatenate([[True], np.any([c[1:] != c[:-1] for c in columns], axis=0)]))
+
+
+def index_pairs(ends: np.ndarray, most: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Index pairs x < y < ends[x], about ``most`` at a time."""
+    counts = np.maximum(ends - np.arange(len(ends)) - 1, 0)
+    bounds = np.cumsum(counts)
+    at = 0
+    while at < len(ends):
+        done = bounds[at - 1] if at else 0
+        till = max(at + 1, int(np.searchsorted(bounds, done + most, side="right")))
+        x = np.repeat(np.arange(at, till), counts[at:till])
+        if len(x):
+            y = x + 1 + np.arange(len(x)) - np.repeat(bounds[at:till] - counts[at:till] - done, counts[at:till])
+            yield x, y
+        at = till
+
+
 def free_name(df: DataFrame, stem: str) -> str:
     """A column name that ``df`` does not have."""
     taken = {c.lower() for c in df.columns}

@@ -21,13 +21,24 @@ import os
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lumagrid.llm.bloom import held, seen_twice
-from lumagrid.llm.common import WordHashes, free_name, groups, mix, shingle_hashes, word_hashes, words_of
+from lumagrid.llm.bloom import bits_for, held, seen, seen_twice
+from lumagrid.llm.common import (
+    WordHashes,
+    free_name,
+    index_pairs,
+    mix,
+    run_starts,
+    shingle_hashes,
+    whole_parts,
+    word_hashes,
+    words_of,
+)
 from lumagrid.llm.components import components
 from lumagrid.llm.counters import count_places
 from lumagrid.operators.lookup import attach
@@ -41,6 +52,9 @@ FREQUENT = 256
 COMBINED_SIZE = 192
 _GRID = 2048  # sets in one part of a bucket
 _LOW_KEYS = 4
+_PAIRS = 1 << 19  # pairs that are looked at together
+_PER_HUB = 2048  # sets that are compared with another one in one part
+_SENT = 4 << 20  # bytes of sets that leave a task together
 _SALT = np.uint64(0x5851F42D4C957F2D)
 
 
@@ -108,16 +122,11 @@ def index_keys(tokens: np.ndarray, classes: np.ndarray, num: int, den: int) -> n
 
 def sketch_of(tokens: np.ndarray) -> bytes:
     """A bit for each residue of the tokens' hashes: whether an odd number of them has it."""
-    bits = max(64, 2 << (len(tokens) - 1).bit_length()) if len(tokens) else 64
+    bits = max(64, 1 << (len(tokens) - 1).bit_length()) if len(tokens) else 64
     at = (mix(tokens ^ _SALT) & np.uint64(bits - 1)).astype(np.int64)
     return np.packbits((np.bincount(at, minlength=bits) & 1).astype(np.uint8), bitorder="little").tobytes()
 
 
-def half_sketch(sketch: bytes) -> bytes:
-    words = np.frombuffer(sketch, np.uint64)
-    return fold(words, max(1, len(words) // 2)).tobytes()
-
-
 def fold(sketch: np.ndarray, words: int) -> np.ndarray:
     """Rows of 64-bit words as the sketches of ``words`` words that the same sets have."""
     while sketch.shape[-1] > words:
@@ -126,12 +135,47 @@ def fold(sketch: np.ndarray, words: int) -> np.ndarray:
     return sketch
 
 
+class Sketches:
+    """A column of sketches, of which pairs are compared many at a time."""
+
+    _WORDS = 1 << 21  # of the pairs that are compared at once
+
+    def __init__(self, column: pa.Array):
+        column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+        ends = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1]
+        data = column.buffers()[2]
+        self.data = np.frombuffer(data, np.uint64, len(data) // 8) if len(column) else np.empty(0, np.uint64)
+        self.starts, self.words = ends[:-1] // 8, np.diff(ends) // 8
+
+    def _rows(self, at: np.ndarray, words: int) -> np.ndarray:
+        out = np.empty((len(at), words), np.uint64)
+        for own in np.unique(self.words[at]):
+            which = self.words[at] == own
+            out[which] = fold(self.data[self.starts[at[which]][:, None] + np.arange(own)], words)
+        return out
+
+    def apart(self, x: np.ndarray, other: Sketches, y: np.ndarray) -> np.ndarray:
+        """For each pair, how many tokens its sets differ in at least."""
+        out = np.empty(len(x), np.int64)
+        words = np.minimum(self.words[x], other.words[y])
+        for w in np.unique(words):
+            at = np.flatnonzero(words == w)
+            step = max(1, self._WORDS // int(w))
+            for i in range(0, len(at), step):
+                part = at[i : i + step]
+                bits = self._rows(x[part], int(w)) ^ other._rows(y[part], int(w))
+                out[part] = np.bitwise_count(bits).sum(axis=1)
+        return out
+
+
 def may_link(difference, total, num: int, den: int):
     """Whether sets that differ in ``difference`` tokens, of ``total`` tokens, can be linked."""
     return (den - num) * total >= (den + num) * difference
 
 
 def _build_index(docs: DataFrame, k: int, num: int, den: int, classes) -> DataFrame:
+    """``row`` is drawn for each row, and ``text`` is a digest of its text."""
+
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache, kinds = WordHashes(), np.frombuffer(classes.value, np.uint8)
         for batch in batches:
@@ -144,12 +188,15 @@ def _build_index(docs: DataFrame, k: int, num: int, den: int, classes) -> DataFr
                     pa.array([set_digest(s) for s in sets], pa.binary()),
                     pa.array([sketch_of(s) for s in sets], pa.binary()),
                     pa.array([index_keys(s, kinds, num, den).tobytes() for s in sets], pa.binary()),
+                    pa.array([xxhash.xxh3_128_digest(v.as_py() or b"") for v in batch.column(1)], pa.binary()),
                 ],
-                names=["id", "row", "n", "digest", "sketch", "keys"],
+                names=["id", "row", "n", "digest", "sketch", "keys", "text"],
             )
 
     kind = docs.schema["id"].dataType.simpleString()
-    return docs.mapInArrow(build, f"id {kind}, row long, n long, digest binary, sketch binary, keys binary")
+    return docs.mapInArrow(
+        build, f"id {kind}, row long, n long, digest binary, sketch binary, keys binary, text binary"
+    )
 
 
 # --- pairs ------------------------------------------------------------------------------
@@ -160,74 +207,103 @@ def _passing(pairs: DataFrame, num: int, den: int) -> DataFrame:
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            kept = []
-            for row in zip(*(batch.column(c).to_pylist() for c in ("na", "sa", "nb", "sb")), strict=True):
-                na, sa, nb, sb = row[0], np.frombuffer(row[1], np.uint64), row[2], np.frombuffer(row[3], np.uint64)
-                words = min(len(sa), len(sb))
-                apart = int(np.bitwise_count(fold(sa, words) ^ fold(sb, words)).sum())
-                kept.append(may_link(max(apart, abs(na - nb)), na + nb, num, den))
-            yield batch.select(["a", "b", "share"]).filter(pa.array(kept, pa.bool_()))
+            na, nb = (batch.column(c).to_numpy() for c in ("na", "nb"))
+            rows = np.arange(len(na))
+            apart = Sketches(batch.column("sa")).apart(rows, Sketches(batch.column("sb")), rows)
+            kept = may_link(np.maximum(apart, np.abs(na - nb)), na + nb, num, den)
+            yield batch.select(["a", "b", "share"]).filter(pa.array(kept))
 
     return pairs.mapInArrow(keep, "a binary, b binary, share float")
 
 
+def id_hash(value) -> int:
+    return xxhash.xxh3_64_intdigest(str(value))
+
+
+def _wanted(pairs: DataFrame, reps: DataFrame, n_reps: int) -> tuple[DataFrame, int]:
+    """``(digest, id, targets)``: which sets are sent where to be compared.
+
+    The pairs ``(a, b)`` of one ``b`` meet in parts of about _PER_HUB of them; ``b`` itself goes to all of its parts.
+    """
+    hubs = pairs.groupBy("b").agg(F.ceil(F.count(F.lit(1)) / _PER_HUB).cast("int").alias("parts"))
+    hubs, n_hubs = store(hubs)
+    spread = attach(pairs, hubs, ["b"], n_rows=n_hubs)
+    target = F.struct("b", F.pmod(F.xxhash64("a"), F.col("parts")).cast("int").alias("part"), F.lit(1).alias("side"))
+    sent = spread.select(F.col("a").alias("digest"), F.array(target).alias("targets"))
+    own = F.transform(
+        F.sequence(F.lit(0), F.col("parts") - 1),
+        lambda p: F.struct(F.col("b"), p.alias("part"), F.lit(0).alias("side")),
+    )
+    sent = sent.unionByName(hubs.select(F.col("b").alias("digest"), own.alias("targets")))
+    sent = sent.groupBy("digest").agg(F.flatten(F.collect_list("targets")).alias("targets"))
+    return store(attach(sent, reps.select("digest", "id"), ["digest"], n_rows=n_reps))
+
+
 def _verified(
     pairs: DataFrame, docs: DataFrame, reps: DataFrame, n_reps: int, k: int, num: int, den: int
 ) -> DataFrame:
-    """The pairs ``(a, b)`` that are linked by the sets themselves, stored.
+    """The stored pairs ``(a, b)`` that are linked by the sets themselves, stored.
 
-    The sets are built where the texts lie. Those of ``a`` move to those of ``b``, so ``b`` had better
-    be the end that many pairs have in common.
+    The sets are built where the texts lie, of those documents that a filter of the wanted ids lets
+    pass, and meet where ``b`` is. Only the set of ``b`` is held there; those of ``a`` pass by.
     """
-    ids = reps.select("digest", "id", "same")
-    mine = pairs.groupBy(F.col("a").alias("digest")).agg(F.collect_list("b").alias("ends"))
-    mine, n_mine = store(attach(mine, ids, ["digest"], n_rows=n_reps))
-    ends = pairs.select(F.col("b").alias("digest")).distinct()
-    ends, n_ends = store(attach(ends, ids, ["digest"], n_rows=n_reps))
+    spark = docs.sparkSession
+    wanted, n_wanted = _wanted(pairs, reps, n_reps)
+    of_id = lambda value: np.array([id_hash(value.decode())], np.uint64)
+    ids = wanted.select(F.col("id").cast("string").cast("binary"))
+    known = spark.sparkContext.broadcast(seen(ids, of_id, bits_for(n_wanted)))
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = WordHashes()
+        cache, bits = WordHashes(), np.frombuffer(known.value, np.uint8)
         for batch in batches:
-            rows, found = [], []
-            for row, (text, digest, others) in enumerate(
-                zip(*(batch.column(c).to_pylist() for c in ("text", "digest", "ends")), strict=True)
-            ):
-                tokens = token_set(text, k, cache)
-                if set_digest(tokens) == digest:  # not another text of the same id
-                    rows += [row] * len(others)
-                    found += [(other, tokens.tobytes()) for other in others]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("digest").take(pa.array(rows, pa.int64())),
-                    pa.array([f[0] for f in found], pa.binary()),
-                    pa.array([f[1] for f in found], pa.binary()),
-                ],
-                names=["a", "b", "tokens"],
-            )
-
-    schema = "a binary, b binary, tokens binary"
-    left = attach(docs, mine.select("id", "digest", "ends"), ["id"], n_rows=n_mine, row_bytes=128)
-    left = left.select("text", "digest", "ends").mapInArrow(sets, schema).withColumnRenamed("tokens", "ta")
-    right = attach(docs, ends.select("id", "digest", "same"), ["id"], n_rows=n_ends)
-    own = F.array("digest").alias("ends")
-    one = right.where(F.col("same") == 1).select("text", "digest", own).mapInArrow(sets, schema)
-    # Rows with one id and text give one set; other texts of the id give none.
-    several = right.where(F.col("same") > 1).select("text", "digest", own).mapInArrow(sets, schema)
-    several = several.dropDuplicates(["b"])
-    right = one.unionByName(several).select("b", F.col("tokens").alias("tb"))
+            hashes = np.array([id_hash(v) for v in batch.column("name").to_pylist()], np.uint64)
+            digests, tokens, size = [], [], 0
+            for row in np.flatnonzero(held(bits, hashes)).tolist() if len(hashes) else ():
+                own = token_set(batch.column("text")[row].as_py(), k, cache)
+                digests.append(set_digest(own))
+                tokens.append(own.tobytes())
+                size += len(tokens[-1])
+                if size > _SENT:
+                    yield _binary({"digest": digests, "tokens": tokens})
+                    digests, tokens, size = [], [], 0
+            yield _binary({"digest": digests, "tokens": tokens})
+
+    named = docs.where(F.col("id").isNotNull()).select(F.col("id").cast("string").alias("name"), "text")
+    built = named.mapInArrow(sets, "digest binary, tokens binary")
+    sent = attach(built, wanted.select("digest", "targets"), ["digest"], row_bytes=128, n_rows=n_wanted)
+    sent = sent.select(F.explode("targets").alias("to"), "digest", "tokens")
+    met = sent.select("to.b", "to.part", "to.side", "digest", "tokens").repartition("b", "part")
 
     def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hub, held_tokens = None, None
         for batch in batches:
-            kept = []
-            for x, y in zip(batch.column("ta").to_pylist(), batch.column("tb").to_pylist(), strict=True):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                at = np.searchsorted(y, x)
-                both = int((y[np.minimum(at, len(y) - 1)] == x).sum())
-                kept.append(den * both >= num * (len(x) + len(y) - both))
-            yield batch.select(["a", "b"]).filter(pa.array(kept, pa.bool_()))
+            found_a, found_b = [], []
+            columns = [batch.column(c) for c in ("side", "b", "digest", "tokens")]
+            for side, b, digest, tokens in zip(*(columns[0].to_pylist(), *columns[1:]), strict=True):
+                x = np.frombuffer(tokens.as_buffer(), np.uint64)
+                if not side:  # sorted before those that are compared with it
+                    hub, held_tokens = b.as_py(), x.copy()
+                elif hub == b.as_py() and _similar(x, held_tokens, num, den):
+                    found_a.append(digest.as_py())
+                    found_b.append(hub)
+            yield _binary({"a": found_a, "b": found_b})
+
+    links = met.sortWithinPartitions("b", "part", "side").mapInArrow(linked, "a binary, b binary")
+    found, _ = store(links.distinct())
+    known.destroy()
+    return found
+
 
-    met = left.join(right, "b").select("a", "b", "ta", "tb")
-    return store(met.mapInArrow(linked, "a binary, b binary"))[0]
+def _similar(x: np.ndarray, y: np.ndarray, num: int, den: int) -> bool:
+    if not may_link(abs(len(x) - len(y)), len(x) + len(y), num, den):
+        return False
+    at = np.searchsorted(y, x)
+    both = int((y[np.minimum(at, len(y) - 1)] == x).sum())
+    return den * both >= num * (len(x) + len(y) - both)
+
+
+def _binary(columns: dict[str, list[bytes]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in columns.values()], names=list(columns))
 
 
 def _with_sketches(rays: DataFrame, nodes: DataFrame, hubs: DataFrame) -> DataFrame:
@@ -235,12 +311,12 @@ def _with_sketches(rays: DataFrame, nodes: DataFrame, hubs: DataFrame) -> DataFr
 
     The hubs of a set are gathered before it gets its sketch; hubs are far fewer than sets.
     """
-    side = nodes.select("digest", "n", "brief")
+    side = nodes.select("digest", "n", "sketch")
     near = rays.groupBy("a").agg(F.collect_set(F.struct("b", "share")).alias("hubs"))
     own = near.join(side.toDF("a", "na", "sa"), "a").select("a", "na", "sa", F.inline("hubs"))
     chosen, n_chosen = store(side.join(hubs.select(F.col("hub").alias("digest")).distinct(), "digest"))
     return attach(
-        own, chosen.toDF("b", "nb", "sb"), ["b"], row_bytes=_mean_bytes(chosen, "brief"), n_rows=n_chosen
+        own, chosen.toDF("b", "nb", "sb"), ["b"], row_bytes=_mean_bytes(chosen, "sketch"), n_rows=n_chosen
     )
 
 
@@ -266,58 +342,53 @@ def _across(rows: DataFrame, num: int, den: int) -> DataFrame:
     the bucket at hand, are compared there.
     """
 
+    part = ["key", "i", "j"]
+
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in groups(batches, ["key", "i", "j"]):
-            first = part.column("i")[0].as_py()
-            second = part.column("j")[0].as_py()
-            order = np.argsort(part.column("n").to_numpy(), kind="stable")
-            part = part.take(order)
-            n, own = part.column("n").to_numpy(), part.column("own").to_numpy()
-            roots = {r: c for c, r in enumerate(dict.fromkeys(part.column("root").to_pylist()))}
-            root = np.array([roots[r] for r in part.column("root").to_pylist()])
-            sketches = [np.frombuffer(s, np.uint64) for s in part.column("sketch").to_pylist()]
-            words = np.array([len(s) for s in sketches])
-            key = part.column("key")[0].as_py()
-            low = np.zeros((len(part), _LOW_KEYS), np.int64) + np.iinfo(np.int64).max
-            for row, keys in enumerate(part.column("low").to_pylist()):
-                keys = np.frombuffer(keys, np.int64)
-                low[row, : len(keys)] = keys
-            low[low >= key] = np.iinfo(np.int64).max  # only buckets that come before this one
-            found_a, found_b = [], []
-            # Sets ascend in size, so partners of x lie between x and the last that is not too large.
-            last = np.searchsorted(n, n * den // num, side="right")
-            for w in np.unique(words):
-                xs = np.flatnonzero(words == w)
-                ys = np.arange(xs[0], last[xs[-1]])
-                folded = np.stack([fold(sketches[y], w) for y in ys])
-                for x in xs:
-                    y = np.arange(x + 1, last[x])
-                    y = y[root[y] != root[x]]
-                    if first != second:
-                        y = y[own[y] != own[x]]
-                    if len(y):
-                        apart = np.bitwise_count(folded[y - xs[0]] ^ folded[x - xs[0]]).sum(axis=1)
-                        y = y[may_link(apart.astype(np.int64), n[x] + n[y], num, den)]
-                        before = low[x][low[x] != np.iinfo(np.int64).max]
-                        y = y[~np.isin(low[y], before).any(axis=1)]
-                        found_a += [x] * len(y)
-                        found_b += y.tolist()
-            digests = part.column("digest").combine_chunks()
-            yield pa.RecordBatch.from_arrays(
-                [digests.take(pa.array(found_a, pa.int64())), digests.take(pa.array(found_b, pa.int64()))],
-                names=["a", "b"],
-            )
+        for rows in whole_parts(batches, part):
+            yield from _compare(rows, part, num, den)
 
     pairs = rows.mapInArrow(compare, "a binary, b binary")
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
+def _compare(rows: pa.Table, part: list[str], num: int, den: int) -> Iterator[pa.RecordBatch]:
+    """The pairs of whole parts, some thousand parts at a time."""
+    runs = np.zeros(rows.num_rows, np.int64)
+    runs[run_starts([rows.column(c).to_numpy() for c in part])] = 1
+    runs = np.cumsum(runs)
+    # Sets of a part ascend in size, so partners of x lie between x and the last that is not too large.
+    order = np.lexsort((rows.column("n").to_numpy(), runs))
+    rows, runs = rows.take(pa.array(order)).combine_chunks(), runs[order]
+    n, own, key, i, j = (rows.column(c).to_numpy() for c in ("n", "own", "key", "i", "j"))
+    root = rows.column("root").combine_chunks().dictionary_encode().indices.to_numpy()
+    low = np.full((len(n), _LOW_KEYS), np.iinfo(np.int64).max)
+    for row, keys in enumerate(rows.column("low").to_pylist()):
+        low[row, : len(keys) // 8] = np.frombuffer(keys, np.int64)
+    low[low >= key[:, None]] = np.iinfo(np.int64).max  # only buckets that come before this one
+    sketches, digests = Sketches(rows.column("sketch")), rows.column("digest").combine_chunks()
+    width = int(n.max()) + 1
+    ends = np.searchsorted(runs * width + n, runs * width + np.minimum(n * den // num, width - 1), side="right")
+    for x, y in index_pairs(ends, _PAIRS):
+        ok = (root[x] != root[y]) & ((i[x] == j[x]) | (own[x] != own[y]))
+        x, y = x[ok], y[ok]
+        ok = may_link(sketches.apart(x, sketches, y), n[x] + n[y], num, den)
+        x, y = x[ok], y[ok]
+        before = (low[x][:, :, None] == low[y][:, None, :]) & (low[x] < np.iinfo(np.int64).max)[:, :, None]
+        ok = ~before.any(axis=(1, 2))
+        if ok.any():
+            yield pa.RecordBatch.from_arrays(
+                [digests.take(pa.array(x[ok])), digests.take(pa.array(y[ok]))], names=["a", "b"]
+            )
+
+
 def _with_shared_keys(sets: DataFrame) -> DataFrame:
     """Stored sets with those of their keys that other sets may have, and their sketches.
 
     The filter that tells these keys is released as soon as they are stored.
     """
-    found = seen_twice(sets.select("keys"), lambda b: np.frombuffer(b, np.uint64))
+    n_keys = int(sets.agg(F.sum(F.octet_length("keys"))).first()[0] or 0) // 8
+    found = seen_twice(sets.select("keys"), lambda b: np.frombuffer(b, np.uint64), bits_for(n_keys))
     twice = sets.sparkSession.sparkContext.broadcast(found)
 
     def shared_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -334,33 +405,23 @@ def _with_shared_keys(sets: DataFrame) -> DataFrame:
                     batch.column("digest"),
                     batch.column("n"),
                     batch.column("sketch"),
-                    pa.array([half_sketch(v) for v in batch.column("sketch").to_pylist()], pa.binary()),
                     pa.array(keys, pa.list_(pa.int64())),
                     pa.array([k[:_LOW_KEYS].tobytes() for k in keys], pa.binary()),
                     pa.array(shares, pa.float32()),
                 ],
-                names=["digest", "n", "sketch", "brief", "keys", "low", "share"],
+                names=["digest", "n", "sketch", "keys", "low", "share"],
             )
 
-    schema = "digest binary, n long, sketch binary, brief binary, keys array<long>, low binary, share float"
+    schema = "digest binary, n long, sketch binary, keys array<long>, low binary, share float"
     nodes, _ = store(sets.select("digest", "n", "sketch", "keys").mapInArrow(shared_keys, schema))
     twice.destroy()
     return nodes
 
 
-def jaccard_components(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = 5, num: int = 80, den: int = 100
-) -> DataFrame:
-    """``(key, n_shingles, component_id)`` for each row of ``docs``.
+def _components(docs: DataFrame, key: str, text: str, k: int, num: int, den: int) -> DataFrame:
+    """``(id, text, n, component, stays)`` for each row, with a digest of its text and the size of its set.
 
-    Words are ``[^\\x20\\x09-\\x0D]+`` with A-Z lower-cased, a document's set its distinct
-    shingles of ``k`` words (with fewer words, all of them as one). Documents are linked when
-    ``den * intersection >= num * union``; ``component_id`` is the smallest id reachable.
-
-    A text that is null, empty or without words has an empty set and is linked with nothing.
-    A row without an id is linked with nothing and has a null component. Rows with one id
-    are documents of their own, so equal rows are linked. Other columns are not read; an
-    empty table gives an empty result. Texts of any length are taken whole.
+    ``stays`` holds for the smallest id and then text of a component, and for rows that have none.
     """
     if not 0.5 <= num / den < 1:
         raise ValueError("similarities from 0.5 to below 1 are supported")
@@ -371,10 +432,12 @@ def jaccard_components(
 
     # One set for all documents that have it; ``same`` rows have its smallest id.
     members = index.where((F.col("n") > 0) & F.col("id").isNotNull())
-    by_id = members.groupBy("digest", "id").agg(F.min("row").alias("row"), F.count(F.lit(1)).alias("same"))
-    firsts = by_id.groupBy("digest").agg(F.min(F.struct("id", "row", "same")).alias("m"), F.sum("same").alias("copies"))
-    reps, n_reps = store(firsts.select("digest", "m.id", "m.row", "m.same", "copies"))
-    sets = attach(index.drop("id", "digest"), reps.select("row", "digest"), ["row"], n_rows=n_reps)
+    by_id = members.groupBy("digest", "id").agg(
+        F.min("text").alias("text"), F.min("row").alias("row"), F.count(F.lit(1)).alias("same")
+    )
+    firsts = by_id.groupBy("digest").agg(F.min(F.struct("id", "text", "row")).alias("m"), F.sum("same").alias("copies"))
+    reps, n_reps = store(firsts.select("digest", "m.id", "m.text", "m.row", "copies"))
+    sets = attach(index.drop("id", "digest", "text"), reps.select("row", "digest"), ["row"], n_rows=n_reps)
 
     nodes = _with_shared_keys(sets)
     entries = nodes.select("digest", "share", F.explode("keys").alias("key"))
@@ -413,8 +476,7 @@ def jaccard_components(
         .select("key", "size")
     )
     rows = attach(placed.drop("members"), open_keys, ["key"], weight="size", n_rows=n_open)
-    shapes = nodes.select("digest", "n", "sketch", "low")
-    rows = attach(rows, shapes, ["digest"], row_bytes=_mean_bytes(shapes, "sketch", "low"), n_rows=n_reps)
+    rows = rows.join(nodes.select("digest", "n", "sketch", "low"), "digest")
     parts = F.ceil(F.col("size") / _GRID).cast("int")
     rows = rows.withColumn("own", F.pmod(F.xxhash64("digest"), parts).cast("int")).withColumn(
         "other", F.explode(F.sequence(F.lit(0), parts - 1))
@@ -428,32 +490,72 @@ def jaccard_components(
     roots, n_roots = store(components(links).select(F.col("node").alias("digest"), "root"))
 
     # The smallest id of a component, back to all its documents.
-    named = attach(reps.select("digest", "id", "copies"), roots, ["digest"], how="left", n_rows=n_roots)
+    named = attach(reps.drop("row"), roots, ["digest"], how="left", n_rows=n_roots)
     named = named.withColumn("root", F.coalesce("root", "digest"))
-    lowest = named.groupBy("root").agg(F.min("id").alias("component"), F.count(F.lit(1)).alias("sets"))
-    classes_of = attach(named, lowest, ["root"], weight="sets").select("digest", "component", "copies")
-    marked = attach(index.select("id", "n", "digest"), classes_of, ["digest"], weight="copies", how="left")
+    lowest = named.groupBy("root").agg(F.min(F.struct("id", "text")).alias("first"), F.count(F.lit(1)).alias("sets"))
+    classes_of = attach(named.drop("id", "text"), lowest, ["root"], weight="sets", row_bytes=96)
+    classes_of = classes_of.select("digest", "first", "copies")
+    found = index.select("id", "n", "text", "digest")
+    found = attach(found, classes_of, ["digest"], weight="copies", how="left", row_bytes=96)
     alone = (F.col("n") == 0) | F.col("id").isNull()
-    return marked.select(
-        F.col("id").alias(key),
-        F.col("n").alias("n_shingles"),
-        F.when(alone, F.col("id")).otherwise(F.col("component")).alias("component_id"),
+    return found.select(
+        "id",
+        "text",
+        "n",
+        F.when(alone, F.col("id")).otherwise(F.col("first.id")).alias("component"),
+        (alone | (F.struct("id", "text") == F.col("first"))).alias("stays"),
+    )
+
+
+def jaccard_components(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = 5, num: int = 80, den: int = 100
+) -> DataFrame:
+    """``(key, n_shingles, component_id)`` for each row of ``docs``.
+
+    Words are ``[^\\x20\\x09-\\x0D]+`` with A-Z lower-cased, a document's set its distinct
+    shingles of ``k`` words (with fewer words, all of them as one). Documents are linked when
+    ``den * intersection >= num * union``; ``component_id`` is the smallest id reachable.
+
+    A text that is null, empty or without words has an empty set and is linked with nothing.
+    A row without an id is linked with nothing and has a null component. Rows with one id
+    are documents of their own, so equal rows are linked. Other columns are not read; an
+    empty table gives an empty result. Texts of any length are taken whole.
+    """
+    found = _components(docs, key, text, k, num, den)
+    return found.select(
+        F.col("id").alias(key), F.col("n").alias("n_shingles"), F.col("component").alias("component_id")
     )
 
 
-def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """The rows of ``docs``, with their columns, but of each component only that of the smallest id.
+def keep_one(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = 5, num: int = 80, den: int = 100
+) -> DataFrame:
+    """The rows of ``docs``, with their columns, but of each component only one document.
 
-    Rows without an id and rows with an empty set stay. Of rows that have one id and equal
-    texts one stays.
+    It is that of the smallest id, and if several texts of the component have this id, that of the
+    smallest digest; of its equal rows one stays. An id's texts of other components are judged
+    by these. Rows without an id and rows with an empty set all stay. An empty table gives an empty
+    result.
     """
-    found, _ = store(jaccard_components(docs, key, text, **options))
-    mark, own = free_name(docs, "gone"), free_name(docs, "own")
-    ids = found.where(F.col(key).isNotNull()).groupBy(F.col(key).alias(own))
-    marks = ids.agg((F.min("component_id") < F.first(key)).alias(mark), F.count(F.lit(1)).alias("_n"))
-    marks = marks.where(F.col(mark) | (F.col("_n") > 1)).drop("_n")
-    named = docs.withColumn(own, F.col(key))
-    marked, _ = store(attach(named, marks, [own], how="left", row_bytes=24))
-    single = marked.where(F.col(mark).isNull())
-    repeated = marked.where(F.col(mark) == F.lit(False)).dropDuplicates([key, text])
-    return single.unionByName(repeated).select(*docs.columns)
+    found, _ = store(_components(docs, key, text, k, num, den).where(F.col("id").isNotNull()))
+    several, own, said = (free_name(docs, stem) for stem in ("several", "own", "said"))
+    ids = found.groupBy("id").agg(F.count(F.lit(1)).alias("rows"), F.bool_and("stays").alias("stays"))
+    marks = ids.where((F.col("rows") > 1) | ~F.col("stays"))
+    marks, n_marks = store(marks.select(F.col("id").alias(own), (F.col("rows") > 1).alias(several)))
+    marked = attach(docs.withColumn(own, F.col(key)), marks, [own], how="left", row_bytes=24, n_rows=n_marks)
+    single = marked.where(F.col(several).isNull()).select(*docs.columns)
+    texts = found.where("stays").select(F.col("id").alias(own), F.col("text").alias(said)).distinct()
+    repeated = _with_digest(marked.where(several), text, said).join(texts, [own, said])
+    worded = F.coalesce(F.col(text).rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    once = repeated.where(worded).dropDuplicates([own, said]).unionByName(repeated.where(~worded))
+    return single.unionByName(once.select(*docs.columns))
+
+
+def _with_digest(docs: DataFrame, text: str, out: str) -> DataFrame:
+    """``docs`` with the digest of their texts that ``_components`` has."""
+
+    @F.pandas_udf("binary")
+    def digest(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda v: xxhash.xxh3_128_digest(v or b""))
+
+    return docs.withColumn(out, digest(F.col(text).cast("binary")))

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lumagrid.llm.common import LOWER, UPPER
+from lumagrid.llm.common import LOWER, UPPER, index_pairs, run_starts, whole_parts
 from lumagrid.operators.lookup import attach
 from lumagrid.settings import store
 
@@ -101,27 +101,12 @@ def near(left: np.ndarray, right: np.ndarray, x: np.ndarray, y: np.ndarray) -> t
     return prefix + suffix >= left.shape[1] - 1, prefix
 
 
-def _pairs(ends: np.ndarray, most: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Index pairs x < y < ends[x], about ``most`` at a time."""
-    counts = ends - np.arange(len(ends)) - 1
-    bounds = np.cumsum(counts)
-    at = 0
-    while at < len(ends):
-        done = bounds[at - 1] if at else 0
-        till = max(at + 1, int(np.searchsorted(bounds, done + most, side="right")))
-        x = np.repeat(np.arange(at, till), counts[at:till])
-        if len(x):
-            y = x + 1 + np.arange(len(x)) - np.repeat(bounds[at:till] - counts[at:till] - done, counts[at:till])
-            yield x, y
-        at = till
-
-
 def _compare(rows: pa.Table) -> Iterator[pa.RecordBatch]:
     """Sums of the words of whole parts of the grid; rows are sorted by part."""
     part = [rows.column(c).to_numpy() for c in ("key", "i", "j")]
     own, n = rows.column("own").to_numpy(), rows.column("n").to_numpy()
     low, high, longer = (rows.column(c).to_numpy() for c in ("low", "high", "longer"))
-    starts = np.flatnonzero(np.concatenate([[True], np.any([p[1:] != p[:-1] for p in part], axis=0)]))
+    starts = run_starts(part)
     sizes = np.diff(np.append(starts, len(own)))
     ends = np.repeat(starts + sizes, sizes)
     words = rows.column("word").to_pylist()
@@ -131,7 +116,7 @@ def _compare(rows: pa.Table) -> Iterator[pa.RecordBatch]:
         whole = np.array([len(words[i]) == width for i in at])
         last = np.searchsorted(at, ends[at])
         found: list[np.ndarray] = []
-        for x, y in _pairs(last, max(1, _CELLS // int(width))):
+        for x, y in index_pairs(last, max(1, _CELLS // int(width))):
             one, prefix = near(left, right, x, y)
             i, j = at[x], at[y]
             ok = one & (whole[x] | whole[y]) & (low[i] <= prefix) & (prefix < high[i])
@@ -183,22 +168,8 @@ def near_words(words: DataFrame) -> DataFrame:
     ).repartition(*part)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest = None
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            rows = pa.Table.from_batches([batch])
-            rows = (pa.concat_tables([rest, rows]) if rest is not None else rows).combine_chunks()
-            # The last part may go on in the next batch.
-            last = np.ones(rows.num_rows, bool)
-            for c in part:
-                values = rows.column(c).to_numpy()
-                last &= values == values[-1]
-            cut = rows.num_rows - int(last.sum())
-            yield from _compare(rows.slice(0, cut))
-            rest = rows.slice(cut)
-        if rest is not None:
-            yield from _compare(rest)
+        for rows in whole_parts(batches, part):
+            yield from _compare(rows)
 
     schema = "word string, n_near long, best_n long, best string"
     sums = dealt.sortWithinPartitions(*part).mapInArrow(compare, schema)

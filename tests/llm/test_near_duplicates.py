@@ -109,6 +109,29 @@ def test_one_of_a_group_stays(spark):
     assert jaccard_join.keep_one(repeated).count() == 1
 
 
+def test_texts_of_a_repeated_id_are_kept_each_by_itself(spark):
+    a, r, s = (cases.prose(i, 50) for i in (31, 32, 33))
+    rows = [(1, a), (2, a), (2, r), (3, r + " x"), (4, s), (4, s + " y"), (4, cases.prose(34, 50)), (5, a + " z"), (5, a)]
+    rows += [(6, ""), (6, " \n"), (6, None), (None, a), (None, a)]
+    kept = jaccard_join.keep_one(spark.createDataFrame(rows, "doc_id long, text string"))
+    got = Counter(tuple(x) for x in kept.collect())
+    of_4 = [t for i, t in got if i == 4]
+    assert len(of_4) == 2 and rows[6][1] in of_4
+    assert {k: v for k, v in got.items() if k[0] != 4} == {
+        (1, a): 1, (2, r): 1, (6, ""): 1, (6, " \n"): 1, (6, None): 1, (None, a): 2
+    }
+
+
+def test_sets_meet_a_common_one_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "_PER_HUB", 5)
+    monkeypatch.setattr(jaccard_join, "_SENT", 900)
+    base = cases.prose(9, 80)
+    rows = [(i, edited(base, i, i % 9)) for i in range(80)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = Counter(tuple(r) for r in jaccard_join.jaccard_components(docs).collect())
+    assert got == jaccard_plainly(rows)
+
+
 def test_large_groups_are_cut_into_a_grid(spark, monkeypatch):
     monkeypatch.setattr(jaccard_join, "_GRID", 7)
     base = cases.prose(9, 80)
