@@ -78,22 +78,27 @@ def explode_raster(
 ) -> DataFrame:
     """Row-major, channel-interleaved arrays to one row per pixel.
 
-    Other columns are kept; ``y0`` and ``x0``, if present, are where the array
-    begins in its image (as ``pack_raster`` writes them). Channels that the last pixel of
-    an array lacks are NULL; an empty or NULL array has no pixel.
+    Other columns are kept; ``y0`` and ``x0``, if present, are where the array begins in its image,
+    and ``offsets``, where it is not NULL, how far from there along the line each pixel
+    lies (as ``pack_raster`` writes them). Channels that the last pixel of an array lacks
+    are NULL; an empty or NULL array has no pixel.
     """
     n = len(channels)
     width = F.lit(width) if isinstance(width, int) else width
-    keep = [c for c in rasters.columns if c not in (data, "y0", "x0")]
+    keep = [c for c in rasters.columns if c not in (data, "y0", "x0", "offsets")]
     y0 = F.col("y0") if "y0" in rasters.columns else F.lit(0)
     x0 = F.col("x0") if "x0" in rasters.columns else F.lit(0)
     last = F.ceil(F.size(data) / n).cast("int") - 1
     cells = rasters.where(F.size(data) > 0).withColumn("_i", F.explode(F.sequence(F.lit(0), last)))
-    row = F.floor(F.col("_i") / width).cast("int")
+    at = F.col("_i")
+    if "offsets" in rasters.columns:
+        at = F.coalesce(F.get("offsets", F.col("_i")), at)
+    cells = cells.withColumn("_at", at)
+    row = F.floor(F.col("_at") / width).cast("int")
     return cells.select(
         *keep,
         (y0 + row).alias("y"),
-        (x0 + F.col("_i") - row * width).alias("x"),
+        (x0 + F.col("_at") - row * width).alias("x"),
         *[F.get(data, F.col("_i") * n + k).alias(c) for k, c in enumerate(channels)],
     )
 
@@ -101,20 +106,25 @@ def explode_raster(
 def pack_raster(
     pixels: DataFrame, channels: tuple[str, ...] = ("b", "g", "r"), run: int = 4096
 ) -> DataFrame:
-    """Pixels to arrays: one row per image line, cut every ``run`` pixels.
+    """Pixels to arrays: one row per image line, cut every ``run`` columns.
 
+    ``x0`` is the first pixel of an array. ``offsets`` are the distances of its pixels from there, or
+    NULL if they follow one another, so pixels that an image lacks cost nothing where there are none.
     An image is never gathered whole; an array holds at most ``run`` pixels.
     """
     packed = (
-        pixels.withColumn("x0", (F.col("x") - F.pmod("x", F.lit(run))).cast("int"))
-        .groupBy(IMAGE, F.col("y").alias("y0"), "x0")
+        pixels.withColumn("_part", F.floor(F.col("x") / run))
+        .groupBy(IMAGE, F.col("y").alias("y0"), "_part")
         .agg(F.array_sort(F.collect_list(F.struct("x", *channels))).alias("_run"))
     )
+    first, last = F.get("_run", F.lit(0))["x"], F.element_at("_run", -1)["x"]
+    offsets = F.transform("_run", lambda p: (p["x"] - first).cast("int"))
     return packed.select(
         IMAGE,
         "y0",
-        "x0",
+        first.cast("int").alias("x0"),
         F.flatten(
             F.transform("_run", lambda p: F.array(*[p.getField(c) for c in channels]))
         ).alias("data"),
+        F.when(last - first + 1 > F.size("_run"), offsets).alias("offsets"),
     )

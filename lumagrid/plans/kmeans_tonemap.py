@@ -27,10 +27,8 @@ def tone_map_kmeans(
 
     ``hist`` is the pixels' own histogram, if there is a cheaper way to it.
     """
-    hist, n_levels = store(luminance_histogram(pixels, bins_per_unit) if hist is None else hist)
-    models = clusters.kmeans_fit(
-        hist, k, max_iter, seed, local_levels=local_levels, n_levels=n_levels
-    )
+    hist, _ = store(luminance_histogram(pixels, bins_per_unit) if hist is None else hist)
+    models = clusters.kmeans_fit(hist, k, max_iter, seed, local_levels=local_levels)
     return map_by_clusters(pixels, hist, models, bins_per_unit, weighting, quantize)
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from lumagrid.operators.clusters import TOLERANCE
+from lumagrid.operators.clusters import MAX_ITER, TOLERANCE
 from lumagrid.plans.registry import BINS, CENTERS, FITTED
 
 _HDR = """
@@ -38,6 +38,10 @@ ldr as (
          cast(least(255, floor(r * 40)) as integer) as r
   from hdr)"""
 
+_HOLES = """
+holes as (
+  select image_id, y, x, b, case when g % 7 != 0 then g end as g, r from ldr where (b + x) % 5 != 2)"""
+
 _GRAYS = f"""
 gray as (select image_id, y, x, cast(floor{_GRAY} as integer) as g from ldr)"""
 
@@ -112,30 +116,31 @@ means as (
 
 
 def _fitted_centers() -> str:
-    """Lloyd rounds over the histogram, one after another; an image that has settled stays."""
+    """Lloyd rounds until an image settles, over its levels as a sorted list."""
     prime = 2147483647
-    rounds = [f"""
+    inside = "list_filter(ls, lambda l: (i = 1 or l.lum > (c[i - 1] + c[i]) / 2) and (i = len(c) or l.lum <= (c[i] + c[i + 1]) / 2))"
+    mass = f"list_sum(list_transform({inside}, lambda l: l.n))"
+    total = f"list_sum(list_transform({inside}, lambda l: l.n * l.lum))"
+    return f"""
 drawn as (
   select image_id, lum, (m * m + m) % {prime} as draw
   from (select image_id, lum,
                (cast(floor(lum * 1048576) as bigint) % {prime} * 48271 + 1) % {prime} as m from hist)),
-round0 as (
-  select image_id, row_number() over (partition by image_id order by lum) - 1 as cid, lum as c,
-         false as done
-  from (select *, row_number() over (partition by image_id order by draw, lum) as pos from drawn)
-  where pos <= {FITTED["k"]})"""]
-    for n in range(1, FITTED["max_iter"] + 1):
-        before = f"round{n - 1}"
-        rounds.append(f"""
-taken{n} as materialized ({_nearest(before)}),
-round{n} as materialized (
-  select image_id, cid, case when done then c else moved end as c,
-         done or max(abs(moved - c)) over (partition by image_id) <= {TOLERANCE} as done
-  from (select b.*, coalesce(mean, c) as moved
-        from {before} b
-        left join (select image_id, cid, sum(n_pixels::double * lum) / sum(n_pixels::double) as mean
-                   from taken{n} group by 1, 2) using (image_id, cid)))""")
-    return ",".join(rounds)
+level_lists as (
+  select image_id, list(struct_pack(lum := lum, n := n_pixels::double) order by lum) as ls
+  from hist group by image_id),
+fit as (
+  select image_id, 0 as step, list_sort(list(lum order by draw, lum)[:{FITTED["k"]}]) as c, true as moving
+  from drawn group by image_id
+  union all
+  select image_id, step + 1, moved,
+         list_max(list_transform(range(1, len(c) + 1), lambda i: abs(moved[i] - c[i]))) > {TOLERANCE}
+  from (select f.image_id, f.step, f.c,
+               list_transform(range(1, len(c) + 1), lambda i: coalesce({total} / {mass}, c[i])) as moved
+        from fit f join level_lists using (image_id) where moving and step < {MAX_ITER})),
+fitted as (
+  select image_id, unnest(range(len(c))) as cid, unnest(c) as c
+  from (select image_id, arg_max(c, step) as c from fit group by image_id))"""
 
 
 def _nearest(centers: str) -> str:
@@ -176,6 +181,10 @@ def _with(*ctes: str) -> str:
     return "with " + ",".join(ctes) + "\n"
 
 
+def _with_recursive(*ctes: str) -> str:
+    return "with recursive " + ",".join(ctes) + "\n"
+
+
 _PRODUCT = _with(_ENTRIES, _GRAM) + "select i, j, round(v, 6) as v from gram"
 _PRIME = 2147483647
 
@@ -184,7 +193,7 @@ def oracle_sql() -> dict[str, str]:
     hdr_levels = (_HDR, _LEVELS)
     clustered = (*hdr_levels, _CENTERS, _ASSIGNED)
     fitted = f"""select image_id, cast(cid as integer) as cid, round(c, 6) as center
-                 from round{FITTED["max_iter"]}"""
+                 from fitted"""
     sql = {
         "hdr_scan": _with(_HDR)
         + "select image_id, y, x, round(b, 6) as b, round(g, 6) as g, round(r, 6) as r from hdr",
@@ -199,6 +208,14 @@ def oracle_sql() -> dict[str, str]:
         + """select image_id, y as y0, cast(x - x % 16 as integer) as x0,
                     string_agg(concat(b, ',', g, ',', r), ',' order by x) as data
              from ldr group by 1, 2, 3""",
+        "raster_pack_holes": _with(_HDR, _LDR, _HOLES)
+        + """select image_id, y as y0, cast(min(x) as integer) as x0,
+                    string_agg(concat(b, ',', coalesce(g::varchar, '-'), ',', r), ',' order by x) as data,
+                    case when max(x) - min(x) + 1 > count(*)
+                      then string_agg(cast(x - first_x as varchar), ',' order by x) end as offsets
+             from (select *, min(x) over (partition by image_id, y, x // 16) as first_x from holes)
+             group by image_id, y, x // 16""",
+        "raster_round_trip": _with(_HDR, _LDR, _HOLES) + "select * from holes",
         "random_matrix": _with(_ENTRIES)
         + f"""select i, j, cast((m * m + 1) % {_PRIME} % 10 as double) as v
               from (select i, j, (m * m + m) % {_PRIME} as m
@@ -292,13 +309,13 @@ mapped as (
   join means m on m.image_id = a.image_id and m.cid = a.cid)""",
         )
         + _rescaled("mapped", "mean"),
-        "kmeans_luminance": _with(*hdr_levels, _fitted_centers()) + fitted,
-        "kmeans_luminance_large": _with(*hdr_levels, _fitted_centers()) + fitted,
-        "tonemap_kmeans": _with(
+        "kmeans_luminance": _with_recursive(*hdr_levels, _fitted_centers()) + fitted,
+        "kmeans_luminance_large": _with_recursive(*hdr_levels, _fitted_centers()) + fitted,
+        "tonemap_kmeans": _with_recursive(
             *hdr_levels,
             _fitted_centers(),
             f"""
-assigned as ({_nearest(f"round{FITTED['max_iter']}")}),
+assigned as ({_nearest("fitted")}),
 means as (
   select image_id, cid,
          sum(cast(n_pixels as double) * n_pixels * lum)
@@ -321,6 +338,11 @@ mapped as (
         "matmul_rows": _with(_ENTRIES, _GRAM)
         + """select e.i, g.j, round(sum(e.v * g.v), 6) as v
              from entries e join gram g on e.j = g.i group by 1, 2""",
+        "matmul_rows_large": _with(_ENTRIES)
+        + """select cast(label as bigint) as i, j, count(*) as n_rows, round(sum(v), 6) as v
+             from (select a.i as row, b.i as j, sum(a.v * b.v) as v
+                   from entries a join entries b on a.j = b.j group by 1, 2)
+             join embeddings on vec_id = row group by 1, 2""",
         "results_diff": """
             with sold as (select l_partkey as i, max(l_extendedprice / l_quantity) as v
                           from lineitem group by 1),

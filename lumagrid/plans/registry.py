@@ -15,7 +15,7 @@ from lumagrid.operators.stencil import sobel
 from lumagrid.plans import edges, kmeans_tonemap
 from lumagrid.plans.tonemap import gamma_image, tone_map, tone_map_all
 from lumagrid.plans.report import run_report
-from lumagrid.settings import checkpoint_dir
+from lumagrid.settings import checkpoint_dir, cut_lineage
 from lumagrid.sources import derived, synthetic
 from lumagrid.sources.pixels import load_hdr_pixels, write_ldr
 from lumagrid.sources.reports import log_runs, scan_run_log, write_report
@@ -70,6 +70,32 @@ def raster_pack(spark, sf):
     )
 
 
+def _holes(spark, sf):
+    """8-bit pixels of images that lack some pixels, and some pixels a channel."""
+    pixels = derived.ldr_pixels(derived.hdr_pixels(spark, sf))
+    kept = pixels.where((F.col("b") + F.col("x")) % 5 != 2)
+    return kept.withColumn("g", F.when(F.col("g") % 7 != 0, F.col("g")))
+
+
+@query
+def raster_pack_holes(spark, sf):
+    packed = raster.pack_raster(_holes(spark, sf), run=16)
+    values = F.transform("data", lambda v: F.coalesce(v.cast("string"), F.lit("-")))
+    return packed.select(
+        "image_id",
+        "y0",
+        "x0",
+        F.array_join(values, ",").alias("data"),
+        F.array_join(F.col("offsets").cast("array<string>"), ",").alias("offsets"),
+    )
+
+
+@query
+def raster_round_trip(spark, sf):
+    packed = raster.pack_raster(_holes(spark, sf), run=16)
+    return raster.explode_raster(packed, "data", width=1 << 20)
+
+
 @query
 def random_matrix(spark, sf):
     return synthetic.random_like(derived.entries(spark, sf), seed=42)
@@ -305,8 +331,8 @@ def tonemap_kmeans_fixed_centers(spark, sf):
     return kmeans_tonemap.map_by_clusters(pixels, hist, models, BINS)
 
 
-# Fewer centres than an image has levels, and rounds that SQL can repeat.
-FITTED = {"k": 16, "max_iter": 12}
+# Fewer centres than an image has levels.
+FITTED = {"k": 16}
 
 
 def _centers(models):
@@ -374,10 +400,21 @@ def matmul_rows(spark, sf):
     rows = derived.table(spark, sf, "embeddings").select(
         F.col("vec_id").alias("i"), F.col("embedding").cast("array<double>").alias("row")
     )
-    gram = matrix.matmul_tiled(*_gram_factors(spark, sf))
+    gram = cut_lineage(matrix.matmul_tiled(*_gram_factors(spark, sf)))
     return _rounded(matrix.entries_from_rows(matrix.matmul_rows(rows, gram)), "v")
 
 
+@query
+def matmul_rows_large(spark, sf):
+    """Vectors times all vectors, by blocks; vectors of one label share an id and stay rows of their own."""
+    rows = derived.table(spark, sf, "embeddings").select(
+        F.col("label").cast("bigint").alias("i"), F.col("embedding").cast("array<double>").alias("row")
+    )
+    product = matrix.matmul_rows(rows, matrix.transpose(derived.entries(spark, sf)), copied=False)
+    cells = matrix.entries_from_rows(product).groupBy("i", "j")
+    return _rounded(cells.agg(F.count(F.lit(1)).alias("n_rows"), F.sum("v").alias("v")), "v")
+
+
 @query
 def results_diff(spark, sf):
     """Retail prices of the parts against the unit prices they were sold for."""
@@ -421,12 +458,7 @@ def run_throughput(spark, sf):
 def run_summary(spark, sf):
     timed = derived.runs(spark, sf)
     values = ["serial", "variant", "ratio"]
-    summary = runs.run_summary(timed, "section", values)
-    for value in ("serial", "variant"):
-        median = runs.exact_median(timed, "section", value)
-        summary = summary.join(
-            median.withColumnRenamed("median", f"median_{value}"), "section", "left"
-        )
+    summary = runs.run_summary(timed, "section", values, medians=["serial", "variant"])
     numbers = [c for c in summary.columns if c not in ("section", "n_runs")]
     return _rounded(summary, *numbers, digits=9)
 

@@ -48,7 +48,8 @@ _open_scopes: list[list[str]] = []
 def stored_scope(spark: SparkSession) -> Iterator[None]:
     """Removes the tables that ``store`` writes inside it when it ends.
 
-    For steps that are done by then: what they return must not read these tables.
+    For steps that are done by then: what they return must not read these tables, but for
+    those that were stored with ``outlives``.
     """
     paths: list[str] = []
     _open_scopes.append(paths)
@@ -65,16 +66,18 @@ def remove_stored(spark: SparkSession, paths: list[str]) -> None:
         folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
-def store(df: DataFrame) -> tuple[DataFrame, int]:
+def store(df: DataFrame, outlives: bool = False) -> tuple[DataFrame, int]:
     """``df`` as a table in the checkpoint folder, and its number of rows.
 
     It is computed once; what reads it later neither recomputes it nor depends
-    on executors that may be lost, and its size is known.
+    on executors that may be lost, and its size is known. With ``outlives`` it belongs to
+    the scope around the innermost one, as the result of that.
     """
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark)}/{uuid.uuid4().hex}"
-    if _open_scopes:
-        _open_scopes[-1].append(path)
+    scopes = _open_scopes[:-1] if outlives else _open_scopes
+    if scopes:
+        scopes[-1].append(path)
     rows = Observation()
     df.observe(rows, F.count(F.lit(1)).alias("n")).write.parquet(path)
     return spark.read.schema(df.schema).parquet(path), rows.get["n"]

@@ -1,3 +1,4 @@
+import os
 import random
 
 import numpy as np
@@ -24,7 +25,55 @@ def models(df):
     return {r.image_id: r.centers for r in df.collect()}
 
 
-def test_one_task_and_one_job_per_iteration_agree(hist):
+def lloyd(rows, k, max_iter=1000):
+    """Rounds over plain lists, from the same first centers."""
+    prime = 2147483647
+    mixed = {lum: (int(lum * (1 << 20)) % prime * 48271 + 1) % prime for lum, _ in rows}
+    centers = sorted(sorted(mixed, key=lambda v: ((mixed[v] ** 2 + mixed[v]) % prime, v))[:k])
+    for _ in range(max_iter):
+        middles = [(a + b) / 2 for a, b in zip(centers, centers[1:])]
+        members = [[] for _ in centers]
+        for lum, n in sorted(rows):
+            members[sum(m < lum for m in middles)].append((lum, n))
+        moved = [
+            sum(lum * n for lum, n in m) / sum(n for _, n in m) if m else c for m, c in zip(members, centers)
+        ]
+        step = max(abs(a - b) for a, b in zip(moved, centers))
+        centers = moved
+        if step <= clusters.TOLERANCE:
+            break
+    return centers
+
+
+@pytest.mark.parametrize("local", [10**6, 0, 400])
+def test_fit_runs_to_the_tolerance(hist, monkeypatch, local):
+    """Whole images and block by block."""
+    monkeypatch.setattr(clusters, "BLOCK_LEVELS", 16)
+    rows = {}
+    for r in hist.collect():
+        rows.setdefault(r.image_id, []).append((r.lum, r.n_pixels))
+    got = models(clusters.kmeans_fit(hist, k=8, local_levels=local))
+    for image, centers in got.items():
+        np.testing.assert_allclose(centers, lloyd(rows[image], 8), rtol=1e-9)
+
+
+def test_a_fit_leaves_its_models_alone(spark, hist, tmp_path):
+    from lumagrid.settings import checkpoint_dir
+
+    def tables():
+        folder = checkpoint_dir(spark).removeprefix("file:")
+        return {d for d in os.listdir(folder) if len(d) == 32}
+
+    checkpoint_dir(spark)
+    before = tables()
+    fit = clusters.kmeans_fit(hist, k=8, local_levels=0)
+    kept = len(tables() - before)
+    assert fit.count() == 5
+    assert kept <= 12  # a small table a job, and neither blocks nor levels
+
+
+def test_one_task_and_one_job_per_iteration_agree(hist, monkeypatch):
+    monkeypatch.setattr(clusters, "BLOCK_LEVELS", 16)
     small = models(clusters.kmeans_fit(hist, k=8, max_iter=6))
     large = models(clusters.kmeans_fit(hist, k=8, max_iter=6, local_levels=0))
     mixed = models(clusters.kmeans_fit(hist, k=8, max_iter=6, local_levels=500))

@@ -63,16 +63,33 @@ def test_hot_shared_index_is_salted(spark):
     assert cells(matrix.matmul_tiled(a, b, tile=64, slab=16)) == want
 
 
-def test_large_b_takes_the_block_product(spark):
+@pytest.mark.parametrize(("cells_at_once", "chunks"), [(1 << 22, 64), (12, 2), (40, 1)])
+def test_rows_meet_a_copied_factor_and_blocks_alike(spark, monkeypatch, cells_at_once, chunks):
+    """Ids that repeat or are NULL, rows that are short, long, NULL or hold NULL, and a sparse factor."""
+    monkeypatch.setattr(matrix, "FACTOR_CELLS", cells_at_once)
+    monkeypatch.setattr(matrix, "_CHUNKS", chunks)
+    monkeypatch.setattr(matrix, "_HELD_CELLS", 30)
     rng = np.random.default_rng(3)
-    a, b = rng.integers(0, 10, (6, 8)), rng.integers(0, 10, (8, 5))
-    rows = matrix.rows_from_entries(entries(spark, a))
+    b = rng.integers(0, 10, (8, 11)) * (rng.random((8, 11)) < 0.5)
+    b[7, 10] = 1
+    rows = [(i % 4, [float(v) for v in rng.integers(0, 10, 8)]) for i in range(20)]
+    rows += [(None, [1.0] * 8), (None, [2.0] * 8), (5, [1.0, None, 3.0]), (6, None), (6, []), (7, [1.0] * 12)]
+    a = spark.createDataFrame(rows, "i bigint, row array<double>").repartition(3)
+    full = np.zeros((len(rows), 8))
+    for line, (_, row) in enumerate(rows):
+        row = [v or 0.0 for v in row or []][:8]
+        full[line, : len(row)] = row
+    want = sorted((str(i), p.tolist()) for (i, _), p in zip(rows, full @ b))
+    factor = entries(spark, b, bool)
     spark.conf.set("spark.lumagrid.broadcastBytes", "100")
     try:
-        product = matrix.matmul_rows(rows, entries(spark, b))
-        assert cells(matrix.entries_from_rows(product)) == dense_cells(a @ b)
+        by_size = matrix.matmul_rows(a, factor)
     finally:
         spark.conf.unset("spark.lumagrid.broadcastBytes")
+    for product in (matrix.matmul_rows(a, factor), by_size, matrix.matmul_rows(a, factor, copied=False)):
+        assert sorted((str(r.i), r.row) for r in product.collect()) == want
+    nothing = matrix.matmul_rows(a, factor.limit(0))
+    assert [r.row for r in nothing.collect()] == [[]] * len(rows)
 
 
 def test_tile_and_slab_fill_the_cluster_and_stay_bounded():

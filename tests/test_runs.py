@@ -23,6 +23,35 @@ def test_exact_median(spark, monkeypatch, accuracy):
     assert got == {g: statistics.median(v) for g, v in groups.items()}
 
 
+def test_medians_of_several_columns(spark, monkeypatch):
+    monkeypatch.setattr(runs, "_SKETCH_ACCURACY", 30)
+    rng = random.Random(4)
+    rows = [(f"g{i % 3}", rng.gauss(0, 1), rng.choice([None, rng.randrange(5)])) for i in range(5000)]
+    rows += [("none", 1.0, None), (None, 2.0, 2)]
+    df = spark.createDataFrame(rows, "g string, v double, w int").repartition(7)
+    got = {r.g: (r.n_runs, r.mean_v, r.median_v, r.median_w) for r in
+           runs.run_summary(df, "g", ["v"], medians=["v", "w"]).collect()}
+    for g in ("g0", "g1", "g2"):
+        v, w = ([r[k] for r in rows if r[0] == g and r[k] is not None] for k in (1, 2))
+        assert got[g][0] == len([r for r in rows if r[0] == g])
+        assert got[g][1] == pytest.approx(statistics.mean(v))
+        assert got[g][2:] == (statistics.median(v), statistics.median(w))
+    assert got["none"] == (1, 1.0, 1.0, None)
+
+
+def test_summary_reads_its_runs_twice(spark):
+    reads = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            reads.add(batch.num_rows)
+            yield batch
+
+    df = spark.range(1000).selectExpr("id % 3 g", "id * 0.37e0 v", "id * id % 101 * 1e0 w").mapInArrow(count, "g long, v double, w double")
+    runs.run_summary(df, "g", ["v", "w"], medians=["v", "w"]).collect()
+    assert reads.value == 2000
+
+
 def test_summaries(spark):
     rows = [("s", 2.0, 1.0, "Good calculation"), ("s", 6.0, 1.0, "Bad calculation"), ("t", 1.0, None, None)]
     df = spark.createDataFrame(rows, "section string, a double, b double, verdict string")

@@ -134,6 +134,18 @@ def test_pack_and_explode_are_inverse(spark):
     assert back.exceptAll(pixels).isEmpty() and back.count() == 120
 
 
+def test_pack_keeps_gaps_late_starts_and_missing_channels(spark):
+    at = [(0, x) for x in (2, 3, 7, 9, 10, 11)] + [(1, x) for x in (0, 1, 2)] + [(3, 5), (4, 1), (4, 6)]
+    rows = [(1, y, x, 10 * y + x if x % 3 else None, x, None if x == 9 else y) for y, x in at]
+    pixels = spark.createDataFrame(rows, "image_id int, y int, x int, b int, g int, r int")
+    for run in (4, 8, 100):
+        packed = raster.pack_raster(pixels, run=run)
+        back = raster.explode_raster(packed, "data", width=100).select(pixels.columns)
+        assert sorted(map(tuple, back.collect()), key=str) == sorted(rows, key=str)
+    whole = {(r.y0, r.x0): r.offsets for r in raster.pack_raster(pixels, run=100).collect()}
+    assert whole == {(0, 2): [0, 1, 5, 7, 8, 9], (1, 0): None, (3, 5): None, (4, 1): [0, 5]}
+
+
 def test_explode_whole_array(spark):
     whole = spark.createDataFrame([(7, [float(v) for v in range(24)])], "image_id int, data array<double>")
     got = raster.explode_raster(whole, "data", width=4).orderBy("y", "x").collect()
