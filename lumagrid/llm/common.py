@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import sys
+import types
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,6 +30,15 @@ class WordHashes(dict):
         return value
 
 
+def kept_in_worker(name: str, version, make):
+    """What ``make`` gives, kept for the later tasks of a Python worker: the last version of each name."""
+    holder = sys.modules.setdefault("_corpus_worker", types.ModuleType("_corpus_worker"))
+    kept = vars(holder)
+    if name not in kept or kept[name][0] != version:
+        kept[name] = (version, make())
+    return kept[name][1]
+
+
 def words_of(text: bytes | None) -> list[bytes]:
     """The words ``[^\\x20\\x09-\\x0D]+`` of UTF-8 with A-Z lower-cased; none for a null text."""
     return (text or b"").translate(LOWER_BYTES).split()

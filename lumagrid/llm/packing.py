@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lumagrid.llm.common import LOWER_BYTES
+from lumagrid.llm.common import LOWER_BYTES, kept_in_worker
 from lumagrid.llm.counters import count_places
 from lumagrid.settings import store
 
@@ -97,20 +97,12 @@ class WordIds(dict):
         return [b"".join(map(look.__getitem__, words)) for words in texts]
 
 
-def _words_cache(vocabulary: str, width: str) -> WordIds:
-    """One cache for a worker process, which runs many tasks."""
-    kept = vars(tokenizers).setdefault("_kept_word_ids", {})
-    if (vocabulary, width) not in kept:
-        kept[vocabulary, width] = WordIds(vocabulary, width)
-    return kept[vocabulary, width]
-
-
 def token_ids(docs: DataFrame, key: str, text: str, vocabulary: str, width: str, end_id: int) -> DataFrame:
     """``(id, ids)``: the ids of each document and ``end_id`` as bytes of ``width``."""
     end = np.array([end_id], width).tobytes()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = _words_cache(vocabulary, width)
+        cache = kept_in_worker("word ids", (vocabulary, width), lambda: WordIds(vocabulary, width))
         for batch in batches:
             for start in range(0, batch.num_rows, 256):
                 part = batch.slice(start, 256)

@@ -2,8 +2,8 @@
 
 Seeds are runs of ``K`` words. Of each ``W`` successive ones that of the smallest hash is taken, so
 two texts that share ``W + K - 1`` words in a row share a seed there. The documents of a seed
-are not paired with each other: each meets the first of them, for its seeds one by one and
-for runs of successive seeds, so matches grow with the seeds. The matches of two documents
+are not paired with each other: every place of a seed meets the first document that has it,
+for seeds one by one and for runs of successive seeds, so matches grow with the seeds. The matches of two documents
 are chained in the order of both texts, where gaps cost; the best chain before a match
 comes from a Fenwick tree of prefix maxima. Chains are aligned in their gaps and extended
 to both sides; of a chain that is not alike enough as a whole the parts that are stay.
@@ -34,6 +34,7 @@ _DROP = 12  # an extension ends where its score has fallen so far below its best
 _PAD = 128  # words around a chain that are compared first; all are where an extension gets so far
 _LOOK = 8  # words ahead of a run that decide how an extension goes on
 _ROWS = 4096  # chains that leave a task at once
+_PER_TEXT = 2048  # chains that meet one copy of a text
 _CORNERS = ("x0", "x1", "y0", "y1")
 # Words skipped in both texts at an edit, the fewest first.
 _EDITS = sorted(((i, j) for i in range(7) for j in range(7) if i + j), key=lambda e: (max(e), sum(e), e))
@@ -51,6 +52,21 @@ def seeds_of(text: bytes | None, cache: WordHashes) -> tuple[np.ndarray, np.ndar
     return seeds[at], at
 
 
+def _places(seeds: np.ndarray, places: np.ndarray, shared: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The ``shared`` seeds and the runs of them in the order of their hashes, and their places."""
+    found, at = [seeds[shared]], [places[shared]]
+    if len(seeds) >= _RUN:
+        whole = np.lib.stride_tricks.sliding_window_view(shared, _RUN).all(axis=1)
+        found.append(shingle_hashes(seeds, _RUN)[whole])
+        at.append(places[: len(whole)][whole])
+    found, at = np.concatenate(found), np.concatenate(at).astype(np.int32)
+    order = np.lexsort((at, found))
+    found, at = found[order], at[order]
+    new = np.ones(len(found), bool)
+    new[1:] = (found[1:] != found[:-1]) | (np.diff(at) > W)
+    return found[new], at[new]
+
+
 class Fenwick:
     """Maxima over prefixes of places, with what they belong to."""
 
@@ -279,21 +295,33 @@ def repeated_passages(
     text: str = "text",
     min_words: int = MIN_WORDS,
     min_identity: float = MIN_IDENTITY,
+    inside: bool = False,
 ) -> DataFrame:
     """``(key, start, end, other_id, other_start, other_end, identity)``: passages of two documents.
 
     A passage of at least ``min_words`` words, from word ``start`` to before word ``end``, that an
     earlier document, of a smaller id, has with at least ``min_identity`` of the words alike.
-    Words are ``[^\\x20\\x09-\\x0D]+`` with A-Z lower-cased. Each passage is given with the first
-    document that has its seeds and with the one before, not with all of a group, so every
-    document that repeats a passage has a row, and the first is named as the other.
-
-    Null and short texts repeat nothing; rows without an id are left out; rows of one id are
-    one document (the longest text counts). Other columns are not read; an empty table
-    gives an empty result. Texts of any length are searched whole.
+    Words are ``[^\\x20\\x09-\\x0D]+`` with A-Z lower-cased. Every place of a passage in a document
+    has a row, with the first document that has its seeds, not with all of a group. Places of one
+    seed that are no more than ``W`` words apart, as in a text of one word, are one place. With
+    ``inside`` a document's own passages that it repeats later on are given too, the
+    document being its own other.
+
+    Null and short texts repeat nothing; rows without an id are left out. Several texts of one id are
+    documents of their own, in the order of a hash of them; equal rows are one. Other columns
+    are not read; an empty table gives an empty result. Texts of any length are searched whole.
     """
     spark = docs.sparkSession
     named = docs.where(F.col(key).isNotNull()).select(F.col(key).alias("id"), F.col(text).cast("binary").alias("text"))
+    several = named.groupBy("id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
+    several, n_several = store(several)
+    if n_several:  # then a text is called by its id and, where it has others, a hash of it
+        marked = attach(named, several, ["id"], how="left", row_bytes=24, n_rows=n_several)
+        which = F.when(F.col("n").isNotNull(), F.xxhash64("text")).otherwise(F.lit(0).cast("long"))
+        marked = marked.select(F.struct("id", which.alias("text")).alias("id"), "text", "n")
+        repeated = marked.where(F.col("n").isNotNull()).dropDuplicates(["id"])
+        named = marked.where(F.col("n").isNull()).unionByName(repeated).drop("n")
+        named, _ = store(named)
     kind = named.schema["id"].dataType.simpleString()
 
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -321,17 +349,10 @@ def repeated_passages(
             pairs = zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)
             for row, (s, p) in enumerate(pairs):
                 s, p = np.frombuffer(s, np.uint64), np.frombuffer(p, "<u4")
-                some = held(bits, s)
-                found, at = [s[some]], [p[some]]
-                if len(s) >= _RUN:
-                    whole = np.lib.stride_tricks.sliding_window_view(some, _RUN).all(axis=1)
-                    found.append(shingle_hashes(s, _RUN)[whole])
-                    at.append(p[: len(whole)][whole])
-                # The first place of a key in a document stands for all of them.
-                found, first = np.unique(np.concatenate(found), return_index=True)
+                found, at = _places(s, p, held(bits, s))
                 rows.append(np.full(len(found), row))
                 keys.append(found.view(np.int64))
-                places.append(np.concatenate(at)[first].astype(np.int32))
+                places.append(at)
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(np.concatenate(keys)),
@@ -341,6 +362,25 @@ def repeated_passages(
                 names=["seed", "id", "place"],
             )
 
+    def own_matches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, late, early = [np.empty(0, np.int64)], [np.empty(0, np.int32)], [np.empty(0, np.int32)]
+            pairs = zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)
+            for row, (s, p) in enumerate(pairs):
+                s, p = np.frombuffer(s, np.uint64), np.frombuffer(p, "<u4")
+                seeds, at = _places(s, p, np.ones(len(s), bool))
+                first = np.flatnonzero(np.append(True, seeds[1:] != seeds[:-1])) if len(seeds) else np.empty(0, np.int64)
+                origin = np.repeat(at[first], np.diff(np.append(first, len(at))))
+                again = at > origin
+                rows.append(np.full(int(again.sum()), row))
+                late.append(at[again])
+                early.append(origin[again])
+            ids = batch.column(0).take(pa.array(np.concatenate(rows)))
+            yield pa.RecordBatch.from_arrays(
+                [ids, ids, pa.array(np.concatenate(late)), pa.array(np.concatenate(early))],
+                names=["id", "other", "place", "other_place"],
+            )
+
     entries, _ = store(picked.mapInArrow(suspects, f"seed long, id {kind}, place int"))
     firsts, _ = store(
         entries.groupBy("seed")
@@ -350,7 +390,11 @@ def repeated_passages(
     )
     # Both grow with the input; both lie stored, so Spark can split what is skewed.
     matches = entries.join(firsts, "seed").where(F.col("id") != F.col("other"))
-    dealt = matches.select("id", "other", "place", "other_place").repartition("id", "other")
+    matches = matches.select("id", "other", "place", "other_place")
+    if inside:
+        own = picked.mapInArrow(own_matches, f"id {kind}, other {kind}, place int, other_place int")
+        matches = matches.unionByName(own)
+    dealt = matches.repartition("id", "other")
 
     def chain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # A passage may show by a single seed: what is long enough is decided by the words.
@@ -392,19 +436,9 @@ def repeated_passages(
             ]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(words, pa.binary())], names=["id", "words"])
 
-    several = named.groupBy("id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
-    several, n_several = store(several.select("id", F.lit(1).alias("n")))
-
     def texts_of(chained: DataFrame, end: str) -> DataFrame:
         ids, n_ids = store(chained.select(F.col(end).alias("id")).distinct())
-        texts = attach(named, ids, ["id"], n_rows=n_ids).mapInArrow(as_words, f"id {kind}, words binary")
-        if not n_several:
-            return texts
-        # Of rows with one id the longest counts.
-        texts = attach(texts, several, ["id"], how="left", n_rows=n_several)
-        size = F.length("words").alias("size")
-        longest = texts.where(F.col("n").isNotNull()).groupBy("id").agg(F.max(F.struct(size, "words")).alias("m"))
-        return texts.where(F.col("n").isNull()).select("id", "words").unionByName(longest.select("id", "m.words"))
+        return attach(named, ids, ["id"], n_rows=n_ids).mapInArrow(as_words, f"id {kind}, words binary")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ("chain", "words", "other_words", "a0", "b0", "n_a", "n_b")
@@ -415,8 +449,6 @@ def repeated_passages(
             ):
                 spans = np.frombuffer(rows, "<i4").reshape(-1, 4)
                 a, b = np.frombuffer(a, "<u4"), np.frombuffer(b, "<u4")
-                if spans[-1, 1] > n_a or spans[-1, 3] > n_b:
-                    continue  # found in another text of the same id
                 cut = (a0 > 0, a0 + len(a) < n_a, b0 > 0, b0 + len(b) < n_b)
                 own = passages_of(a, b, spans - np.array([a0, a0, b0, b0]), min_words, min_identity, cut)
                 if own is None:
@@ -450,14 +482,22 @@ def repeated_passages(
         return [part.alias(names[0]), start.alias(names[1]), n.cast("int").alias(names[2])]
 
     def compared(chained: DataFrame, pad: int | None) -> DataFrame:
-        """The passages of chains; with a null start those that need more than ``pad`` words around them."""
-        by_id = chained.groupBy("id").agg(F.collect_list(F.struct("other", "chain", *_CORNERS)).alias("chains"))
-        left = by_id.join(texts_of(chained, "id"), "id").select("id", "words", F.inline("chains"))
+        """The passages of chains; with a null start those that need more than ``pad`` words around them.
+
+        Words come to the chains that need them; those of a document that many repeat have a copy
+        for each _PER_TEXT of the chains.
+        """
+        left = chained.join(texts_of(chained, "id"), "id")
         own = around("words", "x0", "x1", pad, ("words", "a0", "n_a"))
         left = left.select("id", "other", "chain", *_CORNERS, *own)
-        right = texts_of(chained, "other").toDF("other", "other_words")
+        parts = chained.groupBy("other").agg(F.ceil(F.count(F.lit(1)) / _PER_TEXT).cast("int").alias("parts"))
+        parts, n_parts = store(parts)
+        left = attach(left, parts, ["other"], n_rows=n_parts)
+        left = left.withColumn("part", F.pmod(F.xxhash64("id", "chain"), F.col("parts")).cast("int"))
+        right = attach(texts_of(chained, "other").toDF("other", "other_words"), parts, ["other"], n_rows=n_parts)
+        right = right.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")
         others = around("other_words", "y0", "y1", pad, ("other_words", "b0", "n_b"))
-        met = left.join(right, "other").select("id", "other", "chain", *_CORNERS, "words", "a0", "n_a", *others)
+        met = left.join(right, ["other", "part"]).select("id", "other", "chain", *_CORNERS, "words", "a0", "n_a", *others)
         return met.mapInArrow(
             compare,
             f"id {kind}, start long, end long, other_id {kind}, other_start long, other_end long, identity double,"
@@ -467,4 +507,7 @@ def repeated_passages(
     first, _ = store(compared(found, _PAD))
     rest = first.where(F.col("start").isNull()).select("id", F.col("other_id").alias("other"), "chain", *_CORNERS)
     passages = first.where(F.col("start").isNotNull()).unionByName(compared(rest, None))
-    return passages.drop("chain", *_CORNERS).distinct().withColumnRenamed("id", key)
+    passages = passages.drop("chain", *_CORNERS).distinct()
+    if n_several:
+        passages = passages.withColumn("id", F.col("id.id")).withColumn("other_id", F.col("other_id.id"))
+    return passages.withColumnRenamed("id", key)

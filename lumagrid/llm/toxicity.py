@@ -13,6 +13,7 @@ import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.ml.classification import LogisticRegression
@@ -20,6 +21,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lumagrid.llm.common import kept_in_worker
 from lumagrid.llm.quality_rules import held_out
 from lumagrid.operators.lookup import attach
 from lumagrid.settings import store
@@ -31,7 +33,8 @@ LEXICON_SIZE = 400
 LEAST_DOCS, LEAST_ODDS, LEAST_Z = 3, 1.5, 3.0
 _PREFIXES = range(4, 9)
 CONTEXT = 6  # words on each side of a term
-_CACHED_WORDS = 300_000
+_CACHED_WORDS = 1 << 17
+_TEXTS = 256  # texts whose words are looked up together
 
 _WORD = re.compile(r"\w+")
 QUOTE_MARKS = "\"“”„«»‹›"
@@ -98,24 +101,50 @@ class Trie:
         return best
 
 
+def letter_sets(words: list[str]) -> np.ndarray:
+    """Sets of the letters of words of one length, as 64 bits; letters may share a bit."""
+    codes = np.array(words, f"U{len(words[0])}").view(np.uint32).reshape(len(words), -1)
+    return np.bitwise_or.reduce(np.uint64(1) << (codes & np.uint32(63)).astype(np.uint64), axis=1)
+
+
 class Tries:
     """The terms that words of a length can be: a trie for each number of allowed errors."""
 
     def __init__(self, terms: list[tuple[str, float]]):
         self.terms = terms
-        self.by_length: dict[int, list[tuple[int, Trie]]] = {}
+        self.by_length: dict[int, tuple[list[tuple[int, Trie]], np.ndarray, np.ndarray]] = {}
 
-    def search(self, word: str) -> tuple[str, float, int] | None:
-        """The term nearest to ``word`` within its allowed errors, with weight and distance."""
-        n, best = len(word), None
+    def _of_length(self, n: int) -> tuple[list[tuple[int, Trie]], np.ndarray, np.ndarray]:
         if n not in self.by_length:
             near: dict[int, list[tuple[str, float]]] = {}
             for term, weight in self.terms:
                 errors = allowed_errors(len(term))
                 if abs(len(term) - n) <= errors:
                     near.setdefault(errors, []).append((term, weight))
-            self.by_length[n] = [(errors, Trie(some)) for errors, some in near.items()]
-        for errors, trie in self.by_length[n]:
+            named = [(errors, term) for errors, some in near.items() for term, _ in some]
+            sets = np.array([letter_sets([term])[0] for _, term in named], np.uint64)
+            tries = [(errors, Trie(some)) for errors, some in near.items()]
+            self.by_length[n] = tries, sets, 2 * np.array([errors for errors, _ in named], np.int64)
+        return self.by_length[n]
+
+    def may_be(self, words: list[str]) -> np.ndarray:
+        """Which words, all of one length, have letters that allow for a term.
+
+        An edit takes a letter away from those of a word, adds one, or both.
+        """
+        _, sets, most = self._of_length(len(words[0]))
+        found = np.zeros(len(words), bool)
+        if len(sets):
+            for start in range(0, len(words), 4096):
+                own = letter_sets(words[start : start + 4096])
+                apart = np.bitwise_count(own[:, None] ^ sets)
+                found[start : start + 4096] = (apart <= most).any(axis=1)
+        return found
+
+    def search(self, word: str) -> tuple[str, float, int] | None:
+        """The term nearest to ``word`` within its allowed errors, with weight and distance."""
+        best = None
+        for errors, trie in self._of_length(len(word))[0]:
             found = trie.search(word, errors)
             if found is not None:
                 best = found if best is None else min(best, found)
@@ -134,29 +163,52 @@ class Matcher:
     def __init__(self, lexicon: Lexicon):
         self.tries = Tries(list(lexicon.words))
         self.prefixes = dict(lexicon.prefixes)
+        # Words seen lately, and those seen before them; the latter go when the former are many.
         self.known: dict[str, tuple[float, bool] | None] = {}
+        self.older: dict[str, tuple[float, bool] | None] = {}
 
-    def find(self, word: str) -> tuple[float, bool] | None:
-        """The weight of the word and whether it is misspelled; None for an ordinary word."""
-        if word in self.known:
-            return self.known[word]
-        near = self.tries.search(word)
+    def _found(self, word: str, may_be: bool) -> tuple[float, bool] | None:
+        near = self.tries.search(word) if may_be else None
         found = None if near is None else (near[1], near[2] > 0)
         starts = [self.prefixes[p] for k in _PREFIXES if k <= len(word) and (p := word[:k]) in self.prefixes]
         if starts and (found is None or found[1] or max(starts) > found[0]):
             found = (max(starts), False)
-        # The words that come first, so the frequent ones too, are remembered.
-        if len(self.known) < _CACHED_WORDS:
-            self.known[word] = found
         return found
 
+    def find(self, words: set[str]) -> dict[str, tuple[float, bool]]:
+        """Of some words those that are not ordinary: the weight and whether a word is misspelled."""
+        new: dict[int, list[str]] = {}
+        for word in words:
+            if word not in self.known:
+                if word in self.older:
+                    self.known[word] = self.older[word]
+                else:
+                    new.setdefault(len(word), []).append(word)
+        for some in new.values():
+            for word, may_be in zip(some, self.tries.may_be(some).tolist(), strict=True):
+                self.known[word] = self._found(word, may_be)
+        hits = {w: f for w in words if (f := self.known[w]) is not None}
+        if len(self.known) > _CACHED_WORDS:
+            self.older, self.known = self.known, {}
+        return hits
+
+    def features_of(self, texts: list[str | None]) -> list[list[float]]:
+        """The values of FEATURES for whole texts, some at a time; all 0 for one without words."""
+        out = []
+        for start in range(0, len(texts), _TEXTS):
+            lower = [(t or "").lower() for t in texts[start : start + _TEXTS]]
+            words = [_WORD.findall(t) for t in lower]
+            hits = self.find(set().union(*words))
+            out += [self._features(t, w, hits) for t, w in zip(lower, words, strict=True)]
+        return out
+
     def features(self, text: str | None) -> list[float]:
-        """The values of FEATURES for one whole text; all 0 for one without words."""
-        text = (text or "").lower()
-        words = _WORD.findall(text)
+        return self.features_of([text])[0]
+
+    def _features(self, text: str, words: list[str], known: dict[str, tuple[float, bool]]) -> list[float]:
         if not words:
             return [0.0] * len(FEATURES)
-        hits = {w: f for w in set(words) if (f := self.find(w)) is not None}
+        hits = {w: known[w] for w in known.keys() & set(words)} if known else {}
         direct, quoted, addressed, n_hits = {}, {}, 0, 0
         if hits:
             spans = [m.span() for m in _WORD.finditer(text)]
@@ -194,9 +246,9 @@ class ToxicityModel:
 
         @F.pandas_udf("array<double>")
         def compute(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-            matcher = Matcher(lexicon)
+            matcher = kept_in_worker("matcher", (lexicon.words, lexicon.prefixes), lambda: Matcher(lexicon))
             for texts in parts:
-                yield pd.Series([matcher.features(t) for t in texts])
+                yield pd.Series(matcher.features_of(texts.tolist()))
 
         return compute(text)
 

@@ -25,6 +25,37 @@ def auc(rows):
 @pytest.mark.parametrize(
     ("name", "label", "least"), [("op2_quality_rules", "quality", 0.98), ("op7_toxicity", "toxic", 0.93)]
 )
+def edits_apart(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+    return row[-1]
+
+
+def test_letters_never_rule_out_a_term():
+    rng = random.Random(8)
+    terms = [("".join(rng.choice("abcdeéü") for _ in range(rng.randrange(3, 12))), rng.random()) for _ in range(60)]
+    terms = list(dict(terms).items())
+    matcher = toxicity.Matcher(toxicity.Lexicon(tuple(terms), ()))
+    words = {"".join(rng.choice("abcdeéü") for _ in range(rng.randrange(1, 12))) for _ in range(600)}
+    for term, _ in terms:
+        at = rng.randrange(len(term))
+        words |= {term, term[:at] + "x" + term[at:], term[:at] + term[at + 1 :] or "a", term[:at] + "y" + term[at + 1 :]}
+    found = matcher.find(words)
+    for word in words:
+        near = [
+            (edits_apart(word, t), -w, t) for t, w in terms if edits_apart(word, t) <= toxicity.allowed_errors(len(t))
+        ]
+        best = min(near, default=None)
+        assert found.get(word) == (None if best is None else (-best[1], best[0] > 0)), word
+    # What was forgotten is found again, and what is remembered stays the same.
+    for _ in range(3):
+        matcher.older, matcher.known = matcher.known, {}
+        assert matcher.find(words) == found
+
+
 def test_held_out_scores(spark, name, label, least):
     got = registry.queries()[name](spark, LABELLED).cache()
     labels = spark.read.parquet(f"{LABELLED}/labels.parquet").where(F.col(label).isNotNull())

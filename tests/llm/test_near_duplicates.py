@@ -241,8 +241,8 @@ def test_passages(spark):
     rows = substring_dedup.repeated_passages(docs).collect()
     texts = {}
     for r in docs.collect():
-        if r.doc_id is not None:
-            texts[r.doc_id] = max(cases.words(r.text), texts.get(r.doc_id, []), key=len)
+        if r.doc_id is not None:  # ids that repeat have equal rows here
+            texts[r.doc_id] = cases.words(r.text)
     covered = defaultdict(list)
     for r in rows:
         assert r.other_id < r.doc_id
@@ -263,6 +263,59 @@ def test_passages(spark):
     assert substring_dedup.repeated_passages(cases.empty(spark)).count() == 0
 
 
+def copies_plainly(texts, inside):
+    """Places of every run of 50 words that an earlier document has, or with ``inside`` the document before."""
+    first, found = {}, []
+    for doc in sorted(texts):
+        w, own = texts[doc], {}
+        for i in range(len(w) - 49):
+            run = tuple(w[i : i + 50])
+            if first.get(run, doc) != doc or (inside and own.get(run, i) != i):
+                found.append((doc, i))
+            own.setdefault(run, i)
+        for run in own:
+            first.setdefault(run, doc)
+    return found
+
+
+@pytest.mark.parametrize("inside", [False, True])
+def test_every_place_of_a_passage_is_found(spark, inside):
+    words = lambda name, n: [f"{name}{i}" for i in range(n)]
+    p, q = words("p", 60), words("q", 55)
+    texts = {
+        1: words("a", 20) + p + words("b", 30),
+        2: words("c", 20) + p + words("d", 100) + p + words("e", 30) + q,
+        3: words("f", 70) + q + words("g", 12) + q + words("h", 9) + q,
+        4: words("i", 80) + words("j", 40) + words("i", 80),
+        5: ["z"] * 400,
+        6: words("k", 30) + ["z"] * 90,
+        7: p + p,
+    }
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in texts.items()], "doc_id long, text string")
+    rows = substring_dedup.repeated_passages(docs, inside=inside).collect()
+    covered = defaultdict(list)
+    for r in rows:
+        assert (r.other_id, r.other_start) < (r.doc_id, r.start) and (inside or r.other_id < r.doc_id)
+        assert r.identity == 1 and texts[r.doc_id][r.start : r.end] == texts[r.other_id][r.other_start : r.other_end]
+        covered[r.doc_id].append((r.start, r.end))
+    for doc, i in copies_plainly(texts, inside):
+        if doc != 5:  # one word over and over is one place of its seed
+            assert any(a <= i and i + 50 <= b for a, b in covered[doc]), (doc, i)
+    assert sorted(set(covered[2])) == [(20, 80), (180, 240)]
+    assert (4 in covered) == inside
+
+
+def test_texts_of_a_repeated_id_are_documents(spark):
+    words = lambda name, n: " ".join(f"{name}{i}" for i in range(n))
+    p, q = words("p", 60), words("q", 60)
+    rows = [(1, words("a", 9) + " " + p), (2, words("b", 200)), (2, words("c", 15) + " " + p), (2, words("d", 7) + " " + q)]
+    rows += [(3, q + " " + words("e", 5)), (3, q + " " + words("e", 5)), (3, None)]
+    got = substring_dedup.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {(r.doc_id, r.start, r.end, r.other_id, r.other_start) for r in got.collect()} == {
+        (2, 15, 75, 1, 9), (3, 0, 60, 2, 7)
+    }
+
+
 def best_chain_plainly(rows):
     rows = sorted(rows.tolist(), key=lambda r: (r[0], r[2]))
     best = []
