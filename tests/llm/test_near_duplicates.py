@@ -203,6 +203,22 @@ def test_leaks(spark):
     )
 
 
+def test_blocks_propose_near_copies(spark):
+    """The index alone finds nearly all exact and lightly edited items, and never more than both ways together."""
+    items = [(i, cases.prose(700 + i, 60 + i)) for i in range(40)]
+    docs = [(i, cases.prose(i, 50) + " " + body + " " + cases.prose(i + 60, 30)) for i, body in items]
+    near = [(100 + i, cases.prose(i, 50) + " " + edited(body, i, 1) + " end") for i, body in items]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    frame = spark.createDataFrame(docs + near, "doc_id long, text string")
+    whole, proposed = (
+        {(r.doc_id, r.item) for r in decontaminate.leaks_of_documents(frame, bench, exact=e).collect()}
+        for e in (True, False)
+    )
+    assert {(i, i) for i in range(40)} <= proposed <= whole
+    assert len({(100 + i, i) for i in range(40)} & proposed) >= 36
+    assert {(100 + i, i) for i in range(40)} <= whole
+
+
 def test_nothing_to_leak(spark):
     none = spark.createDataFrame([], "item_id long, text string")
     one = spark.createDataFrame([(1, "a b c d e f")], "item_id long, text string")
