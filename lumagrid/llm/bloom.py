@@ -13,9 +13,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from lumagrid.settings import sized
+
 FILTER_BITS = 1 << 28  # 32 MB a filter, room for some 40 million different hashes
 _HASHES = 3
 _BLOCK_BITS = 1 << 16
+_PART_BITS = 1 << 23  # bits that one partition merges
 _FLUSH = 200_000  # hashes that are set in the filters at once
 _SCHEMA = pa.schema([("block", pa.int32()), ("once", pa.binary()), ("twice", pa.binary())])
 _SPARK_SCHEMA = "block int, once binary, twice binary"
@@ -130,7 +133,8 @@ def _filter_of(df: DataFrame, hashes_of: Callable, n_bits: int, which: str) -> b
     blocks = df.mapInArrow(set_bits, _SPARK_SCHEMA)
     parts = min(int(spark.conf.get("spark.sql.shuffle.partitions")), n_bits // _BLOCK_BITS)
     whole, size = np.zeros(n_bits // 8, np.uint8), _BLOCK_BITS // 8
-    for row in blocks.repartition(parts, "block").mapInArrow(merge, _SPARK_SCHEMA).toLocalIterator():
+    dealt = sized(blocks.repartition(parts, "block"), n_bits, _PART_BITS)
+    for row in dealt.mapInArrow(merge, _SPARK_SCHEMA).toLocalIterator():
         whole[row.block * size : (row.block + 1) * size] = _unpack(bytes(row.twice))
     return whole.tobytes()
 

@@ -8,6 +8,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from lumagrid.settings import sized
+
 _BLOCK = 1 << 12
 _FLUSH = 1 << 20
 _SPARK_SCHEMA = "block int, places binary, counts binary"
@@ -51,7 +53,8 @@ def count_places(
             yield _row(block, b"", total.tobytes())
 
     parts = min(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), n_blocks)
-    summed = df.mapInArrow(count, _SPARK_SCHEMA).repartition(parts, "block").mapInArrow(add, _SPARK_SCHEMA)
+    dealt = sized(df.mapInArrow(count, _SPARK_SCHEMA).repartition(parts, "block"), size)
+    summed = dealt.mapInArrow(add, _SPARK_SCHEMA)
     whole = np.zeros((n_blocks, _BLOCK), np.int64)
     for row in summed.toLocalIterator():
         whole[row.block] = np.frombuffer(bytes(row.counts), np.int64)

@@ -42,7 +42,7 @@ from lumagrid.llm.common import (
 from lumagrid.llm.components import components
 from lumagrid.llm.counters import count_places
 from lumagrid.operators.lookup import attach
-from lumagrid.settings import store
+from lumagrid.settings import sized, store
 
 # Counters of the frequency table; its size is fixed, so it is gathered and broadcast.
 _COUNTERS = 1 << 20
@@ -213,34 +213,34 @@ def _passing(pairs: DataFrame, num: int, den: int) -> DataFrame:
             kept = may_link(np.maximum(apart, np.abs(na - nb)), na + nb, num, den)
             yield batch.select(["a", "b", "share"]).filter(pa.array(kept))
 
-    return pairs.mapInArrow(keep, "a binary, b binary, share float")
+    return pairs.mapInArrow(keep, "a long, b long, share float")
 
 
 def id_hash(value) -> int:
     return xxhash.xxh3_64_intdigest(str(value))
 
 
-def _wanted(pairs: DataFrame, reps: DataFrame, n_reps: int) -> tuple[DataFrame, int]:
-    """``(digest, id, targets)``: which sets are sent where to be compared.
+def _wanted(pairs: DataFrame, n_pairs: int, reps: DataFrame, n_reps: int) -> tuple[DataFrame, int]:
+    """``(digest, id, node, targets)``: which sets are sent where to be compared.
 
     The pairs ``(a, b)`` of one ``b`` meet in parts of about _PER_HUB of them; ``b`` itself goes to all of its parts.
     """
     hubs = pairs.groupBy("b").agg(F.ceil(F.count(F.lit(1)) / _PER_HUB).cast("int").alias("parts"))
-    hubs, n_hubs = store(hubs)
+    hubs, n_hubs = store(sized(hubs, n_pairs))
     spread = attach(pairs, hubs, ["b"], n_rows=n_hubs)
     target = F.struct("b", F.pmod(F.xxhash64("a"), F.col("parts")).cast("int").alias("part"), F.lit(1).alias("side"))
-    sent = spread.select(F.col("a").alias("digest"), F.array(target).alias("targets"))
+    sent = spread.select(F.col("a").alias("node"), F.array(target).alias("targets"))
     own = F.transform(
         F.sequence(F.lit(0), F.col("parts") - 1),
         lambda p: F.struct(F.col("b"), p.alias("part"), F.lit(0).alias("side")),
     )
-    sent = sent.unionByName(hubs.select(F.col("b").alias("digest"), own.alias("targets")))
-    sent = sent.groupBy("digest").agg(F.flatten(F.collect_list("targets")).alias("targets"))
-    return store(attach(sent, reps.select("digest", "id"), ["digest"], n_rows=n_reps))
+    sent = sent.unionByName(hubs.select(F.col("b").alias("node"), own.alias("targets")))
+    sent = sent.groupBy("node").agg(F.flatten(F.collect_list("targets")).alias("targets"))
+    return store(sized(attach(sent, reps.select("node", "digest", "id"), ["node"], n_rows=n_reps), n_pairs + n_hubs))
 
 
 def _verified(
-    pairs: DataFrame, docs: DataFrame, reps: DataFrame, n_reps: int, k: int, num: int, den: int
+    pairs: DataFrame, n_pairs: int, docs: DataFrame, reps: DataFrame, n_reps: int, k: int, num: int, den: int
 ) -> DataFrame:
     """The stored pairs ``(a, b)`` that are linked by the sets themselves, stored.
 
@@ -248,7 +248,9 @@ def _verified(
     pass, and meet where ``b`` is. Only the set of ``b`` is held there; those of ``a`` pass by.
     """
     spark = docs.sparkSession
-    wanted, n_wanted = _wanted(pairs, reps, n_reps)
+    if not n_pairs:
+        return pairs
+    wanted, n_wanted = _wanted(pairs, n_pairs, reps, n_reps)
     of_id = lambda value: np.array([id_hash(value.decode())], np.uint64)
     ids = wanted.select(F.col("id").cast("string").cast("binary"))
     known = spark.sparkContext.broadcast(seen(ids, of_id, bits_for(n_wanted)))
@@ -270,26 +272,27 @@ def _verified(
 
     named = docs.where(F.col("id").isNotNull()).select(F.col("id").cast("string").alias("name"), "text")
     built = named.mapInArrow(sets, "digest binary, tokens binary")
-    sent = attach(built, wanted.select("digest", "targets"), ["digest"], row_bytes=128, n_rows=n_wanted)
-    sent = sent.select(F.explode("targets").alias("to"), "digest", "tokens")
-    met = sent.select("to.b", "to.part", "to.side", "digest", "tokens").repartition("b", "part")
+    sent = attach(built, wanted.select("digest", "node", "targets"), ["digest"], row_bytes=128, n_rows=n_wanted)
+    sent = sent.select(F.explode("targets").alias("to"), "node", "tokens")
+    met = sent.select("to.b", "to.part", "to.side", "node", "tokens").repartition("b", "part")
+    met = sized(met, 2 * n_pairs, _PER_HUB)
 
     def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hub, held_tokens = None, None
         for batch in batches:
             found_a, found_b = [], []
-            columns = [batch.column(c) for c in ("side", "b", "digest", "tokens")]
-            for side, b, digest, tokens in zip(*(columns[0].to_pylist(), *columns[1:]), strict=True):
+            columns = (batch.column(c).to_pylist() for c in ("side", "b", "node"))
+            for side, b, node, tokens in zip(*columns, batch.column("tokens"), strict=True):
                 x = np.frombuffer(tokens.as_buffer(), np.uint64)
                 if not side:  # sorted before those that are compared with it
-                    hub, held_tokens = b.as_py(), x.copy()
-                elif hub == b.as_py() and _similar(x, held_tokens, num, den):
-                    found_a.append(digest.as_py())
+                    hub, held_tokens = b, x.copy()
+                elif hub == b and _similar(x, held_tokens, num, den):
+                    found_a.append(node)
                     found_b.append(hub)
-            yield _binary({"a": found_a, "b": found_b})
+            yield pa.RecordBatch.from_arrays([pa.array(v, pa.int64()) for v in (found_a, found_b)], names=["a", "b"])
 
-    links = met.sortWithinPartitions("b", "part", "side").mapInArrow(linked, "a binary, b binary")
-    found, _ = store(links.distinct())
+    links = met.sortWithinPartitions("b", "part", "side").mapInArrow(linked, "a long, b long")
+    found, _ = store(sized(links.distinct(), n_pairs))
     known.destroy()
     return found
 
@@ -311,17 +314,17 @@ def _with_sketches(rays: DataFrame, nodes: DataFrame, hubs: DataFrame) -> DataFr
 
     The hubs of a set are gathered before it gets its sketch; hubs are far fewer than sets.
     """
-    side = nodes.select("digest", "n", "sketch")
+    side = nodes.select("node", "n", "sketch")
     near = rays.groupBy("a").agg(F.collect_set(F.struct("b", "share")).alias("hubs"))
     own = near.join(side.toDF("a", "na", "sa"), "a").select("a", "na", "sa", F.inline("hubs"))
-    chosen, n_chosen = store(side.join(hubs.select(F.col("hub").alias("digest")).distinct(), "digest"))
+    chosen, n_chosen = store(side.join(hubs.select(F.col("hub").alias("node")).distinct(), "node"))
     return attach(
         own, chosen.toDF("b", "nb", "sb"), ["b"], row_bytes=_mean_bytes(chosen, "sketch"), n_rows=n_chosen
     )
 
 
 def _mean_bytes(rows: DataFrame, *columns: str) -> int:
-    """Bytes of a row of a digest, a number and some binary columns."""
+    """Bytes of a row of two numbers and some binary columns."""
     size = sum((F.octet_length(c) for c in columns), F.lit(40))
     return int(rows.agg(F.avg(size)).first()[0] or 0) + 1
 
@@ -329,7 +332,7 @@ def _mean_bytes(rows: DataFrame, *columns: str) -> int:
 def _apart(pairs: DataFrame, roots: DataFrame, n_roots: int) -> DataFrame:
     """Pairs ``(a, b)`` of different components; a set without a root is one by itself."""
     for end in "ab":
-        side = roots.select(F.col("digest").alias(end), F.col("root").alias(f"root_{end}"))
+        side = roots.select(F.col("node").alias(end), F.col("root").alias(f"root_{end}"))
         pairs = attach(pairs, side, [end], how="left", n_rows=n_roots)
     alike = F.coalesce("root_a", "a") == F.coalesce("root_b", "b")
     return pairs.where(~alike).select("a", "b")
@@ -348,7 +351,7 @@ def _across(rows: DataFrame, num: int, den: int) -> DataFrame:
         for rows in whole_parts(batches, part):
             yield from _compare(rows, part, num, den)
 
-    pairs = rows.mapInArrow(compare, "a binary, b binary")
+    pairs = rows.mapInArrow(compare, "a long, b long")
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
@@ -360,13 +363,12 @@ def _compare(rows: pa.Table, part: list[str], num: int, den: int) -> Iterator[pa
     # Sets of a part ascend in size, so partners of x lie between x and the last that is not too large.
     order = np.lexsort((rows.column("n").to_numpy(), runs))
     rows, runs = rows.take(pa.array(order)).combine_chunks(), runs[order]
-    n, own, key, i, j = (rows.column(c).to_numpy() for c in ("n", "own", "key", "i", "j"))
-    root = rows.column("root").combine_chunks().dictionary_encode().indices.to_numpy()
+    n, own, key, i, j, node, root = (rows.column(c).to_numpy() for c in ("n", "own", "key", "i", "j", "node", "root"))
     low = np.full((len(n), _LOW_KEYS), np.iinfo(np.int64).max)
     for row, keys in enumerate(rows.column("low").to_pylist()):
         low[row, : len(keys) // 8] = np.frombuffer(keys, np.int64)
     low[low >= key[:, None]] = np.iinfo(np.int64).max  # only buckets that come before this one
-    sketches, digests = Sketches(rows.column("sketch")), rows.column("digest").combine_chunks()
+    sketches = Sketches(rows.column("sketch"))
     width = int(n.max()) + 1
     ends = np.searchsorted(runs * width + n, runs * width + np.minimum(n * den // num, width - 1), side="right")
     for x, y in index_pairs(ends, _PAIRS):
@@ -377,9 +379,7 @@ def _compare(rows: pa.Table, part: list[str], num: int, den: int) -> Iterator[pa
         before = (low[x][:, :, None] == low[y][:, None, :]) & (low[x] < np.iinfo(np.int64).max)[:, :, None]
         ok = ~before.any(axis=(1, 2))
         if ok.any():
-            yield pa.RecordBatch.from_arrays(
-                [digests.take(pa.array(x[ok])), digests.take(pa.array(y[ok]))], names=["a", "b"]
-            )
+            yield pa.RecordBatch.from_arrays([pa.array(node[x[ok]]), pa.array(node[y[ok]])], names=["a", "b"])
 
 
 def _with_shared_keys(sets: DataFrame) -> DataFrame:
@@ -402,22 +402,26 @@ def _with_shared_keys(sets: DataFrame) -> DataFrame:
                 shares.append(len(found) / max(1, len(own)))
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("digest"),
+                    batch.column("node"),
                     batch.column("n"),
                     batch.column("sketch"),
                     pa.array(keys, pa.list_(pa.int64())),
                     pa.array([k[:_LOW_KEYS].tobytes() for k in keys], pa.binary()),
                     pa.array(shares, pa.float32()),
                 ],
-                names=["digest", "n", "sketch", "keys", "low", "share"],
+                names=["node", "n", "sketch", "keys", "low", "share"],
             )
 
-    schema = "digest binary, n long, sketch binary, keys array<long>, low binary, share float"
-    nodes, _ = store(sets.select("digest", "n", "sketch", "keys").mapInArrow(shared_keys, schema))
+    schema = "node long, n long, sketch binary, keys array<long>, low binary, share float"
+    nodes, _ = store(sets.select("node", "n", "sketch", "keys").mapInArrow(shared_keys, schema))
     twice.destroy()
     return nodes
 
 
+def _named(links: DataFrame) -> DataFrame:
+    return components(links)
+
+
 def _components(docs: DataFrame, key: str, text: str, k: int, num: int, den: int) -> DataFrame:
     """``(id, text, n, component, stays)`` for each row, with a digest of its text and the size of its set.
 
@@ -428,7 +432,7 @@ def _components(docs: DataFrame, key: str, text: str, k: int, num: int, den: int
     spark = docs.sparkSession
     docs = docs.select(F.col(key).alias("id"), F.col(text).cast("binary").alias("text"))
     classes = spark.sparkContext.broadcast(class_table(docs, k).tobytes())
-    index, _ = store(_build_index(docs, k, num, den, classes))
+    index, n_docs = store(_build_index(docs, k, num, den, classes))
 
     # One set for all documents that have it; ``same`` rows have its smallest id.
     members = index.where((F.col("n") > 0) & F.col("id").isNotNull())
@@ -436,39 +440,42 @@ def _components(docs: DataFrame, key: str, text: str, k: int, num: int, den: int
         F.min("text").alias("text"), F.min("row").alias("row"), F.count(F.lit(1)).alias("same")
     )
     firsts = by_id.groupBy("digest").agg(F.min(F.struct("id", "text", "row")).alias("m"), F.sum("same").alias("copies"))
-    reps, n_reps = store(firsts.select("digest", "m.id", "m.text", "m.row", "copies"))
-    sets = attach(index.drop("id", "digest", "text"), reps.select("row", "digest"), ["row"], n_rows=n_reps)
+    firsts = sized(firsts.select("digest", "m.id", "m.text", "m.row", "copies"), n_docs)
+    reps, n_reps = store(firsts.withColumn("node", F.monotonically_increasing_id()))
+    sets = attach(index.drop("id", "digest", "text"), reps.select("row", "node"), ["row"], n_rows=n_reps)
 
     nodes = _with_shared_keys(sets)
-    entries = nodes.select("digest", "share", F.explode("keys").alias("key"))
+    entries = nodes.select("node", "share", F.explode("keys").alias("key"))
     # The hub of a bucket is the set that shares most of its own keys.
     hubs, n_hubs = store(
         entries.groupBy("key")
-        .agg(F.max(F.struct("share", "digest")).alias("hub"), F.count(F.lit(1)).alias("members"))
+        .agg(F.max(F.struct("share", "node")).alias("hub"), F.count(F.lit(1)).alias("members"))
         .where(F.col("members") > 1)
-        .select("key", F.col("hub.digest").alias("hub"), F.col("hub.share").alias("hub_share"), "members")
+        .select("key", F.col("hub.node").alias("hub"), F.col("hub.share").alias("hub_share"), "members")
     )
     rays = attach(entries.drop("share"), hubs, ["key"], weight="members", n_rows=n_hubs)
-    rays = rays.where(F.col("digest") != F.col("hub")).select(
-        F.col("digest").alias("a"), F.col("hub").alias("b"), F.col("hub_share").alias("share")
+    rays = rays.where(F.col("node") != F.col("hub")).select(
+        F.col("node").alias("a"), F.col("hub").alias("b"), F.col("hub_share").alias("share")
     )
-    tried, _ = store(_passing(_with_sketches(rays, nodes, hubs), num, den))
+    tried, n_tried = store(_passing(_with_sketches(rays, nodes, hubs), num, den))
     verified = {"docs": docs, "reps": reps, "n_reps": n_reps, "k": k, "num": num, "den": den}
 
     # First the best hub of each set, then the other hubs that it is not connected with.
-    best, _ = store(tried.groupBy("a").agg(F.max(F.struct("share", "b")).alias("best")).select("a", "best.b"))
-    links = _verified(best, **verified)
-    roots, n_roots = store(components(links).select(F.col("node").alias("digest"), "root"))
+    best = tried.groupBy("a").agg(F.max(F.struct("share", "b")).alias("best")).select("a", "best.b")
+    best, n_best = store(sized(best, n_tried))
+    links = _verified(best, n_best, **verified)
+    roots, n_roots = store(_named(links))
     others = tried.select("a", "b").join(best, ["a", "b"], "left_anti")
-    others, _ = store(_apart(others, roots, n_roots))
-    links = links.unionByName(_verified(others, **verified))
-    roots, n_roots = store(components(links).select(F.col("node").alias("digest"), "root"))
+    others, n_others = store(sized(_apart(others, roots, n_roots), n_tried))
+    if n_others:
+        links = links.unionByName(_verified(others, n_others, **verified))
+        roots, n_roots = store(_named(links))
 
     # Buckets of three sets or more that still hold several components.
     wide = hubs.where(F.col("members") > 2).select("key", "members")
-    placed = attach(entries.drop("share"), wide, ["key"], weight="members", n_rows=n_hubs)
-    placed = attach(placed, roots, ["digest"], how="left", n_rows=n_roots)
-    placed, _ = store(placed.withColumn("root", F.coalesce("root", "digest")))
+    placed = attach(entries.drop("share"), wide, ["key"], weight="members", n_rows=wide.count())
+    placed = attach(placed, roots, ["node"], how="left", n_rows=n_roots)
+    placed, _ = store(placed.withColumn("root", F.coalesce("root", "node")))
     open_keys, n_open = store(
         placed.groupBy("key")
         .agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("size"))
@@ -476,24 +483,25 @@ def _components(docs: DataFrame, key: str, text: str, k: int, num: int, den: int
         .select("key", "size")
     )
     rows = attach(placed.drop("members"), open_keys, ["key"], weight="size", n_rows=n_open)
-    rows = rows.join(nodes.select("digest", "n", "sketch", "low"), "digest")
+    rows = rows.join(nodes.select("node", "n", "sketch", "low"), "node")
     parts = F.ceil(F.col("size") / _GRID).cast("int")
-    rows = rows.withColumn("own", F.pmod(F.xxhash64("digest"), parts).cast("int")).withColumn(
+    rows = rows.withColumn("own", F.pmod(F.xxhash64("node"), parts).cast("int")).withColumn(
         "other", F.explode(F.sequence(F.lit(0), parts - 1))
     )
     rows = rows.withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other"))
-    dealt = rows.select("key", "i", "j", "own", "digest", "root", "n", "sketch", "low").repartition("key", "i", "j")
+    dealt = rows.select("key", "i", "j", "own", "node", "root", "n", "sketch", "low").repartition("key", "i", "j")
     found = _across(dealt.sortWithinPartitions("key", "i", "j"), num, den)
     known = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    rest, _ = store(found.join(known, ["a", "b"], "left_anti"))
-    links = links.unionByName(_verified(rest, **verified))
-    roots, n_roots = store(components(links).select(F.col("node").alias("digest"), "root"))
+    rest, n_rest = store(found.join(known, ["a", "b"], "left_anti"))
+    if n_rest:
+        links = links.unionByName(_verified(rest, n_rest, **verified))
+        roots, n_roots = store(_named(links))
 
     # The smallest id of a component, back to all its documents.
-    named = attach(reps.drop("row"), roots, ["digest"], how="left", n_rows=n_roots)
-    named = named.withColumn("root", F.coalesce("root", "digest"))
+    named = attach(reps.drop("row"), roots, ["node"], how="left", n_rows=n_roots)
+    named = named.withColumn("root", F.coalesce("root", "node"))
     lowest = named.groupBy("root").agg(F.min(F.struct("id", "text")).alias("first"), F.count(F.lit(1)).alias("sets"))
-    classes_of = attach(named.drop("id", "text"), lowest, ["root"], weight="sets", row_bytes=96)
+    classes_of = attach(named.drop("id", "text", "node"), lowest, ["root"], weight="sets", row_bytes=96)
     classes_of = classes_of.select("digest", "first", "copies")
     found = index.select("id", "n", "text", "digest")
     found = attach(found, classes_of, ["digest"], weight="copies", how="left", row_bytes=96)
