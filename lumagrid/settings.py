@@ -41,6 +41,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+# Rows of a small table that one partition holds.
+PART_ROWS = 100_000
+
 _open_scopes: list[list[str]] = []
 
 
@@ -83,5 +86,15 @@ def store(df: DataFrame, outlives: bool = False) -> tuple[DataFrame, int]:
     return spark.read.schema(df.schema).parquet(path), rows.get["n"]
 
 
+def sized(df: DataFrame, rows: int, rows_per_part: int = PART_ROWS) -> DataFrame:
+    """``df`` in no more partitions than its rows (at most ``rows``) and the cores of the session ask for.
+
+    For tables whose size is known and may be far below what the number of shuffle
+    partitions is meant for.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.coalesce(max(cores, -(-rows // rows_per_part)))
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     return store(df)[0]
