@@ -1,22 +1,26 @@
 """Lexical retrieval packing: documents fill windows together with what BM25 finds for them.
 
 Documents become token ids once. Document frequencies of all tokens are counted over all
-documents (a vocabulary has a fixed number of them), so scores do not depend on shards. A
-shard of the inverted index covers the documents that one task reads next, of bounded
-number and size. A document seeds a window, the shard's unused documents that score
-highest for it fill the window one after another, and the one that is cut at its end
-seeds the next window with its rest.
+documents (a vocabulary has a fixed number of them), so scores do not depend on shards.
+Documents are dealt by the tokens that weigh most in them: those with the same first token come
+to one bucket, a token that leads too many of them has several, and in a bucket documents
+are ordered by their three leading tokens. So the shards of the inverted index, some
+hundred documents in that order, hold what is lexically near, wherever it was read. A
+document seeds a window, the shard's unused documents that score highest for it fill the
+window one after another, and the one that is cut at its end seeds the next window with
+its rest.
 """
 
 from __future__ import annotations
 
 import os
+import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import tokenizers
-from pyspark import TaskContext
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,27 +33,44 @@ SHARD_DOCS = 512
 SHARD_TOKENS = 1 << 20
 END_ID = 1
 K1, B = 1.2, 0.75
-_CACHED_WORDS = 400_000
+_CACHED_WORDS = 250_000
+LEADS = 3  # tokens by which documents are dealt and ordered
+BUCKET_DOCS = 4096
 # What a word may end in besides its letters; an apostrophe would bind to them.
 _ENDINGS = b".,!?;:|#$%&*()-"
+# Characters that byte-level models have for bytes: printable ones for themselves, 256 and up for the others.
+_PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_BYTE_CHARACTERS = {b: 256 + i for i, b in enumerate(sorted(set(range(256)) - set(_PRINTABLE)))}
 
 
-class WordIds(dict):
+def _ends_plainly(letters: bytes) -> bool:
+    """Whether the last character is a letter or digit, and stays one when composed and lower-cased."""
+    if letters[-1] < 128:
+        return letters[-1:].isalnum()
+    return unicodedata.normalize("NFC", letters.decode()[-1]).lower()[-1].isalnum()
+
+
+class WordIds:
     """The ids of words as bytes. Tokenizers that split at white space, and drop it, give a text
-    the ids of its words one after another, so every word is looked up only once.
+    the ids of its words one after another, so a word is looked up only once.
 
     A word is its letters and what it ends in: these are apart for a tokenizer that lower-cases and
-    splits letters from other characters, and fewer are new. The words that come first, so
-    the frequent ones too, are kept; others are forgotten after the texts they are in.
+    splits letters from other characters, and fewer are new. Letters of a tokenizer whose
+    model takes bytes as characters go to the model itself. Both ways are tried on samples
+    first. Words seen lately are kept, and those seen before them until the former are many.
     """
 
     def __init__(self, vocabulary: str, width: str):
-        super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = tokenizers.Tokenizer.from_file(vocabulary)
+        self.model = self.tokenizer.model
         self.width = width
-        self.parts: dict[bytes, bytes] = {b"": b""}
+        self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
+        self.parts: dict[bytes, bytes] = {}
+        self.older_parts: dict[bytes, bytes] = {}
         self.plain = self._splits_endings()
+        self.direct = self._takes_letters()
 
     def _ids(self, words: list[bytes]) -> list[bytes]:
         if not words:
@@ -57,6 +78,12 @@ class WordIds(dict):
         found = self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)
         return [np.array(e.ids, self.width).tobytes() for e in found]
 
+    def _of_letters(self, word: str) -> bytes:
+        """The ids of lower-case letters, by the model alone."""
+        if not word.isascii():
+            word = word.encode().decode("latin-1").translate(_BYTE_CHARACTERS)
+        return np.array([t.id for t in self.model.tokenize(word)], self.width).tobytes()
+
     def _splits_endings(self) -> bool:
         """Whether endings and case make no difference to the ids of the letters before."""
         words = [b"Word", b"word", b"wOrdly1", b"\xc3\x89a"]
@@ -65,36 +92,65 @@ class WordIds(dict):
         letters, last = self._ids([w.translate(LOWER_BYTES) for w in words]), self._ids(ends)
         return whole == [a + b for a in letters for b in last]
 
+    def _takes_letters(self) -> bool:
+        """Whether the model alone gives words of letters the ids that they have."""
+        words = ["a", "word", "unbelievably", "Éclairs", "straße", "weiß", "ñandú", "дом", "漢字", "zzzzqxv", "naïveté"]
+        try:
+            return self._ids([w.encode() for w in words]) == [self._of_letters(w.lower()) for w in words]
+        except Exception:  # models of other kinds refuse in ways of their own
+            return False
+
+    def _encoded_parts(self, parts: list[bytes]) -> list[bytes]:
+        if not self.direct:
+            return self._ids(parts)
+        out: list[bytes | None] = []
+        for part in parts:
+            word = part.decode()
+            # Letters that are composed and have one lower-case form each; anything else takes the whole way.
+            if word.isascii() and word.isalpha():
+                out.append(self._of_letters(word.lower()))
+            elif word.isalpha() and max(word) < "\u0180" and "\u0130" not in word:
+                out.append(self._of_letters(word.lower()))
+            else:
+                out.append(None)
+        rest = iter(self._ids([p for p, ids in zip(parts, out, strict=True) if ids is None]))
+        return [next(rest) if ids is None else ids for ids in out]
+
+    def _look_up(self, wanted: set[bytes]) -> dict[bytes, bytes]:
+        """The ids of parts of words."""
+        parts, older = self.parts, self.older_parts
+        found = {p: parts[p] if p in parts else older[p] for p in wanted if p in parts or p in older}
+        new = [p for p in wanted if p not in found]
+        fresh = dict(zip(new, self._encoded_parts(new), strict=True))
+        if len(self.parts) > _CACHED_WORDS:
+            self.older_parts, self.parts = self.parts, {}
+        found.update(fresh)
+        self.parts.update(found)
+        return found
+
     def encoded(self, texts: list[list[bytes]]) -> list[bytes]:
         """The ids of each text, given as its words."""
-        words_here = set().union(*texts)
-        new = [word for word in words_here if word not in self]
+        known, older = self.known, self.older
         cut: dict[bytes, tuple[bytes, bytes]] = {}
-        for word in new:
+        for word in set().union(*texts):
+            if word in known:
+                continue
+            if word in older:
+                known[word] = older[word]
+                continue
             letters = word.rstrip(_ENDINGS)
-            # The letters have to end in a letter or digit themselves.
-            if self.plain and letters[-1:].isalnum() and b"<|" not in word:
-                cut[word] = letters.translate(LOWER_BYTES), word[len(letters) :]
-            elif self.plain and letters and letters[-1] >= 128 and b"<|" not in word and letters.decode()[-1].isalnum():
+            if self.plain and b"<|" not in word and letters and _ends_plainly(letters):
                 cut[word] = letters.translate(LOWER_BYTES), word[len(letters) :]
             else:
                 cut[word] = word, b""
-        known = self.parts
-        wanted = [p for p in set().union(*cut.values()) if p not in known]
-        parts = dict(zip(wanted, self._ids(wanted), strict=True))
-        if len(known) < _CACHED_WORDS:
-            known.update(parts)
-        for pair in cut.values():
-            for part in pair:
-                if part not in parts:
-                    parts[part] = known[part]
-        fresh = {word: parts[a] + parts[b] for word, (a, b) in cut.items()}
-        if len(self) < _CACHED_WORDS:
-            self.update(fresh)
-            return [b"".join(map(self.__getitem__, words)) for words in texts]
-        look = {word: self.get(word) for word in words_here}
-        look.update(fresh)
-        return [b"".join(map(look.__getitem__, words)) for words in texts]
+        if cut:
+            parts = self._look_up(set().union(*cut.values()))
+            for word, (letters, ending) in cut.items():
+                known[word] = parts[letters] + parts[ending]
+        out = [b"".join(map(known.__getitem__, words)) for words in texts]
+        if len(known) > _CACHED_WORDS:
+            self.older, self.known = known, {}
+        return out
 
 
 def token_ids(docs: DataFrame, key: str, text: str, vocabulary: str, width: str, end_id: int) -> DataFrame:
@@ -171,14 +227,16 @@ def pack_documents(
     end_id: int = END_ID,
     shard_docs: int = SHARD_DOCS,
     shard_tokens: int = SHARD_TOKENS,
+    bucket_docs: int = BUCKET_DOCS,
 ) -> DataFrame:
     """``(id, start, doc_tokens, sequence_id, offset, ids)``: the pieces of all documents.
 
     ``ids`` holds a piece's token ids as bytes (little-endian, unsigned, 32 bits each), which lie at
     ``offset`` in the sequence.
     Every id of a document, and ``end_id`` after them, lies in exactly one piece. Sequences
-    hold ``window`` tokens; what is left at the end of a task is cut at powers of two, so
-    nothing is padded. ``vocabulary`` is the path of a tokenizers file on every machine, of a
+    hold ``window`` tokens; what is left at the end of a bucket of about ``bucket_docs`` documents
+    is cut at powers of two, so nothing is padded. The sequences depend on the rows alone, not on
+    how they lie in files. ``vocabulary`` is the path of a tokenizers file on every machine, of a
     tokenizer that drops white space.
 
     A null or empty text is the end id alone. Rows of one id are packed each for itself. Other
@@ -202,11 +260,50 @@ def pack_documents(
     mean_length = max(1.0, (int(counts[size]) * 4096 + int(counts[size + 1])) / max(1, n_docs))
     frequency = counts[:size]
     idf = np.log1p((n_docs - frequency + 0.5) / (frequency + 0.5))
+    # A token that only one document has brings none together.
+    pull = docs.sparkSession.sparkContext.broadcast(np.where(frequency > 1, idf, 0.0))
     shared = docs.sparkSession.sparkContext.broadcast(idf)
 
+    def leads(ids: np.ndarray) -> np.ndarray:
+        """The tokens that weigh most in a document and that others have, the heaviest first; -1 for none."""
+        token, count = np.unique(ids, return_counts=True)
+        weight = pull.value[token] * count / (count + K1 * (1 - B + B * len(ids) / mean_length))
+        found = np.full(LEADS, -1)
+        order = np.argsort(-weight, kind="stable")[:LEADS]
+        order = order[weight[order] > 0]
+        found[: len(order)] = token[order]
+        return found
+
+    def first_leads(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
+        yield np.array([leads(np.frombuffer(v.as_py(), width))[0] + 1 for v in batch.column(0)], np.int64)
+
+    led = count_places(encoded.select("ids"), first_leads, size + 1)
+    first_bucket, n_buckets = _buckets(led, bucket_docs)
+    plan = docs.sparkSession.sparkContext.broadcast((first_bucket, n_buckets))
+    kind = encoded.schema["id"].dataType.simpleString()
+    names = [f"lead{i}" for i in range(LEADS)]
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first, parts = plan.value
+        for batch in batches:
+            ids = batch.column("ids").to_pylist()
+            found = np.array([leads(np.frombuffer(v, width)) for v in ids], np.int64).reshape(-1, LEADS)
+            draw = np.array(
+                [
+                    xxhash.xxh3_64_intdigest(v, xxhash.xxh32_intdigest(str(i)))
+                    for v, i in zip(ids, batch.column("id").to_pylist(), strict=True)
+                ],
+                np.uint64,
+            )
+            lead = found[:, 0] + 1
+            bucket = first[lead] + (draw % parts[lead].astype(np.uint64)).astype(np.int64)
+            columns = [pa.array(bucket), *(pa.array(found[:, i]) for i in range(LEADS)), pa.array(draw.view(np.int64))]
+            yield pa.RecordBatch.from_arrays(
+                [*columns, batch.column("id"), batch.column("ids")], names=["bucket", *names, "draw", "id", "ids"]
+            )
+
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        writer = _Windows(window, TaskContext.get().partitionId())
-        waiting, tokens = [], 0
+        writer, at, waiting, tokens = None, None, [], 0
 
         def packed() -> Iterator[pa.RecordBatch]:
             bodies = [np.frombuffer(ids, width) for _, ids in waiting]
@@ -217,31 +314,60 @@ def pack_documents(
                 yield from writer.add(waiting[doc][0], bodies[doc])
 
         for batch in batches:
-            for row in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
-                waiting.append(row)
-                tokens += len(row[1])
-                if len(waiting) >= shard_docs or tokens >= shard_tokens * np.dtype(width).itemsize:
+            rows = (batch.column(c) for c in ("bucket", "id", "ids"))
+            for bucket, key, ids in zip(*rows, strict=True):
+                bucket, ids = bucket.as_py(), ids.as_py()
+                if waiting and (
+                    bucket != at
+                    or len(waiting) >= shard_docs
+                    or tokens >= shard_tokens * np.dtype(width).itemsize
+                ):
                     yield from packed()
                     waiting, tokens = [], 0
+                if bucket != at:
+                    if writer:
+                        yield from writer.close()
+                    writer, at = _Windows(window, bucket), bucket
+                waiting.append((key, ids))
+                tokens += len(ids)
         if waiting:
             yield from packed()
-        yield from writer.close()
+            yield from writer.close()
 
-    kind = encoded.schema["id"].dataType.simpleString()
-    return encoded.mapInArrow(
+    schema = ", ".join(["bucket long", *(f"{n} long" for n in names), "draw long", f"id {kind}", "ids binary"])
+    order = ["bucket", *names, "draw", "id"]
+    dealt = encoded.mapInArrow(deal, schema).repartition("bucket").sortWithinPartitions(*order)
+    return dealt.select("bucket", "id", "ids").mapInArrow(
         pack,
         f"id {kind}, start long, doc_tokens long, sequence_id long, offset long, ids binary",
     )
 
 
+def _buckets(led: np.ndarray, bucket_docs: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each leading token its first bucket and its number of buckets; tokens that lead few share one."""
+    parts = np.maximum(1, -(-led // bucket_docs))
+    small = np.where(led <= bucket_docs, led, 0)
+    # A token of many buckets ends the bucket before it.
+    first, bucket, held = np.zeros(len(led), np.int64), 0, 0
+    for token in np.flatnonzero(led):
+        if parts[token] > 1 or held + small[token] > bucket_docs:
+            bucket, held = bucket + (held > 0), 0
+        first[token] = bucket
+        if parts[token] > 1:
+            bucket += int(parts[token])
+        else:
+            held += int(small[token])
+    return first, parts
+
+
 class _Windows:
     """Cuts documents into pieces as they fill windows; the open window waits for its end."""
 
     _ROWS = 256  # pieces that are handed on together
 
-    def __init__(self, window: int, part: int):
+    def __init__(self, window: int, bucket: int):
         self.window, self.filled, self.open, self.rows = window, 0, [], []
-        self.sequence = part << 32
+        self.sequence = bucket << 32
 
     def add(self, key, ids: np.ndarray) -> Iterator[pa.RecordBatch]:
         start = 0

@@ -182,6 +182,64 @@ def test_pieces_give_the_documents_back(spark, window, shard):
     assert packing.pack_documents(cases.empty(spark), VOCABULARY).count() == 0
 
 
+def test_words_have_the_ids_of_texts(monkeypatch):
+    """Also where most words are forgotten again."""
+    monkeypatch.setattr(packing, "_CACHED_WORDS", 40)
+    rng = np.random.default_rng(7)
+    letters = list("abcdeXYZéÉßñÑÿœŒŞıİçäöüΩдж漢ªº１")
+    ends = ["", ".", "!!", ",", "'s", "-", "|", "?)", "2", "²"]
+    words = ["".join(rng.choice(letters, rng.integers(1, 9))) + str(rng.choice(ends)) for _ in range(1500)]
+    texts = [" ".join(rng.choice(words, 30)) for _ in range(60)]
+    cache, tokenizer = packing.WordIds(VOCABULARY, "<u2"), Tokenizer.from_file(VOCABULARY)
+    assert cache.plain and cache.direct
+    for text in texts:
+        got = np.frombuffer(cache.encoded([text.encode().split()])[0], "<u2").tolist()
+        assert got == tokenizer.encode(text, add_special_tokens=False).ids, text
+
+
+def test_sequences_do_not_depend_on_files(spark):
+    rows = [(i, cases.prose(i % 50, 20 + i % 37)) for i in range(150)] + [(7, "x"), (7, "x"), (None, "a b"), (3, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    options = {"window": 256, "shard_docs": 16, "bucket_docs": 40}
+    one, many = (
+        Counter(tuple(r) for r in packing.pack_documents(d, VOCABULARY, **options).collect())
+        for d in (docs.coalesce(1), docs.repartition(11))
+    )
+    assert one == many
+
+
+def test_what_is_near_comes_to_one_shard(spark):
+    """Documents of a subject fill windows together, whatever order they come in."""
+    rng = np.random.default_rng(3)
+    subjects = [[f"{a}{b}ology" for b in "klmnprst"] for a in ("ba", "ce", "di", "fo", "gu", "ha")]
+    rows = []
+    for i in range(240):
+        subject = subjects[i % 6]
+        rows.append((i, " ".join(["the of and to"] + [str(rng.choice(subject)) for _ in range(30)])))
+    rng.shuffle(rows)
+    docs = spark.createDataFrame([(int(i), t) for i, t in rows], "doc_id long, text string").repartition(5)
+    pieces = packing.pack_documents(docs, VOCABULARY, window=1024, shard_docs=40, bucket_docs=60).collect()
+    together, alike = 0, 0
+    sequences = defaultdict(list)
+    for p in pieces:
+        sequences[p.sequence_id].append(p.id)
+    for ids in sequences.values():
+        for a, b in zip(ids, ids[1:]):
+            together, alike = together + 1, alike + (a % 6 == b % 6)
+    assert alike > 0.8 * together  # a sixth by chance
+
+
+def test_buckets_hold_what_their_tokens_lead():
+    led = np.array([0, 3, 3, 9, 0, 25, 1, 1, 8, 2])
+    first, parts = packing._buckets(led, 10)
+    assert parts.tolist() == [1, 1, 1, 1, 1, 3, 1, 1, 1, 1]
+    held = defaultdict(int)
+    for token, n in enumerate(led):
+        for part in range(parts[token]):
+            held[first[token] + part] += n / parts[token]
+    assert max(held.values()) <= 10 and sorted(held) == list(range(len(held)))
+
+
 def test_bm25_scores_and_order():
     docs = [np.array(d) for d in ([5, 6, 7], [1, 2, 2], [5, 6, 9, 9], [2, 8])]
     n = len(docs)
