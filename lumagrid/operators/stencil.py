@@ -9,13 +9,16 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from lumagrid.functions.pixel import clamp8
+from lumagrid.operators.lookup import attach
 from lumagrid.operators.packing import for_each_key, pack
 from lumagrid.operators.raster import IMAGE, with_dimensions
+from lumagrid.settings import store
 
 # The edge mask, row by row.
 SOBEL_MASK = ((-1, 0, 1), (-2, 0, 2), (-1, 0, 1))
 
 TILE = 512
+_LINE = 512  # columns of a line in one array
 BORDERS = ("zero", "reflect101")
 
 # A pixel inside its tile: line and column from -1 to the tile's size, gray level,
@@ -30,8 +33,8 @@ def sobel(
 
     border: outside the image lies ``zero``, or the mirrored image without its
     edge line (``reflect101``). strategy: ``halo`` shuffles packed pixels once,
-    to square tiles with a one-pixel rim; ``scatter`` adds each pixel to its
-    neighbours with one aggregation and no Python, for few or scattered pixels.
+    to square tiles with a one-pixel rim; ``scatter`` adds arrays of pixels to the lines
+    around them, without Python.
     """
     if border not in BORDERS:
         raise ValueError(f"unknown border: {border}")
@@ -39,77 +42,107 @@ def sobel(
     if strategy == "halo":
         return _halo(source, border, tile)
     if strategy == "scatter":
-        return _scatter(
-            _mirrored(source)
-            if border == "reflect101"
-            else source.withColumn("inside", F.lit(True))
-        )
+        return _scatter(source, border)
     raise ValueError(f"unknown strategy: {strategy}")
 
 
-def _mirrored(gray: DataFrame) -> DataFrame:
-    """Pixels plus the mirror copies that lie one step outside their image."""
-
-    def copies(at: str, size: str):
-        position, length = F.col(at), F.col(size)
-        return F.array_compact(
-            F.array(
-                position,
-                F.when(position == F.least(F.lit(1), length - 1), F.lit(-1)),
-                F.when(position == F.greatest(F.lit(0), length - 2), length),
-            )
-        )
-
-    rim = (
-        F.col("y").isin(0, 1)
-        | F.col("x").isin(0, 1)
-        | (F.col("y") >= F.col("height") - 2)
-        | (F.col("x") >= F.col("width") - 2)
-    )
-    here = F.array(F.struct("y", "x", F.lit(True).alias("inside")))
-    around = F.flatten(
-        F.transform(
-            copies("y", "height"),
-            lambda vy: F.transform(
-                copies("x", "width"),
-                lambda vx: F.struct(
-                    vy.alias("y"),
-                    vx.alias("x"),
-                    ((vy == F.col("y")) & (vx == F.col("x"))).alias("inside"),
-                ),
-            ),
-        )
-    )
-    return (
-        with_dimensions(gray)
-        .select(IMAGE, "g", F.explode(F.when(rim, around).otherwise(here)).alias("at"))
-        .select(IMAGE, "at.y", "at.x", "g", "at.inside")
-    )
-
+def _scatter(source: DataFrame, border: str) -> DataFrame:
+    """Sums over lines: what a line adds to the one above it, to itself and to the one below.
 
-def _scatter(source: DataFrame) -> DataFrame:
-    def term(dy: int, dx: int, value, inside):
-        return F.struct(
-            (F.col("y") - dy).alias("y"),
-            (F.col("x") - dx).alias("x"),
-            value.alias("term"),
-            inside.alias("inside"),
+    Pixels become arrays of a line's next _LINE columns. The mask is a difference along the line
+    times 1, 2, 1 across lines, so an array is turned into differences once and meets the
+    arrays of two lines; only differences at its ends go to the arrays next to it.
+    """
+    kinds = dict(source.dtypes)
+    part = F.floor(F.col("x") / _LINE).alias("part")
+    cells = F.sort_array(F.collect_list(F.struct("x", "g"))).alias("cells")
+    lines = source.groupBy(IMAGE, "y", part).agg(cells)
+    first, last = F.get("cells", F.lit(0))["x"], F.element_at("cells", -1)["x"]
+    # NULL stands for pixels that the image lacks.
+    gap = F.array_repeat(F.lit(None).cast(kinds["g"]), 1)
+
+    def padded(cell, at):
+        following = F.coalesce(F.get("cells", at + 1)["x"], cell["x"] + 1)
+        missing = (following - cell["x"] - 1).cast("int")
+        return F.concat(F.array(cell["g"]), F.flatten(F.array_repeat(gap, missing)))
+
+    whole = last - first + 1 == F.size("cells")
+    values = F.when(whole, F.col("cells.g")).otherwise(F.flatten(F.transform("cells", padded)))
+    lines = lines.select(IMAGE, "y", "part", first.alias("x0"), values.alias("g"))
+    if border == "reflect101":
+        lines, _ = store(lines)
+        sizes = lines.groupBy(IMAGE).agg(
+            (F.max("y") + 1).alias("height"),
+            (F.max(F.col("x0") + F.size("g")) - 1).alias("right"),
+            F.count(F.lit(1)).alias("n"),
         )
-
-    taps = [
-        term(dy, dx, F.col("g") * SOBEL_MASK[dy + 1][dx + 1], F.lit(False))
-        for dy in (-1, 0, 1)
-        for dx in (-1, 0, 1)
-        if SOBEL_MASK[dy + 1][dx + 1]
-    ]
-    anchor = term(0, 0, F.lit(0), F.col("inside"))
-    return (
-        source.select(IMAGE, F.inline(F.array(anchor, *taps)))
-        .groupBy(IMAGE, "y", "x")
-        .agg(F.sum("term").alias("total"), F.max("inside").alias("inside"))
-        .where("inside")
-        .select(IMAGE, "y", "x", clamp8(F.col("total")).cast("int").alias("edge"))
+        lines = attach(lines, sizes, [IMAGE], weight="n").drop("n")
+    else:
+        lines = lines.withColumns({"height": F.lit(None).cast("bigint"), "right": F.lit(None).cast("bigint")})
+    none = F.array(F.lit(0), F.lit(0)).cast(f"array<{kinds['g']}>")
+    # From the pixel before the first to the one after the last.
+    steps = F.zip_with(
+        F.concat("g", none), F.concat(none, "g"), lambda a, b: F.coalesce(a, F.lit(0)) - F.coalesce(b, F.lit(0))
     )
+    lines = lines.withColumn("steps", steps)
+    nothing, zero = F.lit(None), F.lit(0).cast(kinds["g"])
+
+    def to_line(dy: int):
+        y, role = (F.col("y") + dy).alias("y"), F.lit(dy).alias("role")
+        left = F.get("steps", F.lit(0))
+        right = F.element_at("steps", -1)
+        kept = [F.col(c) if dy == 0 else nothing.cast(dict(lines.dtypes)[c]) for c in ("x0", "g", "height", "right")]
+        names = ("x0", "g", "height", "right")
+        own = [y, F.col("part").alias("part"), role, (F.col("x0") - 1).alias("from"), F.col("steps").alias("steps")]
+        own += [zero.alias("at_start"), zero.alias("at_end"), *[k.alias(n) for k, n in zip(kept, names)]]
+        blank = [nothing.cast(dict(lines.dtypes)["x0"]).alias("from"), nothing.cast(dict(lines.dtypes)["steps"]).alias("steps")]
+        rest = [nothing.cast(dict(lines.dtypes)[n]).alias(n) for n in names]
+        before = [y, (F.col("part") - 1).alias("part"), role, *blank, zero.alias("at_start"), left.alias("at_end"), *rest]
+        after = [y, (F.col("part") + 1).alias("part"), role, *blank, right.alias("at_start"), zero.alias("at_end"), *rest]
+        starts = F.col("x0") == F.col("part") * _LINE
+        ends = F.col("x0") + F.size("g") == (F.col("part") + 1) * _LINE
+        return [F.struct(*own), F.when(starts, F.struct(*before)), F.when(ends, F.struct(*after))]
+
+    sent = F.array(*[row for dy in (-1, 0, 1) for row in to_line(dy)])
+    met = lines.select(IMAGE, F.inline(F.filter(sent, lambda row: row.isNotNull())))
+    sums = []
+    for name, role in (("above", 1), ("here", 0), ("below", -1)):
+        of_role = F.col("role") == role
+        line = F.struct("from", "steps")
+        sums += [
+            F.first(F.when(of_role & F.col("steps").isNotNull(), line), ignorenulls=True).alias(name),
+            F.sum(F.when(of_role, F.col("at_start")).otherwise(0)).alias(f"{name}_start"),
+            F.sum(F.when(of_role, F.col("at_end")).otherwise(0)).alias(f"{name}_end"),
+        ]
+    own = F.struct("x0", "g", "height", "right")
+    sums.append(F.first(F.when(F.col("g").isNotNull(), own), ignorenulls=True).alias("own"))
+    met = met.groupBy(IMAGE, "y", "part").agg(*sums).where(F.col("own").isNotNull())
+    # The line outside a mirrored border is the one inside; that of a single line is itself.
+    top, bottom = F.col("y") == 0, F.col("y") == F.col("own.height") - 1
+    single = F.coalesce(F.col("own.height") == 1, F.lit(False))
+    mirrored = F.col("own.height").isNotNull()
+    weights = {
+        "above": F.when(single | (mirrored & top), 0).when(mirrored & bottom, 2).otherwise(1),
+        "here": F.when(single, 4).otherwise(2),
+        "below": F.when(single | (mirrored & bottom), 0).when(mirrored & top, 2).otherwise(1),
+    }
+    met = met.withColumns({f"{name}_weight": weight for name, weight in weights.items()})
+
+    def edge(g, at):
+        x = F.col("own.x0") + at
+        total = F.lit(0)
+        for name in weights:
+            step = F.coalesce(F.get(F.col(name)["steps"], (x - F.col(name)["from"]).cast("int")), F.lit(0))
+            step = step + F.when(x == F.col("part") * _LINE, F.col(f"{name}_start")).otherwise(0)
+            step = step + F.when(x == F.col("part") * _LINE + _LINE - 1, F.col(f"{name}_end")).otherwise(0)
+            total = total + step * F.col(f"{name}_weight")
+        # Across a mirrored border a line is even.
+        total = F.when(mirrored & ((x == 0) | (x == F.col("own.right"))), 0).otherwise(total)
+        at_pixel = F.struct(x.cast(kinds["x"]).alias("x"), clamp8(total).cast("int").alias("edge"))
+        return F.when(g.isNotNull(), at_pixel)
+
+    pixels = F.filter(F.transform("own.g", edge), lambda p: p.isNotNull())
+    return met.select(IMAGE, F.col("y").cast(kinds["y"]).alias("y"), F.inline(pixels))
 
 
 def _halo(source: DataFrame, border: str, tile: int) -> DataFrame:

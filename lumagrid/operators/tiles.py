@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from lumagrid.functions.pixel import GRAY_WEIGHTS
+from lumagrid.operators.lookup import attach
 from lumagrid.operators.packing import for_each_key, pack
 from lumagrid.operators.raster import IMAGE
 from lumagrid.operators.stencil import BORDERS, SOBEL_MASK, TILE
@@ -24,6 +25,7 @@ from lumagrid.operators.stencil import BORDERS, SOBEL_MASK, TILE
 TILE_COLUMNS = "ty bigint, tx bigint, height int, width int, data binary, present binary"
 # Where a part lies relative to its tile, and its size.
 _PART = np.dtype([("dy", "<i4"), ("dx", "<i4"), ("height", "<i4"), ("width", "<i4")])
+_EXTENT = (2, 2)  # in place of sides, the part that tells how far the image goes
 _SIDES = [(dy, dx) for dy in (-1, 0, 1) for dx in (-1, 0, 1) if dy or dx]
 
 
@@ -90,15 +92,24 @@ def edge_map_tiles(
 ) -> DataFrame:
     """Edge strengths of colour or gray tiles of ``tile`` lines and columns, as tiles of one channel.
 
-    Tiles travel as gray bytes, and to each neighbour only the line they share.
-    An image ends where no neighbouring tile is; pixels it lacks before count as 0. With
-    a mirrored border it has to be a rectangle.
+    Tiles travel as gray bytes, and to each neighbour only the line they share. Pixels that an
+    image lacks count as 0. A mirrored border lies around the smallest rectangle from the origin
+    that holds the image; tiles are then read once more for their sizes alone.
     """
     if border not in BORDERS:
         raise ValueError(f"unknown border: {border}")
     if mode not in ("trunc", "round"):
         raise ValueError(f"unknown gray mode: {mode}")
     kind, image_type = _image_types(tiles)
+    mirrored = border == "reflect101"
+    source = _columns(tiles)
+    if mirrored:
+        sizes = tiles.groupBy(IMAGE).agg(
+            F.max(F.col("ty") * tile + F.col("height")).alias("lines"),
+            F.max(F.col("tx") * tile + F.col("width")).alias("columns"),
+            F.count(F.lit(1)).alias("n"),
+        )
+        source = attach(source, sizes, [IMAGE], weight="n").drop("n")
 
     def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -107,6 +118,10 @@ def edge_map_tiles(
                 gray = _gray(data, mode) * present
                 # The tile's own part has its pixels, then which of them it has.
                 made = [(ty, tx, _part(0, 0, np.vstack([gray, present])))]
+                if mirrored:  # what its image holds from the tile's corner on, within the tile and after
+                    rest = [batch.column(c)[row].as_py() - t * tile for c, t in (("lines", ty), ("columns", tx))]
+                    reach = np.array([min(r, tile + 1) for r in rest], "<i4").view(np.uint8)
+                    made.append((ty, tx, _part(*_EXTENT, reach[None, :])))
                 for dy, dx in _SIDES:
                     # A tile that ends early does not reach the next one.
                     if (dy > 0 and gray.shape[0] < tile) or (dx > 0 and gray.shape[1] < tile):
@@ -129,25 +144,27 @@ def edge_map_tiles(
             return tile_row(key, None, image_type)
         own, present = np.vsplit(found.pop((0, 0)), 2)
         found[0, 0] = own
-        # Where a tile follows, this one counts in full.
-        height = tile if any(dy > 0 for dy, _ in found) else own.shape[0]
-        width = tile if any(dx > 0 for _, dx in found) else own.shape[1]
+        if mirrored:
+            lines, columns = found.pop(_EXTENT).copy().view("<i4")[0].tolist()
+            height, width = min(lines, tile), min(columns, tile)
+        else:  # where a tile follows, this one counts in full
+            height = tile if any(dy > 0 for dy, _ in found) else own.shape[0]
+            width = tile if any(dx > 0 for _, dx in found) else own.shape[1]
         padded = np.zeros((height + 2, width + 2), np.int32)
         for (dy, dx), part in found.items():
             top, left = ({-1: 0, 0: 1, 1: n + 1}[d] for d, n in ((dy, height), (dx, width)))
             # Lines of a longer neighbour are cut to those that meet this tile, and one more.
             part = part[: height + 2 - top, : width + 2 - left]
             padded[top : top + part.shape[0], left : left + part.shape[1]] = part
-        if border == "reflect101":
-            for image, n, before, after in (
-                (padded, height, (-1, 0), (1, 0)),
-                (padded.T, width, (0, -1), (0, 1)),
-            ):
-                if before not in found and after not in found and n == 1:
+        if mirrored:
+            for image, at, n, rest in ((padded, key[1], height, lines), (padded.T, key[2], width, columns)):
+                begins, ends = at == 0, rest <= tile
+                if begins and ends and n == 1:
                     image[0] = image[2] = image[1]
-                if before not in found and not (n == 1 and after not in found):
+                    continue
+                if begins:
                     image[0] = image[2]
-                if after not in found and not (n == 1 and before not in found):
+                if ends:
                     image[n + 1] = image[n - 1]
         total = np.zeros((height, width), np.int32)
         for dy in range(3):
@@ -157,9 +174,7 @@ def edge_map_tiles(
         edge = np.clip(total, 0, 255).astype(np.uint8)[: own.shape[0], : own.shape[1]]
         return tile_row(key, edge, image_type, None if present.all() else present)
 
-    packed = _columns(tiles).mapInArrow(
-        parts, f"{IMAGE} {kind}, ty bigint, tx bigint, cells binary"
-    )
+    packed = source.mapInArrow(parts, f"{IMAGE} {kind}, ty bigint, tx bigint, cells binary")
     return for_each_key(
         packed, [IMAGE, "ty", "tx"], np.dtype("u1"), edges, f"{IMAGE} {kind}, {TILE_COLUMNS}"
     )

@@ -2,6 +2,7 @@ import random
 
 import pytest
 
+from lumagrid.operators import stencil
 from lumagrid.operators.stencil import sobel
 from lumagrid.plans.edges import edge_map
 
@@ -52,8 +53,11 @@ IMAGES = {
 
 
 @pytest.mark.parametrize("border", ["zero", "reflect101"])
-@pytest.mark.parametrize("strategy,tile", [("scatter", 0), ("halo", 4), ("halo", 8), ("halo", 512)])
-def test_sobel_matches_plain_loops(spark, border, strategy, tile):
+@pytest.mark.parametrize("strategy,tile", [("scatter", 4), ("scatter", 7), ("scatter", 0), ("halo", 4), ("halo", 8), ("halo", 512)])
+def test_sobel_matches_plain_loops(spark, monkeypatch, border, strategy, tile):
+    if strategy == "scatter":
+        monkeypatch.setattr(stencil, "_LINE", tile or 512)
+        tile = 0
     rows = [
         (name, y, x, g)
         for name, image in IMAGES.items()

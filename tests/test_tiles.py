@@ -52,8 +52,9 @@ def test_unknown_options_are_refused(colour):
         tiles.edge_map_tiles(packed, mode="ceil")
 
 
+@pytest.mark.parametrize("border", ["zero", "reflect101"])
 @pytest.mark.parametrize("tile", [3, 4, 7, 512])
-def test_edges_of_images_that_lack_pixels(spark, tile):
+def test_edges_of_images_that_lack_pixels(spark, tile, border):
     rng = random.Random(tile)
     rows = [("ragged", y, x, *[rng.randrange(256)] * 3) for y in range(6) for x in range(3 if y == 5 else 10)]
     rows += [("holes", y, x, *[rng.randrange(256)] * 3) for y in range(9) for x in range(9) if rng.random() < 0.6]
@@ -61,10 +62,11 @@ def test_edges_of_images_that_lack_pixels(spark, tile):
     pixels = spark.createDataFrame(rows, "image_id string, y bigint, x bigint, b int, g int, r int")
     packed = tiles.tiles_from_pixels(pixels, tile=tile)
     assert tiles.pixels_from_tiles(packed, tile=tile).exceptAll(pixels).isEmpty()
-    got = tiles.pixels_from_tiles(tiles.edge_map_tiles(packed, tile=tile), ("edge",), tile=tile)
-    want = edge_map(pixels, strategy="scatter")
+    got = tiles.pixels_from_tiles(tiles.edge_map_tiles(packed, border=border, tile=tile), ("edge",), tile=tile)
     assert got.count() == len(rows)
-    assert got.exceptAll(want.select(got.columns)).isEmpty()
+    for strategy in ("scatter", "halo"):
+        want = edge_map(pixels, border=border, strategy=strategy)
+        assert got.exceptAll(want.select(got.columns)).isEmpty(), strategy
 
 
 def test_values_beyond_a_byte_are_saturated(spark):
