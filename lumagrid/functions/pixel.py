@@ -119,6 +119,12 @@ def change_extension(name, extension: str = ".png") -> Column:
     return F.regexp_replace(name, r"\.[^.]{0,3}([^.]*)$", extension + "$1")
 
 
+def replace_extension(name, old: str = ".exr", new: str = ".png") -> Column:
+    """Every ``old`` in a name replaced, wherever it stands; other names stay as they are."""
+    name = F.col(name) if isinstance(name, str) else name
+    return F.replace(name, F.lit(old), F.lit(new))
+
+
 def in_bounds(y, x, height, width) -> Column:
     y, x = (F.col(c) if isinstance(c, str) else c for c in (y, x))
     return (y >= 0) & (y < height) & (x >= 0) & (x < width)

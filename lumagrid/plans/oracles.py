@@ -418,5 +418,54 @@ mapped as (
             from events""",
     }
     sql["drain_tonemap"] = sql["tonemap_log"]
+    sql["drain_report"] = _with(_HDR) + """
+        select 'log' as operator, true as has_pixels, count(*) as n_pixels, cast(0 as bigint) as n_empty,
+               true as each_once from hdr
+        union all select 'log', false, 0, 3, true"""
+    sql["image_files_round_trip"] = _with(_HDR, _LDR) + """
+        select image_id || '.png' as image_id, cast(y as integer) as y, x, b, g, r from ldr"""
+    sql["image_headers"] = _with(_HDR) + """
+        select image_id || '.png' as name, cast(max(x) + 1 as integer) as width,
+               cast(max(y) + 1 as integer) as height, 3 as n_channels, 16 as mode
+        from hdr group by image_id"""
+    sql["list_images"] = """
+        select cast(n_regionkey as bigint) as n_regionkey,
+               case n_nationkey % 5 when 1 then '.' when 2 then '_' else '' end
+                 || replace(n_name, ' ', '+') || '.txt' as name,
+               case when n_nationkey % 4 != 0 then strlen(n_name) else 0 end as length
+        from nation"""
+    sql["unreadable_images"] = """
+        select n_nationkey || '.exr' as name,
+               case when n_nationkey % 4 != 0 then strlen(n_name) else 0 end as length
+        from nation"""
+    sql["replace_extension"] = """
+        select name, replace(name, '.exr', '.png') as new_name
+        from (select 'test' || event_id || case user_id % 4 when 0 then '.exr' when 1 then '.exr.exr'
+                     when 2 then '.exr.png' else '.jpg' end as name from events)"""
+    sql["log_batches_round_trip"] = """
+        select event_type as section, 0 as worker, count(distinct event_id // 4096) as n_batches,
+               round(sum(round(value, 6)), 4) as seconds
+        from events group by 1"""
+    sql["log_summaries_round_trip"] = """
+        select event_type as section, count(distinct event_id // 4096) as n_summaries,
+               max(round(value, 6)) as largest, cast(0 as bigint) as n_workers
+        from events group by 1"""
+    sql["views_sql"] = _with(
+        _HDR,
+        _LDR,
+        _GRAYS,
+        _LIT,
+        f"edges as ({_EDGES})",
+        f"gammas as ({_rescaled('lit', _GAMMA)})",
+        f"logs as ({_rescaled('lit_max', _LOG)})",
+    ) + f"""
+        select image_id, count(*) as n_pixels, round(max(lum_max), 6) as lum_max,
+               sum(gammas.b)::bigint as gamma_b, sum(logs.g)::bigint as log_g,
+               sum({_quantized("lit_max.r")})::bigint as quantized_r,
+               sum(edge)::bigint as edges, sum((2 * gray.g) % 256)::bigint as doubled,
+               (select count(*) from events where user_id % 32 % 8 = 0) as n_files
+        from lit_max join gammas using (image_id, y, x) join logs using (image_id, y, x)
+        join edges using (image_id, y, x) join gray using (image_id, y, x)
+        group by image_id"""
     sql["write_ldr_round_trip"] = sql["tonemap_gamma"]
     return sql

@@ -12,14 +12,14 @@ from lumagrid.functions import pixel, timing
 from lumagrid.operators import clusters, compare, matrix, raster, runs, tiles
 from lumagrid.operators.lookup import attach
 from lumagrid.operators.stencil import sobel
-from lumagrid.plans import edges, kmeans_tonemap
+from lumagrid.plans import edges, kmeans_tonemap, views
 from lumagrid.plans.tonemap import gamma_image, tone_map, tone_map_all
 from lumagrid.plans.report import run_report
 from lumagrid.settings import checkpoint_dir, cut_lineage
-from lumagrid.sources import derived, synthetic
+from lumagrid.sources import derived, images, synthetic
 from lumagrid.sources.pixels import load_hdr_pixels, write_ldr
-from lumagrid.sources.reports import log_runs, scan_run_log, write_report
-from lumagrid.streaming.drain import drain_folder
+from lumagrid.sources.reports import log_batches, log_runs, log_summaries, scan_run_log, write_report
+from lumagrid.streaming.drain import drain_folder, folder_report
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,6 +27,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 # them is a multiple of 1/BINS, so no level is equally near to two centres.
 CENTERS = [round(0.05 + 0.237 * k, 3) for k in range(16)]
 BINS = 100
+# Lines of an image in one file of a stream, and runs in one block of a log.
+FILE_LINES, LOG_RUNS = 16, 4096
 
 _AT = ["image_id", "y", "x"]
 _QUERIES: dict[str, Query] = {}
@@ -488,12 +490,14 @@ def _folder(spark):
     return f"{checkpoint_dir(spark)}/files-{uuid.uuid4().hex}"
 
 
-@query
-def drain_tonemap(spark, sf):
-    """The images as files of a folder, tone mapped as a stream."""
-    folder = _folder(spark)
+def _pixel_files(spark, sf):
+    """The pixels as files of some lines of an image each, and three files without a pixel."""
+    folder = f"{_folder(spark)}"
     pixels = derived.hdr_pixels(spark, sf)
-    pixels.repartition("image_id").write.parquet(f"{folder}/in")
+    block = F.floor(F.col("y") / FILE_LINES)
+    pixels.repartition("image_id", block).write.parquet(f"{folder}/in")
+    for _ in range(3):
+        pixels.limit(0).coalesce(1).write.mode("append").parquet(f"{folder}/in")
     drain_folder(
         spark,
         f"{folder}/in",
@@ -502,8 +506,117 @@ def drain_tonemap(spark, sf):
         f"{folder}/state",
         schema=pixels.schema,
         files_per_batch=4,
+        stats=_maxima(spark, sf),
     ).awaitTermination()
-    return spark.read.parquet(f"{folder}/out").select(*_AT, "b", "g", "r")
+    return folder
+
+
+@query
+def drain_tonemap(spark, sf):
+    """The images as files of a folder, tone mapped as a stream."""
+    return spark.read.parquet(f"{_pixel_files(spark, sf)}/out").select(*_AT, "b", "g", "r")
+
+
+@query
+def drain_report(spark, sf):
+    """Every file of the stream once, by whether it has pixels."""
+    report = folder_report(spark, f"{_pixel_files(spark, sf)}/report")
+    return report.select(
+        "operator", "n_pixels", (F.col("n_pixels") > 0).alias("has_pixels"), "file"
+    ).groupBy("operator", "has_pixels").agg(
+        F.sum("n_pixels").alias("n_pixels"),
+        F.sum(F.when(F.col("n_pixels") == 0, 1).otherwise(0)).alias("n_empty"),
+        (F.count("file") == F.count_distinct("file")).alias("each_once"),
+    )
+
+
+@query
+def image_files_round_trip(spark, sf):
+    """8-bit images written as PNG files and decoded again."""
+    folder = _folder(spark)
+    images.write_images(derived.ldr_pixels(derived.hdr_pixels(spark, sf)), folder)
+    return images.load_image_pixels(spark, folder)
+
+
+def _nation_files(spark, sf, folder):
+    """A text file per nation in a folder per region; some are empty and some are hidden."""
+    key = F.col("n_nationkey")
+    files = derived.table(spark, sf, "nation").select(
+        F.concat(
+            F.col("n_regionkey").cast("string"),
+            F.when(key % 5 == 1, "/.").when(key % 5 == 2, "/_").otherwise("/"),
+            F.regexp_replace("n_name", " ", "+"),
+            F.lit(".txt"),
+        ).alias("name"),
+        F.when(key % 4 != 0, F.col("n_name")).otherwise("").cast("binary").alias("content"),
+    )
+    return images.write_files(files, folder)
+
+
+@query
+def list_images(spark, sf):
+    """The files of all nations: hidden ones and those without a byte too, in every subfolder."""
+    folder = _folder(spark)
+    _nation_files(spark, sf, folder)
+    listed = images.list_images(spark, folder, recursive=True)
+    region = F.element_at(F.split("path", "/"), -2).cast("bigint")
+    return listed.select(region.alias("n_regionkey"), "name", "length")
+
+
+@query
+def unreadable_images(spark, sf):
+    """Of a folder of images and texts those files that are no image."""
+    folder = _folder(spark)
+    images.write_images(derived.ldr_pixels(derived.hdr_pixels(spark, sf)), folder)
+    texts = derived.table(spark, sf, "nation").select(
+        F.concat(F.col("n_nationkey").cast("string"), F.lit(".exr")).alias("name"),
+        F.when(F.col("n_nationkey") % 4 != 0, F.col("n_name")).otherwise("").cast("binary").alias("content"),
+    )
+    images.write_files(texts, folder)
+    return images.unreadable_images(spark, folder).select("name", "length")
+
+
+@query
+def image_headers(spark, sf):
+    folder = _folder(spark)
+    images.write_images(derived.ldr_pixels(derived.hdr_pixels(spark, sf)), folder)
+    return images.load_headers(spark, folder).drop("path")
+
+
+@query
+def replace_extension(spark, sf):
+    """Names with a ``.exr`` anywhere, more than once or not at all."""
+    kind = F.col("user_id") % 4
+    ending = F.when(kind == 0, ".exr").when(kind == 1, ".exr.exr").when(kind == 2, ".exr.png").otherwise(".jpg")
+    names = derived.table(spark, sf, "events").select(F.concat(F.lit("test"), "event_id", ending).alias("name"))
+    return names.withColumn("new_name", pixel.replace_extension("name"))
+
+
+@query
+def views_sql(spark, sf):
+    """Views over float and 8-bit pixels and over file names, in one SQL statement."""
+    prefix = f"v{uuid.uuid4().hex[:8]}_"
+    views.register_float_views(derived.hdr_pixels(spark, sf), prefix)
+    views.register_colour_views(derived.ldr_pixels(derived.hdr_pixels(spark, sf)), prefix)
+    files = derived.table(spark, sf, "events").select(
+        F.concat(F.lit("test"), "event_id", F.lit(".exr")).alias("name"),
+        (F.col("user_id") % 32).cast("int").alias("mode"),
+    )
+    views.register_file_views(files, prefix)
+    return spark.sql(f"""
+        select p.image_id, count(*) as n_pixels, round(max(m.lum_max), 6) as lum_max,
+               sum(g.b) as gamma_b, sum(l.g) as log_g, sum(q.r) as quantized_r,
+               sum(e.edge) as edges, sum(t.g) as doubled,
+               max((select count(*) from {prefix}change_extension c join {prefix}image_type_name n
+                    on n.name = c.name where c.new_name like '%.png' and n.type_name like '8U%')) as n_files
+        from {prefix}luminance p
+        join {prefix}max_luminance m on m.image_id = p.image_id
+        join {prefix}tonemap_gamma g on g.image_id = p.image_id and g.y = p.y and g.x = p.x
+        join {prefix}tonemap_log l on l.image_id = p.image_id and l.y = p.y and l.x = p.x
+        join {prefix}quantize_8bit q on q.image_id = p.image_id and q.y = p.y and q.x = p.x
+        join {prefix}edges e on e.image_id = p.image_id and e.y = p.y and e.x = p.x
+        join {prefix}times2 t on t.image_id = p.image_id and t.y = p.y and t.x = p.x
+        group by p.image_id""")
 
 
 @query
@@ -514,11 +627,12 @@ def write_ldr_round_trip(spark, sf):
 
 
 def _run_log(spark, sf):
-    """The run table as text: a section line and titles per event type, then its runs."""
+    """The run table as text: blocks of a section's runs, each below its section line and titles."""
     path = f"{_folder(spark)}/log"
-    runs_of = derived.runs(spark, sf)
+    runs_of = derived.runs(spark, sf).withColumn("block", F.floor(F.col("iteration") / LOG_RUNS))
     lines = runs_of.select(
         "section",
+        "block",
         F.lit(2).alias("part"),
         "iteration",
         F.concat_ws(
@@ -531,19 +645,77 @@ def _run_log(spark, sf):
             ),
         ).alias("value"),
     )
-    heads = runs_of.select("section").distinct()
     titles = F.array(
         F.struct(F.lit(0).alias("part"), F.concat(F.lit("Image: "), "section").alias("value")),
         F.struct(F.lit(1).alias("part"), F.lit("iteration,host,device,verdict").alias("value")),
     )
-    heads = heads.select("section", F.inline(titles)).withColumn("iteration", F.lit(0).cast("bigint"))
-    ordered = lines.unionByName(heads).repartition("section").sortWithinPartitions(
-        "section", "part", "iteration"
+    return _log_lines(lines, titles, path)
+
+
+def _log_lines(lines, titles, path):
+    """Writes the lines of all blocks in order, ``titles`` before those of each."""
+    heads = lines.select("section", "block").distinct().select("section", "block", F.inline(titles))
+    heads = heads.withColumn("iteration", F.lit(0).cast("bigint"))
+    ordered = lines.unionByName(heads).repartition("section", "block").sortWithinPartitions(
+        "section", "block", "part", "iteration"
     )
     ordered.select("value").write.text(path)
     return path
 
 
+def _dispatch_log(spark, sf):
+    """Seconds of every file below its operator, and blocks end with their total and their mean."""
+    events = derived.table(spark, sf, "events").select(
+        F.col("event_type").alias("section"),
+        F.floor(F.col("event_id") / LOG_RUNS).alias("block"),
+        F.col("event_id").alias("iteration"),
+        F.round(F.col("value"), 6).cast("decimal(20,6)").alias("seconds"),
+        (F.col("user_id") % 3).cast("string").alias("worker"),
+    )
+    file = F.concat(F.lit("test"), "iteration", F.lit(".exr"))
+    lines = events.select(
+        "section", "block", F.lit(2).alias("part"), "iteration", F.concat_ws("|", file, "seconds", "worker").alias("value")
+    )
+    ends = events.groupBy("section", "block").agg(
+        F.sum("seconds").alias("total"), F.max("seconds").cast("string").alias("largest")
+    )
+    ends = ends.select(
+        "section",
+        "block",
+        F.inline(
+            F.array(
+                F.struct(F.lit(3).alias("part"), F.concat_ws("|", F.lit("batch time"), "total", F.lit("0")).alias("value")),
+                F.struct(F.lit(4).alias("part"), F.concat(F.lit("**Promedios:**|**"), "largest", F.lit("**|-")).alias("value")),
+            )
+        ),
+    ).withColumn("iteration", F.lit(0).cast("bigint"))
+    titles = F.array(
+        F.struct(F.lit(0).alias("part"), F.concat(F.lit("**Operador: "), "section", F.lit("**")).alias("value")),
+        F.struct(F.lit(1).alias("part"), F.lit("imagen|tiempo|id worker").alias("value")),
+    )
+    return _log_lines(lines.unionByName(ends), titles, f"{_folder(spark)}/log")
+
+
+@query
+def log_batches_round_trip(spark, sf):
+    log = scan_run_log(spark, _dispatch_log(spark, sf), "|")
+    batches = log_batches(log).groupBy("section", "worker").agg(
+        F.count(F.lit(1)).alias("n_batches"), F.sum("seconds").alias("seconds")
+    )
+    return _rounded(batches, "seconds", digits=4)
+
+
+@query
+def log_summaries_round_trip(spark, sf):
+    log = scan_run_log(spark, _dispatch_log(spark, sf), "|")
+    rows = log_summaries(log, {"seconds": "tiempo", "worker": "id worker"})
+    return rows.groupBy("section").agg(
+        F.count(F.lit(1)).alias("n_summaries"),
+        F.max("seconds").alias("largest"),
+        F.count("worker").alias("n_workers"),
+    )
+
+
 @query
 def log_runs_round_trip(spark, sf):
     log = scan_run_log(spark, _run_log(spark, sf))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lumagrid.operators.runs import exact_median, run_summary, run_verdicts, with_speedup
+from lumagrid.operators.runs import run_summary, run_verdicts, with_speedup
 from lumagrid.sources.reports import log_runs, scan_run_log
 
 
@@ -24,9 +24,5 @@ def run_report(
     if verdict is not None:
         columns["verdict"] = verdict
     runs = with_speedup(log_runs(scan_run_log(spark, path, sep), columns), "base", "variant")
-    report = run_summary(runs, "section", ["base", "variant", "ratio"]).join(
-        exact_median(runs, "section", "ratio").withColumnRenamed("median", "median_ratio"),
-        "section",
-        "left",
-    )
+    report = run_summary(runs, "section", ["base", "variant", "ratio"], medians=["ratio"])
     return report if verdict is None else report.join(run_verdicts(runs), "section")

@@ -1,48 +1,207 @@
-"""Image folders: listing, decoding of 8-bit rasters, unreadable files."""
+"""Image folders: listing, decoding of 8-bit rasters, unreadable files, PNG files."""
 
 from __future__ import annotations
 
+import re
+import struct
+import uuid
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lumagrid.functions.pixel import bgr_to_gray
+from lumagrid.operators.lookup import attach
 from lumagrid.operators.stencil import TILE
 from lumagrid.operators.tiles import TILE_COLUMNS, tile_row
+from lumagrid.settings import store
 
 # Image type codes of 8-bit rasters by number of channels.
 GRAY_MODE, BGR_MODE, BGRA_MODE = 0, 16, 24
 
 # Pixels per emitted batch, so that a large image leaves a task in pieces.
 _BATCH_PIXELS = 1 << 20
+_ENTRIES = 10_000  # of a folder in one batch
 
 
-def list_images(spark: SparkSession, path: str) -> DataFrame:
+def list_images(spark: SparkSession, path: str, recursive: bool = False) -> DataFrame:
     """All files of a folder: path, name, length. Contents are not read.
 
-    Spark's file sources leave out files without a byte and names that begin with ``_``
-    or ``.``; those directly in the folder are added from its listing.
+    Files without a byte and names that begin with ``_`` or ``.`` are listed too. Folders are read by
+    tasks, with ``recursive`` one level of subfolders after the other, where a task can open them
+    (local and object stores); patterns and other stores are listed by Spark's own sources.
     """
-    listed = spark.read.format("binaryFile").load(path).select(_path().alias("path"), "length")
-    listed = listed.unionByName(_unlisted(spark, path))
-    return listed.select("path", _name(F.col("path")).alias("name"), "length").dropDuplicates(["path"])
+    if re.search(r"[*?\[\]{}]", path) or not _opens_in_tasks(path):
+        return _listed_by_spark(spark, path, recursive)
+    folders, found = spark.createDataFrame([(path,)], "path string"), None
+    while True:
+        level, _ = store(folders.mapInArrow(_entries, "path string, length long, is_folder boolean"))
+        files = level.where(~F.col("is_folder")).select("path", _name(F.col("path")).alias("name"), "length")
+        found = files if found is None else found.unionByName(files)
+        folders = level.where("is_folder").select("path")
+        if not recursive or folders.isEmpty():
+            return found
+        folders = folders.repartition(spark.sparkContext.defaultParallelism)
+
+
+def _opens_in_tasks(path: str) -> bool:
+    try:
+        fs.FileSystem.from_uri(path)
+    except (pa.ArrowException, OSError, NotImplementedError):
+        return False
+    return True
+
+
+def _entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """What folders hold, some thousand entries at a time."""
+    for batch in batches:
+        for path in batch.column(0).to_pylist():
+            system, folder = fs.FileSystem.from_uri(path)
+            infos = system.get_file_info(fs.FileSelector(folder, allow_not_found=True))
+            for start in range(0, len(infos), _ENTRIES):
+                part = infos[start : start + _ENTRIES]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(["/" + i.path.lstrip("/") for i in part], pa.string()),
+                        pa.array([0 if i.size is None else i.size for i in part], pa.int64()),
+                        pa.array([i.type == fs.FileType.Directory for i in part], pa.bool_()),
+                    ],
+                    names=["path", "length", "is_folder"],
+                )
 
 
-def _unlisted(spark: SparkSession, path: str) -> DataFrame:
+def _listed_by_spark(spark: SparkSession, path: str, recursive: bool) -> DataFrame:
+    """The same by Spark's file source and, for what that leaves out, the folder's own listing."""
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower())
+    listed = reader.load(path).select(_path().alias("path"), "length")
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
     rows = []
     if system.exists(folder):
-        statuses = system.listStatusIterator(folder)
+        statuses = system.listFiles(folder, recursive)
         while statuses.hasNext():
             status = statuses.next()
             at = status.getPath()
-            if status.isFile() and (status.getLen() == 0 or at.getName()[0] in "_."):
+            if status.getLen() == 0 or at.getName()[0] in "_.":
                 rows.append((at.toUri().getPath(), status.getLen()))
-    return spark.createDataFrame(rows, "path string, length long")
+    listed = listed.unionByName(spark.createDataFrame(rows, "path string, length long"))
+    return listed.select("path", _name(F.col("path")).alias("name"), "length").dropDuplicates(["path"])
+
+
+def write_images(pixels: DataFrame, path: str) -> DataFrame:
+    """8-bit colour or gray pixels ``(image_id, y, x, [b,] g[, r])`` as PNG files named by their image.
+
+    One row per file: image_id, width, height, length. Pixels that an image lacks are black; an image is
+    encoded line by line as its sorted pixels pass by. A repeated task writes its files
+    anew. The folder has to be one that all tasks can open.
+    """
+    colour = {"b", "r"} <= set(pixels.columns)
+    channels = ["r", "g", "b"] if colour else ["g"]
+    sizes = pixels.groupBy("image_id").agg(
+        (F.max("y") + 1).cast("int").alias("height"),
+        (F.max("x") + 1).cast("int").alias("width"),
+        F.count(F.lit(1)).alias("n"),
+    )
+    named = attach(pixels.select("image_id", "y", "x", *channels), sizes, ["image_id"], weight="n").drop("n")
+    kind = dict(named.dtypes)["image_id"]
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        system, folder = fs.FileSystem.from_uri(path)
+        system.create_dir(folder, recursive=True)
+        done: list[tuple] = []
+        at, image = None, None
+        for batch in batches:
+            ids = batch.column("image_id").to_pylist()
+            y, x, height, width = (batch.column(c).to_numpy() for c in ("y", "x", "height", "width"))
+            values = np.stack([batch.column(c).to_numpy() for c in channels], axis=1)
+            bounds = [i for i in range(len(ids)) if i == 0 or ids[i] != ids[i - 1]] + [len(ids)]
+            for start, end in zip(bounds, bounds[1:]):
+                if image is None or ids[start] != at:
+                    if image is not None:
+                        done.append(image.close())
+                    at = ids[start]
+                    image = PngFile(system, f"{folder}/{at}.png", at, int(width[start]), int(height[start]), len(channels))
+                image.add(y[start:end], x[start:end], values[start:end])
+        if image is not None:
+            done.append(image.close())
+        kinds = [batch.column("image_id").type, pa.int32(), pa.int32(), pa.int64()] if done else []
+        if done:
+            columns = [pa.array(c, t) for c, t in zip(zip(*done), kinds)]
+            yield pa.RecordBatch.from_arrays(columns, names=["image_id", "width", "height", "length"])
+
+    dealt = named.repartition("image_id").sortWithinPartitions("image_id", "y", "x")
+    return store(dealt.mapInArrow(write, f"image_id {kind}, width int, height int, length long"))[0]
+
+
+def write_files(files: DataFrame, path: str) -> DataFrame:
+    """Rows ``(name, content)`` as files below a folder that all tasks can open: name, length."""
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        system, folder = fs.FileSystem.from_uri(path)
+        for batch in batches:
+            lengths = []
+            for name, content in zip(batch.column("name").to_pylist(), batch.column("content").to_pylist()):
+                at = f"{folder}/{name}"
+                system.create_dir(at.rpartition("/")[0], recursive=True)
+                part = f"{folder}/{uuid.uuid4().hex}"
+                with system.open_output_stream(part) as out:
+                    out.write(content or b"")
+                system.move(part, at)
+                lengths.append(len(content or b""))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("name"), pa.array(lengths, pa.int64())], names=["name", "length"]
+            )
+
+    return store(files.select("name", "content").mapInArrow(write, "name string, length long"))[0]
+
+
+class PngFile:
+    """An 8-bit gray or RGB image that is written line by line, under its name once it is whole."""
+
+    def __init__(self, system: fs.FileSystem, path: str, image, width: int, height: int, channels: int):
+        self.system, self.path, self.image, self.width, self.height = system, path, image, width, height
+        self.part = f"{path}.{uuid.uuid4().hex}"
+        self.out, self.length = system.open_output_stream(self.part), 0
+        self.packer = zlib.compressobj()
+        self.line, self.row = np.zeros((width, channels), np.uint8), 0
+        header = struct.pack(">IIBBBBB", width, height, 8, 2 if channels == 3 else 0, 0, 0, 0)
+        self._put(b"\x89PNG\r\n\x1a\n")
+        self._chunk(b"IHDR", header)
+
+    def _put(self, data: bytes) -> None:
+        self.out.write(data)
+        self.length += len(data)
+
+    def _chunk(self, kind: bytes, data: bytes) -> None:
+        self._put(struct.pack(">I", len(data)) + kind + data + struct.pack(">I", zlib.crc32(kind + data)))
+
+    def _end_lines(self, row: int) -> None:
+        packed = b""
+        while self.row < row:
+            packed += self.packer.compress(b"\0" + self.line.tobytes())
+            self.line[:] = 0
+            self.row += 1
+        if packed:
+            self._chunk(b"IDAT", packed)
+
+    def add(self, y: np.ndarray, x: np.ndarray, values: np.ndarray) -> None:
+        """Pixels of the next lines, in order."""
+        starts = np.flatnonzero(np.append(True, y[1:] != y[:-1]))
+        for start, end in zip(starts, np.append(starts[1:], len(y))):
+            self._end_lines(int(y[start]))
+            self.line[x[start:end]] = np.clip(values[start:end], 0, 255)
+
+    def close(self) -> tuple:
+        self._end_lines(self.height)
+        self._chunk(b"IDAT", self.packer.flush())
+        self._chunk(b"IEND", b"")
+        self.out.close()
+        self.system.move(self.part, self.path)
+        return self.image, self.width, self.height, self.length
 
 
 def load_headers(spark: SparkSession, path: str) -> DataFrame:

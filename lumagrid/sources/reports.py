@@ -69,6 +69,32 @@ def section_value(section="section"):
     return F.trim(F.regexp_extract(section, r":\s*(.*)$", 1))
 
 
+def log_batches(log: DataFrame) -> DataFrame:
+    """The ``batch`` rows: what a log says that all files of a section took, and by which worker."""
+    rows = log.where(F.col("kind") == "batch")
+    return rows.select(
+        "file",
+        section_value().alias("section"),
+        seconds(_said(F.get("cells", F.lit(1)))).alias("seconds"),
+        _said(F.get("cells", F.lit(2))).try_cast("int").alias("worker"),
+    )
+
+
+def log_summaries(log: DataFrame, columns: dict[str, str]) -> DataFrame:
+    """The ``summary`` rows: a table's own averages, with named cells as columns like ``log_runs``.
+
+    Averages are written with a point or a comma.
+    """
+    rows = log.where(F.col("kind") == "summary").withColumn("kind", F.lit("run"))
+    cells = F.transform("cells", lambda c: F.regexp_replace(c, r"^(-?\d+),(\d+)$", "$1.$2"))
+    return log_runs(rows.withColumn("cells", cells), columns).drop("iteration")
+
+
+def _said(cell):
+    """A cell's text; NULL for one that is empty or a ``-``."""
+    return F.when(~cell.isin("", MISSING), cell)
+
+
 def log_runs(log: DataFrame, columns: dict[str, str]) -> DataFrame:
     """The ``run`` rows with named cells as columns: ``{"serial": "secuencial", ...}``.
 
@@ -80,8 +106,7 @@ def log_runs(log: DataFrame, columns: dict[str, str]) -> DataFrame:
 
     def cell(name: str):
         place = F.array_position("header", name)
-        text = F.when(place > 0, F.get("cells", (place - 1).cast("int")))
-        return F.when(text != MISSING, text)
+        return _said(F.when(place > 0, F.get("cells", (place - 1).cast("int"))))
 
     return rows.select(
         "file",

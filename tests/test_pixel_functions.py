@@ -93,3 +93,10 @@ def test_published_bandwidth_and_throughput(spark):
     assert one.select(flops).first()[0] == pytest.approx(41.08, abs=0.005)
     flops = timing.throughput(F.lit(18), F.lit(float(size)), F.lit(1.225e-3))
     assert one.select(flops).first()[0] == pytest.approx(60.19, abs=0.01)
+
+
+def test_replace_extension(spark):
+    names = {"a.exr": "a.png", "a.exr.exr": "a.png.png", "b.exrx": "b.pngx", "c.jpg": "c.jpg", "": ""}
+    df = spark.createDataFrame([(n,) for n in names], "name string")
+    got = df.select("name", pixel.replace_extension("name").alias("new")).collect()
+    assert {r.name: r.new for r in got} == names

@@ -48,6 +48,36 @@ def test_list_images(spark, folder):
     assert "content" not in listed._jdf.queryExecution().executedPlan().toString()
 
 
+def test_subfolders_are_listed_level_by_level(spark, tmp_path):
+    for name in ("a.png", "x/_b", "x/.c", "x/y/d e.png", "x/y/z/f%.png", "empty/none/g+h"):
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_bytes(b"" if name == "x/_b" else b"123")
+    (tmp_path / "no files").mkdir()
+    whole = images.list_images(spark, str(tmp_path), recursive=True)
+    by_spark = images._listed_by_spark(spark, str(tmp_path), True)
+    got = {(r.path, r["name"], r["length"]) for r in whole.collect()}
+    assert got == {(r.path, r["name"], r["length"]) for r in by_spark.collect()}
+    assert {n for _, n, _ in got} == {"a.png", "_b", ".c", "d e.png", "f%.png", "g+h"}
+    assert [r["name"] for r in images.list_images(spark, str(tmp_path)).collect()] == ["a.png"]
+    assert [r["name"] for r in images.list_images(spark, f"{tmp_path}/x/y/*.png").collect()] == ["d e.png"]
+    assert images.list_images(spark, f"{tmp_path}/no files").count() == 0
+
+
+def test_image_files_hold_their_pixels(spark, tmp_path):
+    rows = [(i, y, x, i, 10 * y, 20 * x) for i in range(4) for y in range(3 + i) for x in range(5) if (y, x) != (1, 2)]
+    rows += [(9, 0, 0, 300, -5, 7)]
+    pixels_of = spark.createDataFrame(rows, "image_id int, y int, x int, b int, g int, r int").repartition(3)
+    written = images.write_images(pixels_of, f"{tmp_path}/colour").collect()
+    assert {(r.image_id, r.width, r.height) for r in written} == {*((i, 5, 3 + i) for i in range(4)), (9, 1, 1)}
+    assert all(r["length"] == (tmp_path / "colour" / f"{r.image_id}.png").stat().st_size for r in written)
+    back = {tuple(r) for r in images.load_image_pixels(spark, f"{tmp_path}/colour").collect()}
+    want = {(f"{i}.png", y, x, *v) for i, y, x, *v in rows if i != 9} | {("9.png", 0, 0, 255, 0, 7)}
+    assert back == want | {(f"{i}.png", 1, 2, 0, 0, 0) for i in range(4)}
+    images.write_images(pixels_of.select("image_id", "y", "x", "g"), f"{tmp_path}/gray")
+    gray = images.load_image_pixels(spark, f"{tmp_path}/gray", "gray")
+    assert {(r.image_id, r.y, r.x): r.g for r in gray.collect()}["2.png", 4, 1] == 40
+
+
 def test_load_pixels(spark, folder):
     colour = images.load_image_pixels(spark, folder)
     got = {(r.image_id, r.y, r.x): (r.b, r.g, r.r) for r in colour.collect()}
@@ -211,6 +241,11 @@ def test_scan_image_and_batch_logs(spark, tmp_path):
         ("Image: img2.jpg", "run"): 1, ("Image: img2.jpg", "summary"): 1,
         ("Operador: gamma", "run"): 2, ("Operador: gamma", "batch"): 1,
     }
+    total = reports.log_batches(log).first()
+    assert (total.section, total.seconds, total.worker) == ("gamma", 3.75, 0)
+    summaries = {r.section: r for r in reports.log_summaries(log, {"host": "Host", "cv": "OpenCV"}).collect()}
+    assert (summaries["img1.jpg"].host, summaries["img1.jpg"].cv) == (3.0, 1.0)
+    assert summaries["img2.jpg"].host is None and summaries["img2.jpg"].label == "Promedios:"
     batch = reports.log_runs(log.where("section like 'Oper%'"), {"seconds": "tiempo"})
     assert {(r.label, r.seconds) for r in batch.collect()} == {("test3.exr", 0.25), ("test1.exr", 0.5)}
 
