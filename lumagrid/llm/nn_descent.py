@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lumagrid.operators.lookup import attach
-from lumagrid.settings import store
+from lumagrid.settings import store, stored_scope
 
 NEIGHBOURS = 24
 DIRECTIONS = 4
@@ -57,9 +57,7 @@ def usable(vectors: DataFrame, key: str, vector: str) -> DataFrame:
     named = vectors.where(F.col(key).isNotNull() & F.col(vector).isNotNull())
     named = named.select(F.col(key).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("vec"))
     found, _ = store(named.mapInArrow(convert, "id long, vec binary"))
-    sizes = found.groupBy(F.octet_length("vec").alias("size")).agg(F.count(F.lit(1)).alias("n"))
-    usual = sizes.orderBy(F.desc("n"), F.desc("size")).first()
-    return found if usual is None else found.where(F.octet_length("vec") == usual.size)
+    return found
 
 
 def distinct_nodes(found: DataFrame, kept_ids: int) -> tuple[DataFrame, int]:
@@ -168,33 +166,34 @@ def _local_join(members: DataFrame) -> DataFrame:
 
 def build_graph(nodes: DataFrame, k: int = NEIGHBOURS, rounds: int = ROUNDS) -> DataFrame:
     """``(u, v, d, new)``: for each node edges to about its ``k`` nearest, ``d`` the squared distance."""
-    n_nodes = nodes.count()
-    edges = _block_edges(nodes, 0, k, n_nodes)
-    for direction in range(1, DIRECTIONS):
-        edges = edges.unionByName(_block_edges(nodes, direction, k, n_nodes))
-    graph, n_edges = store(nearest_edges(edges, k))
-    row_bytes = _row_bytes(nodes)
-    for turn in range(rounds):
-        fresh = graph.where("new").count()
-        if fresh <= SETTLED * n_edges:
-            break
-        # Of those that have a node as neighbour, as many again take part, drawn anew each round.
-        drawn = Window.partitionBy("v").orderBy(F.xxhash64("u", "v", F.lit(turn)), "u")
-        back = graph.withColumn("place", F.row_number().over(drawn)).where(F.col("place") <= k)
-        around = graph.select(F.col("u").alias("w"), "v", "new").unionByName(
-            back.select(F.col("v").alias("w"), F.col("u").alias("v"), "new")
-        )
-        around = around.groupBy("w", "v").agg(F.max("new").alias("new"))
-        worst = graph.groupBy("u").agg(
-            F.when(F.count(F.lit(1)) < k, float("inf")).otherwise(F.max("d")).alias("worst")
-        )
-        known, n_known = store(
-            nodes.select(F.col("node").alias("v"), "vec").join(worst.withColumnRenamed("u", "v"), "v")
-        )
-        members = attach(around, known, ["v"], row_bytes=row_bytes, n_rows=n_known)
-        old = graph.withColumn("new", F.lit(False))
-        graph, n_edges = store(nearest_edges(old.unionByName(_local_join(members)), k))
-    return graph
+    with stored_scope(nodes.sparkSession):
+        n_nodes = nodes.count()
+        edges = _block_edges(nodes, 0, k, n_nodes)
+        for direction in range(1, DIRECTIONS):
+            edges = edges.unionByName(_block_edges(nodes, direction, k, n_nodes))
+        graph, n_edges = store(nearest_edges(edges, k))
+        row_bytes = _row_bytes(nodes)
+        for turn in range(rounds):
+            fresh = graph.where("new").count()
+            if fresh <= SETTLED * n_edges:
+                break
+            # Of those that have a node as neighbour, as many again take part, drawn anew each round.
+            drawn = Window.partitionBy("v").orderBy(F.xxhash64("u", "v", F.lit(turn)), "u")
+            back = graph.withColumn("place", F.row_number().over(drawn)).where(F.col("place") <= k)
+            around = graph.select(F.col("u").alias("w"), "v", "new").unionByName(
+                back.select(F.col("v").alias("w"), F.col("u").alias("v"), "new")
+            )
+            around = around.groupBy("w", "v").agg(F.max("new").alias("new"))
+            worst = graph.groupBy("u").agg(
+                F.when(F.count(F.lit(1)) < k, float("inf")).otherwise(F.max("d")).alias("worst")
+            )
+            known, n_known = store(
+                nodes.select(F.col("node").alias("v"), "vec").join(worst.withColumnRenamed("u", "v"), "v")
+            )
+            members = attach(around, known, ["v"], row_bytes=row_bytes, n_rows=n_known)
+            old = graph.withColumn("new", F.lit(False))
+            graph, n_edges = store(nearest_edges(old.unionByName(_local_join(members)), k))
+        return store(graph, outlives=True)[0]
 
 
 def _row_bytes(nodes: DataFrame) -> int:
@@ -221,46 +220,47 @@ def search_graph(queries: DataFrame, nodes: DataFrame, graph: DataFrame, beam: i
 
     ``start`` is a node to begin at, or null; every query also begins at a few fixed nodes.
     """
-    queries, n_queries = store(queries)
-    row_bytes = _row_bytes(nodes)
-    entries = nodes.orderBy(F.xxhash64("node"), "node").limit(ENTRIES).select("node")
-    begun = queries.select("query", F.explode(F.lit(None).cast("array<long>")).alias("node"))
-    entry_list = [r.node for r in entries.collect()]
-    if entry_list:
-        begun = queries.select("query", F.explode(F.array(*[F.lit(e) for e in entry_list])).alias("node"))
-    begun = begun.unionByName(
-        queries.where(F.col("start").isNotNull()).select("query", F.col("start").alias("node"))
-    ).distinct()
-    vectors = nodes.select("node", "vec")
-    around = graph.select(F.col("u").alias("node"), F.col("v").alias("next"))
-    by_query = Window.partitionBy("query").orderBy("d", "node")
-
-    def measured(pairs: DataFrame) -> DataFrame:
-        # Pairs come to the vectors of nodes, which stay where they are while the pairs are few.
-        pairs, n_pairs = store(pairs)
-        both = attach(vectors, pairs, ["node"], row_bytes=32, n_rows=n_pairs)
-        return _distances(
-            attach(both, queries.select("query", "qvec"), ["query"], row_bytes=row_bytes, n_rows=n_queries)
-        )
+    with stored_scope(nodes.sparkSession):
+        queries, n_queries = store(queries)
+        row_bytes = _row_bytes(nodes)
+        entries = nodes.orderBy(F.xxhash64("node"), "node").limit(ENTRIES).select("node")
+        begun = queries.select("query", F.explode(F.lit(None).cast("array<long>")).alias("node"))
+        entry_list = [r.node for r in entries.collect()]
+        if entry_list:
+            begun = queries.select("query", F.explode(F.array(*[F.lit(e) for e in entry_list])).alias("node"))
+        begun = begun.unionByName(
+            queries.where(F.col("start").isNotNull()).select("query", F.col("start").alias("node"))
+        ).distinct()
+        vectors = nodes.select("node", "vec")
+        around = graph.select(F.col("u").alias("node"), F.col("v").alias("next"))
+        by_query = Window.partitionBy("query").orderBy("d", "node")
+
+        def measured(pairs: DataFrame) -> DataFrame:
+            # Pairs come to the vectors of nodes, which stay where they are while the pairs are few.
+            pairs, n_pairs = store(pairs)
+            both = attach(vectors, pairs, ["node"], row_bytes=32, n_rows=n_pairs)
+            return _distances(
+                attach(both, queries.select("query", "qvec"), ["query"], row_bytes=row_bytes, n_rows=n_queries)
+            )
 
-    seen = measured(begun).withColumn("asked", F.lit(False))
-    for _ in range(_STEPS):
-        held = seen.withColumn("place", F.row_number().over(by_query)).where(F.col("place") <= beam)
-        waiting = Window.partitionBy("query", "asked").orderBy("d", "node")
-        held = held.withColumn("turn", F.row_number().over(waiting))
-        held = held.withColumn("ask", ~F.col("asked") & (F.col("turn") <= _ASKED))
-        held, _ = store(held.select("query", "node", "d", "asked", "ask"))
-        asking, n_asking = store(held.where("ask").select("query", "node"))
-        if not n_asking:
-            break
-        told = attach(around, asking, ["node"], row_bytes=32, n_rows=n_asking)
-        told = told.select("query", F.col("next").alias("node"))
-        # A node that left the beam may come back, but is not better than before.
-        fresh = told.distinct().join(held.select("query", "node"), ["query", "node"], "left_anti")
-        seen = held.select("query", "node", "d", (F.col("asked") | F.col("ask")).alias("asked")).unionByName(
-            measured(fresh).withColumn("asked", F.lit(False))
-        )
-    return held.select("query", "node", "d")
+        seen = measured(begun).withColumn("asked", F.lit(False))
+        for _ in range(_STEPS):
+            held = seen.withColumn("place", F.row_number().over(by_query)).where(F.col("place") <= beam)
+            waiting = Window.partitionBy("query", "asked").orderBy("d", "node")
+            held = held.withColumn("turn", F.row_number().over(waiting))
+            held = held.withColumn("ask", ~F.col("asked") & (F.col("turn") <= _ASKED))
+            held, _ = store(held.select("query", "node", "d", "asked", "ask"))
+            asking, n_asking = store(held.where("ask").select("query", "node"))
+            if not n_asking:
+                break
+            told = attach(around, asking, ["node"], row_bytes=32, n_rows=n_asking)
+            told = told.select("query", F.col("next").alias("node"))
+            # A node that left the beam may come back, but is not better than before.
+            fresh = told.distinct().join(held.select("query", "node"), ["query", "node"], "left_anti")
+            seen = held.select("query", "node", "d", (F.col("asked") | F.col("ask")).alias("asked")).unionByName(
+                measured(fresh).withColumn("asked", F.lit(False))
+            )
+        return store(held.select("query", "node", "d"), outlives=True)[0]
 
 
 def nearest_neighbours(
@@ -279,15 +279,35 @@ def nearest_neighbours(
     in the graph. Which neighbours are found is approximate, what is returned of them exact.
 
     Rows with a null id, and vectors that are null, empty, zero or hold nulls or values that
-    are not finite take no part, nor do vectors of another length than most. Equal rows
-    count once; an id with several vectors has each of them. Other columns are not read; with
+    are not finite take no part. Vectors of different lengths have no distance: each length is
+    searched by itself, one after the other. Equal rows count once; an id with several vectors has each of them. Other columns are not read; with
     fewer than ``k`` others all of them are returned; an empty table gives an empty result.
     """
     found = usable(vectors, key, vector)
+    asked = found.where(queries).select("id", "vec", F.octet_length("vec").alias("size")).distinct()
+    asked, _ = store(asked)
+    sizes = sorted(r["size"] for r in asked.select("size").distinct().collect())
+    parts = [
+        _nearest(
+            found.where(F.octet_length("vec") == size), asked.where(F.col("size") == size), key, k, neighbours, beam
+        )
+        for size in sizes
+    ]
+    if not parts:
+        none = vectors.sparkSession.createDataFrame([], f"query_id long, rank int, {key} long, score double")
+        return none
+    whole = parts[0]
+    for part in parts[1:]:
+        whole = whole.unionByName(part)
+    return whole
+
+
+def _nearest(found: DataFrame, asked: DataFrame, key: str, k: int, neighbours: int, beam: int) -> DataFrame:
+    """``nearest_neighbours`` of the rows ``asked`` among all rows ``found``, vectors of one length."""
     nodes, _ = distinct_nodes(found, k + 1)
     graph = build_graph(nodes, neighbours)
     # A query row is in the graph itself: its walk begins there.
-    asked, _ = store(found.where(queries).select("id", "vec", F.md5("vec").alias("digest")).distinct())
+    asked = asked.select("id", "vec", F.md5("vec").alias("digest"))
     places = nodes.select(F.md5("vec").alias("digest"), "node")
     asked = asked.join(places, "digest")
     starts = asked.groupBy("node").agg(F.first("vec").alias("qvec"))

@@ -1,6 +1,7 @@
 """Classifiers by held-out accuracy, neighbours by recall, and the pipeline stage by stage."""
 
 import math
+import os
 import random
 from collections import Counter
 
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from lumagrid.llm import nn_descent, quality_rules, registry, toxicity
+from lumagrid.settings import checkpoint_dir
 from tests.llm import cases
 
 SF = "/root/testdata/sf0.01"
@@ -22,9 +24,6 @@ def auc(rows):
     return wins / (len(ones) * len(zeros))
 
 
-@pytest.mark.parametrize(
-    ("name", "label", "least"), [("op2_quality_rules", "quality", 0.98), ("op7_toxicity", "toxic", 0.93)]
-)
 def edits_apart(a, b):
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
@@ -56,6 +55,9 @@ def test_letters_never_rule_out_a_term():
         assert matcher.find(words) == found
 
 
+@pytest.mark.parametrize(
+    ("name", "label", "least"), [("op2_quality_rules", "quality", 0.98), ("op7_toxicity", "toxic", 0.93)]
+)
 def test_held_out_scores(spark, name, label, least):
     got = registry.queries()[name](spark, LABELLED).cache()
     labels = spark.read.parquet(f"{LABELLED}/labels.parquet").where(F.col(label).isNotNull())
@@ -188,6 +190,46 @@ def test_neighbours(spark):
     assert [copies[i] for i in range(1, 11)] == [(5, 0.0), *((1000 + i, 0.0) for i in range(1, 10))]
 
 
+def test_recall_at_the_shipped_parameters(spark):
+    """The given embeddings, each also with noise, by exact search."""
+    rows = [
+        (r.vec_id, np.array(r.embedding, np.float64))
+        for r in spark.read.parquet(f"{LABELLED}/embeddings.parquet").select("vec_id", "embedding").collect()
+    ]
+    rng = np.random.default_rng(1)
+    rows += [(10_000 + i, v + rng.normal(0, 0.05, len(v))) for i, v in rows]
+    df = spark.createDataFrame([(int(i), v.tolist()) for i, v in rows], "vec_id long, embedding array<double>")
+    got = {}
+    for r in nn_descent.nearest_neighbours(df, F.col("id") % 100 == 0).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    ids, matrix = np.array([i for i, _ in rows]), np.stack([v for _, v in rows])
+    hits = 0
+    for q in got:
+        apart = ((matrix - matrix[ids == q][0]) ** 2).sum(axis=1)
+        apart[ids == q] = np.inf
+        hits += len(got[q] & set(ids[np.argsort(apart)[:10]].tolist()))
+    assert set(got) == {i for i, _ in rows if i % 100 == 0}
+    assert hits / (10 * len(got)) >= 0.97
+
+
+def test_search_leaves_no_rounds_behind(spark):
+    folder = checkpoint_dir(spark).removeprefix("file:")
+    tables = lambda: {d for d in os.listdir(folder) if len(d) == 32}
+    points = np.random.default_rng(5).standard_normal((600, 6))
+    df = spark.createDataFrame([(i, p.tolist()) for i, p in enumerate(points)], "vec_id long, embedding array<double>")
+    before = tables()
+    found = nn_descent.nearest_neighbours(df, F.col("id") % 50 == 0)
+    assert len(tables() - before) <= 6
+    assert found.count() == 120
+
+
+def test_vectors_of_each_length_have_their_own_neighbours(spark):
+    rows = [(0, [1.0, 0.0]), (1, [2.0, 0.0]), (2, [4.0]), (3, [5.0]), (4, [9.0, 1.0]), (5, [1.0] * 3)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = {(r.query_id, r.rank): r.vec_id for r in nn_descent.nearest_neighbours(df, F.col("id") < 6).collect()}
+    assert got == {(0, 1): 1, (0, 2): 4, (1, 1): 0, (1, 2): 4, (2, 1): 3, (3, 1): 2, (4, 1): 1, (4, 2): 0}
+
+
 def test_few_or_no_neighbours(spark):
     schema = "vec_id long, embedding array<float>"
     few = spark.createDataFrame([(0, [1.0, 0.0]), (1, [2.0, 0.0]), (2, [4.0, 0.0])], schema)
