@@ -101,50 +101,110 @@ class Trie:
         return best
 
 
-def letter_sets(words: list[str]) -> np.ndarray:
-    """Sets of the letters of words of one length, as 64 bits; letters may share a bit."""
-    codes = np.array(words, f"U{len(words[0])}").view(np.uint32).reshape(len(words), -1)
+def code_points(words: list[str]) -> np.ndarray:
+    """Words of one length as rows of code points."""
+    return np.array(words, f"U{len(words[0])}").view(np.uint32).reshape(len(words), -1)
+
+
+def letter_sets(codes: np.ndarray) -> np.ndarray:
+    """The letters of each row as 64 bits; letters may share a bit."""
     return np.bitwise_or.reduce(np.uint64(1) << (codes & np.uint32(63)).astype(np.uint64), axis=1)
 
 
+def part_hashes(codes: np.ndarray, start: int, size: int) -> np.ndarray:
+    """A hash of the part of each row; 0 where a row has no such part."""
+    out = np.zeros(len(codes), np.uint64)
+    if 0 <= start and start + size <= codes.shape[1]:
+        out += np.uint64(size)
+        for i in range(start, start + size):
+            out = (out * np.uint64(0x9E3779B97F4A7C15)) ^ (codes[:, i] + np.uint64(1))
+    return out
+
+
+def untouched_parts(length: int, errors: int) -> list[tuple[int, int, int]]:
+    """Parts of a term of which a word within ``errors`` edits has one: start, size, and where it may lie.
+
+    Of ``errors + 1`` parts one is left as it is: the first lies where words begin (0), the last where
+    they end (-1), and one between edits on both sides no more than one letter off (1).
+    """
+    cuts = [i * length // (errors + 1) for i in range(errors + 2)]
+    if errors == 0:
+        return [(0, length, 0)]
+    spans = list(zip(cuts, cuts[1:], strict=False))
+    return [
+        (start, end - start, 0 if i == 0 else -1 if i == errors else 1) for i, (start, end) in enumerate(spans)
+    ]
+
+
 class Tries:
-    """The terms that words of a length can be: a trie for each number of allowed errors."""
+    """The terms that words can be: those whose letters and parts a word has, as a trie."""
+
+    _KEPT = 20_000  # small tries that are kept
 
     def __init__(self, terms: list[tuple[str, float]]):
         self.terms = terms
-        self.by_length: dict[int, tuple[list[tuple[int, Trie]], np.ndarray, np.ndarray]] = {}
+        self.by_length: dict[int, tuple] = {}
+        self.small: dict[tuple[int, ...], list[tuple[int, Trie]]] = {}
 
-    def _of_length(self, n: int) -> tuple[list[tuple[int, Trie]], np.ndarray, np.ndarray]:
+    def _of_length(self, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, dict]:
+        """Terms that words of ``n`` letters can be: places, letters, edits of letters, and parts by place and size."""
         if n not in self.by_length:
-            near: dict[int, list[tuple[str, float]]] = {}
-            for term, weight in self.terms:
-                errors = allowed_errors(len(term))
-                if abs(len(term) - n) <= errors:
-                    near.setdefault(errors, []).append((term, weight))
-            named = [(errors, term) for errors, some in near.items() for term, _ in some]
-            sets = np.array([letter_sets([term])[0] for _, term in named], np.uint64)
-            tries = [(errors, Trie(some)) for errors, some in near.items()]
-            self.by_length[n] = tries, sets, 2 * np.array([errors for errors, _ in named], np.int64)
+            at = [i for i, (t, _) in enumerate(self.terms) if abs(len(t) - n) <= allowed_errors(len(t))]
+            parts: dict[tuple[int, int], tuple[list[int], list[int]]] = {}
+            for place, i in enumerate(at):
+                term = self.terms[i][0]
+                codes = code_points([term])
+                for start, size, side in untouched_parts(len(term), allowed_errors(len(term))):
+                    own = int(part_hashes(codes, start, size)[0])
+                    starts = {0: [0], -1: [n - size], 1: [start - 1, start, start + 1]}[side]
+                    for s in starts:
+                        places, hashes = parts.setdefault((s, size), ([], []))
+                        places.append(place)
+                        hashes.append(own)
+            sets = np.array([letter_sets(code_points([self.terms[i][0]]))[0] for i in at], np.uint64)
+            most = 2 * np.array([allowed_errors(len(self.terms[i][0])) for i in at], np.int64)
+            found = {k: (np.array(p), np.array(h, np.uint64)) for k, (p, h) in parts.items()}
+            self.by_length[n] = np.array(at, np.int64), sets, most, found
         return self.by_length[n]
 
-    def may_be(self, words: list[str]) -> np.ndarray:
-        """Which words, all of one length, have letters that allow for a term.
+    def candidates(self, words: list[str]) -> list[tuple[int, ...]]:
+        """For each of some words of one length the terms that it may be.
 
-        An edit takes a letter away from those of a word, adds one, or both.
+        An edit takes a letter away from those of a word, adds one, or both, and leaves a part as it is.
         """
-        _, sets, most = self._of_length(len(words[0]))
-        found = np.zeros(len(words), bool)
-        if len(sets):
-            for start in range(0, len(words), 4096):
-                own = letter_sets(words[start : start + 4096])
-                apart = np.bitwise_count(own[:, None] ^ sets)
-                found[start : start + 4096] = (apart <= most).any(axis=1)
+        at, sets, most, parts = self._of_length(len(words[0]))
+        found: list[tuple[int, ...]] = [()] * len(words)
+        if not len(at):
+            return found
+        for start in range(0, len(words), 4096):
+            codes = code_points(words[start : start + 4096])
+            near = np.zeros((len(codes), len(at)), bool)
+            for (place, size), (terms, hashes) in parts.items():
+                own = part_hashes(codes, place, size)
+                rows, columns = np.nonzero((own[:, None] == hashes) & (own[:, None] != 0))
+                near[rows, terms[columns]] = True
+            rows, columns = np.nonzero(near)
+            apart = np.bitwise_count(letter_sets(codes)[rows] ^ sets[columns])
+            kept = apart <= most[columns]
+            rows, columns = rows[kept], columns[kept]
+            cuts = np.flatnonzero(np.diff(rows)) + 1
+            for row, some in zip(rows[np.append(0, cuts)] if len(rows) else [], np.split(columns, cuts), strict=False):
+                found[start + int(row)] = tuple(at[some].tolist())
         return found
 
-    def search(self, word: str) -> tuple[str, float, int] | None:
-        """The term nearest to ``word`` within its allowed errors, with weight and distance."""
+    def search(self, word: str, terms: tuple[int, ...] | None = None) -> tuple[str, float, int] | None:
+        """The nearest of all or some terms within its allowed errors, with weight and distance."""
+        if terms is None:
+            terms = self.candidates([word])[0]
+        if terms not in self.small:
+            near: dict[int, list[tuple[str, float]]] = {}
+            for i in terms:
+                near.setdefault(allowed_errors(len(self.terms[i][0])), []).append(self.terms[i])
+            if len(self.small) >= self._KEPT:
+                self.small.clear()
+            self.small[terms] = [(errors, Trie(some)) for errors, some in near.items()]
         best = None
-        for errors, trie in self._of_length(len(word))[0]:
+        for errors, trie in self.small[terms]:
             found = trie.search(word, errors)
             if found is not None:
                 best = found if best is None else min(best, found)
@@ -167,8 +227,8 @@ class Matcher:
         self.known: dict[str, tuple[float, bool] | None] = {}
         self.older: dict[str, tuple[float, bool] | None] = {}
 
-    def _found(self, word: str, may_be: bool) -> tuple[float, bool] | None:
-        near = self.tries.search(word) if may_be else None
+    def _found(self, word: str, terms: tuple[int, ...]) -> tuple[float, bool] | None:
+        near = self.tries.search(word, terms) if terms else None
         found = None if near is None else (near[1], near[2] > 0)
         starts = [self.prefixes[p] for k in _PREFIXES if k <= len(word) and (p := word[:k]) in self.prefixes]
         if starts and (found is None or found[1] or max(starts) > found[0]):
@@ -185,8 +245,8 @@ class Matcher:
                 else:
                     new.setdefault(len(word), []).append(word)
         for some in new.values():
-            for word, may_be in zip(some, self.tries.may_be(some).tolist(), strict=True):
-                self.known[word] = self._found(word, may_be)
+            for word, terms in zip(some, self.tries.candidates(some), strict=True):
+                self.known[word] = self._found(word, terms)
         hits = {w: f for w in words if (f := self.known[w]) is not None}
         if len(self.known) > _CACHED_WORDS:
             self.older, self.known = self.known, {}

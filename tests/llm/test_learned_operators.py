@@ -42,6 +42,11 @@ def test_letters_never_rule_out_a_term():
     for term, _ in terms:
         at = rng.randrange(len(term))
         words |= {term, term[:at] + "x" + term[at:], term[:at] + term[at + 1 :] or "a", term[:at] + "y" + term[at + 1 :]}
+    for term, _ in [t for t in terms if len(t[0]) >= 9] * 12:
+        for _ in range(2):
+            at = rng.randrange(len(term) + 1)
+            term = term[:at] + rng.choice(["", "x", "a"]) + term[at + rng.choice((0, 1, 1)) :]
+        words.add(term)
     found = matcher.find(words)
     for word in words:
         near = [
