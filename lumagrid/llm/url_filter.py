@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import ahocorasick
@@ -9,7 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lumagrid.llm.common import LOWER, UPPER
+from lumagrid.llm.common import LOWER, UPPER, kept_in_worker
 
 # A strict term rejects a url by itself.
 STRICT_TERMS = [
@@ -24,6 +25,8 @@ SOFT_TERMS = {
     "crack": 0.5, "hookup": 1.0,
 }
 SOFT_LIMIT = 2.0
+# Terms of a vocabulary from a table, which every task holds.
+MAX_TERMS = 1_000_000
 # (host, path, verdict): holds for the host and its subdomains and paths that start so.
 RULES = [
     ("org", "/", "allow"),
@@ -89,6 +92,24 @@ def find_terms(automaton: ahocorasick.Automaton, url: str | None) -> tuple[list[
     return sorted(strict), soft
 
 
+def vocabulary_of(terms: DataFrame, most: int = MAX_TERMS) -> tuple[list[str], dict[str, float]]:
+    """Strict and soft terms of a table ``(term, strict, weight)``, as ``filter_urls`` takes them.
+
+    A null ``strict`` is false, a null weight 1; of a soft term's weights the largest counts. Every
+    task holds all terms, so a table of more than ``most`` is refused. Null terms are left out.
+    """
+    rows = (
+        terms.where(F.col("term").isNotNull())
+        .groupBy("term", F.coalesce("strict", F.lit(False)).alias("strict"))
+        .agg(F.max(F.coalesce(F.col("weight").cast("double"), F.lit(1.0))).alias("weight"))
+        .limit(most + 1)
+        .collect()
+    )
+    if len(rows) > most:
+        raise ValueError(f"a vocabulary has at most {most} terms")
+    return sorted(r.term for r in rows if r.strict), {r.term: r.weight for r in rows if not r.strict}
+
+
 def rule_tables(rules: list[tuple[str, str, str]]) -> dict[str, list[tuple[str, str, str]]]:
     """Rules by host, those with the longest path first."""
     by_host: dict = {}
@@ -125,19 +146,21 @@ def filter_urls(
 
     The verdict is that of the longest fitting rule. Without one, ``block`` if a strict
     term occurs or the distinct soft terms weigh ``soft_limit`` or more, else ``allow``.
+    Terms are given, or come from a table (``vocabulary_of``).
     A null url, one without ``://`` and an empty one have an empty host and path; a null or
     empty one is allowed. Repeated rows are judged each for itself; an empty table gives an
     empty result; other columns are not read. Rows are judged where they lie, without a
     shuffle, and urls of any length are searched whole.
     """
-    by_host, terms = rule_tables(rules), (list(strict), dict(soft))
+    by_host, call = rule_tables(rules), uuid.uuid4().hex
+    terms = pages.sparkSession.sparkContext.broadcast((list(strict), dict(soft)))
 
     @F.pandas_udf(
         "rule string, verdict string, strict_terms array<string>, "
         "soft_terms array<string>, soft_weight double"
     )
     def judge(parts: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
-        automaton = build_automaton(*terms)
+        automaton = kept_in_worker("url terms", call, lambda: build_automaton(*terms.value))
         for urls, hosts, paths in parts:
             rows = []
             for u, h, p in zip(urls, hosts, paths, strict=True):

@@ -60,6 +60,19 @@ def test_other_rules_and_terms(spark):
     assert url_filter.filter_urls(pages.limit(0)).count() == 0
 
 
+def test_a_vocabulary_from_a_table(spark):
+    rows = [("Bad", True, None), ("mild", None, None), ("mild", False, 0.5), ("half", False, 0.5), (None, True, 1.0), ("bad", True, 3.0)]
+    terms = spark.createDataFrame(rows, "term string, strict boolean, weight double")
+    strict, soft = url_filter.vocabulary_of(terms)
+    assert (strict, soft) == (["Bad", "bad"], {"mild": 1.0, "half": 0.5})
+    urls = ["http://a/bad", "http://a/mild-half", "http://a/mild/mild", "http://a/x"]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    judged = url_filter.filter_urls(pages, rules=[], strict=strict, soft=soft, soft_limit=1.5)
+    assert [r.verdict for r in judged.orderBy("page_id").collect()] == ["block", "block", "allow", "allow"]
+    with pytest.raises(ValueError):
+        url_filter.vocabulary_of(terms, most=2)
+
+
 # --- line dedup -------------------------------------------------------------------------
 
 
