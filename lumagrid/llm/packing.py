@@ -14,7 +14,8 @@ its rest.
 from __future__ import annotations
 
 import os
-import unicodedata
+import sys
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lumagrid.llm.common import LOWER_BYTES, kept_in_worker
+from lumagrid.llm.common import kept_in_worker
 from lumagrid.llm.counters import count_places
 from lumagrid.settings import store
 
@@ -33,23 +34,16 @@ SHARD_DOCS = 512
 SHARD_TOKENS = 1 << 20
 END_ID = 1
 K1, B = 1.2, 0.75
-_CACHED_WORDS = 250_000
+_CACHED_WORDS = 300_000
 LEADS = 3  # tokens by which documents are dealt and ordered
 BUCKET_DOCS = 4096
 # What a word may end in besides its letters; an apostrophe would bind to them.
-_ENDINGS = b".,!?;:|#$%&*()-"
+_ENDINGS = ".,!?;:|#$%&*()-"
 # Characters that byte-level models have for bytes: printable ones for themselves, 256 and up for the others.
 _PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
 _BYTE_CHARACTERS = {b: 256 + i for i, b in enumerate(sorted(set(range(256)) - set(_PRINTABLE)))}
 
 
-def _ends_plainly(letters: bytes) -> bool:
-    """Whether the last character is a letter or digit, and stays one when composed and lower-cased."""
-    if letters[-1] < 128:
-        return letters[-1:].isalnum()
-    return unicodedata.normalize("NFC", letters.decode()[-1]).lower()[-1].isalnum()
-
-
 class WordIds:
     """The ids of words as bytes. Tokenizers that split at white space, and drop it, give a text
     the ids of its words one after another, so a word is looked up only once.
@@ -64,90 +58,87 @@ class WordIds:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = tokenizers.Tokenizer.from_file(vocabulary)
         self.model = self.tokenizer.model
-        self.width = width
+        self.code = {"<u2": "H", "<u4": "I"}[width]
         self.known: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
-        self.parts: dict[bytes, bytes] = {}
-        self.older_parts: dict[bytes, bytes] = {}
+        self.letters: dict[str, bytes] = {}
+        self.endings: dict[str, bytes] = {"": b""}
         self.plain = self._splits_endings()
         self.direct = self._takes_letters()
 
-    def _ids(self, words: list[bytes]) -> list[bytes]:
+    def _bytes(self, ids: list[int]) -> bytes:
+        found = array(self.code, ids)
+        if sys.byteorder == "big":
+            found.byteswap()
+        return found.tobytes()
+
+    def _ids(self, words: list[str]) -> list[bytes]:
         if not words:
             return []
-        found = self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)
-        return [np.array(e.ids, self.width).tobytes() for e in found]
+        return [self._bytes(e.ids) for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
 
     def _of_letters(self, word: str) -> bytes:
         """The ids of lower-case letters, by the model alone."""
         if not word.isascii():
             word = word.encode().decode("latin-1").translate(_BYTE_CHARACTERS)
-        return np.array([t.id for t in self.model.tokenize(word)], self.width).tobytes()
+        return self._bytes([t.id for t in self.model.tokenize(word)])
 
     def _splits_endings(self) -> bool:
         """Whether endings and case make no difference to the ids of the letters before."""
-        words = [b"Word", b"word", b"wOrdly1", b"\xc3\x89a"]
-        ends = [b"", b".", b"!!", b",.", b"###", b"%%%", b"&&&", b"$$$", b"***", b"|", b"?)", b";:", b"--("]
+        words = ["Word", "word", "wOrdly1", "Éa"]
+        ends = ["", ".", "!!", ",.", "###", "%%%", "&&&", "$$$", "***", "|", "?)", ";:", "--("]
         whole = self._ids([w + e for w in words for e in ends])
-        letters, last = self._ids([w.translate(LOWER_BYTES) for w in words]), self._ids(ends)
+        letters, last = self._ids([w.lower() for w in words]), self._ids(ends)
         return whole == [a + b for a in letters for b in last]
 
     def _takes_letters(self) -> bool:
         """Whether the model alone gives words of letters the ids that they have."""
-        words = ["a", "word", "unbelievably", "Éclairs", "straße", "weiß", "ñandú", "дом", "漢字", "zzzzqxv", "naïveté"]
+        words = ["a", "word", "unbelievably", "Éclairs", "straße", "weiß", "ñandú", "zzzzqxv", "naïveté", "Œuvre"]
         try:
-            return self._ids([w.encode() for w in words]) == [self._of_letters(w.lower()) for w in words]
+            return self.plain and self._ids(words) == [self._of_letters(w.lower()) for w in words]
         except Exception:  # models of other kinds refuse in ways of their own
             return False
 
-    def _encoded_parts(self, parts: list[bytes]) -> list[bytes]:
-        if not self.direct:
-            return self._ids(parts)
-        out: list[bytes | None] = []
-        for part in parts:
-            word = part.decode()
-            # Letters that are composed and have one lower-case form each; anything else takes the whole way.
-            if word.isascii() and word.isalpha():
-                out.append(self._of_letters(word.lower()))
-            elif word.isalpha() and max(word) < "\u0180" and "\u0130" not in word:
-                out.append(self._of_letters(word.lower()))
-            else:
-                out.append(None)
-        rest = iter(self._ids([p for p, ids in zip(parts, out, strict=True) if ids is None]))
-        return [next(rest) if ids is None else ids for ids in out]
-
-    def _look_up(self, wanted: set[bytes]) -> dict[bytes, bytes]:
-        """The ids of parts of words."""
-        parts, older = self.parts, self.older_parts
-        found = {p: parts[p] if p in parts else older[p] for p in wanted if p in parts or p in older}
-        new = [p for p in wanted if p not in found]
-        fresh = dict(zip(new, self._encoded_parts(new), strict=True))
-        if len(self.parts) > _CACHED_WORDS:
-            self.older_parts, self.parts = self.parts, {}
-        found.update(fresh)
-        self.parts.update(found)
-        return found
+    def _add(self, new: list[bytes]) -> None:
+        """Words that are not known become known."""
+        known, letters_of, endings, rest = self.known, self.letters, self.endings, []
+        if not new:
+            return
+        if len(letters_of) > _CACHED_WORDS:
+            letters_of.clear()
+        # No word has a space in it, and lower case adds none.
+        text = b" ".join(new).decode()
+        for word, said, low in zip(new, text.split(" "), text.lower().split(" "), strict=True):
+            letters = low.rstrip(_ENDINGS)
+            # Letters up to U+017F are composed and have one lower-case form, but for one that falls apart.
+            if not (self.direct and letters.isalpha() and (letters.isascii() or max(letters) < "\u0180")):
+                rest.append((word, said))
+                continue
+            ids = letters_of.get(letters)
+            if ids is None:
+                ids = letters_of[letters] = self._of_letters(letters)
+            if len(letters) < len(low):
+                ending = low[len(letters) :]
+                if ending not in endings:
+                    if len(endings) > _CACHED_WORDS:
+                        endings.clear()
+                    endings[ending] = self._ids([ending])[0]
+                ids += endings[ending]
+            known[word] = ids
+        if rest:
+            known.update(zip((w for w, _ in rest), self._ids([said for _, said in rest]), strict=True))
 
     def encoded(self, texts: list[list[bytes]]) -> list[bytes]:
         """The ids of each text, given as its words."""
-        known, older = self.known, self.older
-        cut: dict[bytes, tuple[bytes, bytes]] = {}
-        for word in set().union(*texts):
-            if word in known:
-                continue
-            if word in older:
-                known[word] = older[word]
-                continue
-            letters = word.rstrip(_ENDINGS)
-            if self.plain and b"<|" not in word and letters and _ends_plainly(letters):
-                cut[word] = letters.translate(LOWER_BYTES), word[len(letters) :]
-            else:
-                cut[word] = word, b""
-        if cut:
-            parts = self._look_up(set().union(*cut.values()))
-            for word, (letters, ending) in cut.items():
-                known[word] = parts[letters] + parts[ending]
-        out = [b"".join(map(known.__getitem__, words)) for words in texts]
+        known = self.known
+        new = set().union(*texts).difference(known)
+        if new:
+            older = self.older
+            again = [word for word in new if word in older]
+            known.update((word, older[word]) for word in again)
+            self._add(list(new.difference(again)))
+        find = known.__getitem__
+        out = [b"".join(map(find, words)) for words in texts]
         if len(known) > _CACHED_WORDS:
             self.older, self.known = known, {}
         return out
@@ -170,11 +161,18 @@ def token_ids(docs: DataFrame, key: str, text: str, vocabulary: str, width: str,
     return named.mapInArrow(encode, f"id {named.schema['id'].dataType.simpleString()}, ids binary")
 
 
+def term_counts(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The different ids in ascending order, and how often each occurs."""
+    ids = np.sort(ids, kind="stable")
+    last = np.append(np.flatnonzero(ids[1:] != ids[:-1]), len(ids) - 1)
+    return ids[last], np.diff(last, prepend=-1)
+
+
 class Shard:
     """An inverted index over some documents: for each token, who has it and its BM25 weight."""
 
     def __init__(self, docs: list[np.ndarray], idf: np.ndarray, mean_length: float):
-        terms, counts = zip(*(np.unique(d, return_counts=True) for d in docs), strict=True)
+        terms, counts = zip(*map(term_counts, docs), strict=True)
         self.terms = terms
         owner = np.repeat(np.arange(len(docs)), [len(t) for t in terms])
         token, count = np.concatenate(terms), np.concatenate(counts)
@@ -251,14 +249,11 @@ def pack_documents(
 
     def distinct(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
         for value in batch.column(0):
-            ids = np.frombuffer(value.as_py(), width)
-            yield np.unique(ids).astype(np.int64)
-            # One more counter sums the lengths, 4096 tokens at a time and the rest apart.
-            yield np.concatenate([np.full(len(ids) >> 12, size), np.full(len(ids) & 4095, size + 1)])
-
-    counts = count_places(encoded.select("ids"), distinct, size + 2)
-    mean_length = max(1.0, (int(counts[size]) * 4096 + int(counts[size + 1])) / max(1, n_docs))
-    frequency = counts[:size]
+            yield term_counts(np.frombuffer(value.as_buffer(), width))[0].astype(np.int64)
+
+    frequency = count_places(encoded.select("ids"), distinct, size)
+    n_bytes = encoded.agg(F.sum(F.octet_length("ids"))).first()[0] or 0
+    mean_length = max(1.0, n_bytes / np.dtype(width).itemsize / max(1, n_docs))
     idf = np.log1p((n_docs - frequency + 0.5) / (frequency + 0.5))
     # A token that only one document has brings none together.
     pull = docs.sparkSession.sparkContext.broadcast(np.where(frequency > 1, idf, 0.0))
@@ -266,16 +261,18 @@ def pack_documents(
 
     def leads(ids: np.ndarray) -> np.ndarray:
         """The tokens that weigh most in a document and that others have, the heaviest first; -1 for none."""
-        token, count = np.unique(ids, return_counts=True)
+        token, count = term_counts(ids)
         weight = pull.value[token] * count / (count + K1 * (1 - B + B * len(ids) / mean_length))
         found = np.full(LEADS, -1)
-        order = np.argsort(-weight, kind="stable")[:LEADS]
-        order = order[weight[order] > 0]
-        found[: len(order)] = token[order]
+        for i in range(LEADS):
+            at = int(weight.argmax())
+            if weight[at] <= 0:
+                break
+            found[i], weight[at] = token[at], 0
         return found
 
     def first_leads(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
-        yield np.array([leads(np.frombuffer(v.as_py(), width))[0] + 1 for v in batch.column(0)], np.int64)
+        yield np.array([leads(np.frombuffer(v.as_buffer(), width))[0] + 1 for v in batch.column(0)], np.int64)
 
     led = count_places(encoded.select("ids"), first_leads, size + 1)
     first_bucket, n_buckets = _buckets(led, bucket_docs)

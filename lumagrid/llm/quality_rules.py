@@ -200,5 +200,10 @@ def score_quality(
 def keep_quality(
     docs: DataFrame, model: RuleModel, text: str = "text", reject_below: float = REJECT_BELOW
 ) -> DataFrame:
-    """The rows of ``docs`` that score ``reject_below`` or more, with their columns."""
+    """The rows of ``docs`` that score ``reject_below`` or more, with their columns.
+
+    Every row is judged by its whole text alone, so equal rows share their fate, ids may be null or
+    repeated and other columns are of no account. Null and empty texts have the score that
+    statistics of 0 have. An empty table gives an empty result.
+    """
     return docs.where(model.score(statistics(F.col(text))) >= reject_below)

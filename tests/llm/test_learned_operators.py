@@ -3,10 +3,14 @@
 import math
 import os
 import random
+import re
+import zlib
 from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.ml.classification import RandomForestClassifier
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -33,6 +37,135 @@ def edits_apart(a, b):
     return row[-1]
 
 
+def statistics_plainly(text):
+    """The statistics of quality_rules, one by one."""
+    raw = (text or "").encode()
+    words = re.findall(rb"[^\x20\x09-\x0D]+", raw)
+    if not words:
+        return [0.0] * len(quality_rules.STATISTICS)
+    n, sizes = len(words), [len(w) for w in words]
+    lines = [line for line in raw.split(b"\n") if re.search(rb"[^\x20\x09-\x0D]", line)]
+    share = lambda some: sum(b in some for b in raw) / len(raw)
+    mean = sum(sizes) / n
+    heads = [re.search(rb"[^\x20\x09-\x0D]", line)[0] for line in lines]
+    return [
+        math.log(1 + n), mean, math.sqrt(sum((s - mean) ** 2 for s in sizes) / n),
+        sum(s <= 3 for s in sizes) / n, sum(s >= 14 for s in sizes) / n, len(set(words)) / n,
+        sum(a == b for a, b in zip(words, words[1:])) / n,
+        share(range(65, 91)), sum(w.isupper() for w in words) / n, share(range(48, 58)),
+        share(b"#$%&*@^~+_=\\"), raw.count(b"!") / n, raw.count(b"|") / n,
+        sum(len(re.findall(p, raw)) for p in (rb"\. ", rb"\.\n", rb", ")) / n,
+        share(b"{}[]()<>:;/\"'`"), share(range(128, 256)), n / len(lines),
+        len(set(lines)) / len(lines), sum(65 <= h[0] <= 90 for h in heads) / len(lines),
+    ]
+
+
+def test_statistics_by_hand(spark):
+    texts = [None, "", " \n", "One. Two, three!\nAND 12 | {x} ünï\n\none\none", cases.prose(3, 200), "a a a\tA\r\nB.\n"]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    got = [r[0] for r in df.select(quality_rules.statistics(F.col("text"))).collect()]
+    for text, values in zip(texts, got):
+        assert values == pytest.approx(statistics_plainly(text), abs=1e-12), text
+
+
+def test_rules_are_the_paths_of_trees(spark):
+    """Of a tree's rules those hold for a row that are beginnings of its own path, and no others."""
+    rng = np.random.default_rng(2)
+    rows = [([float(v) for v in rng.normal(0, 1, 4)],) for _ in range(300)]
+    rows = [(v, float(v[0] + v[1] * v[2] > 0.2)) for (v,) in rows]
+    df = spark.createDataFrame(rows, "values array<double>, label double")
+    vectors = df.select(array_to_vector("values").alias("features"), "label")
+    forest = RandomForestClassifier(numTrees=3, maxDepth=3, seed=5).fit(vectors)
+    holds = lambda rule, x: all((x[i] <= v) == at_most for i, at_most, v in rule)
+    for tree in forest.trees:
+        rules = quality_rules.tree_rules(tree._java_obj.rootNode())
+        for x, _ in rows[:60]:
+            node, path = tree._java_obj.rootNode(), []
+            while node.subtreeDepth():
+                split = node.split()
+                left = x[split.featureIndex()] <= split.threshold()
+                path.append((split.featureIndex(), left, split.threshold()))
+                node = node.leftChild() if left else node.rightChild()
+            held = [r for r in rules if holds(r, x)]
+            assert len(held) == len(path)
+            for rule in held:
+                assert {(i, m) for i, m, _ in rule} <= {(i, m) for i, m, _ in path}
+
+
+def scores_plainly(model, values):
+    total = model.intercept
+    for rule, weight in zip(model.rules, model.weights):
+        total += weight * all((values[i] <= v) == at_most for i, at_most, v in rule)
+    return 1 / (1 + math.exp(-total))
+
+
+def test_quality_query_by_hand(spark):
+    """Every score of the query from the model's rules over the plain statistics."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    model = quality_rules.train_quality(docs, spark.read.parquet(f"{SF}/labels.parquet"))
+    got = {r.doc_id: (r.held_out, r.score, r.predicted) for r in registry.op2_quality_rules(spark, SF).collect()}
+    for r in docs.collect():
+        score = scores_plainly(model, statistics_plainly(r.text))
+        held, found, predicted = got[r.doc_id]
+        assert held == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0)
+        assert found == pytest.approx(score, abs=1e-9) and predicted == (found >= 0.3)
+
+
+def toxic_features_plainly(lexicon, text):
+    """Features of a text by edit distances to all terms."""
+    text = (text or "").lower()
+    spans = [(m.group(), *m.span()) for m in re.finditer(r"\w+", text)]
+    if not spans:
+        return [0.0] * 8
+    terms, prefixes, found = lexicon.words, dict(lexicon.prefixes), {}
+    for word in {w for w, _, _ in spans}:
+        near = [
+            (d, -weight, t)
+            for t, weight in terms
+            if abs(len(t) - len(word)) <= toxicity.allowed_errors(len(t))
+            and (d := edits_apart(word, t)) <= toxicity.allowed_errors(len(t))
+        ]
+        hit = (-min(near)[1], min(near)[0] > 0) if near else None
+        starts = [w for p, w in prefixes.items() if word.startswith(p)]
+        if starts and (hit is None or hit[1] or max(starts) > hit[0]):
+            hit = (max(starts), False)
+        if hit:
+            found[word] = hit
+    direct, quoted, addressed, n = {}, {}, 0, 0
+    for i, (word, a, b) in enumerate(spans):
+        if word in found:
+            n += 1
+            before, after = spans[max(0, i - 6) : i], spans[i + 1 : i + 7]
+            near = {w for w, _, _ in before + after}
+            left = text[before[0][1] if before else a : a]
+            right = text[b : after[-1][2] if after else b]
+            marks = set(left) & set(toxicity.QUOTE_MARKS) and set(right) & set(toxicity.QUOTE_MARKS)
+            (quoted if marks or near & toxicity.REPORTING else direct)[word] = found[word][0]
+            addressed += bool(near & toxicity.ADDRESSING)
+    log = math.log1p
+    return [
+        log(sum(direct.values())), log(sum(quoted.values())), max([0.0, *(w for w, _ in found.values())]),
+        log(100 * n / len(spans)), log(sum(m for _, m in found.values())), log(addressed), log(len(found)), log(len(spans)),
+    ]
+
+
+def test_toxicity_query_by_hand(spark):
+    """Every score of the query for some hundred documents by plain edit distances and contexts."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    model = toxicity.train_toxicity(docs, spark.read.parquet(f"{SF}/labels.parquet"))
+    if not model.lexicon.words:
+        words = [(w, 1.5) for w in ("worthless", "idiot", "stupid", "terrible")]
+        model = toxicity.ToxicityModel(toxicity.Lexicon(tuple(words), (("thet", 2.0),)), (0.5,) * 8, -2.0)
+    some = docs.where("length(text) < 1500").limit(150).collect()
+    scored = {r.doc_id: (r.score, r["values"]) for r in toxicity.score_toxicity(docs, model).collect()}
+    for r in some:
+        values = toxic_features_plainly(model.lexicon, r.text)
+        score, got = scored[r.doc_id]
+        assert got == pytest.approx(values, abs=1e-9), r.doc_id
+        total = model.intercept + sum(w * v for w, v in zip(model.weights, values))
+        assert score == pytest.approx(1 / (1 + math.exp(-total)), abs=1e-9)
+
+
 def test_letters_never_rule_out_a_term():
     rng = random.Random(8)
     terms = [("".join(rng.choice("abcdeéü") for _ in range(rng.randrange(3, 12))), rng.random()) for _ in range(60)]
@@ -247,6 +380,32 @@ def test_few_or_no_neighbours(spark):
 # --- pipeline ---------------------------------------------------------------------------
 
 
+def test_pipeline_stands_messy_and_empty_tables(spark, tmp_path):
+    """All stages over nulls, blanks, repeated rows, a very long text and further columns, and over nothing."""
+    plain = [(100 + i, cases.prose(i, 40 + i)) for i in range(60)]
+    docs = cases.messy(spark, [*plain, (200, cases.prose(5, 45) + " tail"), (12, None), (12, "x")])
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(100, 160)] + [(None, 1, 1), (3, None, None)], "doc_id long, quality int, toxic int")
+    bench = spark.createDataFrame([(1, cases.prose(7, 30)), (2, None), (None, "a b")], "item_id long, text string")
+    for name, table in (("full", docs), ("none", docs.limit(0))):
+        folder = f"{tmp_path}/{name}"
+        table.write.parquet(f"{folder}/documents.parquet")
+        labels.write.parquet(f"{folder}/labels.parquet")
+        bench.write.parquet(f"{folder}/benchmark.parquet")
+        rows = spark.read.parquet(f"{folder}/documents.parquet")
+        for _, stage in corpus_pipeline.STAGES[:-1]:
+            left = stage(spark, rows, folder)
+            assert left.columns == docs.columns
+            rows = left.cache()
+        kept = rows.count()
+        packed = corpus_pipeline.run(spark, folder)
+        assert packed.where("start = 0").count() == kept
+        if name == "none":
+            assert kept == 0
+        else:
+            assert kept > 40 and rows.where("text is null").count() <= 3
+            assert rows.where("doc_id = 2").count() == 0 or rows.where("doc_id = 1").count() == 0
+
+
 def test_pipeline(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     columns, ids = docs.columns, {r.doc_id for r in docs.select("doc_id").collect()}
