@@ -128,21 +128,55 @@ def _scatter(source: DataFrame, border: str) -> DataFrame:
     }
     met = met.withColumns({f"{name}_weight": weight for name, weight in weights.items()})
 
-    def edge(g, at):
-        x = F.col("own.x0") + at
-        total = F.lit(0)
-        for name in weights:
-            step = F.coalesce(F.get(F.col(name)["steps"], (x - F.col(name)["from"]).cast("int")), F.lit(0))
-            step = step + F.when(x == F.col("part") * _LINE, F.col(f"{name}_start")).otherwise(0)
-            step = step + F.when(x == F.col("part") * _LINE + _LINE - 1, F.col(f"{name}_end")).otherwise(0)
-            total = total + step * F.col(f"{name}_weight")
-        # Across a mirrored border a line is even.
-        total = F.when(mirrored & ((x == 0) | (x == F.col("own.right"))), 0).otherwise(total)
-        at_pixel = F.struct(x.cast(kinds["x"]).alias("x"), clamp8(total).cast("int").alias("edge"))
-        return F.when(g.isNotNull(), at_pixel)
-
-    pixels = F.filter(F.transform("own.g", edge), lambda p: p.isNotNull())
-    return met.select(IMAGE, F.col("y").cast(kinds["y"]).alias("y"), F.inline(pixels))
+    n = F.size("own.g")
+
+    def aligned(name: str):
+        """A line's differences at the pixels of this one: a slice, unless the lines differ in extent."""
+        steps, begin = F.col(name)["steps"], F.col(name)["from"]
+        alike = (begin == F.col("own.x0") - 1) & (F.size(steps) == n + 2)
+        shift = (F.col("own.x0") - begin).cast("int")
+        looked_up = F.transform("own.g", lambda _, at: F.coalesce(F.get(steps, at + shift), F.lit(0)))
+        nothing = F.array_repeat(F.lit(0).cast(kinds["g"]), n)
+        return F.when(begin.isNull(), nothing).when(alike, F.slice(steps, F.lit(2), n)).otherwise(looked_up)
+
+    met = met.withColumns({f"{name}_line": aligned(name) for name in weights})
+    rim = F.zip_with(
+        "above_line", "below_line", lambda a, b: a * F.col("above_weight") + b * F.col("below_weight")
+    )
+    totals = F.zip_with(rim, "here_line", lambda r, h: r + h * F.col("here_weight"))
+    met = met.withColumn("totals", totals)
+    # What the arrays before and after add to the first and the last column.
+    ends = {
+        side: sum((F.col(f"{name}_{side}") * F.col(f"{name}_weight") for name in weights), F.lit(0))
+        for side in ("start", "end")
+    }
+    at_start = F.when(F.col("own.x0") == F.col("part") * _LINE, ends["start"]).otherwise(0)
+    at_end = F.when(F.col("own.x0") + n == (F.col("part") + 1) * _LINE, ends["end"]).otherwise(0)
+    met = met.withColumns({"at_start": at_start, "at_end": at_end})
+    # Across a mirrored border a line is even.
+    left_edge = mirrored & (F.col("own.x0") == 0)
+    right_edge = mirrored & (F.col("own.x0") + n - 1 == F.col("own.right"))
+    met = met.withColumns({"left_edge": left_edge, "right_edge": right_edge})
+
+    def edge(total, at):
+        first, last = at == 0, at == n - 1
+        total = total + F.when(first, F.col("at_start")).otherwise(0) + F.when(last, F.col("at_end")).otherwise(0)
+        none = (first & F.col("left_edge")) | (last & F.col("right_edge"))
+        return F.when(none, 0).otherwise(clamp8(total)).cast("int")
+
+    lines = met.select(
+        IMAGE, F.col("y").cast(kinds["y"]).alias("y"), F.col("own.x0").alias("x0"), F.col("own.g").alias("g"), "totals",
+        "at_start", "at_end", "left_edge", "right_edge",
+    )
+    rough = (F.col("at_start") != 0) | (F.col("at_end") != 0) | F.col("left_edge") | F.col("right_edge")
+    n = F.size("totals")
+    edges = F.when(rough, F.transform("totals", edge)).otherwise(
+        F.transform("totals", lambda t: clamp8(t).cast("int"))
+    )
+    lines = lines.select(IMAGE, "y", "x0", F.posexplode(F.arrays_zip(edges.alias("edge"), F.col("g"))).alias("at", "p"))
+    return lines.where(F.col("p.g").isNotNull()).select(
+        IMAGE, "y", (F.col("x0") + F.col("at")).cast(kinds["x"]).alias("x"), F.col("p.edge").alias("edge")
+    )
 
 
 def _halo(source: DataFrame, border: str, tile: int) -> DataFrame:
