@@ -240,16 +240,20 @@ class Levels:
                 found.append((at, int(np.searchsorted(self.lums[at], middle, side="right"))))
         return found, lacking
 
+    def whole(self) -> bool:
+        """Whether all levels are here, as one block."""
+        return len(self.lums) == 1 and self.lums[0] is not None
+
+    def whole_sums(self, middles: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """``sums`` between ``middles`` where all levels are here."""
+        n = len(self.lums[0])
+        at = np.append(0, np.searchsorted(self.lums[0], middles, side="right"))
+        masses, totals = (np.add.reduceat(np.append(v[0], 0.0), at) for v in (self.weights, self.products))
+        empty = np.diff(np.append(at, n)) == 0  # for which reduceat gives a level of another
+        return np.where(empty, 0.0, masses), np.where(empty, 0.0, totals)
+
     def sums(self, bounds: list[tuple[int, int]]) -> tuple[np.ndarray, np.ndarray]:
         """Mass and weighted total of each cluster. Only its own levels enter, so nothing cancels out."""
-        if len(self.lums) == 1 and self.lums[0] is not None:
-            n = len(self.lums[0])
-            at = np.array([0, *(n if block else place for block, place in bounds)])
-            masses, totals = (
-                np.add.reduceat(np.append(v[0], 0.0), at) for v in (self.weights, self.products)
-            )
-            empty = np.diff(np.append(at, n)) == 0  # for which reduceat gives a level of another
-            return np.where(empty, 0.0, masses), np.where(empty, 0.0, totals)
         edges = [(0, 0), *bounds, (len(self.lums), 0)]
         masses, totals = np.zeros(len(edges) - 1), np.zeros(len(edges) - 1)
         for cluster, ((b0, o0), (b1, o1)) in enumerate(zip(edges, edges[1:])):
@@ -281,10 +285,14 @@ def _fitted(rows: DataFrame, kind: str, k: int, max_iter: int, tolerance: float)
             centers, step = np.sort(drawn[np.lexsort((drawn, draws))[:k]]), 0
         done, needed = step >= max_iter, set()
         while not done:
-            bounds, needed = levels.bounds((centers[:-1] + centers[1:]) / 2)
-            if needed:
-                break
-            mass, total = levels.sums(bounds)
+            middles = (centers[:-1] + centers[1:]) / 2
+            if levels.whole():
+                mass, total = levels.whole_sums(middles)
+            else:
+                bounds, needed = levels.bounds(middles)
+                if needed:
+                    break
+                mass, total = levels.sums(bounds)
             moved = np.where(mass > 0, total / np.where(mass > 0, mass, 1.0), centers)
             settled = np.abs(moved - centers).max() <= tolerance
             centers, step = moved, step + 1

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from lumagrid.functions.timing import speedup
 from lumagrid.operators.compare import BAD, GOOD
 from lumagrid.operators.lookup import attach
-from lumagrid.settings import store
+from lumagrid.settings import PART_ROWS, store
 
 # Rank error of the sketch that brackets a median, as a share of the rows.
 _SKETCH_ACCURACY = 10_000
@@ -99,15 +99,19 @@ def _middles(df: DataFrame, group: str, values, brackets: DataFrame, n_groups: i
         .groupBy(group, "_of", F.when(F.col("_v") >= F.col("_low"), F.col("_v")).alias("_v"))
         .agg(F.count(F.lit(1)).alias("_count"), F.first("_n").alias("_n"))
     )
-    dealt = levels.repartitionByRange(group, "_of", F.col("_v").asc_nulls_first())
-    levels, _ = store(dealt.withColumn("_block", F.spark_partition_id()))
+    levels, n_levels = store(levels)
     # 1-based ranks of the two middle rows; they coincide for an odd number of rows.
     lower, upper = F.floor((F.col("_n") + 1) / 2), F.floor((F.col("_n") + 2) / 2)
-    sums = levels.groupBy(group, "_of", "_block").agg(F.sum("_count").alias("_rows"))
-    along = Window.partitionBy(group, "_of").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    sums = sums.withColumn("_start", F.coalesce(F.sum("_rows").over(along), F.lit(0)))
-    blocks = attach(levels, sums, [group, "_of", "_block"])
-    blocks = blocks.where((F.col("_start") < upper) & (F.col("_start") + F.col("_rows") >= lower))
+    if n_levels <= PART_ROWS:  # no more than one block of all groups together
+        blocks = levels.withColumns({"_block": F.lit(0), "_start": F.lit(0)})
+    else:
+        dealt = levels.repartitionByRange(group, "_of", F.col("_v").asc_nulls_first())
+        levels, _ = store(dealt.withColumn("_block", F.spark_partition_id()))
+        sums = levels.groupBy(group, "_of", "_block").agg(F.sum("_count").alias("_rows"))
+        along = Window.partitionBy(group, "_of").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+        sums = sums.withColumn("_start", F.coalesce(F.sum("_rows").over(along), F.lit(0)))
+        blocks = attach(levels, sums, [group, "_of", "_block"])
+        blocks = blocks.where((F.col("_start") < upper) & (F.col("_start") + F.col("_rows") >= lower))
     upto = Window.partitionBy(group, "_of", "_block").orderBy(F.col("_v").asc_nulls_first()).rowsBetween(
         Window.unboundedPreceding, 0
     )

@@ -23,7 +23,10 @@ def test_exact_median(spark, monkeypatch, accuracy):
     assert got == {g: statistics.median(v) for g, v in groups.items()}
 
 
-def test_medians_of_several_columns(spark, monkeypatch):
+@pytest.mark.parametrize("rows_at_once", [100_000, 0])
+def test_medians_of_several_columns(spark, monkeypatch, rows_at_once):
+    """Also where the levels inside the brackets are dealt to blocks."""
+    monkeypatch.setattr(runs, "PART_ROWS", rows_at_once)
     monkeypatch.setattr(runs, "_SKETCH_ACCURACY", 30)
     rng = random.Random(4)
     rows = [(f"g{i % 3}", rng.gauss(0, 1), rng.choice([None, rng.randrange(5)])) for i in range(5000)]
