@@ -92,6 +92,29 @@ def test_rows_meet_a_copied_factor_and_blocks_alike(spark, monkeypatch, cells_at
     assert [r.row for r in nothing.collect()] == [[]] * len(rows)
 
 
+@pytest.mark.parametrize("cells_at_once", [1 << 22, 12])
+def test_products_of_many_rows_are_not_shuffled(spark, monkeypatch, cells_at_once):
+    """Rows in tasks of their own, ids that repeat or are NULL, entries given twice and blocks without any."""
+    monkeypatch.setattr(matrix, "FACTOR_CELLS", cells_at_once)
+    monkeypatch.setattr(matrix, "_HELD_CELLS", 100)
+    rng = np.random.default_rng(4)
+    b = rng.integers(0, 10, (5, 30)) * (rng.random((5, 30)) < 0.5)
+    b[:, 6:20], b[4, 29] = 0, 1
+    rows = [(int(i) if i else None, [float(v) for v in rng.integers(0, 10, 5)]) for i in rng.integers(0, 4, 300)]
+    rows += [(9, None), (9, [1.0, None]), (9, [2.0] * 7)]
+    full = np.zeros((len(rows), 5))
+    for line, (_, row) in enumerate(rows):
+        row = [v or 0.0 for v in row or []][:5]
+        full[line, : len(row)] = row
+    factor = entries(spark, b, bool)
+    factor = factor.unionByName(factor)
+    product = matrix.matmul_rows(spark.createDataFrame(rows, "i bigint, row array<double>"), factor, copied=False)
+    want = sorted((str(i), p.tolist()) for (i, _), p in zip(rows, full @ (2 * b)))
+    assert sorted((str(r.i), r.row) for r in product.collect()) == want
+    plan = product._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(group" in plan and "hashpartitioning(chunk" not in plan
+
+
 def test_tile_and_slab_fill_the_cluster_and_stay_bounded():
     for n_i, n_j, n_k in [(2000, 2000, 2000), (64, 64, 10**9), (10**6, 10**6, 10**6), (1, 1, 1)]:
         tile, slab = matrix._tile_and_slab(n_i, n_j, n_k, 4000)
