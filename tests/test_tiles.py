@@ -1,8 +1,10 @@
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
-from lumagrid.operators import tiles
+from lumagrid.operators import packing, tiles
 from lumagrid.plans.edges import edge_map
 
 SIZES = {"one": (1, 1), "line": (1, 9), "column": (9, 1), "two": (2, 2), "odd": (9, 13), "even": (8, 8)}
@@ -73,3 +75,35 @@ def test_values_beyond_a_byte_are_saturated(spark):
     pixels = spark.createDataFrame([("a", 0, 0, 256, -1, 300)], "image_id string, y int, x int, b int, g int, r int")
     back = tiles.pixels_from_tiles(tiles.tiles_from_pixels(pixels)).first()
     assert (back.b, back.g, back.r) == (255, 0, 255)
+
+
+def test_what_small_keys_give_is_handed_on_soon():
+    """Keys of one row each, whose batches of one row must not pile up."""
+
+    class Steps:
+        def repartition(self, *keys):
+            return self
+
+        sortWithinPartitions = repartition
+
+        def mapInArrow(self, run, schema):
+            return run
+
+    made = []
+
+    def work(key, cells):
+        made.append(key[0])
+        return pa.record_batch({"k": pa.array([key[0]]), "n": pa.array([len(cells)])})
+
+    def batches():
+        for start in range(0, 9000, 3000):
+            yield pa.record_batch({"k": pa.array(range(start, start + 3000)), "cells": pa.array([b"ab"] * 3000)})
+
+    run = packing.for_each_key(Steps(), ["k"], np.dtype("u1"), work, "k bigint, n bigint")
+    done = []
+    for batch in run(batches()):
+        done += batch.column("k").to_pylist()
+        assert set(batch.column("n").to_pylist()) == {2}
+        assert len(made) == len(done)
+        assert batch.num_rows <= 1024
+    assert done == made == list(range(9000))
