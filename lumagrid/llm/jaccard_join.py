@@ -51,10 +51,12 @@ FREQUENT = 256
 # Sets above this size index frequent tokens one by one within their size class.
 COMBINED_SIZE = 192
 _GRID = 2048  # sets in one part of a bucket
+_NEAREST = 4  # sets of a part that a set is first compared with
 _LOW_KEYS = 4
 _PAIRS = 1 << 19  # pairs that are looked at together
 _PER_HUB = 2048  # sets that are compared with another one in one part
 _SENT = 4 << 20  # bytes of sets that leave a task together
+_SKETCH_BITS = 4  # for each token at least, so that few of the tokens in which sets differ meet in one bit
 _SALT = np.uint64(0x5851F42D4C957F2D)
 
 
@@ -122,7 +124,7 @@ def index_keys(tokens: np.ndarray, classes: np.ndarray, num: int, den: int) -> n
 
 def sketch_of(tokens: np.ndarray) -> bytes:
     """A bit for each residue of the tokens' hashes: whether an odd number of them has it."""
-    bits = max(64, 1 << (len(tokens) - 1).bit_length()) if len(tokens) else 64
+    bits = max(64, _SKETCH_BITS << (len(tokens) - 1).bit_length()) if len(tokens) else 64
     at = (mix(tokens ^ _SALT) & np.uint64(bits - 1)).astype(np.int64)
     return np.packbits((np.bincount(at, minlength=bits) & 1).astype(np.uint8), bitorder="little").tobytes()
 
@@ -338,8 +340,11 @@ def _apart(pairs: DataFrame, roots: DataFrame, n_roots: int) -> DataFrame:
     return pairs.where(~alike).select("a", "b")
 
 
-def _across(rows: DataFrame, num: int, den: int) -> DataFrame:
-    """Pairs from one part of the grid of a bucket, of different components, that may be linked.
+def _across(rows: DataFrame, num: int, den: int, nearest: int | None = None) -> DataFrame:
+    """Pairs ``(a, b, more)`` from one part of the grid of a bucket, of different components, that may be linked.
+
+    With ``nearest`` a set is paired with so many of the larger sets of a part at most, those that differ
+    least; ``more`` holds for pairs of sets that have others.
 
     Each set names its first few buckets; two that have one of these in common, before
     the bucket at hand, are compared there.
@@ -349,13 +354,16 @@ def _across(rows: DataFrame, num: int, den: int) -> DataFrame:
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in whole_parts(batches, part):
-            yield from _compare(rows, part, num, den)
+            yield from _compare(rows, part, num, den, nearest)
 
-    pairs = rows.mapInArrow(compare, "a long, b long")
-    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    pairs = rows.mapInArrow(compare, "a long, b long, more boolean")
+    pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "more")
+    return pairs.groupBy("a", "b").agg(F.bool_or("more").alias("more"))
 
 
-def _compare(rows: pa.Table, part: list[str], num: int, den: int) -> Iterator[pa.RecordBatch]:
+def _compare(
+    rows: pa.Table, part: list[str], num: int, den: int, nearest: int | None
+) -> Iterator[pa.RecordBatch]:
     """The pairs of whole parts, some thousand parts at a time."""
     runs = np.zeros(rows.num_rows, np.int64)
     runs[run_starts([rows.column(c).to_numpy() for c in part])] = 1
@@ -374,12 +382,23 @@ def _compare(rows: pa.Table, part: list[str], num: int, den: int) -> Iterator[pa
     for x, y in index_pairs(ends, _PAIRS):
         ok = (root[x] != root[y]) & ((i[x] == j[x]) | (own[x] != own[y]))
         x, y = x[ok], y[ok]
-        ok = may_link(sketches.apart(x, sketches, y), n[x] + n[y], num, den)
-        x, y = x[ok], y[ok]
+        apart = sketches.apart(x, sketches, y)
+        ok = may_link(apart, n[x] + n[y], num, den)
+        x, y, apart = x[ok], y[ok], apart[ok]
         before = (low[x][:, :, None] == low[y][:, None, :]) & (low[x] < np.iinfo(np.int64).max)[:, :, None]
         ok = ~before.any(axis=(1, 2))
-        if ok.any():
-            yield pa.RecordBatch.from_arrays([pa.array(node[x[ok]]), pa.array(node[y[ok]])], names=["a", "b"])
+        x, y, apart = x[ok], y[ok], apart[ok]
+        more = np.zeros(len(x), bool)
+        if nearest is not None and len(x):
+            order = np.lexsort((apart, x))
+            x, y = x[order], y[order]
+            starts = run_starts([x])
+            sizes = np.diff(starts, append=len(x))
+            kept = np.arange(len(x)) - np.repeat(starts, sizes) < nearest
+            x, y, more = x[kept], y[kept], np.repeat(sizes > nearest, sizes)[kept]
+        if len(x):
+            columns = [pa.array(node[x]), pa.array(node[y]), pa.array(more)]
+            yield pa.RecordBatch.from_arrays(columns, names=["a", "b", "more"])
 
 
 def _with_shared_keys(sets: DataFrame) -> DataFrame:
@@ -418,6 +437,27 @@ def _with_shared_keys(sets: DataFrame) -> DataFrame:
     return nodes
 
 
+def _open_parts(placed: DataFrame, roots: DataFrame, n_roots: int, nodes: DataFrame) -> DataFrame:
+    """Sets in the grids of those of their buckets that hold several components, part by part."""
+    placed = attach(placed, roots, ["node"], how="left", n_rows=n_roots)
+    placed, _ = store(placed.withColumn("root", F.coalesce("root", "node")))
+    open_keys, n_open = store(
+        placed.groupBy("key")
+        .agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("size"))
+        .where(F.col("low") != F.col("high"))
+        .select("key", "size")
+    )
+    rows = attach(placed.drop("members"), open_keys, ["key"], weight="size", n_rows=n_open)
+    rows = rows.join(nodes.select("node", "n", "sketch", "low"), "node")
+    parts = F.ceil(F.col("size") / _GRID).cast("int")
+    rows = rows.withColumn("own", F.pmod(F.xxhash64("node"), parts).cast("int")).withColumn(
+        "other", F.explode(F.sequence(F.lit(0), parts - 1))
+    )
+    rows = rows.withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other"))
+    dealt = rows.select("key", "i", "j", "own", "node", "root", "n", "sketch", "low").repartition("key", "i", "j")
+    return dealt.sortWithinPartitions("key", "i", "j")
+
+
 def _named(links: DataFrame) -> DataFrame:
     return components(links)
 
@@ -465,8 +505,9 @@ def _components(docs: DataFrame, key: str, text: str, k: int, num: int, den: int
     best, n_best = store(sized(best, n_tried))
     links = _verified(best, n_best, **verified)
     roots, n_roots = store(_named(links))
-    others = tried.select("a", "b").join(best, ["a", "b"], "left_anti")
-    others, n_others = store(sized(_apart(others, roots, n_roots), n_tried))
+    # Most pairs of a large group are connected by now, so these go first.
+    others, n_others = store(sized(_apart(tried.select("a", "b"), roots, n_roots), n_tried))
+    others, n_others = store(sized(others.join(best, ["a", "b"], "left_anti"), n_others))
     if n_others:
         links = links.unionByName(_verified(others, n_others, **verified))
         roots, n_roots = store(_named(links))
@@ -474,28 +515,21 @@ def _components(docs: DataFrame, key: str, text: str, k: int, num: int, den: int
     # Buckets of three sets or more that still hold several components.
     wide = hubs.where(F.col("members") > 2).select("key", "members")
     placed = attach(entries.drop("share"), wide, ["key"], weight="members", n_rows=wide.count())
-    placed = attach(placed, roots, ["node"], how="left", n_rows=n_roots)
-    placed, _ = store(placed.withColumn("root", F.coalesce("root", "node")))
-    open_keys, n_open = store(
-        placed.groupBy("key")
-        .agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("size"))
-        .where(F.col("low") != F.col("high"))
-        .select("key", "size")
-    )
-    rows = attach(placed.drop("members"), open_keys, ["key"], weight="size", n_rows=n_open)
-    rows = rows.join(nodes.select("node", "n", "sketch", "low"), "node")
-    parts = F.ceil(F.col("size") / _GRID).cast("int")
-    rows = rows.withColumn("own", F.pmod(F.xxhash64("node"), parts).cast("int")).withColumn(
-        "other", F.explode(F.sequence(F.lit(0), parts - 1))
-    )
-    rows = rows.withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other"))
-    dealt = rows.select("key", "i", "j", "own", "node", "root", "n", "sketch", "low").repartition("key", "i", "j")
-    found = _across(dealt.sortWithinPartitions("key", "i", "j"), num, den)
     known = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    rest, n_rest = store(found.join(known, ["a", "b"], "left_anti"))
-    if n_rest:
-        links = links.unionByName(_verified(rest, n_rest, **verified))
-        roots, n_roots = store(_named(links))
+    # Near copies that no hub connects are first compared with their nearest ones, so that most are of
+    # one component before all others are; sets with few partners need no second round.
+    for nearest in (_NEAREST, None):
+        dealt = _open_parts(placed, roots, n_roots, nodes)
+        found = _across(dealt, num, den, nearest)
+        if nearest is not None:
+            found, _ = store(found)
+        rest, n_rest = store(found.select("a", "b").join(known, ["a", "b"], "left_anti"))
+        if n_rest:
+            links = links.unionByName(_verified(rest, n_rest, **verified))
+            roots, n_roots = store(_named(links))
+        if nearest is None or found.where("more").isEmpty():
+            break
+        known = known.unionByName(rest)
 
     # The smallest id of a component, back to all its documents.
     named = attach(reps.drop("row"), roots, ["node"], how="left", n_rows=n_roots)

@@ -4,6 +4,7 @@ import random
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from lumagrid.llm import components as cc
@@ -141,6 +142,72 @@ def test_large_groups_are_cut_into_a_grid(spark, monkeypatch):
     assert got == jaccard_plainly(rows)
 
 
+def test_near_copies_that_no_hub_connects_make_few_pairs():
+    """A part of sets that all may be linked: each is first paired with its nearest ones, and they hang together."""
+    rng = np.random.default_rng(5)
+    base = rng.integers(0, 1 << 63, 60, dtype=np.uint64)
+    sets = [np.unique(np.append(np.delete(base, i), rng.integers(0, 1 << 63, dtype=np.uint64))) for i in range(60)]
+    n, nodes = len(sets), list(range(len(sets)))
+    zeros = pa.array([0] * n, pa.int64())
+    rows = pa.table(
+        {
+            "key": zeros, "i": zeros, "j": zeros, "own": zeros, "node": nodes, "root": nodes,
+            "n": [len(s) for s in sets], "sketch": [jaccard_join.sketch_of(s) for s in sets], "low": [b""] * n,
+        }
+    )
+
+    def pairs(nearest):
+        made = jaccard_join._compare(rows, ["key", "i", "j"], 80, 100, nearest)
+        return [pair for batch in made for pair in zip(*(batch.column(c).to_pylist() for c in ("a", "b", "more")))]
+
+    assert len(pairs(None)) == n * (n - 1) // 2
+    few = pairs(4)
+    assert len(few) <= 4 * n and any(more for *_, more in few)
+    root = nodes.copy()
+    for a, b, _ in few:
+        old, new = root[a], root[b]
+        root = [new if r == old else r for r in root]
+    assert len(set(root)) == 1
+    assert not any(more for *_, more in pairs(n))
+
+
+def test_sketches_tell_most_sets_that_are_nearly_linked():
+    rng = np.random.default_rng(6)
+    linked = 0
+    for _ in range(200):
+        tokens = rng.integers(0, 1 << 63, 74, dtype=np.uint64)
+        x, y = np.sort(tokens[:64]), np.sort(tokens[10:])  # 54 in common, similarity 0.73
+        bits = (np.frombuffer(jaccard_join.sketch_of(s), np.uint64) for s in (x, y))
+        apart = int(np.bitwise_count(np.bitwise_xor(*bits)).sum())
+        assert apart <= 20
+        linked += jaccard_join.may_link(apart, 128, 80, 100)
+    assert linked < 30
+
+
+def test_a_second_round_finds_what_the_nearest_do_not(spark, monkeypatch):
+    """Sets in a chain of slow change, against brute force."""
+    monkeypatch.setattr(jaccard_join, "_NEAREST", 1)
+    monkeypatch.setattr(jaccard_join, "FREQUENT", 5)
+    rng = random.Random(8)
+    texts = []
+    for family in range(3):
+        words = [f"f{family}w{i}" for i in range(60)]
+        for _ in range(25):
+            words = words.copy()
+            words[rng.randrange(60)] = f"x{rng.randrange(10**6)}"
+            texts.append(" ".join(words if rng.random() < 0.7 else words[: rng.randrange(40, 60)]))
+    sets = [set(zip(*(t.split()[i:] for i in range(5)))) for t in texts]
+    root = list(range(len(sets)))
+    for a in range(len(sets)):
+        for b in range(a):
+            if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+                low, high = sorted((root[a], root[b]))
+                root = [low if r == high else r for r in root]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in jaccard_join.jaccard_components(docs).collect()}
+    assert got == dict(enumerate(root))
+
+
 def test_sketches_never_exceed_the_difference():
     rng = np.random.default_rng(5)
     for n, m in ((5, 6), (60, 50), (200, 260), (700, 300)):
