@@ -14,6 +14,7 @@ its rest.
 from __future__ import annotations
 
 import os
+import re
 import sys
 from array import array
 from collections.abc import Iterator
@@ -34,14 +35,17 @@ SHARD_DOCS = 512
 SHARD_TOKENS = 1 << 20
 END_ID = 1
 K1, B = 1.2, 0.75
-_CACHED_WORDS = 300_000
+_CACHED_WORDS = 600_000
+_CACHED_ENDINGS = 300_000
 LEADS = 3  # tokens by which documents are dealt and ordered
 BUCKET_DOCS = 4096
 # What a word may end in besides its letters; an apostrophe would bind to them.
 _ENDINGS = ".,!?;:|#$%&*()-"
 # Characters that byte-level models have for bytes: printable ones for themselves, 256 and up for the others.
 _PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
-_BYTE_CHARACTERS = {b: 256 + i for i, b in enumerate(sorted(set(range(256)) - set(_PRINTABLE)))}
+_OTHER_BYTES = {b: chr(256 + i) for i, b in enumerate(sorted(set(range(256)) - set(_PRINTABLE)))}
+_BYTE_CHARACTERS = [_OTHER_BYTES.get(b, chr(b)) for b in range(256)]
+_WIDE = re.compile("[^\0-\u017f]")
 
 
 class WordIds:
@@ -51,7 +55,9 @@ class WordIds:
     A word is its letters and what it ends in: these are apart for a tokenizer that lower-cases and
     splits letters from other characters, and fewer are new. Letters of a tokenizer whose
     model takes bytes as characters go to the model itself. Both ways are tried on samples
-    first. Words seen lately are kept, and those seen before them until the former are many.
+    first. Words seen lately are kept, and those seen before them until the former are many;
+    lower-case letters are words among them, so that a worker finds most words of a task in
+    what it kept of the last ones.
     """
 
     def __init__(self, vocabulary: str, width: str):
@@ -61,7 +67,6 @@ class WordIds:
         self.code = {"<u2": "H", "<u4": "I"}[width]
         self.known: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
-        self.letters: dict[str, bytes] = {}
         self.endings: dict[str, bytes] = {"": b""}
         self.plain = self._splits_endings()
         self.direct = self._takes_letters()
@@ -80,7 +85,7 @@ class WordIds:
     def _of_letters(self, word: str) -> bytes:
         """The ids of lower-case letters, by the model alone."""
         if not word.isascii():
-            word = word.encode().decode("latin-1").translate(_BYTE_CHARACTERS)
+            word = "".join(map(_BYTE_CHARACTERS.__getitem__, word.encode()))
         return self._bytes([t.id for t in self.model.tokenize(word)])
 
     def _splits_endings(self) -> bool:
@@ -101,26 +106,30 @@ class WordIds:
 
     def _add(self, new: list[bytes]) -> None:
         """Words that are not known become known."""
-        known, letters_of, endings, rest = self.known, self.letters, self.endings, []
         if not new:
             return
-        if len(letters_of) > _CACHED_WORDS:
-            letters_of.clear()
+        known, older, endings, rest = self.known, self.older, self.endings, []
+        direct, of_letters = self.direct, self._of_letters
         # No word has a space in it, and lower case adds none.
         text = b" ".join(new).decode()
-        for word, said, low in zip(new, text.split(" "), text.lower().split(" "), strict=True):
+        lower = text.lower()
+        narrow = not _WIDE.search(lower)
+        for word, said, low in zip(new, text.split(" "), lower.split(" "), strict=True):
             letters = low.rstrip(_ENDINGS)
             # Letters up to U+017F are composed and have one lower-case form, but for one that falls apart.
-            if not (self.direct and letters.isalpha() and (letters.isascii() or max(letters) < "\u0180")):
+            if not (direct and letters.isalpha() and (narrow or letters.isascii() or max(letters) < "\u0180")):
                 rest.append((word, said))
                 continue
-            ids = letters_of.get(letters)
+            plain = letters.encode()
+            ids = known.get(plain) or older.get(plain)
             if ids is None:
-                ids = letters_of[letters] = self._of_letters(letters)
+                ids = known[plain] = of_letters(letters)
+            if letters == said:
+                continue
             if len(letters) < len(low):
                 ending = low[len(letters) :]
                 if ending not in endings:
-                    if len(endings) > _CACHED_WORDS:
+                    if len(endings) > _CACHED_ENDINGS:
                         endings.clear()
                     endings[ending] = self._ids([ending])[0]
                 ids += endings[ending]

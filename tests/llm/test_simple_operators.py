@@ -210,6 +210,19 @@ def test_words_have_the_ids_of_texts(monkeypatch):
         assert got == tokenizer.encode(text, add_special_tokens=False).ids, text
 
 
+def test_letters_that_come_again_are_known(monkeypatch):
+    """Also in words with other endings, and when so many words were new since that some are forgotten."""
+    monkeypatch.setattr(packing, "_CACHED_WORDS", 100)
+    cache, asked = packing.WordIds(VOCABULARY, "<u2"), []
+    model = cache._of_letters
+    cache._of_letters = lambda word: asked.append(word) or model(word)
+    first, others = ([f"{c}{chr(97 + i % 26)}{chr(97 + i // 26)}x" for i in range(n)] for c, n in (("q", 90), ("z", 60)))
+    for words in (first, others, [w.capitalize() + "." for w in first]):
+        got = np.frombuffer(cache.encoded([[w.encode() for w in words]])[0], "<u2").tolist()
+        assert got == cache.tokenizer.encode(" ".join(words), add_special_tokens=False).ids
+    assert len(asked) == 150
+
+
 def test_sequences_do_not_depend_on_files(spark):
     rows = [(i, cases.prose(i % 50, 20 + i % 37)) for i in range(150)] + [(7, "x"), (7, "x"), (None, "a b"), (3, None)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
