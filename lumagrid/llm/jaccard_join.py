@@ -57,6 +57,7 @@ _PAIRS = 1 << 19  # pairs that are looked at together
 _PER_HUB = 2048  # sets that are compared with another one in one part
 _SENT = 4 << 20  # bytes of sets that leave a task together
 _SKETCH_BITS = 4  # for each token at least, so that few of the tokens in which sets differ meet in one bit
+_SHORT = 4  # words of a sketch that are folded into one where sketches are sent to many buckets
 _SALT = np.uint64(0x5851F42D4C957F2D)
 
 
@@ -137,6 +138,12 @@ def fold(sketch: np.ndarray, words: int) -> np.ndarray:
     return sketch
 
 
+def short_of(sketch: bytes) -> bytes:
+    """A sketch with a bit for each token at least. It tells unlike sets as well and is sent in their place."""
+    words = np.frombuffer(sketch, np.uint64)
+    return fold(words, max(1, len(words) // _SHORT)).tobytes()
+
+
 class Sketches:
     """A column of sketches, of which pairs are compared many at a time."""
 
@@ -312,11 +319,11 @@ def _binary(columns: dict[str, list[bytes]]) -> pa.RecordBatch:
 
 
 def _with_sketches(rays: DataFrame, nodes: DataFrame, hubs: DataFrame) -> DataFrame:
-    """Different pairs ``(a, b, share)`` of a set and a hub, with sizes and sketches of both.
+    """Different pairs ``(a, b, share)`` of a set and a hub, with sizes and short sketches of both.
 
     The hubs of a set are gathered before it gets its sketch; hubs are far fewer than sets.
     """
-    side = nodes.select("node", "n", "sketch")
+    side = nodes.select("node", "n", F.col("short").alias("sketch"))
     near = rays.groupBy("a").agg(F.collect_set(F.struct("b", "share")).alias("hubs"))
     own = near.join(side.toDF("a", "na", "sa"), "a").select("a", "na", "sa", F.inline("hubs"))
     chosen, n_chosen = store(side.join(hubs.select(F.col("hub").alias("node")).distinct(), "node"))
@@ -341,7 +348,7 @@ def _apart(pairs: DataFrame, roots: DataFrame, n_roots: int) -> DataFrame:
 
 
 def _across(rows: DataFrame, num: int, den: int, nearest: int | None = None) -> DataFrame:
-    """Pairs ``(a, b, more)`` from one part of the grid of a bucket, of different components, that may be linked.
+    """Pairs ``(a, b, more, key, level)`` from one part of the grid of a bucket, of different components, that may be linked.
 
     With ``nearest`` a set is paired with so many of the larger sets of a part at most, those that differ
     least; ``more`` holds for pairs of sets that have others.
@@ -350,21 +357,23 @@ def _across(rows: DataFrame, num: int, den: int, nearest: int | None = None) ->
     the bucket at hand, are compared there.
     """
 
-    part = ["key", "i", "j"]
+    part = ["key", "level", "i", "j"]
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in whole_parts(batches, part):
             yield from _compare(rows, part, num, den, nearest)
 
-    pairs = rows.mapInArrow(compare, "a long, b long, more boolean")
-    pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "more")
-    return pairs.groupBy("a", "b").agg(F.bool_or("more").alias("more"))
+    pairs = rows.mapInArrow(compare, "a long, b long, more boolean, key long, level int")
+    return pairs.withColumns({"a": F.least("a", "b"), "b": F.greatest("a", "b")})
 
 
 def _compare(
     rows: pa.Table, part: list[str], num: int, den: int, nearest: int | None
 ) -> Iterator[pa.RecordBatch]:
-    """The pairs of whole parts, some thousand parts at a time."""
+    """The pairs of whole parts, some thousand parts at a time, with the key of their part.
+
+    In parts of a level one set of a pair at least is of it (``top``).
+    """
     runs = np.zeros(rows.num_rows, np.int64)
     runs[run_starts([rows.column(c).to_numpy() for c in part])] = 1
     runs = np.cumsum(runs)
@@ -372,6 +381,7 @@ def _compare(
     order = np.lexsort((rows.column("n").to_numpy(), runs))
     rows, runs = rows.take(pa.array(order)).combine_chunks(), runs[order]
     n, own, key, i, j, node, root = (rows.column(c).to_numpy() for c in ("n", "own", "key", "i", "j", "node", "root"))
+    top = rows.column("top").to_numpy() if "top" in rows.column_names else np.ones(len(n), bool)
     low = np.full((len(n), _LOW_KEYS), np.iinfo(np.int64).max)
     for row, keys in enumerate(rows.column("low").to_pylist()):
         low[row, : len(keys) // 8] = np.frombuffer(keys, np.int64)
@@ -380,7 +390,7 @@ def _compare(
     width = int(n.max()) + 1
     ends = np.searchsorted(runs * width + n, runs * width + np.minimum(n * den // num, width - 1), side="right")
     for x, y in index_pairs(ends, _PAIRS):
-        ok = (root[x] != root[y]) & ((i[x] == j[x]) | (own[x] != own[y]))
+        ok = (root[x] != root[y]) & ((i[x] == j[x]) | (own[x] != own[y])) & (top[x] | top[y])
         x, y = x[ok], y[ok]
         apart = sketches.apart(x, sketches, y)
         ok = may_link(apart, n[x] + n[y], num, den)
@@ -397,8 +407,9 @@ def _compare(
             kept = np.arange(len(x)) - np.repeat(starts, sizes) < nearest
             x, y, more = x[kept], y[kept], np.repeat(sizes > nearest, sizes)[kept]
         if len(x):
-            columns = [pa.array(node[x]), pa.array(node[y]), pa.array(more)]
-            yield pa.RecordBatch.from_arrays(columns, names=["a", "b", "more"])
+            place = {c: rows.column(c).take(pa.array(x)).combine_chunks() for c in part if c not in ("i", "j")}
+            columns = [pa.array(node[x]), pa.array(node[y]), pa.array(more), *place.values()]
+            yield pa.RecordBatch.from_arrays(columns, names=["a", "b", "more", *place])
 
 
 def _with_shared_keys(sets: DataFrame) -> DataFrame:
@@ -424,38 +435,72 @@ def _with_shared_keys(sets: DataFrame) -> DataFrame:
                     batch.column("node"),
                     batch.column("n"),
                     batch.column("sketch"),
+                    pa.array([short_of(v.as_py()) for v in batch.column("sketch")], pa.binary()),
                     pa.array(keys, pa.list_(pa.int64())),
                     pa.array([k[:_LOW_KEYS].tobytes() for k in keys], pa.binary()),
                     pa.array(shares, pa.float32()),
                 ],
-                names=["node", "n", "sketch", "keys", "low", "share"],
+                names=["node", "n", "sketch", "short", "keys", "low", "share"],
             )
 
-    schema = "node long, n long, sketch binary, keys array<long>, low binary, share float"
+    schema = "node long, n long, sketch binary, short binary, keys array<long>, low binary, share float"
     nodes, _ = store(sets.select("node", "n", "sketch", "keys").mapInArrow(shared_keys, schema))
     twice.destroy()
     return nodes
 
 
-def _open_parts(placed: DataFrame, roots: DataFrame, n_roots: int, nodes: DataFrame) -> DataFrame:
-    """Sets in the grids of those of their buckets that hold several components, part by part."""
+def _levels(rows: DataFrame, num: int, den: int) -> DataFrame:
+    """Rows of sets in buckets, once in the level of their size (``top``) and once in the next one.
+
+    Sizes of two linked sets are of one level or of neighbouring ones, so they meet in the higher level.
+    """
+    # Levels are a little wider than the ratio of linked sizes, which is safe from rounding.
+    level = F.floor(F.log("n") / F.lit(math.log(den / num) * (1 + 1e-9))).cast("int")
+    own = F.struct(level.alias("level"), F.lit(True).alias("top"))
+    return rows.select("*", F.inline(F.array(own, F.struct((level + 1).alias("level"), F.lit(False).alias("top")))))
+
+
+def _open_parts(
+    placed: DataFrame,
+    roots: DataFrame,
+    n_roots: int,
+    nodes: DataFrame,
+    num: int,
+    den: int,
+    sketch: str,
+    among: tuple[DataFrame, int] | None = None,
+) -> DataFrame:
+    """Sets in the grids of those levels of their buckets that hold several components, part by part.
+
+    Buckets are divided by size first, so that sets go nowhere with a sketch but where others of about their size
+    are. ``among`` names the levels of buckets that are looked at, and their number; without it all are.
+    """
     placed = attach(placed, roots, ["node"], how="left", n_rows=n_roots)
-    placed, _ = store(placed.withColumn("root", F.coalesce("root", "node")))
+    placed, _ = store(placed.select("key", "node", "n", F.coalesce("root", "node").alias("root")))
+    placed = _levels(placed, num, den)
+    if among is not None:
+        placed = attach(placed, among[0], ["key", "level"], n_rows=among[1])
     open_keys, n_open = store(
-        placed.groupBy("key")
-        .agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("size"))
-        .where(F.col("low") != F.col("high"))
-        .select("key", "size")
+        placed.groupBy("key", "level")
+        .agg(
+            F.min("root").alias("low"),
+            F.max("root").alias("high"),
+            F.bool_or("top").alias("top"),
+            F.count(F.lit(1)).alias("size"),
+        )
+        .where((F.col("low") != F.col("high")) & F.col("top"))
+        .select("key", "level", "size")
     )
-    rows = attach(placed.drop("members"), open_keys, ["key"], weight="size", n_rows=n_open)
-    rows = rows.join(nodes.select("node", "n", "sketch", "low"), "node")
+    rows = attach(placed.drop("n"), open_keys, ["key", "level"], weight="size", n_rows=n_open)
+    rows = rows.join(nodes.select("node", "n", F.col(sketch).alias("sketch"), "low"), "node")
     parts = F.ceil(F.col("size") / _GRID).cast("int")
     rows = rows.withColumn("own", F.pmod(F.xxhash64("node"), parts).cast("int")).withColumn(
         "other", F.explode(F.sequence(F.lit(0), parts - 1))
     )
     rows = rows.withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other"))
-    dealt = rows.select("key", "i", "j", "own", "node", "root", "n", "sketch", "low").repartition("key", "i", "j")
-    return dealt.sortWithinPartitions("key", "i", "j")
+    part = ["key", "level", "i", "j"]
+    dealt = rows.select(*part, "own", "top", "node", "root", "n", "sketch", "low").repartition(*part)
+    return dealt.sortWithinPartitions(*part)
 
 
 def _named(links: DataFrame) -> DataFrame:
@@ -485,7 +530,7 @@ def _components(docs: DataFrame, key: str, text: str, k: int, num: int, den: int
     sets = attach(index.drop("id", "digest", "text"), reps.select("row", "node"), ["row"], n_rows=n_reps)
 
     nodes = _with_shared_keys(sets)
-    entries = nodes.select("node", "share", F.explode("keys").alias("key"))
+    entries = nodes.select("node", "n", "share", F.explode("keys").alias("key"))
     # The hub of a bucket is the set that shares most of its own keys.
     hubs, n_hubs = store(
         entries.groupBy("key")
@@ -493,7 +538,7 @@ def _components(docs: DataFrame, key: str, text: str, k: int, num: int, den: int
         .where(F.col("members") > 1)
         .select("key", F.col("hub.node").alias("hub"), F.col("hub.share").alias("hub_share"), "members")
     )
-    rays = attach(entries.drop("share"), hubs, ["key"], weight="members", n_rows=n_hubs)
+    rays = attach(entries.select("key", "node"), hubs, ["key"], weight="members", n_rows=n_hubs)
     rays = rays.where(F.col("node") != F.col("hub")).select(
         F.col("node").alias("a"), F.col("hub").alias("b"), F.col("hub_share").alias("share")
     )
@@ -517,19 +562,21 @@ def _components(docs: DataFrame, key: str, text: str, k: int, num: int, den: int
     placed = attach(entries.drop("share"), wide, ["key"], weight="members", n_rows=wide.count())
     known = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     # Near copies that no hub connects are first compared with their nearest ones, so that most are of
-    # one component before all others are; sets with few partners need no second round.
+    # one component before all others are; only buckets in which sets had more partners need a second round.
+    sketch, among = "short", None
     for nearest in (_NEAREST, None):
-        dealt = _open_parts(placed, roots, n_roots, nodes)
+        dealt = _open_parts(placed, roots, n_roots, nodes, num, den, sketch, among)
         found = _across(dealt, num, den, nearest)
         if nearest is not None:
             found, _ = store(found)
-        rest, n_rest = store(found.select("a", "b").join(known, ["a", "b"], "left_anti"))
+        rest, n_rest = store(found.select("a", "b").distinct().join(known, ["a", "b"], "left_anti"))
         if n_rest:
             links = links.unionByName(_verified(rest, n_rest, **verified))
             roots, n_roots = store(_named(links))
         if nearest is None or found.where("more").isEmpty():
             break
         known = known.unionByName(rest)
+        sketch, among = "sketch", store(found.where("more").select("key", "level").distinct())
 
     # The smallest id of a component, back to all its documents.
     named = attach(reps.drop("row"), roots, ["node"], how="left", n_rows=n_roots)

@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from lumagrid.llm import components as cc
 from lumagrid.llm import decontaminate, jaccard_join, substring_dedup
@@ -219,6 +220,50 @@ def test_sketches_never_exceed_the_difference():
         assert apart <= len(np.setxor1d(a, b))
 
 
+def test_sizes_of_linked_sets_meet_in_a_level(spark):
+    for num, den in ((80, 100), (50, 100), (2, 3)):
+        rows = jaccard_join._levels(spark.range(2, 300).select(F.col("id").alias("n")), num, den).collect()
+        of = defaultdict(dict)
+        for r in rows:
+            of[r.n][r.level] = r.top
+        for a in range(2, 300):
+            for b in range(a, min(299, a * den // num) + 1):
+                met = [level for level in of[a] if level in of[b] and (of[a][level] or of[b][level])]
+                assert len(met) == 1, (a, b)
+
+
+def test_sets_are_sent_only_where_others_of_their_size_are(spark):
+    """And with sketches of about a bit a token; a second round looks at the levels of buckets that it is given."""
+    sizes = [(0, 1, 10), (0, 2, 100), (0, 3, 1000), (1, 4, 200), (1, 5, 220), (1, 6, 3000), (2, 7, 50), (2, 8, 52), (2, 9, 900)]
+    rng = np.random.default_rng(3)
+    sketches = {node: jaccard_join.sketch_of(rng.integers(0, 1 << 63, n, dtype=np.uint64)) for _, node, n in sizes}
+    nodes = spark.createDataFrame(
+        [(node, n, bytearray(sketches[node]), bytearray(jaccard_join.short_of(sketches[node])), bytearray())
+         for _, node, n in sizes],
+        "node long, n long, sketch binary, short binary, low binary",
+    )
+    placed = spark.createDataFrame(sizes, "key long, node long, n long")
+    roots = spark.createDataFrame([(7, 7), (8, 7)], "node long, root long")
+    dealt = jaccard_join._open_parts(placed, roots, 2, nodes, 80, 100, "short").collect()
+    assert {(r.key, r.node) for r in dealt} == {(1, 4), (1, 5)}
+    assert all(len(r.sketch) * 8 <= 2 * r.n for r in dealt)
+    level = max(r.level for r in dealt)
+    for key, n in ((1, 2), (0, 0)):
+        among = spark.createDataFrame([(key, level)], "key long, level int"), 1
+        assert jaccard_join._open_parts(placed, roots, 2, nodes, 80, 100, "sketch", among).count() == n
+
+
+def test_short_sketches_never_exceed_the_difference():
+    rng = np.random.default_rng(15)
+    for n, m in ((5, 6), (60, 50), (200, 260), (700, 300)):
+        pool = rng.integers(0, 1 << 63, n + m, np.uint64)
+        a, b = np.unique(pool[:n]), np.unique(pool[n // 2 : n // 2 + m])
+        x, y = (pa.array([jaccard_join.short_of(jaccard_join.sketch_of(s))], pa.binary()) for s in (a, b))
+        one = np.zeros(1, np.int64)
+        apart = int(jaccard_join.Sketches(x).apart(one, jaccard_join.Sketches(y), one)[0])
+        assert apart <= len(np.setxor1d(a, b))
+
+
 # --- decontamination --------------------------------------------------------------------
 
 
