@@ -1,11 +1,13 @@
 """URL filter, line dedup, sharding and packing against plain versions of themselves."""
 
 import hashlib
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -111,6 +113,23 @@ def test_lines(spark, n_bits):
     assert line_dedup.dedup_lines(cases.empty(spark), n_bits=n_bits).count() == 0
 
 
+def test_rebuilt_lines_take_little_memory():
+    """A worker never holds a batch of texts as Python objects."""
+    lines = [f"{i} {cases.prose(i, 60)}".encode() for i in range(8)]
+    gone = [[hashlib.sha256(lines[i % 8].lower()).digest()] if i % 3 == 0 else None for i in range(6000)]
+    texts, digests = pa.array([b"\n".join(lines)] * 6000), pa.array(gone, pa.list_(pa.binary()))
+    n = 0
+    tracemalloc.start()
+    for part in line_dedup.kept_lines(texts, digests, 10):
+        for row in part.to_pylist():
+            kept = [line for i, line in enumerate(lines) if n % 3 or i != n % 8]
+            assert (row["kept"], row["n_lines"], row["n_dropped"]) == (b"\n".join(kept), 8, 8 - len(kept))
+            n += 1
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert n == 6000 and texts.nbytes > 10 << 20 and most < texts.nbytes / 4
+
+
 def test_filters_hold_all_that_occurs_twice(spark):
     rng = np.random.default_rng(1)
     once, twice = rng.integers(0, 1 << 63, 3000, np.uint64), rng.integers(0, 1 << 63, 500, np.uint64)
