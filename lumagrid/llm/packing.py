@@ -17,10 +17,11 @@ import os
 import re
 import sys
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import tokenizers
 import xxhash
 from pyspark.sql import DataFrame
@@ -36,7 +37,7 @@ SHARD_TOKENS = 1 << 20
 END_ID = 1
 K1, B = 1.2, 0.75
 _CACHED_WORDS = 600_000
-_CACHED_ENDINGS = 300_000
+_PART_BYTES = 8 << 20  # of texts that are encoded together
 LEADS = 3  # tokens by which documents are dealt and ordered
 BUCKET_DOCS = 4096
 # What a word may end in besides its letters; an apostrophe would bind to them.
@@ -45,7 +46,8 @@ _ENDINGS = ".,!?;:|#$%&*()-"
 _PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
 _OTHER_BYTES = {b: chr(256 + i) for i, b in enumerate(sorted(set(range(256)) - set(_PRINTABLE)))}
 _BYTE_CHARACTERS = [_OTHER_BYTES.get(b, chr(b)) for b in range(256)]
-_WIDE = re.compile("[^\0-\u017f]")
+_WIDE = r"[^\x{0}-\x{17f}]"
+_BEFORE_ENDING = f"^[^{re.escape(_ENDINGS)}]*"
 
 
 class WordIds:
@@ -55,9 +57,10 @@ class WordIds:
     A word is its letters and what it ends in: these are apart for a tokenizer that lower-cases and
     splits letters from other characters, and fewer are new. Letters of a tokenizer whose
     model takes bytes as characters go to the model itself. Both ways are tried on samples
-    first. Words seen lately are kept, and those seen before them until the former are many;
-    lower-case letters are words among them, so that a worker finds most words of a task in
-    what it kept of the last ones.
+    first. Words seen lately are kept, and those seen before them until the former are many,
+    and so are lower-case letters, so that a worker finds most words of a task in what it kept
+    of the last ones. It keeps them for as long as it lives, so they are Arrow arrays, of some
+    30 bytes for a word and its ids.
     """
 
     def __init__(self, vocabulary: str, width: str):
@@ -65,9 +68,7 @@ class WordIds:
         self.tokenizer = tokenizers.Tokenizer.from_file(vocabulary)
         self.model = self.tokenizer.model
         self.code = {"<u2": "H", "<u4": "I"}[width]
-        self.known: dict[bytes, bytes] = {}
-        self.older: dict[bytes, bytes] = {}
-        self.endings: dict[str, bytes] = {"": b""}
+        self.words, self.letters = _Kept(), _Kept()
         self.plain = self._splits_endings()
         self.direct = self._takes_letters()
 
@@ -104,53 +105,69 @@ class WordIds:
         except Exception:  # models of other kinds refuse in ways of their own
             return False
 
-    def _add(self, new: list[bytes]) -> None:
-        """Words that are not known become known."""
-        if not new:
-            return
-        known, older, endings, rest = self.known, self.older, self.endings, []
-        direct, of_letters = self.direct, self._of_letters
+    def _of_new(self, new: pa.Array) -> pa.Array:
+        """The ids of words that are not known."""
         # No word has a space in it, and lower case adds none.
-        text = b" ".join(new).decode()
-        lower = text.lower()
-        narrow = not _WIDE.search(lower)
-        for word, said, low in zip(new, text.split(" "), lower.split(" "), strict=True):
-            letters = low.rstrip(_ENDINGS)
-            # Letters up to U+017F are composed and have one lower-case form, but for one that falls apart.
-            if not (direct and letters.isalpha() and (narrow or letters.isascii() or max(letters) < "\u0180")):
-                rest.append((word, said))
-                continue
-            plain = letters.encode()
-            ids = known.get(plain) or older.get(plain)
-            if ids is None:
-                ids = known[plain] = of_letters(letters)
-            if letters == said:
-                continue
-            if len(letters) < len(low):
-                ending = low[len(letters) :]
-                if ending not in endings:
-                    if len(endings) > _CACHED_ENDINGS:
-                        endings.clear()
-                    endings[ending] = self._ids([ending])[0]
-                ids += endings[ending]
-            known[word] = ids
-        if rest:
-            known.update(zip((w for w, _ in rest), self._ids([said for _, said in rest]), strict=True))
-
-    def encoded(self, texts: list[list[bytes]]) -> list[bytes]:
+        low = pa.array(b" ".join(new.to_pylist()).decode().lower().split(" "), pa.string())
+        letters = pc.utf8_rtrim(low, _ENDINGS)
+        # Letters up to U+017F are composed and have one lower-case form, but for one that falls apart.
+        plain = pc.and_(pc.utf8_is_alpha(letters), pc.invert(pc.match_substring_regex(letters, _WIDE)))
+        if not self.direct:
+            plain = pc.and_(plain, False)
+        letters = letters.filter(plain).cast(pa.binary()).dictionary_encode()
+        ends = pc.replace_substring_regex(low.filter(plain), _BEFORE_ENDING, "").dictionary_encode()
+        of_ends = pa.array(self._ids(ends.dictionary.to_pylist()), pa.binary())
+        ids = self.letters.find(letters.dictionary, self._ask).take(letters.indices)
+        ids = pc.binary_join_element_wise(ids, of_ends.take(ends.indices), b"")
+        others = pc.invert(plain)
+        rest = self._ids(new.filter(others).cast(pa.string()).to_pylist())
+        out = pc.replace_with_mask(pa.nulls(len(new), pa.binary()), plain, ids)
+        return pc.replace_with_mask(out, others, pa.array(rest, pa.binary()))
+
+    def _ask(self, letters: pa.Array) -> pa.Array:
+        return pa.array(map(self._of_letters, letters.cast(pa.string()).to_pylist()), pa.binary())
+
+    def encoded(self, texts: pa.ListArray | list[list[bytes]]) -> pa.Array:
         """The ids of each text, given as its words."""
-        known = self.known
-        new = set().union(*texts).difference(known)
-        if new:
-            older = self.older
-            again = [word for word in new if word in older]
-            known.update((word, older[word]) for word in again)
-            self._add(list(new.difference(again)))
-        find = known.__getitem__
-        out = [b"".join(map(find, words)) for words in texts]
-        if len(known) > _CACHED_WORDS:
-            self.older, self.known = known, {}
-        return out
+        if not isinstance(texts, pa.ListArray):
+            texts = pa.array(texts, pa.list_(pa.binary()))
+        words = texts.flatten().dictionary_encode()
+        ids = self.words.find(words.dictionary, self._of_new).take(words.indices)
+        return pc.binary_join(pa.ListArray.from_arrays(pc.subtract(texts.offsets, texts.offsets[0]), ids), b"")
+
+
+class _Kept:
+    """What different words have, as binary arrays: of words seen lately, and of those seen before them."""
+
+    def __init__(self):
+        self.known = self.older = (pa.array([], pa.binary()), pa.array([], pa.binary()))
+
+    def find(self, words: pa.Array, make: Callable[[pa.Array], pa.Array]) -> pa.Array:
+        """What each word has; ``make`` gives it for words that are not kept."""
+        found = self.known[1].take(pc.index_in(words, self.known[0]))
+        lacking = found.is_null()
+        met = words.filter(lacking)
+        if len(met):
+            more = self.older[1].take(pc.index_in(met, self.older[0]))
+            new = more.is_null()
+            if pc.any(new).as_py():
+                more = pc.replace_with_mask(more, new, make(met.filter(new)))
+            found = pc.replace_with_mask(found, lacking, more)
+            self.known = tuple(pa.concat_arrays(x) for x in zip(self.known, (met, more), strict=True))
+            if len(self.known[0]) > _CACHED_WORDS:
+                self.older, self.known = self.known, _Kept().known
+        return found
+
+
+def _parts(values: pa.Array, most: int) -> Iterator[tuple[int, int]]:
+    """Bounds of runs of values, of about ``most`` bytes or one value each."""
+    ends = np.cumsum(pc.binary_length(values).to_numpy(zero_copy_only=False), dtype=np.int64)
+    start = 0
+    while start < len(ends):
+        done = ends[start - 1] if start else 0
+        till = max(start + 1, int(np.searchsorted(ends, done + most, side="right")))
+        yield start, till
+        start = till
 
 
 def token_ids(docs: DataFrame, key: str, text: str, vocabulary: str, width: str, end_id: int) -> DataFrame:
@@ -160,11 +177,13 @@ def token_ids(docs: DataFrame, key: str, text: str, vocabulary: str, width: str,
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = kept_in_worker("word ids", (vocabulary, width), lambda: WordIds(vocabulary, width))
         for batch in batches:
-            for start in range(0, batch.num_rows, 256):
-                part = batch.slice(start, 256)
-                texts = [(v or b"").split() for v in part.column(1).to_pylist()]
-                ids = [body + end for body in cache.encoded(texts)]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.binary())], names=["id", "ids"])
+            # A view leaves bytes as they are, and the kernel takes white space of ASCII alone.
+            texts = batch.column(1).fill_null(b"").view(pa.string())
+            for start, till in _parts(texts, _PART_BYTES):
+                split = pc.ascii_split_whitespace(texts.slice(start, till - start))
+                split = pa.ListArray.from_arrays(split.offsets, split.values.view(pa.binary()))
+                ids = pc.binary_join_element_wise(cache.encoded(split), end, b"")
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(start, till - start), ids], names=["id", "ids"])
 
     named = docs.select(F.col(key).alias("id"), F.col(text).cast("binary").alias("text"))
     return named.mapInArrow(encode, f"id {named.schema['id'].dataType.simpleString()}, ids binary")
@@ -173,8 +192,13 @@ def token_ids(docs: DataFrame, key: str, text: str, vocabulary: str, width: str,
 def term_counts(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The different ids in ascending order, and how often each occurs."""
     ids = np.sort(ids, kind="stable")
-    last = np.append(np.flatnonzero(ids[1:] != ids[:-1]), len(ids) - 1)
-    return ids[last], np.diff(last, prepend=-1)
+    ends = np.ones(len(ids), bool)
+    np.not_equal(ids[1:], ids[:-1], out=ends[:-1])
+    last = ends.nonzero()[0]
+    counts = last.copy()
+    counts[0] += 1
+    counts[1:] -= last[:-1]
+    return ids[last], counts
 
 
 class Shard:

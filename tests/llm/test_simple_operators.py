@@ -242,6 +242,35 @@ def test_letters_that_come_again_are_known(monkeypatch):
     assert len(asked) == 150
 
 
+def test_known_words_take_little_memory():
+    """They stay in a worker for as long as it lives, also beside other stages of the pipeline."""
+    cache = packing.WordIds(VOCABULARY, "<u2")
+    words = [f"{'xyz'[i % 3]}{i:o}".translate(str.maketrans("01234567", "aeioubdg")).encode() for i in range(30_000)]
+    assert len(set(words)) == len(words)
+    arrow = pa.total_allocated_bytes()
+    tracemalloc.start()
+    cache.encoded([words])
+    kept = tracemalloc.get_traced_memory()[0] + pa.total_allocated_bytes() - arrow
+    tracemalloc.stop()
+    assert kept < 100 * len(words)
+
+
+def test_parts_of_texts_become_ids(spark, monkeypatch):
+    """White space is that of ASCII alone, and no text is left out where parts end."""
+    monkeypatch.setattr(packing, "_PART_BYTES", 40)
+    texts = [None, "", " ", " a  b\t", "\x1cA\u00a0b\x0bc\x0cD\x85e", "x" * 100, "Äb.\r\nc", None, "a b", "\u3000a\u2028b."] * 3
+    assert len(list(packing._parts(pa.array(texts).fill_null(""), 40))) > 5
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    got = {r.id: np.frombuffer(r.ids, "<u2").tolist() for r in packing.token_ids(docs, "doc_id", "text", VOCABULARY, "<u2", 1).collect()}
+    tokenizer = Tokenizer.from_file(VOCABULARY)
+    assert got == {i: tokenizer.encode(t or "", add_special_tokens=False).ids + [1] for i, t in enumerate(texts)}
+    words = pa.array([["a"], ["b.", "c"], [], None, ["c", "a"]], pa.list_(pa.binary())).slice(1)
+    cache = packing.WordIds(VOCABULARY, "<u2")
+    assert [None if i is None else np.frombuffer(i, "<u2").tolist() for i in cache.encoded(words).to_pylist()] == [
+        tokenizer.encode(t, add_special_tokens=False).ids for t in ("b. c", "", "", "c a")
+    ]
+
+
 def test_sequences_do_not_depend_on_files(spark):
     rows = [(i, cases.prose(i % 50, 20 + i % 37)) for i in range(150)] + [(7, "x"), (7, "x"), (None, "a b"), (3, None)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
