@@ -36,7 +36,7 @@ SHARD_DOCS = 512
 SHARD_TOKENS = 1 << 20
 END_ID = 1
 K1, B = 1.2, 0.75
-_CACHED_WORDS = 600_000
+_CACHED_WORDS = 400_000
 _PART_BYTES = 8 << 20  # of texts that are encoded together
 LEADS = 3  # tokens by which documents are dealt and ordered
 BUCKET_DOCS = 4096
@@ -292,12 +292,12 @@ def pack_documents(
     pull = docs.sparkSession.sparkContext.broadcast(np.where(frequency > 1, idf, 0.0))
     shared = docs.sparkSession.sparkContext.broadcast(idf)
 
-    def leads(ids: np.ndarray) -> np.ndarray:
+    def leads(ids: np.ndarray, n: int = LEADS) -> np.ndarray:
         """The tokens that weigh most in a document and that others have, the heaviest first; -1 for none."""
         token, count = term_counts(ids)
         weight = pull.value[token] * count / (count + K1 * (1 - B + B * len(ids) / mean_length))
-        found = np.full(LEADS, -1)
-        for i in range(LEADS):
+        found = np.full(n, -1)
+        for i in range(n):
             at = int(weight.argmax())
             if weight[at] <= 0:
                 break
@@ -305,7 +305,7 @@ def pack_documents(
         return found
 
     def first_leads(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
-        yield np.array([leads(np.frombuffer(v.as_buffer(), width))[0] + 1 for v in batch.column(0)], np.int64)
+        yield np.array([leads(np.frombuffer(v.as_buffer(), width), 1)[0] + 1 for v in batch.column(0)], np.int64)
 
     led = count_places(encoded.select("ids"), first_leads, size + 1)
     first_bucket, n_buckets = _buckets(led, bucket_docs)
