@@ -58,6 +58,7 @@ _PER_HUB = 2048  # sets that are compared with another one in one part
 _SENT = 4 << 20  # bytes of sets that leave a task together
 _SKETCH_BITS = 4  # for each token at least, so that few of the tokens in which sets differ meet in one bit
 _SHORT = 4  # words of a sketch that are folded into one where sketches are sent to many buckets
+_PART_ROWS = 1024  # documents that are indexed together
 _SALT = np.uint64(0x5851F42D4C957F2D)
 
 
@@ -187,7 +188,8 @@ def _build_index(docs: DataFrame, k: int, num: int, den: int, classes) -> DataFr
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache, kinds = WordHashes(), np.frombuffer(classes.value, np.uint8)
-        for batch in batches:
+        # A worker keeps the memory that it once took, so few sets are held at a time.
+        for batch in (b.slice(i, _PART_ROWS) for b in batches for i in range(0, b.num_rows, _PART_ROWS)):
             sets = [token_set(v.as_py(), k, cache) for v in batch.column(1)]
             yield pa.RecordBatch.from_arrays(
                 [

@@ -558,3 +558,18 @@ def test_chains_look_no_farther_than_a_gap():
         gaps = (chain[1:, 0] - chain[:-1, 1]).sum() + (chain[1:, 2] - chain[:-1, 3]).sum()
         score = (chain[:, 1] - chain[:, 0]).sum() - substring_dedup.GAP_COST * gaps
         assert score == pytest.approx(best_chain_plainly(rows))
+
+
+def test_index_does_not_depend_on_parts(spark, monkeypatch):
+    """Documents are indexed some at a time; none is left out where a part ends."""
+    rows = [(i, None if i == 4 else cases.prose(i, 30 * (i % 3)).encode()) for i in range(10)]
+    docs = spark.createDataFrame(rows, "id long, text binary").coalesce(1)
+    classes = spark.sparkContext.broadcast(bytes(jaccard_join._COUNTERS))
+
+    def index():
+        built = jaccard_join._build_index(docs, 5, 80, 100, classes)
+        return sorted(tuple(r) for r in built.drop("row").collect())
+
+    whole = index()
+    monkeypatch.setattr(jaccard_join, "_PART_ROWS", 3)
+    assert index() == whole and [r[0] for r in whole] == list(range(10))
