@@ -39,6 +39,21 @@ def kept_in_worker(name: str, version, make):
     return kept[name][1]
 
 
+def hands_back(work):
+    """``work`` on the batches of a task; what Arrow has free at its end goes back to the system.
+
+    Else it stays in the Python worker for as long as that lives, also while other steps need memory.
+    """
+
+    def whole(batches):
+        try:
+            yield from work(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+
+    return whole
+
+
 def words_of(text: bytes | None) -> list[bytes]:
     """The words ``[^\\x20\\x09-\\x0D]+`` of UTF-8 with A-Z lower-cased; none for a null text."""
     return (text or b"").translate(LOWER_BYTES).split()

@@ -206,7 +206,7 @@ def _build_index(docs: DataFrame, k: int, num: int, den: int, classes) -> DataFr
 
     kind = docs.schema["id"].dataType.simpleString()
     return docs.mapInArrow(
-        build, f"id {kind}, row long, n long, digest binary, sketch binary, keys binary, text binary"
+        hands_back(build), f"id {kind}, row long, n long, digest binary, sketch binary, keys binary, text binary"
     )
 
 
@@ -282,7 +282,7 @@ def _verified(
             yield _binary({"digest": digests, "tokens": tokens})
 
     named = docs.where(F.col("id").isNotNull()).select(F.col("id").cast("string").alias("name"), "text")
-    built = named.mapInArrow(sets, "digest binary, tokens binary")
+    built = named.mapInArrow(hands_back(sets), "digest binary, tokens binary")
     sent = attach(built, wanted.select("digest", "node", "targets"), ["digest"], row_bytes=128, n_rows=n_wanted)
     sent = sent.select(F.explode("targets").alias("to"), "node", "tokens")
     met = sent.select("to.b", "to.part", "to.side", "node", "tokens").repartition("b", "part")
@@ -302,7 +302,7 @@ def _verified(
                     found_b.append(hub)
             yield pa.RecordBatch.from_arrays([pa.array(v, pa.int64()) for v in (found_a, found_b)], names=["a", "b"])
 
-    links = met.sortWithinPartitions("b", "part", "side").mapInArrow(linked, "a long, b long")
+    links = met.sortWithinPartitions("b", "part", "side").mapInArrow(hands_back(linked), "a long, b long")
     found, _ = store(sized(links.distinct(), n_pairs))
     known.destroy()
     return found
@@ -365,7 +365,7 @@ def _across(rows: DataFrame, num: int, den: int, nearest: int | None = None) ->
         for rows in whole_parts(batches, part):
             yield from _compare(rows, part, num, den, nearest)
 
-    pairs = rows.mapInArrow(compare, "a long, b long, more boolean, key long, level int")
+    pairs = rows.mapInArrow(hands_back(compare), "a long, b long, more boolean, key long, level int")
     return pairs.withColumns({"a": F.least("a", "b"), "b": F.greatest("a", "b")})
 
 
@@ -446,7 +446,7 @@ def _with_shared_keys(sets: DataFrame) -> DataFrame:
             )
 
     schema = "node long, n long, sketch binary, short binary, keys array<long>, low binary, share float"
-    nodes, _ = store(sets.select("node", "n", "sketch", "keys").mapInArrow(shared_keys, schema))
+    nodes, _ = store(sets.select("node", "n", "sketch", "keys").mapInArrow(hands_back(shared_keys), schema))
     twice.destroy()
     return nodes
 

@@ -76,7 +76,7 @@ def repeated_lines(
                 names=["id", "digest"],
             )
 
-    found, _ = store(named.mapInArrow(suspects, f"id {id_type.simpleString()}, digest binary"))
+    found, _ = store(named.mapInArrow(hands_back(suspects), f"id {id_type.simpleString()}, digest binary"))
     firsts = (
         found.groupBy("digest")
         .agg(F.min("id").alias("first"), F.max("id").alias("last"), F.count(F.lit(1)).alias("n"))

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lumagrid.llm.common import kept_in_worker
+from lumagrid.llm.common import hands_back, kept_in_worker
 from lumagrid.llm.counters import count_places
 from lumagrid.settings import store
 
@@ -37,7 +37,7 @@ SHARD_TOKENS = 1 << 20
 END_ID = 1
 K1, B = 1.2, 0.75
 _CACHED_WORDS = 400_000
-_PART_BYTES = 8 << 20  # of texts that are encoded together
+_PART_BYTES = 4 << 20  # of texts that are encoded together
 LEADS = 3  # tokens by which documents are dealt and ordered
 BUCKET_DOCS = 4096
 # What a word may end in besides its letters; an apostrophe would bind to them.
@@ -186,7 +186,7 @@ def token_ids(docs: DataFrame, key: str, text: str, vocabulary: str, width: str,
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(start, till - start), ids], names=["id", "ids"])
 
     named = docs.select(F.col(key).alias("id"), F.col(text).cast("binary").alias("text"))
-    return named.mapInArrow(encode, f"id {named.schema['id'].dataType.simpleString()}, ids binary")
+    return named.mapInArrow(hands_back(encode), f"id {named.schema['id'].dataType.simpleString()}, ids binary")
 
 
 def term_counts(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
