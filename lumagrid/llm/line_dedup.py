@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lumagrid.llm.bloom import FILTER_BITS, held, seen_twice
-from lumagrid.llm.common import LOWER_BYTES, free_name
+from lumagrid.llm.common import LOWER_BYTES, free_name, hands_back
 from lumagrid.operators.lookup import attach
 from lumagrid.settings import store
 

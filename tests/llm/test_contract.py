@@ -1,5 +1,10 @@
 """The queries against DuckDB where SQL can express them."""
 
+import builtins
+import dis
+import importlib
+import types
+
 import pytest
 
 import __spark_entry__ as contract
@@ -9,6 +14,14 @@ from tests.oracle import assert_same, connect
 SF = "/root/testdata/sf0.01"
 
 
+def global_names(code):
+    """The global names that code and the functions inside it read."""
+    yield from (step.argval for step in dis.get_instructions(code) if step.opname == "LOAD_GLOBAL")
+    for inner in code.co_consts:
+        if isinstance(inner, types.CodeType):
+            yield from global_names(inner)
+
+
 @pytest.fixture(scope="module")
 def con():
     return connect(SF)
@@ -21,6 +34,14 @@ def test_every_operator_has_one_query():
     assert {*names, "pipeline"} <= set(contract.queries())
 
 
+@pytest.mark.parametrize("name", ["line_dedup"])
+def test_all_names_exist(name):
+    module = importlib.import_module(f"lumagrid.llm.{name}")
+    with open(module.__file__) as source:
+        code = compile(source.read(), module.__file__, "exec")
+    assert not {n for n in global_names(code) if not hasattr(module, n) and not hasattr(builtins, n)}
+
+
 @pytest.mark.parametrize("name", sorted(oracles.oracle_sql()))
 def test_query_matches_sql(spark, con, name):
     assert_same(registry.queries()[name](spark, SF), con, oracles.oracle_sql()[name])
