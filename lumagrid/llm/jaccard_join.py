@@ -31,6 +31,7 @@ from lumagrid.llm.bloom import bits_for, held, seen, seen_twice
 from lumagrid.llm.common import (
     WordHashes,
     free_name,
+    hands_back,
     index_pairs,
     mix,
     run_starts,

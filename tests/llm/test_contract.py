@@ -34,7 +34,7 @@ def test_every_operator_has_one_query():
     assert {*names, "pipeline"} <= set(contract.queries())
 
 
-@pytest.mark.parametrize("name", ["line_dedup"])
+@pytest.mark.parametrize("name", ["jaccard_join", "line_dedup"])
 def test_all_names_exist(name):
     module = importlib.import_module(f"lumagrid.llm.{name}")
     with open(module.__file__) as source:
