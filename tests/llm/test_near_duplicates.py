@@ -315,6 +315,37 @@ def test_leaks(spark):
     )
 
 
+def test_tables_of_texts_are_no_larger_than_broadcasts_assume(spark, monkeypatch):
+    """What grows with the texts that hold items: a long item has many windows in each of its texts."""
+    seen = []
+
+    def bytes_of(value):
+        """In an UnsafeRow, at least: variable parts lie behind a fixed field of 8 bytes each."""
+        if isinstance(value, str):
+            return 8 + len(value)
+        if isinstance(value, (list, tuple)):
+            return 16 + sum(map(bytes_of, value))
+        return 8
+
+    def attach(big, small, keys, *args, **options):
+        if "digest" in small.columns:
+            rows = [tuple(r) for r in small.collect()]
+            of_keys = sum(8 + sum(bytes_of(r[small.columns.index(k)]) for k in keys) for r in rows)
+            seen.append((small.columns, of_keys + sum(8 + sum(map(bytes_of, r)) for r in rows)))
+            assert seen[-1][1] <= options.get("row_bytes", 64) * len(rows), small.columns
+        return attached(big, small, keys, *args, **options)
+
+    attached = decontaminate.attach
+    monkeypatch.setattr(decontaminate, "attach", attach)
+    item = cases.prose(3, 400)
+    rows = [(i, f"{cases.prose(i, 100)} {item} {cases.prose(i + 9, 100)}") for i in range(10, 14)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    got = decontaminate.leaks_of_documents(docs, bench).collect()
+    assert {(r.doc_id, r.item, r.start, r.similarity) for r in got} == {(i, 1, 100, 1.0) for i in range(10, 14)}
+    assert seen
+
+
 def test_blocks_propose_near_copies(spark):
     """The index alone finds nearly all exact and lightly edited items, and never more than both ways together."""
     items = [(i, cases.prose(700 + i, 60 + i)) for i in range(40)]
