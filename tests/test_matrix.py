@@ -115,6 +115,32 @@ def test_products_of_many_rows_are_not_shuffled(spark, monkeypatch, cells_at_onc
     assert "hashpartitioning(group" in plan and "hashpartitioning(chunk" not in plan
 
 
+@pytest.mark.parametrize("held", [4_000_000, 40])
+@pytest.mark.parametrize(("n", "copied"), [(300, False), (20, False), (300, None)])
+def test_rows_of_one_id_are_added_up_where_they_are_made(spark, monkeypatch, n, copied, held):
+    """Ids that repeat, also in other tasks, or are NULL; few rows come out, and none is lost."""
+    monkeypatch.setattr(matrix, "_HELD_CELLS", held)
+    rng = np.random.default_rng(5)
+    b = rng.integers(0, 10, (5, 30))
+    rows = [(int(i) if i else None, [float(v) for v in rng.integers(0, 10, 5)]) for i in rng.integers(0, 4, n)]
+    rows += [(9, None), (9, [1.0] * 5)]
+    a = spark.createDataFrame(rows, "i bigint, row array<double>").repartition(3)
+    factor = entries(spark, b, bool)
+    got = matrix.matmul_rows(a, factor, copied, summed=True).collect()
+    want, found = {}, {}
+    for i, row in rows:
+        m, total = want.get(i, (0, 0.0))
+        want[i] = m + 1, total + np.array(row or [0.0] * 5) @ b
+    for r in got:
+        m, total = found.get(r.i, (0, 0.0))
+        found[r.i] = m + r.n_rows, total + np.array(r.row)
+    assert {i: (m, t.tolist()) for i, (m, t) in found.items()} == {i: (m, t.tolist()) for i, (m, t) in want.items()}
+    if n == 300 and held > 40:
+        assert len(got) < n / 2
+    nothing = matrix.matmul_rows(a, factor.limit(0), copied, summed=True).collect()
+    assert [(r.n_rows, r.row) for r in nothing] == [(1, [])] * len(rows)
+
+
 def test_tile_and_slab_fill_the_cluster_and_stay_bounded():
     for n_i, n_j, n_k in [(2000, 2000, 2000), (64, 64, 10**9), (10**6, 10**6, 10**6), (1, 1, 1)]:
         tile, slab = matrix._tile_and_slab(n_i, n_j, n_k, 4000)
